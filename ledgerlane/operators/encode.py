@@ -31,3 +31,140 @@ def daml_payload(payload: str | Column = "payload") -> Column:
 def payload_json(payload: str | Column = "payload") -> Column:
     """Compact Daml-JSON text of the payload; null for events without one."""
     return F.to_json(daml_payload(payload))
+
+
+def _ids(*pairs) -> list[Column]:
+    return [F.col(c).alias(a) for c, a in pairs]
+
+
+def flat_json(df: DataFrame) -> Column:
+    """``{"type","offset","transactionId","contractId","templateId","payload"}``; no payload when archived."""
+    return F.to_json(F.struct(*_ids(("event_type", "type"), ("ledger_offset", "offset"),
+                                    ("transaction_id", "transactionId"), ("contract_id", "contractId"),
+                                    ("template_id", "templateId")),
+                              daml_payload("payload").alias("payload")))
+
+
+def contract_event(df: DataFrame) -> Column:
+    """Tagged contract event ``{"type": kind, "event": {templateId, contractId, payload?}}``."""
+    return F.struct(F.col("event_type").alias("type"),
+                    F.struct(*_ids(("template_id", "templateId"), ("contract_id", "contractId")),
+                             daml_payload("payload").alias("payload")).alias("event"))
+
+
+def workflow_id(transaction_id: str = "transaction_id") -> Column:
+    from ledgerlane.sources.documents import tx_number
+    return F.concat(F.lit("wf-"), (tx_number(transaction_id) % 10).cast("string"))
+
+
+def tx_envelopes(events: DataFrame) -> DataFrame:
+    """One tagged envelope per transaction: ``(transaction_id, envelope)``.
+
+    A grouping by transaction (bounded: a transaction holds a few events);
+    contract events keep ledger order through ``array_sort`` on the offset.
+    """
+    g = (events.groupBy("transaction_id", "tx_offset")
+         .agg(F.array_sort(F.collect_list(F.struct("ledger_offset", contract_event(events).alias("ce")))).alias("evs")))
+    env = F.to_json(F.struct(
+        F.lit("transaction").alias("type"),
+        F.struct(F.col("transaction_id").alias("eventId"), workflow_id().alias("workflowId"),
+                 F.col("tx_offset").alias("offset"),
+                 F.transform("evs", lambda e: e["ce"]).alias("contractEvents")).alias("event")))
+    return g.select("transaction_id", env.alias("envelope"))
+
+
+ENVELOPE_SCHEMA = ("type string, event struct<eventId:string, workflowId:string, offset:string, "
+                   "contractEvents:array<struct<type:string, event:struct<templateId:string, contractId:string, "
+                   "payload:string>>>>")
+
+
+def decode_envelopes(envs: DataFrame, col: str = "envelope") -> DataFrame:
+    """Envelope → contract events; an unknown tag fails the whole envelope.
+
+    Output: kept input columns, ``idx``, ``event_type``, ``contract_id``,
+    ``template_id``, ``payload`` and ``decode_error`` (one row per failed
+    envelope, null on good rows).
+    """
+    keep = [c for c in envs.columns if c != col]
+    p = F.from_json(F.col(col), ENVELOPE_SCHEMA)
+    d = envs.select(*keep, p.alias("_e"))
+    ces = F.col("_e.event.contractEvents")
+    err = (F.when(F.col("_e").isNull() | F.coalesce(F.col("_e.type") != "transaction", F.lit(True)),
+                  "LedgerEvent expected")
+           .when(F.exists(ces, lambda x: ~F.coalesce(x["type"].isin("created", "archived"), F.lit(False))),
+                 "ContractEvent expected"))
+    items = F.when(err.isNull(), F.transform(ces, lambda x, i: F.struct(i.alias("idx"), x.alias("x")))) \
+        .otherwise(F.array(F.struct(F.lit(None).cast("int").alias("idx"),
+                                    F.lit(None).cast(d.schema["_e"].dataType["event"].dataType["contractEvents"]
+                                                     .dataType.elementType).alias("x"))))
+    out = d.select(*keep, err.alias("decode_error"), F.explode(items).alias("it"))
+    return out.select(*keep, F.col("it.idx").alias("idx"), F.col("it.x.type").alias("event_type"),
+                      F.col("it.x.event.contractId").alias("contract_id"),
+                      F.col("it.x.event.templateId").alias("template_id"),
+                      F.col("it.x.event.payload").alias("payload"), "decode_error")
+
+
+SNAKE_KIND = {"created": "create", "archived": "archive", "exercised": "exercise"}
+
+
+def snake_json(df: DataFrame) -> Column:
+    """Public snake-case event with signatories and observers."""
+    kind = F.col("event_type")
+    k = F.when(kind == "created", "create").when(kind == "archived", "archive").when(kind == "exercised", "exercise")
+    return F.to_json(F.struct(k.alias("event_type"), *_ids(("contract_id", "contract_id"), ("template_id", "template_id")),
+                              daml_payload("payload").alias("payload"), F.col("choice").alias("choice"),
+                              *_ids(("signatories", "signatories"), ("observers", "observers"),
+                                    ("transaction_id", "transaction_id"), ("ledger_offset", "offset"))))
+
+
+def meta_json(df: DataFrame) -> Column:
+    """P5: metadata split from the payload: ``{"meta": {...}, "event": {"created": {"payload": ...}}}``."""
+    meta = F.struct(F.col("event_id").alias("eventId"), F.lit("").alias("workflowId"),
+                    F.col("ledger_offset").alias("offset"), F.lit("default").alias("domainId"),
+                    *_ids(("contract_id", "contractId"), ("template_id", "templateId"),
+                          ("signatories", "signatories"), ("observers", "observers")),
+                    F.lit("").alias("agreementText"))
+    ev = F.struct(
+        F.when(F.col("event_type") == "created", F.struct(daml_payload("payload").alias("payload"))).alias("created"),
+        F.when(F.col("event_type") == "archived", F.struct(F.col("contract_id").alias("contractId"))).alias("archived"),
+        F.when(F.col("event_type") == "exercised", F.struct(F.col("choice").alias("choice"))).alias("exercised"))
+    return F.to_json(F.struct(meta.alias("meta"), ev.alias("event")))
+
+
+def avro_created(df: DataFrame) -> DataFrame:
+    """The 8-field CreatedEvent record; payload as compact JSON text."""
+    return df.filter(F.col("event_type") == "created").select(
+        *_ids(("event_id", "eventId"), ("contract_id", "contractId"), ("template_id", "templateId")),
+        payload_json("payload").alias("payload"),
+        *_ids(("signatories", "signatories"), ("observers", "observers"), ("transaction_id", "transactionId")),
+        iso_time("record_time").alias("ledgerEffectiveTime"))
+
+
+def avro_archived(df: DataFrame) -> DataFrame:
+    """The 6-field ArchivedEvent record."""
+    return df.filter(F.col("event_type") == "archived").select(
+        *_ids(("event_id", "eventId"), ("contract_id", "contractId"), ("template_id", "templateId"),
+              ("signatories", "signatories"), ("observers", "observers"), ("transaction_id", "transactionId")))
+
+
+def avro_union(df: DataFrame) -> DataFrame:
+    """One topic carrying both records: ``struct<created, archived>`` with one non-null."""
+    c = avro_created(df)
+    a = avro_archived(df)
+    cs = c.select(F.col("eventId").alias("event_id"), F.struct(*c.columns).alias("created"))
+    as_ = a.select(F.col("eventId").alias("event_id"), F.struct(*a.columns).alias("archived"))
+    return cs.unionByName(as_, allowMissingColumns=True)
+
+
+def pretty(c: Column) -> Column:
+    """The pretty-print switch: the same JSON, indented."""
+    return F.to_json(c, {"pretty": "true"})
+
+
+def streamed_events(df: DataFrame) -> DataFrame:
+    """Emitter → consumer published events: one row per observer of a created event."""
+    ev = df.filter(F.col("event_type") == "created").select(
+        F.element_at("signatories", 1).alias("emitter"), "observers",
+        F.struct(F.col("template_id").alias("templateId"), F.col("contract_id").alias("contractId"),
+                 payload_json("payload").alias("payload"), iso_time("record_time").alias("emittedAt")).alias("event"))
+    return ev.select("emitter", F.explode("observers").alias("consumer"), "event")

@@ -68,13 +68,6 @@ _reg("pred_int64_is", X.Or((arg("deal.units", X.Int64Is(42)), arg("deal.amount",
 _reg("pred_bool_is", arg("deal.urgent", X.BoolIs(False)), "coalesce(NOT urgent, false)")
 
 
-_PAYLOAD_TEXT_SQL = (
-    "'{\"issuer\":\"' || issuer || '\",\"owner\":\"' || owner || '\",\"deal\":{\"amount\":\"' || "
-    "CAST(amount AS VARCHAR) || '\",\"status\":\"' || status || '\",\"priority\":\"' || priority || "
-    "'\",\"urgent\":' || CASE WHEN urgent THEN 'true' ELSE 'false' END || ',\"units\":' || "
-    "CAST(units AS VARCHAR) || '}}'"
-)
-PAYLOAD_TEXT_SQL = _PAYLOAD_TEXT_SQL
 
 
 @register("extract_path", with_ledger(f"""

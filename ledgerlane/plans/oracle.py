@@ -78,3 +78,20 @@ def with_ledger(body: str, *extra_ctes: str) -> str:
 
 def with_routed(body: str, *extra_ctes: str) -> str:
     return with_ledger(body, ROUTED_CTE, *extra_ctes)
+
+
+# Daml-JSON text of the payload (numerics as strings), as ``payload_json`` renders it.
+PAYLOAD_TEXT_SQL = (
+    "'{\"issuer\":\"' || issuer || '\",\"owner\":\"' || owner || '\",\"deal\":{\"amount\":\"' || "
+    "CAST(amount AS VARCHAR) || '\",\"status\":\"' || status || '\",\"priority\":\"' || priority || "
+    "'\",\"urgent\":' || CASE WHEN urgent THEN 'true' ELSE 'false' END || ',\"units\":' || "
+    "CAST(units AS VARCHAR) || '}}'"
+)
+OPT_PAYLOAD_SQL = f"CASE WHEN issuer IS NULL THEN '' ELSE ',\"payload\":' || {PAYLOAD_TEXT_SQL} END"
+ISO_SQL = "strftime(record_time, '%Y-%m-%dT%H:%M:%SZ')"
+TXN_SQL = "CAST(substr(transaction_id, 4) AS BIGINT)"
+
+
+def arr_sql(x: str) -> str:
+    """JSON text of a one-element string array."""
+    return f"'[\"' || {x} || '\"]'"
