@@ -96,3 +96,15 @@ def partial_failures(results: DataFrame, keys: list[str], failed: str = "failed"
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col(failed)).alias("failed"),
         F.min_by(F.when(F.col(failed), F.col(error)), F.when(F.col(failed), F.col(order_col))).alias("first_error"))
+
+
+# The sink system behind each topic (default: kinesis).
+DESTINATION_TYPES = [("iou-events", "kafka"), ("asset-events", "pulsar")]
+DEFAULT_DESTINATION = "kinesis"
+
+
+def destination_type(topic: str = "topic") -> Column:
+    out = F.lit(DEFAULT_DESTINATION)
+    for t, d in reversed(DESTINATION_TYPES):
+        out = F.when(F.col(topic) == t, d).otherwise(out)
+    return out
