@@ -37,12 +37,17 @@ def _ids(*pairs) -> list[Column]:
     return [F.col(c).alias(a) for c, a in pairs]
 
 
-def flat_json(df: DataFrame) -> Column:
-    """``{"type","offset","transactionId","contractId","templateId","payload"}``; no payload when archived."""
+def flat_json(df: DataFrame, payload: Column | None = None) -> Column:
+    """``{"type","offset","transactionId","contractId","templateId","payload"}``; no payload when archived.
+
+    ``payload`` defaults to the ledger's typed payload; pass ``parse_json(text)``
+    to embed a payload that arrives as JSON text.
+    """
+    p = daml_payload("payload") if payload is None else payload
     return F.to_json(F.struct(*_ids(("event_type", "type"), ("ledger_offset", "offset"),
                                     ("transaction_id", "transactionId"), ("contract_id", "contractId"),
                                     ("template_id", "templateId")),
-                              daml_payload("payload").alias("payload")))
+                              p.alias("payload")))
 
 
 def contract_event(df: DataFrame) -> Column:
