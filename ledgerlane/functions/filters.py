@@ -130,9 +130,25 @@ class TypedPayload:
 
 @dataclass
 class JsonPayload:
-    """Payload as Daml-JSON text; ``tags`` maps paths to ledger types."""
+    """Payload as Daml-JSON text (or, with ``parsed``, an already parsed variant column).
+
+    ``tags`` maps paths to ledger types.
+    """
     column: str
     tags: dict = field(default_factory=dict)
+    parsed: bool = False
+
+
+def parse_payload_once(df, column: str, into: str = "_payload_v"):
+    """Add the payload parsed to a variant, computed once per row.
+
+    Catalyst would push a filter below a plain projection and inline the
+    parse into every predicate leaf (one JSON parse per leaf and row).  A
+    filter on a generator's output cannot move below the generator, so the
+    parsed value is produced by exploding a one-element array: the JSON is
+    parsed once per row and the leaves read the (binary) variant.
+    """
+    return df.select("*", F.explode(F.array(F.try_parse_json(F.col(column)))).alias(into))
 
 
 @dataclass(frozen=True)
@@ -168,7 +184,7 @@ def _typed_extract(ctx: TypedPayload, path: tuple) -> _Value:
 
 
 def _json_extract(ctx: JsonPayload, path: tuple) -> _Value:
-    v = F.expr(f"try_parse_json({ctx.column})")
+    v = F.col(ctx.column) if ctx.parsed else F.try_parse_json(F.col(ctx.column))
     jpath = "$" + "".join(f"['{p}']" for p in path)
     val = F.try_variant_get(v, jpath, "variant") if path else v
     # A JSON null is a value of type null: Daml "field without value" = none.

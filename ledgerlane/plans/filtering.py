@@ -100,10 +100,11 @@ def filter_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlane.sources.ledger import flat_ledger
     df = flat_ledger(spark, sf_dir).select("event_id", "event_type", "template_id",
                                            payload_json("payload").alias("payload_json"))
-    ctx = X.JsonPayload("payload_json", {("issuer",): X.PARTY, ("owner",): X.PARTY, ("deal", "amount"): X.NUMERIC})
+    tags = {("issuer",): X.PARTY, ("owner",): X.PARTY, ("deal", "amount"): X.NUMERIC}
+    ctx = X.JsonPayload("_payload_v", tags, parsed=True)
     f = X.Or((X.And((arg("deal.amount", X.NumericGt(Decimal(250000))), arg("owner", X.PartyIs("Nation3")))),
               X.Not(arg("deal.status", X.TextIs("F")))))
-    return df.filter(X.compile_filter(f, ctx)).select("event_id", "event_type")
+    return X.parse_payload_once(df, "payload_json").filter(X.compile_filter(f, ctx)).select("event_id", "event_type")
 
 
 SUBSCRIPTIONS = [("Cust7", ["Main:Iou", "Main:Asset"]), ("Nation3", [])]

@@ -65,6 +65,5 @@ def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     Fixed-width offsets compare lexically, so on a parquet archive the
     predicate prunes row groups by min/max statistics.
     """
-    return (ledger(spark, sf_dir)
-            .filter((F.col("ledger_offset") > REPLAY_START) & (F.col("ledger_offset") <= REPLAY_END))
-            .select("event_id", "ledger_offset", "event_type", "contract_id"))
+    return ledger(spark, sf_dir, REPLAY_START, REPLAY_END).select("event_id", "ledger_offset", "event_type",
+                                                                   "contract_id")

@@ -82,9 +82,33 @@ PAYLOAD_TYPE = ("struct<issuer:string,owner:string,deal:struct<amount:decimal(15
                 "status:string,priority:string,urgent:boolean,units:bigint>>")
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def key_bounds(start: str | None, end: str | None) -> tuple[int | None, int | None]:
+    """Order-key range implied by an offset range ``(start, end]``.
+
+    Every event of order ``k`` has an offset in ``[10k, 10k + 9]``, so
+    ``offset > start`` needs ``k >= start div 10`` and ``offset <= end``
+    needs ``k <= end div 10``.  The bounds are a superset; the exact offset
+    predicate stays on top.  Unlike the offset text, they are plain column
+    predicates that reach the parquet scan (row-group skipping by min/max).
+    """
+    lo = int(start) // 10 if start is not None else None
+    hi = int(end) // 10 if end is not None else None
+    return lo, hi
+
+
+def _bounded(df: DataFrame, key: str, bounds) -> DataFrame:
+    lo, hi = bounds or (None, None)
+    if lo is not None:
+        df = df.filter(F.col(key) >= lo)
+    if hi is not None:
+        df = df.filter(F.col(key) <= hi)
+    return df
+
+
+def _orders(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return _bounded(o, "o_orderkey", bounds)
 
 
 def flat_events_from_orders(orders: DataFrame) -> DataFrame:
@@ -108,14 +132,15 @@ def flat_events_from_orders(orders: DataFrame) -> DataFrame:
     ).select(*[x for x in LEDGER_COLUMNS])
 
 
-def exercised_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exercised_events(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame:
     """Exercised events: each lineitem is a choice exercised on its order's contract.
 
     The join is an equi-join on the order key; at scale both sides are large,
     so Spark shuffles both on the key (sort-merge), and AQE splits skewed keys.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
-    o = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderpriority")
+    li = _bounded(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"),
+                  "l_orderkey", bounds)
+    o = _orders(spark, sf_dir, bounds).select("o_orderkey", "o_custkey", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     k = F.col("l_orderkey")
     off = offset_of(k * 10 + F.col("l_linenumber"))
@@ -131,11 +156,25 @@ def exercised_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Created + archived events (the flat transaction stream); offsets are unique."""
-    return flat_events_from_orders(_orders(spark, sf_dir))
+def flat_ledger(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Created + archived events (the flat transaction stream); offsets are unique.
+
+    ``start``/``end`` restrict to offsets in ``(start, end]``, pruning the scan.
+    """
+    df = flat_events_from_orders(_orders(spark, sf_dir, key_bounds(start, end)))
+    return _offset_range(df, start, end)
+
+
+def ledger(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All events: created, archived and exercised (transaction-tree mode), optionally in ``(start, end]``."""
+    b = key_bounds(start, end)
+    df = flat_events_from_orders(_orders(spark, sf_dir, b)).unionByName(exercised_events(spark, sf_dir, b))
+    return _offset_range(df, start, end)
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events: created, archived and exercised (transaction-tree mode)."""
-    return flat_ledger(spark, sf_dir).unionByName(exercised_events(spark, sf_dir))
+def _offset_range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    if start is not None:
+        df = df.filter(F.col("ledger_offset") > start)
+    if end is not None:
+        df = df.filter(F.col("ledger_offset") <= end)
+    return df
