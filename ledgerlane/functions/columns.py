@@ -41,3 +41,8 @@ def contract_abbrev(c: str | Column, width: int = 30) -> Column:
 def offset_number(o: str | Column) -> Column:
     """Offset as a number: keep digits and dots, parse; null when unparseable."""
     return F.regexp_replace(col_(o), r"[^0-9.]", "").try_cast("double")
+
+
+def epoch_micros(ts: str) -> Column:
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` column, independent of the session time zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {ts})")

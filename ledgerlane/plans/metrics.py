@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.columns import epoch_micros
 from ledgerlane.operators import metrics as M
 from ledgerlane.operators import route as R
 from ledgerlane.operators.batching import assign_batches, batch_manifest
@@ -181,7 +182,7 @@ def events_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     single broadcast row.
     """
     ev = table(spark, sf_dir, "events")
-    sent = F.unix_micros(F.col("ts").cast("timestamp"))
+    sent = epoch_micros("ts")
     e = ev.select(_pick(EVENT_DESTINATIONS, F.col("user_id") % 3).alias("destination_type"),
                   F.when(F.col("event_id") % 50 == 0, None)
                   .otherwise(sent + F.round(F.col("value") * 1000000).cast("bigint")).alias("ack_us"))

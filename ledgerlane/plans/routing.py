@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.columns import epoch_micros
 from ledgerlane.operators import route as R
 from ledgerlane.plans.oracle import with_routed
 from ledgerlane.plans.registry import register
@@ -153,7 +154,7 @@ def pulsar_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     producer_named = True
     seq = (F.col("tx_offset").cast("bigint") * 16 + idx) if producer_named else F.lit(None).cast("bigint")
     return df.select(F.col("contract_id").alias("key"), "event_id",
-                     F.unix_millis(F.col("record_time").cast("timestamp")).alias("event_time"),
+                     F.floor(epoch_micros("record_time") / 1000).cast("bigint").alias("event_time"),
                      seq.cast("bigint").alias("sequence_id"))
 
 
