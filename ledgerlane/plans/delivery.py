@@ -90,11 +90,21 @@ SEND_ERRORS = ["TimeoutException", "NetworkException", "NotEnoughReplicasExcepti
 BACKOFF = RT.Backoff()
 
 
-def failed_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failed first sends from the ``events`` log: every 50th event; it keeps failing ``id % 7 + 1`` times."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_id") % 50 == 0)
+def send_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-send outcome of every ``events`` row: every 50th send fails, and keeps failing ``id % 7 + 1`` times.
+
+    ``error_class`` is null and ``failures`` 0 for sends that succeed at once.
+    """
+    ev = table(spark, sf_dir, "events")
+    failed = F.col("event_id") % 50 == 0
     err = F.element_at(F.array(*[F.lit(e) for e in SEND_ERRORS]), (F.col("event_id") % 4 + 1).cast("int"))
-    return ev.select("event_id", err.alias("error_class"), (F.col("event_id") % 7 + 1).cast("int").alias("failures"))
+    return ev.select("event_id", F.when(failed, err).alias("error_class"),
+                     F.when(failed, F.col("event_id") % 7 + 1).otherwise(0).cast("int").alias("failures"))
+
+
+def failed_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sends whose first attempt failed."""
+    return send_log(spark, sf_dir).filter(F.col("failures") > 0)
 
 
 def _retry_sql() -> str:
@@ -106,18 +116,21 @@ def _retry_sql() -> str:
 SELECT event_id, error_class, retriable, attempts,
        CAST(100 * (power(2, least(attempts - 1, 3) + 1) - 2) + greatest(attempts - 1 - 3, 0) * 1000 AS BIGINT)
          AS total_wait_ms,
-       CASE WHEN retriable AND failures < {b.max_attempts} THEN 'delivered' ELSE 'dead_letter' END AS outcome
+       CASE WHEN failures = 0 OR (retriable AND failures < {b.max_attempts}) THEN 'delivered' ELSE 'dead_letter' END
+         AS outcome
 FROM (SELECT event_id, error_class, failures, retriable,
-             CAST(CASE WHEN NOT retriable THEN 1 ELSE least(failures + 1, {b.max_attempts}) END AS INTEGER) AS attempts
-      FROM (SELECT event_id, {cls} AS error_class, CAST(event_id % 7 + 1 AS INTEGER) AS failures,
-                   {cls} IN ({retr}) AS retriable
-            FROM events WHERE event_id % 50 = 0))"""
+             CAST(CASE WHEN failures = 0 OR NOT retriable THEN 1 ELSE least(failures + 1, {b.max_attempts}) END
+                  AS INTEGER) AS attempts
+      FROM (SELECT event_id, error_class, failures, coalesce(error_class IN ({retr}), false) AS retriable
+            FROM (SELECT event_id, CASE WHEN event_id % 50 = 0 THEN {cls} END AS error_class,
+                         CAST(CASE WHEN event_id % 50 = 0 THEN event_id % 7 + 1 ELSE 0 END AS INTEGER) AS failures
+                  FROM events)))"""
 
 
 @register("retry_plan", _retry_sql())
 def retry_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST8: per failed record: retriable?, attempts, total backoff wait and final outcome."""
-    f = failed_sends(spark, sf_dir)
+    """ST8: per send: retriable?, attempts, total backoff wait and final outcome (first-try successes: 1, 0)."""
+    f = send_log(spark, sf_dir)
     cls, fails = F.col("error_class"), F.col("failures")
     n = RT.attempts(cls, fails, BACKOFF)
     return f.select("event_id", "error_class", RT.retriable(cls).alias("retriable"), n.alias("attempts"),

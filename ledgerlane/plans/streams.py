@@ -13,7 +13,7 @@ from pyspark.sql.utils import StreamingQueryException
 
 from ledgerlane.functions.columns import iso_time, offset_of
 from ledgerlane.operators import route as R
-from ledgerlane.plans.delivery import BACKOFF, failed_sends
+from ledgerlane.plans.delivery import BACKOFF, _retry_sql, failed_sends
 from ledgerlane.plans.oracle import with_ledger, with_routed
 from ledgerlane.plans.registry import register
 from ledgerlane.session import scratch
@@ -180,7 +180,7 @@ def dlq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DEAD_SQL = f"""dead AS (
   SELECT e.*, p.error_class, p.attempts FROM events e JOIN (
-    {__import__('ledgerlane.plans.delivery', fromlist=['_retry_sql'])._retry_sql()}) p USING (event_id)
+    {_retry_sql()}) p USING (event_id)
   WHERE p.outcome = 'dead_letter')"""
 
 

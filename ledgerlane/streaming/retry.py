@@ -32,8 +32,8 @@ def retriable(error_class: Column) -> Column:
 
 
 def attempts(error_class: Column, failures_before_success: Column, b: Backoff) -> Column:
-    """Attempts made: 1 for a permanent error, else failures + 1, at most ``max_attempts``."""
-    return F.when(~retriable(error_class), F.lit(1)) \
+    """Attempts made: 1 for a first-try success or a permanent error, else failures + 1, at most ``max_attempts``."""
+    return F.when((failures_before_success == 0) | ~retriable(error_class), F.lit(1)) \
         .otherwise(F.least(failures_before_success + 1, F.lit(b.max_attempts))).cast("int")
 
 
@@ -47,5 +47,5 @@ def total_wait_ms(n_attempts: Column, b: Backoff) -> Column:
 
 
 def outcome(error_class: Column, failures_before_success: Column, b: Backoff) -> Column:
-    ok = retriable(error_class) & (failures_before_success < b.max_attempts)
+    ok = (failures_before_success == 0) | (retriable(error_class) & (failures_before_success < b.max_attempts))
     return F.when(ok, "delivered").otherwise("dead_letter")
