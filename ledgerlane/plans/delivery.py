@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlane.functions.joins import small
 from ledgerlane.operators import feed as L
 from ledgerlane.operators.batching import assign_batches, batch_manifest
-from ledgerlane.plans.metrics import _STREAM_CTE, committed_offsets, stream_events
+from ledgerlane.plans.metrics import _STREAM_CTE, stream_positions
 from ledgerlane.plans.oracle import with_ledger, with_routed
 from ledgerlane.plans.registry import register
 from ledgerlane.plans.routing import routed_flat, routed_ledger
@@ -75,8 +75,7 @@ def start_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1: start offset per stream: beginning / end / last known (else end) / specific; empty ledger → begin."""
     strat = small(spark.createDataFrame(START_STRATEGIES, "stream_id string, strategy string, given string"),
                   len(START_STRATEGIES))
-    ends = stream_events(spark, sf_dir).groupBy("stream_id").agg(F.max("ledger_offset").alias("end_offset"))
-    j = strat.join(ends, "stream_id", "left").join(committed_offsets(spark, sf_dir), "stream_id", "left")
+    j = strat.join(stream_positions(spark, sf_dir), "stream_id", "left")
     s = F.col("strategy")
     start = (F.when(F.col("end_offset").isNull(), LEDGER_BEGIN)
              .when(s == "beginning", LEDGER_BEGIN).when(s == "end", F.col("end_offset"))

@@ -186,10 +186,9 @@ def events_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ev.select(_pick(EVENT_DESTINATIONS, F.col("user_id") % 3).alias("destination_type"),
                   F.when(F.col("event_id") % 50 == 0, None)
                   .otherwise(sent + F.round(F.col("value") * 1000000).cast("bigint")).alias("ack_us"))
-    now = ev.agg(F.max(sent).alias("now_us"))
-    j = e.crossJoin(F.broadcast(now))
-    acked = F.col("ack_us") <= F.col("now_us")
-    return j.groupBy("destination_type").agg(F.count(F.lit(1)).alias("sent"), F.count_if(acked).alias("acked"),
+    now = ev.agg(F.max(sent)).scalar()  # scalar subquery: evaluated once, no join
+    acked = F.col("ack_us") <= now
+    return e.groupBy("destination_type").agg(F.count(F.lit(1)).alias("sent"), F.count_if(acked).alias("acked"),
                                              F.count_if(F.col("ack_us").isNull() | ~acked).alias("in_flight"))
 
 
@@ -233,12 +232,24 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger(spark, sf_dir).join(cust, "cust_key")
 
 
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per stream, in one pass over the ledger: the ledger end and the committed offset.
+
+    The committed offset is the last one processed before ``LAG_COMMIT_BEFORE``
+    (two streams have none yet) — the offset table of a connector that ran
+    until then.
+    """
+    done = ((F.col("record_time") < F.lit(LAG_COMMIT_BEFORE).cast("timestamp_ntz"))
+            & ~F.col("stream_id").isin(STREAMS_WITHOUT_COMMIT))
+    return stream_events(spark, sf_dir).groupBy("stream_id").agg(
+        F.max("ledger_offset").alias("end_offset"),
+        F.max(F.when(done, F.col("ledger_offset"))).alias("committed_offset"))
+
+
 def committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offset table: last committed offset per stream (two streams have none yet)."""
-    ev = stream_events(spark, sf_dir).filter(
-        (F.col("record_time") < F.lit(LAG_COMMIT_BEFORE).cast("timestamp_ntz"))
-        & ~F.col("stream_id").isin(STREAMS_WITHOUT_COMMIT))
-    return ev.groupBy("stream_id").agg(F.max("ledger_offset").alias("committed_offset"))
+    """Offset table: last committed offset per stream (streams without a commit have no row)."""
+    return stream_positions(spark, sf_dir).filter(F.col("committed_offset").isNotNull()) \
+        .select("stream_id", "committed_offset")
 
 
 _STREAM_CTE = ("streams AS (SELECT l.*, c_mktsegment AS stream_id FROM ledger l JOIN customer ON cust_key = c_custkey), "
@@ -254,8 +265,7 @@ FROM (SELECT stream_id, max(ledger_offset) AS end_offset FROM streams GROUP BY s
 LEFT JOIN committed c USING (stream_id)""", _STREAM_CTE))
 def offset_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger end minus committed offset, per stream."""
-    end = stream_events(spark, sf_dir).groupBy("stream_id").agg(F.max("ledger_offset").alias("end_offset"))
-    j = end.join(committed_offsets(spark, sf_dir), "stream_id", "left")
+    j = stream_positions(spark, sf_dir)
     lag = F.col("end_offset").cast("bigint") - F.coalesce(F.col("committed_offset").cast("bigint"), F.lit(0))
     return j.select("stream_id", "end_offset", "committed_offset", lag.alias("offset_lag"))
 
