@@ -62,18 +62,22 @@ def workflow_id(transaction_id: str = "transaction_id") -> Column:
     return F.concat(F.lit("wf-"), (tx_number(transaction_id) % 10).cast("string"))
 
 
-def tx_envelopes(events: DataFrame) -> DataFrame:
+def tx_envelopes(events: DataFrame, max_events: int | None = None) -> DataFrame:
     """One tagged envelope per transaction: ``(transaction_id, envelope)``.
 
-    A grouping by transaction (bounded: a transaction holds a few events);
-    contract events keep ledger order through ``array_sort`` on the offset.
+    Events are grouped per (transaction, part): a transaction of more than
+    ``max_events`` events becomes several envelopes, the later ones tagged
+    ``"part": n`` — no group, and no document, grows with the data.
+    Contract events keep ledger order through ``array_sort`` on the offset.
     """
-    g = (events.groupBy("transaction_id", "tx_offset")
+    from ledgerlane.sources.documents import MAX_DOC_EVENTS, number_in_transaction
+    g = (number_in_transaction(events, max_events or MAX_DOC_EVENTS)
+         .groupBy("transaction_id", "tx_offset", "part")
          .agg(F.array_sort(F.collect_list(F.struct("ledger_offset", contract_event(events).alias("ce")))).alias("evs")))
     env = F.to_json(F.struct(
         F.lit("transaction").alias("type"),
         F.struct(F.col("transaction_id").alias("eventId"), workflow_id().alias("workflowId"),
-                 F.col("tx_offset").alias("offset"),
+                 F.col("tx_offset").alias("offset"), F.when(F.col("part") > 0, F.col("part")).alias("part"),
                  F.transform("evs", lambda e: e["ce"]).alias("contractEvents")).alias("event")))
     return g.select("transaction_id", env.alias("envelope"))
 

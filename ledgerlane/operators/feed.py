@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FEED_SIZE = 200  # fixed value: the UI keeps the newest 200 events
@@ -18,20 +18,25 @@ def latest_feed(events: DataFrame, n: int = FEED_SIZE) -> DataFrame:
 
 
 def ordered_for_delivery(events: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
-    """L2: co-locate each (topic, key) and sort it by offset inside the partition.
+    """L2: lay events out so that each (topic, key) is delivered in offset order.
 
-    Ordering matters per message key (one broker partition per key), so the
-    data is hash-partitioned on the key — many small groups, no hot task —
-    and sorted within partitions; a sink writing partition by partition then
-    sends every key's events in ledger order.
+    Range partitioning on (keys, offset) gives ordered, size-balanced
+    partitions: a hot key spans several consecutive partitions instead of
+    one task, and a sink sending partitions in index order (each sorted)
+    delivers every key's events in ledger order.
     """
+    order = [*keys, "ledger_offset", "event_type"]
     parts = [partitions] if partitions else []
-    return (events.repartition(*parts, *keys)
-            .sortWithinPartitions(*keys, "ledger_offset", "event_type"))
+    return events.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
 
 
 def out_of_order(delivered: DataFrame, keys: list[str], seq: str = "_seq") -> DataFrame:
-    """Check for L2: per key group, events whose offset is below the previous one in delivery order."""
-    w = Window.partitionBy(*keys).orderBy(seq)
-    prev = F.lag("ledger_offset").over(w)
-    return delivered.withColumn("_bad", F.coalesce(F.col("ledger_offset") < prev, F.lit(False)))
+    """Check for L2: per key group, events whose offset is below the previous one in delivery order.
+
+    ``seq`` is the delivery position (``monotonically_increasing_id``: partition
+    index in the high bits); the lag is chunked by partition, so a key spread
+    over many partitions is still checked by many tasks.
+    """
+    from ledgerlane.operators.sequence import lag_rows
+    lagged = lag_rows(delivered, keys, [seq], F.shiftright(F.col(seq), 33), "ledger_offset", "_prev")
+    return lagged.withColumn("_bad", F.coalesce(F.col("ledger_offset") < F.col("_prev"), F.lit(False)))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlane.operators.encode import daml_payload
 
 BROKEN_EVERY = 97  # transactions with tx_number % 97 = 0 are rendered malformed
+MAX_DOC_EVENTS = 1000  # a transaction with more events is rendered as several documents (parts)
 
 _EV = "eventId string, contractId string, templateId string"
 DOC_SCHEMA = (
@@ -43,13 +44,29 @@ def _event_json_struct() -> Column:
     )
 
 
-def transaction_documents(events: DataFrame) -> DataFrame:
-    """One JSON document per transaction: ``(transaction_id, tx_offset, doc)``.
+def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -> DataFrame:
+    """Add ``part``: events of a transaction in (offset, choice) order, cut into runs of ``max_events``.
 
-    Events are ordered by (ledger_offset, choice) inside the document.
+    The numbering is chunked (``number_rows``), so even a transaction holding a
+    large share of all events is numbered by many tasks, and every document
+    built from a (transaction, part) group stays bounded.
     """
-    grouped = (events
-               .groupBy("transaction_id", "tx_offset")
+    from ledgerlane.operators.sequence import number_rows, offset_chunk
+    order = [F.col("ledger_offset")]
+    if "choice" in events.columns:
+        order.append(F.coalesce(F.col("choice"), F.lit("")))
+    n = number_rows(events, ["transaction_id"], order, offset_chunk("ledger_offset"), "_rn")
+    return n.withColumn("part", F.floor((F.col("_rn") - 1) / max_events).cast("int")).drop("_rn")
+
+
+def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -> DataFrame:
+    """One JSON document per transaction part: ``(transaction_id, tx_offset, part, doc)``.
+
+    Events are ordered by (ledger_offset, choice) inside the document; a
+    transaction of at most ``max_events`` events is exactly one document.
+    """
+    grouped = (number_in_transaction(events, max_events)
+               .groupBy("transaction_id", "tx_offset", "part")
                .agg(F.array_sort(F.collect_list(F.struct(
                    F.col("ledger_offset"), F.coalesce(F.col("choice"), F.lit("")).alias("_c"),
                    _event_json_struct().alias("ev")))).alias("evs")))
@@ -61,7 +78,7 @@ def transaction_documents(events: DataFrame) -> DataFrame:
     doc = (F.when(n % BROKEN_EVERY != 0, good)
            .when(F.floor(n / BROKEN_EVERY) % 2 == 0, broken_a)
            .otherwise(broken_b))
-    return grouped.select("transaction_id", "tx_offset", doc.alias("doc"))
+    return grouped.select("transaction_id", "tx_offset", "part", doc.alias("doc"))
 
 
 def parse_documents(docs: DataFrame, doc_col: str = "doc", trees: bool = False) -> DataFrame:

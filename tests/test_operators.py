@@ -75,3 +75,26 @@ def test_envelope_roundtrip_and_bad_tags(spark):
     assert [r.decode_error for r in E.decode_envelopes(bad).collect()] == ["ContractEvent expected"]
     top = env.withColumn("envelope", F.regexp_replace("envelope", '^\\{"type":"transaction"', '{"type":"x"'))
     assert [r.decode_error for r in E.decode_envelopes(top).collect()] == ["LedgerEvent expected"]
+
+
+def test_hot_transaction_is_split_into_bounded_documents(spark):
+    """A transaction holding most events becomes several documents; parsing them back loses nothing."""
+    from ledgerlane.sources.documents import parse_documents, transaction_documents
+    n = 2500
+    ev = spark.range(0, n).select(
+        F.when(F.col("id") < 2300, F.lit("tr-3")).otherwise(F.concat(F.lit("tr-"), (F.col("id") * 97 + 1).cast("string")))
+        .alias("transaction_id"),
+        F.lit("000000000000000003").alias("tx_offset"),
+        F.lpad(F.col("id").cast("string"), 18, "0").alias("ledger_offset"),
+        F.lit("archived").alias("event_type"), F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"),
+        F.lit("#1:0").alias("contract_id"), F.lit("Main:Iou").alias("template_id"),
+        F.lit(None).cast("string").alias("choice"),
+        F.lit(None).cast("struct<issuer:string,owner:string,deal:struct<amount:decimal(15,2),status:string,"
+                         "priority:string,urgent:boolean,units:bigint>>").alias("payload"))
+    docs = transaction_documents(ev, max_events=1000)
+    parts = {r.part for r in docs.filter(F.col("transaction_id") == "tr-3").collect()}
+    assert parts == {0, 1, 2}
+    back = parse_documents(docs)
+    assert back.count() == n and back.select("event_id").distinct().count() == n
+    env = E.tx_envelopes(ev, max_events=1000).filter(F.col("transaction_id") == "tr-3").collect()
+    assert sorted('"part":' in r.envelope for r in env) == [False, True, True]
