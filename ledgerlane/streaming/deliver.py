@@ -70,9 +70,16 @@ class DeadLetterWriter:
         self.write, self.backoff, self.sleep_scale = write, backoff, sleep_scale
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
+        df = df.persist()  # the attempts and the DLQ write reuse one read of the batch
+        try:
+            self._deliver(df, batch_id)
+        finally:
+            df.unpersist()
+
+    def _deliver(self, df: DataFrame, batch_id: int) -> None:
         n = df.count()
+        if n == 0:
+            return
         err = None
         for attempt in range(1, self.backoff.max_attempts + 1):
             try:
