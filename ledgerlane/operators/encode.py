@@ -91,8 +91,8 @@ def decode_envelopes(envs: DataFrame, col: str = "envelope") -> DataFrame:
     """Envelope → contract events; an unknown tag fails the whole envelope.
 
     Output: kept input columns, ``idx``, ``event_type``, ``contract_id``,
-    ``template_id``, ``payload`` and ``decode_error`` (one row per failed
-    envelope, null on good rows).
+    ``template_id``, ``payload`` and ``decode_error`` (null on good rows; a
+    failed envelope gives one row with ``idx = -1`` and the error).
     """
     keep = [c for c in envs.columns if c != col]
     p = F.from_json(F.col(col), ENVELOPE_SCHEMA)
@@ -103,7 +103,7 @@ def decode_envelopes(envs: DataFrame, col: str = "envelope") -> DataFrame:
            .when(F.exists(ces, lambda x: ~F.coalesce(x["type"].isin("created", "archived"), F.lit(False))),
                  "ContractEvent expected"))
     items = F.when(err.isNull(), F.transform(ces, lambda x, i: F.struct(i.alias("idx"), x.alias("x")))) \
-        .otherwise(F.array(F.struct(F.lit(None).cast("int").alias("idx"),
+        .otherwise(F.array(F.struct(F.lit(-1).cast("int").alias("idx"),
                                     F.lit(None).cast(d.schema["_e"].dataType["event"].dataType["contractEvents"]
                                                      .dataType.elementType).alias("x"))))
     out = d.select(*keep, err.alias("decode_error"), F.explode(items).alias("it"))

@@ -28,13 +28,14 @@ def histogram(df: DataFrame, value: str | Column, buckets: list[str], labels: li
     """Cumulative histogram rows ``(labels..., le, cumulative_count, sample_sum, sample_count)``.
 
     One aggregation pass (a ``count_if`` per bucket), then the bucket columns
-    are unpivoted with ``stack``; ``+Inf`` is the total count.
+    are unpivoted with ``stack``; ``+Inf`` is the total count.  The sum is
+    exact (decimal) and reported as a double, as exposition formats do.
     """
     v = F.col(value) if isinstance(value, str) else value
     v = v.cast("decimal(20,6)")
     aggs = [F.count_if(v <= F.lit(b).cast("decimal(20,6)")).alias(f"_b{i}") for i, b in enumerate(buckets)]
     agg = df.groupBy(*labels).agg(*aggs, F.count(v).alias("sample_count"),
-                                  F.sum(v).cast("decimal(38,6)").alias("sample_sum"))
+                                  F.sum(v).cast("double").alias("sample_sum"))
     pairs = ", ".join([f"'{b}', _b{i}" for i, b in enumerate(buckets)] + ["'+Inf', sample_count"])
     return agg.select(*labels, "sample_sum", "sample_count",
                       F.expr(f"stack({len(buckets) + 1}, {pairs}) AS (le, cumulative_count)"))

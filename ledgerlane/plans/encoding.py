@@ -45,7 +45,7 @@ SELECT transaction_id, CAST(row_number() OVER (PARTITION BY transaction_id ORDER
        event_type, contract_id, template_id, CAST(NULL AS VARCHAR) AS decode_error
 FROM flat_ledger WHERE {TXN_SQL} % 89 <> 0 AND {TXN_SQL} % 83 <> 0
 UNION ALL
-SELECT DISTINCT transaction_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+SELECT DISTINCT transaction_id, CAST(-1 AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
        CASE WHEN {TXN_SQL} % 89 = 0 THEN 'LedgerEvent expected' ELSE 'ContractEvent expected' END
 FROM flat_ledger WHERE {TXN_SQL} % 89 = 0 OR {TXN_SQL} % 83 = 0"""))
 def decode_tx_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:

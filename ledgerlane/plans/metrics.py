@@ -37,7 +37,7 @@ def _hist_sql(src: str, value: str, buckets: list[str], labels: str = "") -> str
 SELECT {lab}h.le, CAST(h.cumulative_count AS BIGINT) AS cumulative_count, s.sample_sum, s.sample_count FROM
  (SELECT {lab}b.le, sum(CASE WHEN b.ub IS NULL OR CAST({value} AS DECIMAL(20,6)) <= b.ub THEN 1 ELSE 0 END) AS cumulative_count
   FROM {src} CROSS JOIN (VALUES {bvals}) b(le, ub) GROUP BY {lab}b.le) h
- JOIN (SELECT {lab}CAST(sum(CAST({value} AS DECIMAL(20,6))) AS DECIMAL(38,6)) AS sample_sum, count(*) AS sample_count
+ JOIN (SELECT {lab}CAST(sum(CAST({value} AS DECIMAL(20,6))) AS DOUBLE) AS sample_sum, count(*) AS sample_count
        FROM {src} {grp}) s {join}"""
 
 
