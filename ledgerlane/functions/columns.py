@@ -17,6 +17,26 @@ def offset_of(n: str | Column) -> Column:
     return F.lpad(col_(n).cast("string"), OFFSET_WIDTH, "0")
 
 
+def offset_value(o: str | Column) -> Column:
+    """Integer value of a fixed-width digit offset: same order as the text.
+
+    Aggregates over it (``max``, ``max_by`` ordering) keep fixed-width buffers
+    and so plan as HashAggregate; over the text they fall back to a
+    sort-based aggregate.
+    """
+    return col_(o).cast("bigint")
+
+
+def max_offset(o: str | Column) -> Column:
+    """Last (greatest) fixed-width offset of a group, as offset text."""
+    return offset_of(F.max(offset_value(o)))
+
+
+def min_offset(o: str | Column) -> Column:
+    """First (least) fixed-width offset of a group, as offset text."""
+    return offset_of(F.min(offset_value(o)))
+
+
 def iso_time(ts: str | Column) -> Column:
     """ISO-8601 UTC text with second precision (``2024-01-01T00:00:07Z``)."""
     return F.date_format(col_(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.columns import max_offset, min_offset
 from ledgerlane.operators.sequence import number_rows, offset_chunk
 
 BATCH_SIZE = 100  # fixed value: events per batch (the reference's poll page size)
@@ -24,7 +25,7 @@ def assign_batches(events: DataFrame, stream_col: str = "topic", size: int = BAT
 
 
 def batch_manifest(batched: DataFrame, stream_col: str = "topic", order_col: str = "ledger_offset") -> DataFrame:
-    """One row per batch: stream, batch_no, events, first and last offset."""
+    """One row per batch: stream, batch_no, events, first and last (fixed-width) offset."""
     return batched.groupBy(stream_col, "batch_no").agg(
-        F.count(F.lit(1)).alias("events"), F.min(order_col).alias("first_offset"),
-        F.max(order_col).alias("last_offset"))
+        F.count(F.lit(1)).alias("events"), min_offset(order_col).alias("first_offset"),
+        max_offset(order_col).alias("last_offset"))

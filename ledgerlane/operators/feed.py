@@ -37,6 +37,9 @@ def out_of_order(delivered: DataFrame, keys: list[str], seq: str = "_seq") -> Da
     index in the high bits); the lag is chunked by partition, so a key spread
     over many partitions is still checked by many tasks.
     """
+    from ledgerlane.functions.columns import offset_value
     from ledgerlane.operators.sequence import lag_rows
-    lagged = lag_rows(delivered, keys, [seq], F.shiftright(F.col(seq), 33), "ledger_offset", "_prev")
-    return lagged.withColumn("_bad", F.coalesce(F.col("ledger_offset") < F.col("_prev"), F.lit(False)))
+    d = delivered.withColumn("_off", offset_value("ledger_offset"))
+    lagged = lag_rows(d, keys, [seq], F.shiftright(F.col(seq), 33), "_off", "_prev")
+    return (lagged.withColumn("_bad", F.coalesce(F.col("_off") < F.col("_prev"), F.lit(False)))
+            .drop("_off", "_prev"))

@@ -42,10 +42,15 @@ def histogram(df: DataFrame, value: str | Column, buckets: list[str], labels: li
 
 
 def last_offset_gauge(df: DataFrame, labels: list[str], offset: str = "ledger_offset",
-                      order: str = "ledger_offset") -> DataFrame:
-    """M4: per label set, the numeric value of the last offset that parses; unparseable ones are skipped."""
+                      order: str | Column = "ledger_offset") -> DataFrame:
+    """M4: per label set, the numeric value of the last offset that parses; unparseable ones are skipped.
+
+    ``order`` is best numeric (``offset_value``): a fixed-width ordering
+    keeps the aggregation hash-based.
+    """
     n = offset_number(offset)
-    return (df.select(*labels, n.alias("_n"), F.col(order).alias("_o"))
+    o = F.col(order) if isinstance(order, str) else order
+    return (df.select(*labels, n.alias("_n"), o.alias("_o"))
             .filter(F.col("_n").isNotNull())
             .groupBy(*labels).agg(F.max_by("_n", "_o").alias("last_offset")))
 

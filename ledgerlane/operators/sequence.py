@@ -46,8 +46,9 @@ def lag_rows(df: DataFrame, keys: list[str], order: list[Column | str], chunk: C
     """
     d = df.withColumn("_chunk", chunk)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    last = (d.groupBy(*keys, "_chunk")
-            .agg(F.max_by(F.col(value), F.struct(*order_cols)).alias("_last")))
+    # A single (numeric) ordering column keeps the buffer fixed-width (hash aggregate).
+    by = order_cols[0] if len(order_cols) == 1 else F.struct(*order_cols)
+    last = d.groupBy(*keys, "_chunk").agg(F.max_by(F.col(value), by).alias("_last"))
     prev = Window.partitionBy(*keys).orderBy("_chunk")
     carry = last.select(*keys, "_chunk", F.lag("_last").over(prev).alias("_carry"))
     inner = Window.partitionBy(*keys, "_chunk").orderBy(*order)

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import epoch_micros
+from ledgerlane.functions.columns import epoch_micros, max_offset, offset_value
 from ledgerlane.operators import metrics as M
 from ledgerlane.operators import route as R
 from ledgerlane.operators.batching import assign_batches, batch_manifest
@@ -114,7 +114,7 @@ def last_offset_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(num % 11 == 0, F.concat(F.lit("offset-"), "ledger_offset")).otherwise(F.col("ledger_offset")))
     df = routed_ledger(spark, sf_dir).select(F.col("topic").alias("subscription_id"), "ledger_offset",
                                              shown.alias("shown"))
-    g = M.last_offset_gauge(df, ["subscription_id"], offset="shown", order="ledger_offset")
+    g = M.last_offset_gauge(df, ["subscription_id"], offset="shown", order=offset_value("ledger_offset"))
     return g.select(F.lit("participant1").alias("participant_id"), "subscription_id", "last_offset")
 
 
@@ -242,8 +242,8 @@ def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = ((F.col("record_time") < F.lit(LAG_COMMIT_BEFORE).cast("timestamp_ntz"))
             & ~F.col("stream_id").isin(STREAMS_WITHOUT_COMMIT))
     return stream_events(spark, sf_dir).groupBy("stream_id").agg(
-        F.max("ledger_offset").alias("end_offset"),
-        F.max(F.when(done, F.col("ledger_offset"))).alias("committed_offset"))
+        max_offset("ledger_offset").alias("end_offset"),
+        max_offset(F.when(done, F.col("ledger_offset"))).alias("committed_offset"))
 
 
 def committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:

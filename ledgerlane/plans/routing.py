@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import epoch_micros
+from ledgerlane.functions.columns import epoch_micros, max_offset
 from ledgerlane.operators import route as R
 from ledgerlane.plans.oracle import with_routed
 from ledgerlane.plans.registry import register
@@ -25,7 +25,7 @@ def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (routed_ledger(spark, sf_dir)
             .groupBy("topic", "event_type")
             .agg(F.count(F.lit(1)).alias("n_events"),
-                 F.max("ledger_offset").alias("last_offset"),
+                 max_offset("ledger_offset").alias("last_offset"),
                  F.count_if(F.col("payload.deal.amount") > 250000).alias("n_big")))
 
 
