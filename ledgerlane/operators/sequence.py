@@ -56,3 +56,38 @@ def lag_rows(df: DataFrame, keys: list[str], order: list[Column | str], chunk: C
             .withColumn(name, F.coalesce(F.lag(value).over(inner),
                                          F.when(F.row_number().over(inner) == 1, F.col("_carry"))))
             .drop("_chunk", "_carry"))
+
+
+# A hot-key list is taken to the driver (as an ``isin`` set) only while it
+# holds at most this many keys; beyond it every group takes the chunked path.
+HOT_KEYS_MAX = 10_000
+
+
+def split_hot(df: DataFrame, key: str, bound: int) -> tuple[DataFrame, DataFrame | None] | None:
+    """Split ``df`` into rows of groups with at most ``bound`` rows and rows of larger ("hot") groups.
+
+    One grouped count (partial aggregation map-side) finds the hot keys.
+    Returns ``(cold, hot)`` with ``hot`` None when no group is hot, or None
+    when more than ``HOT_KEYS_MAX`` groups are hot (the caller then treats
+    every group as hot).  Cold groups are bounded, so per-group windows and
+    collections over them stay small whatever the data size.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound)
+    hot_keys = [r[0] for r in sizes.select(key).limit(HOT_KEYS_MAX + 1).collect()]
+    if len(hot_keys) > HOT_KEYS_MAX:
+        return None
+    if not hot_keys:
+        return df, None
+    is_hot = F.col(key).isin(hot_keys)
+    return df.filter(~is_hot), df.filter(is_hot)
+
+
+def number_rows_split(df: DataFrame, key: str, order: list[Column | str], chunk: Column, name: str = "rn",
+                      bound: int = 1000) -> DataFrame:
+    """``number_rows`` that numbers bounded groups with a plain window and only hot groups chunked."""
+    parts = split_hot(df, key, bound)
+    if parts is None:
+        return number_rows(df, [key], order, chunk, name)
+    cold, hot = parts
+    out = cold.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint"))
+    return out if hot is None else out.unionByName(number_rows(hot, [key], order, chunk, name))

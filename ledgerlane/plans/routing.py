@@ -146,12 +146,13 @@ FROM flat_ledger"""))
 def pulsar_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: Pulsar record; sequence id = (transaction offset, index in transaction), set when the producer is named.
 
-    The index is numbered per transaction with the chunked helper, so a very
-    large transaction is still numbered by many tasks.
+    The index is a plain per-transaction row number for bounded transactions;
+    the rare very large ones are numbered with the chunked helper, so they
+    are still numbered by many tasks.
     """
-    from ledgerlane.operators.sequence import number_rows, offset_chunk
-    df = number_rows(flat_ledger(spark, sf_dir), ["transaction_id"], [F.col("ledger_offset")],
-                     offset_chunk("ledger_offset"), "_rn")
+    from ledgerlane.operators.sequence import number_rows_split, offset_chunk
+    df = number_rows_split(flat_ledger(spark, sf_dir), "transaction_id", [F.col("ledger_offset")],
+                           offset_chunk("ledger_offset"), "_rn")
     idx = F.col("_rn") - 1
     producer_named = True
     seq = (F.col("tx_offset").cast("bigint") * 16 + idx) if producer_named else F.lit(None).cast("bigint")

@@ -47,16 +47,28 @@ def _event_json_struct() -> Column:
 def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -> DataFrame:
     """Add ``part``: events of a transaction in (offset, choice) order, cut into runs of ``max_events``.
 
-    The numbering is chunked (``number_rows``), so even a transaction holding a
-    large share of all events is numbered by many tasks, and every document
-    built from a (transaction, part) group stays bounded.
+    A transaction of at most ``max_events`` events is one part (0) and needs
+    no numbering.  Larger ("hot") transactions are found first (``split_hot``)
+    and only they are numbered, chunked (``number_rows``), so even a
+    transaction holding a large share of all events is numbered by many
+    tasks, and every document built from a (transaction, part) group stays
+    bounded.
     """
-    from ledgerlane.operators.sequence import number_rows, offset_chunk
-    order = [F.col("ledger_offset")]
-    if "choice" in events.columns:
-        order.append(F.coalesce(F.col("choice"), F.lit("")))
-    n = number_rows(events, ["transaction_id"], order, offset_chunk("ledger_offset"), "_rn")
-    return n.withColumn("part", F.floor((F.col("_rn") - 1) / max_events).cast("int")).drop("_rn")
+    from ledgerlane.operators.sequence import number_rows, offset_chunk, split_hot
+
+    def numbered(ev: DataFrame) -> DataFrame:
+        order = [F.col("ledger_offset")]
+        if "choice" in ev.columns:
+            order.append(F.coalesce(F.col("choice"), F.lit("")))
+        n = number_rows(ev, ["transaction_id"], order, offset_chunk("ledger_offset"), "_rn")
+        return n.withColumn("part", F.floor((F.col("_rn") - 1) / max_events).cast("int")).drop("_rn")
+
+    parts = split_hot(events, "transaction_id", max_events)
+    if parts is None:
+        return numbered(events)
+    cold, hot = parts
+    out = cold.withColumn("part", F.lit(0))
+    return out if hot is None else out.unionByName(numbered(hot))
 
 
 def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -> DataFrame:
