@@ -62,7 +62,7 @@ def workflow_id(transaction_id: str = "transaction_id") -> Column:
     return F.concat(F.lit("wf-"), (tx_number(transaction_id) % 10).cast("string"))
 
 
-def tx_envelopes(events: DataFrame, max_events: int | None = None) -> DataFrame:
+def tx_envelopes(events: DataFrame, max_events: int | None = None, max_tx_events: int | None = None) -> DataFrame:
     """One tagged envelope per transaction: ``(transaction_id, envelope)``.
 
     Events are grouped per (transaction, part): a transaction of more than
@@ -71,7 +71,7 @@ def tx_envelopes(events: DataFrame, max_events: int | None = None) -> DataFrame:
     Contract events keep ledger order through ``array_sort`` on the offset.
     """
     from ledgerlane.sources.documents import MAX_DOC_EVENTS, number_in_transaction
-    g = (number_in_transaction(events, max_events or MAX_DOC_EVENTS)
+    g = (number_in_transaction(events, max_events or MAX_DOC_EVENTS, max_tx_events)
          .groupBy("transaction_id", "tx_offset", "part")
          .agg(F.array_sort(F.collect_list(F.struct("ledger_offset", contract_event(events).alias("ce")))).alias("evs")))
     env = F.to_json(F.struct(

@@ -30,16 +30,76 @@ def ordered_for_delivery(events: DataFrame, keys: list[str], partitions: int | N
     return events.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
 
 
-def out_of_order(delivered: DataFrame, keys: list[str], seq: str = "_seq") -> DataFrame:
-    """Check for L2: per key group, events whose offset is below the previous one in delivery order.
+def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger_offset") -> DataFrame:
+    """Check for L2, in one pass over the delivered layout: per ``keys[0]`` (the topic):
+    ``events``, ``keys`` (distinct key groups) and ``out_of_order`` (events whose
+    offset is below the previous event of the same key in delivery order).
 
-    ``seq`` is the delivery position (``monotonically_increasing_id``: partition
-    index in the high bits); the lag is chunked by partition, so a key spread
-    over many partitions is still checked by many tasks.
+    Delivery order is (partition index, position in partition).  Each
+    partition is scanned once, vectorized (``mapInPandas``): it yields its
+    per-topic counts plus its first and last row.  A key spanning several
+    partitions is stitched at the edges: an edge table holds one row per
+    partition (its size is the partition count, not the data), where a key
+    continuing from the previous non-empty partition is counted once and its
+    offsets compared across the edge.  No shuffle beyond the layout itself.
     """
-    from ledgerlane.functions.columns import offset_value
-    from ledgerlane.operators.sequence import lag_rows
-    d = delivered.withColumn("_off", offset_value("ledger_offset"))
-    lagged = lag_rows(d, keys, [seq], F.shiftright(F.col(seq), 33), "_off", "_prev")
-    return (lagged.withColumn("_bad", F.coalesce(F.col("_off") < F.col("_prev"), F.lit(False)))
-            .drop("_off", "_prev"))
+    import numpy as np
+    import pandas as pd
+
+    cols = [*keys, offset]
+    topic = keys[0]
+    key_types = ", ".join(f"k{i} string" for i in range(len(keys)))
+    schema = (f"kind string, pid int, topic string, events long, new_keys long, bad long, "
+              f"{key_types.replace('k', 'f_k')}, f_off long, {key_types.replace('k', 'l_k')}, l_off long")
+
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def scan(batches):
+        frames = list(batches)
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        if pdf.empty:
+            return
+        off = pdf[offset].astype("int64").to_numpy()
+        same = np.ones(len(pdf), dtype=bool)
+        for k in keys:
+            v = pdf[k].to_numpy()
+            same[1:] &= v[1:] == v[:-1]
+        same[0] = False
+        bad = np.zeros(len(pdf), dtype=bool)
+        bad[1:] = same[1:] & (off[1:] < off[:-1])
+        stats = (pd.DataFrame({"topic": pdf[topic], "events": 1, "new_keys": ~same, "bad": bad})
+                 .groupby("topic", as_index=False).sum())
+        pid = int(pdf["_pid"].iloc[0])
+        out = pd.DataFrame({"kind": "group", "pid": pid, "topic": stats["topic"],
+                            "events": stats["events"].astype("int64"),
+                            "new_keys": stats["new_keys"].astype("int64"), "bad": stats["bad"].astype("int64")})
+        edge = {"kind": ["edge"], "pid": [pid], "f_off": [int(off[0])], "l_off": [int(off[-1])]}
+        for i, k in enumerate(keys):
+            edge[f"f_k{i}"] = [pdf[k].iloc[0]]
+            edge[f"l_k{i}"] = [pdf[k].iloc[-1]]
+        yield pd.concat([out, pd.DataFrame(edge)], ignore_index=True)[names]
+
+    stats = (delivered.select(*cols, F.spark_partition_id().alias("_pid"))
+             .withColumn(offset, F.col(offset).cast("bigint"))
+             .mapInPandas(scan, schema))
+    groups = stats.filter(F.col("kind") == "group").groupBy("topic").agg(
+        F.sum("events").alias("events"), F.sum("new_keys").alias("new_keys"), F.sum("bad").alias("bad"))
+    from pyspark.sql import Window
+    prev = Window.orderBy("pid")  # one row per delivery partition
+    e = stats.filter(F.col("kind") == "edge")
+    for i in range(len(keys)):
+        e = e.withColumn(f"p_k{i}", F.lag(f"l_k{i}").over(prev))
+    e = e.withColumn("p_off", F.lag("l_off").over(prev))
+    cont = None
+    for i in range(len(keys)):
+        c = F.col(f"p_k{i}") == F.col(f"f_k{i}")
+        cont = c if cont is None else cont & c
+    edges = (e.filter(F.coalesce(cont, F.lit(False)))
+             .groupBy(F.col("f_k0").alias("topic"))
+             .agg(F.count(F.lit(1)).alias("continued"), F.count_if(F.col("f_off") < F.col("p_off")).alias("edge_bad")))
+    j = groups.join(edges, "topic", "left")
+    return j.select("topic", F.col("events").cast("bigint").alias("events"),
+                    (F.col("new_keys") - F.coalesce("continued", F.lit(0))).cast("bigint").alias("keys"),
+                    (F.col("bad") + F.coalesce("edge_bad", F.lit(0))).cast("bigint").alias("out_of_order"))

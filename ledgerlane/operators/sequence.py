@@ -63,16 +63,22 @@ def lag_rows(df: DataFrame, keys: list[str], order: list[Column | str], chunk: C
 HOT_KEYS_MAX = 10_000
 
 
-def split_hot(df: DataFrame, key: str, bound: int) -> tuple[DataFrame, DataFrame | None] | None:
+def split_hot(df: DataFrame, key: str, bound: int,
+              sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None] | None:
     """Split ``df`` into rows of groups with at most ``bound`` rows and rows of larger ("hot") groups.
 
-    One grouped count (partial aggregation map-side) finds the hot keys.
-    Returns ``(cold, hot)`` with ``hot`` None when no group is hot, or None
-    when more than ``HOT_KEYS_MAX`` groups are hot (the caller then treats
-    every group as hot).  Cold groups are bounded, so per-group windows and
-    collections over them stay small whatever the data size.
+    One grouped count (partial aggregation map-side) finds the hot keys;
+    ``sizes`` ``(key, _n)`` may give instead an upper bound of each group's
+    rows that is cheaper to get (a group it marks hot wrongly is only
+    handled by the general path).  Returns ``(cold, hot)`` with ``hot`` None
+    when no group is hot, or None when more than ``HOT_KEYS_MAX`` groups are
+    hot (the caller then treats every group as hot).  Cold groups are
+    bounded, so per-group windows and collections over them stay small
+    whatever the data size.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound)
+    if sizes is None:
+        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.filter(F.col("_n") > bound)
     hot_keys = [r[0] for r in sizes.select(key).limit(HOT_KEYS_MAX + 1).collect()]
     if len(hot_keys) > HOT_KEYS_MAX:
         return None
@@ -83,11 +89,18 @@ def split_hot(df: DataFrame, key: str, bound: int) -> tuple[DataFrame, DataFrame
 
 
 def number_rows_split(df: DataFrame, key: str, order: list[Column | str], chunk: Column, name: str = "rn",
-                      bound: int = 1000) -> DataFrame:
-    """``number_rows`` that numbers bounded groups with a plain window and only hot groups chunked."""
+                      bound: int = 1000, max_group_rows: int | None = None) -> DataFrame:
+    """``number_rows`` that numbers bounded groups with a plain window and only hot groups chunked.
+
+    ``max_group_rows`` is a bound on every group's size known from how the
+    data is made; within ``bound`` no group can be hot and no check runs.
+    """
+    window = Window.partitionBy(key).orderBy(*order)
+    if max_group_rows is not None and max_group_rows <= bound:
+        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     parts = split_hot(df, key, bound)
     if parts is None:
         return number_rows(df, [key], order, chunk, name)
     cold, hot = parts
-    out = cold.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint"))
+    out = cold.withColumn(name, F.row_number().over(window).cast("bigint"))
     return out if hot is None else out.unionByName(number_rows(hot, [key], order, chunk, name))

@@ -35,11 +35,7 @@ def ordered_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["topic", "contract_id"]
     d = L.ordered_for_delivery(routed_ledger(spark, sf_dir).select("topic", "contract_id", "ledger_offset", "event_type"),
                                keys)
-    seqd = d.withColumn("_seq", F.monotonically_increasing_id())
-    chk = L.out_of_order(seqd, keys)
-    per_key = chk.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_bad").alias("_bad"))
-    return per_key.groupBy("topic").agg(F.sum("_n").cast("bigint").alias("events"), F.count(F.lit(1)).alias("keys"),
-                                        F.sum("_bad").cast("bigint").alias("out_of_order"))
+    return L.delivery_report(d, keys)
 
 
 @register("batch_manifest", with_routed("""

@@ -12,7 +12,7 @@ from ledgerlane.plans.oracle import (ISO_SQL, OPT_PAYLOAD_SQL, PAYLOAD_TEXT_SQL,
                                      with_routed)
 from ledgerlane.plans.registry import register
 from ledgerlane.sources.documents import tx_number
-from ledgerlane.sources.ledger import flat_ledger, ledger
+from ledgerlane.sources.ledger import FLAT_TX_MAX_EVENTS, flat_ledger, ledger
 
 Q = "'\"'"  # a double quote in SQL
 
@@ -37,7 +37,7 @@ SELECT transaction_id, '{{"type":"transaction","event":{{"eventId":"' || transac
   string_agg({_CE_SQL}, ',' ORDER BY ledger_offset) || ']}}}}' AS envelope
 FROM flat_ledger GROUP BY transaction_id, tx_offset"""))
 def encode_tx_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.tx_envelopes(flat_ledger(spark, sf_dir))
+    return E.tx_envelopes(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
 
 
 @register("decode_tx_envelope", with_ledger(f"""
@@ -50,7 +50,7 @@ SELECT DISTINCT transaction_id, CAST(-1 AS INTEGER), CAST(NULL AS VARCHAR), CAST
 FROM flat_ledger WHERE {TXN_SQL} % 89 = 0 OR {TXN_SQL} % 83 = 0"""))
 def decode_tx_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decode envelopes; every 89th has a wrong top tag, every 83rd unknown contract-event tags."""
-    env = E.tx_envelopes(flat_ledger(spark, sf_dir))
+    env = E.tx_envelopes(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
     n = tx_number()
     bad_top = F.regexp_replace("envelope", r'^\{"type":"transaction"', '{"type":"checkpoint"')
     bad_ce = F.regexp_replace("envelope", r'\{"type":"(created|archived)"', '{"type":"divulged"')

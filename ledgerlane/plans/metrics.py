@@ -16,7 +16,7 @@ from ledgerlane.plans.oracle import TXN_SQL, with_ledger, with_routed
 from ledgerlane.plans.registry import register
 from ledgerlane.plans.routing import record_results, routed_flat, routed_ledger
 from ledgerlane.sources import documents as D
-from ledgerlane.sources.ledger import flat_ledger, ledger
+from ledgerlane.sources.ledger import FLAT_TX_MAX_EVENTS, flat_ledger, ledger
 from ledgerlane.sources.tables import table
 
 _DEST_SQL = "CASE topic WHEN 'iou-events' THEN 'kafka' WHEN 'asset-events' THEN 'pulsar' ELSE 'kinesis' END"
@@ -70,7 +70,7 @@ def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     decode; sink: records the broker rejected.
     """
     from ledgerlane.plans.encoding import decode_tx_envelope
-    src = (D.parse_documents(D.transaction_documents(flat_ledger(spark, sf_dir)))
+    src = (D.parse_documents(D.transaction_documents(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS))
            .filter(F.col("parse_error").isNotNull())
            .select(F.lit("source").alias("stage"), F.lit("serialization").alias("error_type"),
                    F.concat(F.lit("source:"), "transaction_id").alias("dlq_id")))

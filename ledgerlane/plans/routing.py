@@ -31,7 +31,7 @@ def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from ledgerlane.operators import encode as E  # noqa: E402
 from ledgerlane.plans.oracle import OPT_PAYLOAD_SQL, TXN_SQL, with_ledger  # noqa: E402
-from ledgerlane.sources.ledger import flat_ledger  # noqa: E402
+from ledgerlane.sources.ledger import FLAT_TX_MAX_EVENTS, flat_ledger  # noqa: E402
 
 
 @register("route_topic", with_ledger(f"""
@@ -152,7 +152,7 @@ def pulsar_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ledgerlane.operators.sequence import number_rows_split, offset_chunk
     df = number_rows_split(flat_ledger(spark, sf_dir), "transaction_id", [F.col("ledger_offset")],
-                           offset_chunk("ledger_offset"), "_rn")
+                           offset_chunk("ledger_offset"), "_rn", max_group_rows=FLAT_TX_MAX_EVENTS)
     idx = F.col("_rn") - 1
     producer_named = True
     seq = (F.col("tx_offset").cast("bigint") * 16 + idx) if producer_named else F.lit(None).cast("bigint")
@@ -178,7 +178,7 @@ def kinesis_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``workflowId`` is a string field; ``transactionId`` is not a field of the
     envelope (falls back); ``offset`` is a string field.
     """
-    env = E.tx_envelopes(flat_ledger(spark, sf_dir))
+    env = E.tx_envelopes(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
     pk = lambda f: F.coalesce(R.top_level_string(F.col("envelope"), "$.event", f), F.col("transaction_id"))
     return env.select("transaction_id", pk("workflowId").alias("pk_workflow"), pk("transactionId").alias("pk_fallback"),
                       pk("offset").alias("pk_offset"), F.col("envelope").alias("data"))

@@ -154,10 +154,8 @@ def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7: a replay re-sends every 97th event; the sink keeps each event id once."""
     src, d, _ = _events_stream(spark, sf_dir)
     stage_files(src.filter(F.col("event_id") % 97 == 0), "event_id", d, n=1)  # the replayed page
-    sink = DV.DedupeSink(scratch(spark, "dedupe"), "event_id", bucket_width=1000)
-    run_to_end(file_stream(spark, d, src.schema).select("event_id", "event_type", "user_id")
-               .writeStream.foreachBatch(sink).option("checkpointLocation", scratch(spark, "dedupe-ckpt")))
-    return sink.committed(spark)
+    stream = file_stream(spark, d, src.schema).select("event_id", "event_type", "user_id")
+    return spark.read.parquet(_to_parquet(DV.dedupe(stream, ["event_id"]), spark, "dedupe"))
 
 
 def dlq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

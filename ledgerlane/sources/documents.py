@@ -44,7 +44,8 @@ def _event_json_struct() -> Column:
     )
 
 
-def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -> DataFrame:
+def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS, max_tx_events: int | None = None,
+                          tx_sizes: DataFrame | None = None) -> DataFrame:
     """Add ``part``: events of a transaction in (offset, choice) order, cut into runs of ``max_events``.
 
     A transaction of at most ``max_events`` events is one part (0) and needs
@@ -52,7 +53,9 @@ def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -
     and only they are numbered, chunked (``number_rows``), so even a
     transaction holding a large share of all events is numbered by many
     tasks, and every document built from a (transaction, part) group stays
-    bounded.
+    bounded.  ``max_tx_events`` (a bound known from how the events are made)
+    skips the check when it is within ``max_events``; ``tx_sizes``
+    ``(transaction_id, _n)`` gives cheaper upper bounds for it.
     """
     from ledgerlane.operators.sequence import number_rows, offset_chunk, split_hot
 
@@ -63,7 +66,9 @@ def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -
         n = number_rows(ev, ["transaction_id"], order, offset_chunk("ledger_offset"), "_rn")
         return n.withColumn("part", F.floor((F.col("_rn") - 1) / max_events).cast("int")).drop("_rn")
 
-    parts = split_hot(events, "transaction_id", max_events)
+    if max_tx_events is not None and max_tx_events <= max_events:
+        return events.withColumn("part", F.lit(0))
+    parts = split_hot(events, "transaction_id", max_events, tx_sizes)
     if parts is None:
         return numbered(events)
     cold, hot = parts
@@ -71,13 +76,14 @@ def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -
     return out if hot is None else out.unionByName(numbered(hot))
 
 
-def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS) -> DataFrame:
+def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS, max_tx_events: int | None = None,
+                          tx_sizes: DataFrame | None = None) -> DataFrame:
     """One JSON document per transaction part: ``(transaction_id, tx_offset, part, doc)``.
 
     Events are ordered by (ledger_offset, choice) inside the document; a
     transaction of at most ``max_events`` events is exactly one document.
     """
-    grouped = (number_in_transaction(events, max_events)
+    grouped = (number_in_transaction(events, max_events, max_tx_events, tx_sizes)
                .groupBy("transaction_id", "tx_offset", "part")
                .agg(F.array_sort(F.collect_list(F.struct(
                    F.col("ledger_offset"), F.coalesce(F.col("choice"), F.lit("")).alias("_c"),

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import offset_of
-from ledgerlane.sources.tables import table
+from ledgerlane.sources.tables import spread_table, table
 
 # Template chosen by the first character of o_orderpriority.
 TEMPLATES_BY_PRIORITY = [
@@ -27,6 +26,7 @@ TEMPLATES_BY_PRIORITY = [
 CHOICE_BY_RETURNFLAG = [("R", "Return"), ("A", "Accept"), ("N", "Transfer")]
 
 TX_SIZE = 3  # orders per transaction
+FLAT_TX_MAX_EVENTS = 2 * TX_SIZE  # created + archived per order: a flat transaction never holds more
 
 # Ledger value type of payload paths that are not implied by the Spark type.
 # Strings are Text unless listed here as Party.
@@ -39,43 +39,42 @@ LEDGER_COLUMNS = [
 ]
 
 
-def _case(c: Column, pairs) -> Column:
-    out = None
-    for k, v in pairs:
-        out = F.when(c == k, v) if out is None else out.when(c == k, v)
-    return out
+def _case_sql(expr: str, pairs) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs)
+    return f"CASE {expr} {whens} END"
 
 
-def template_of_priority(priority: Column) -> Column:
-    return _case(F.substring(priority, 1, 1), TEMPLATES_BY_PRIORITY)
+def _offset_sql(n: str) -> str:
+    return f"lpad(CAST({n} AS STRING), 18, '0')"
 
 
-def _common(orderkey: str, custkey: Column, priority: Column) -> list[Column]:
-    tx = F.expr(f"{orderkey} div {TX_SIZE}")
-    orderkey = F.col(orderkey)
+# The derivation is written as SQL expression text: the JVM parses each
+# expression in one call, where a Column tree costs a driver round trip per
+# node (thousands per query).  The plan is the same either way.
+def _common_sql(orderkey: str, custkey: str, priority: str) -> list[str]:
+    tx = f"{orderkey} div {TX_SIZE}"
     return [
-        F.concat(F.lit("#"), orderkey.cast("string"), F.lit(":0")).alias("contract_id"),
-        template_of_priority(priority).alias("template_id"),
-        F.concat(F.lit("tr-"), tx.cast("string")).alias("transaction_id"),
-        offset_of(tx).alias("tx_offset"),
-        F.array(F.concat(F.lit("Cust"), custkey.cast("string"))).alias("signatories"),
-        F.array(F.concat(F.lit("Nation"), (custkey % 25).cast("string"))).alias("observers"),
+        f"concat('#', CAST({orderkey} AS STRING), ':0') AS contract_id",
+        f"{_case_sql(f'substr({priority}, 1, 1)', TEMPLATES_BY_PRIORITY)} AS template_id",
+        f"concat('tr-', CAST({tx} AS STRING)) AS transaction_id",
+        f"{_offset_sql(tx)} AS tx_offset",
+        f"array(concat('Cust', CAST({custkey} AS STRING))) AS signatories",
+        f"array(concat('Nation', CAST({custkey} % 25 AS STRING))) AS observers",
     ]
 
 
+PAYLOAD_SQL = (
+    "named_struct('issuer', concat('Cust', CAST(o_custkey AS STRING)), "
+    "'owner', concat('Nation', CAST(o_custkey % 25 AS STRING)), "
+    "'deal', named_struct('amount', CAST(o_totalprice AS DECIMAL(15,2)), 'status', o_orderstatus, "
+    "'priority', o_orderpriority, 'urgent', startswith(o_orderpriority, '1'), "
+    "'units', CAST(o_orderkey % 100 AS BIGINT)))"
+)
+
+
 def payload_struct() -> Column:
     """Typed payload of a created event (Daml record → Spark struct)."""
-    return F.struct(
-        F.concat(F.lit("Cust"), F.col("o_custkey").cast("string")).alias("issuer"),
-        F.concat(F.lit("Nation"), (F.col("o_custkey") % 25).cast("string")).alias("owner"),
-        F.struct(
-            F.col("o_totalprice").cast("decimal(15,2)").alias("amount"),
-            F.col("o_orderstatus").alias("status"),
-            F.col("o_orderpriority").alias("priority"),
-            F.col("o_orderpriority").startswith("1").alias("urgent"),
-            (F.col("o_orderkey") % 100).cast("bigint").alias("units"),
-        ).alias("deal"),
-    )
+    return F.expr(PAYLOAD_SQL)
 
 
 PAYLOAD_TYPE = ("struct<issuer:string,owner:string,deal:struct<amount:decimal(15,2),"
@@ -106,30 +105,27 @@ def _bounded(df: DataFrame, key: str, bounds) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(
+    o = spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     return _bounded(o, "o_orderkey", bounds)
 
 
 def flat_events_from_orders(orders: DataFrame) -> DataFrame:
     """Created and archived events of a (batch or streaming) ``orders`` frame."""
-    k, c, p = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
     # One pass over orders: each order yields its created event and, when
     # fulfilled, its archived event (no second scan, no union shuffle).
-    kinds = F.when(F.col("o_orderstatus") == "F", F.array(F.lit(0), F.lit(9))).otherwise(F.array(F.lit(0)))
-    base = orders.select("*", F.explode(kinds).alias("_kind"))
-    created = F.col("_kind") == 0
-    off = offset_of(k * 10 + F.col("_kind"))
-    return base.select(
-        F.when(created, "created").otherwise("archived").alias("event_type"),
-        off.alias("ledger_offset"),
-        F.concat(off, F.lit(":0")).alias("event_id"),
-        *_common("o_orderkey", c, p),
-        F.when(created, payload_struct()).otherwise(F.lit(None).cast(PAYLOAD_TYPE)).alias("payload"),
-        F.col("o_orderdate").alias("record_time"),
-        F.lit(None).cast("string").alias("choice"),
-        c.alias("cust_key"),
-    ).select(*[x for x in LEDGER_COLUMNS])
+    base = orders.selectExpr("*", "explode(if(o_orderstatus = 'F', array(0, 9), array(0))) AS _kind")
+    off = _offset_sql("o_orderkey * 10 + _kind")
+    return base.selectExpr(
+        "if(_kind = 0, 'created', 'archived') AS event_type",
+        f"{off} AS ledger_offset",
+        f"concat({off}, ':0') AS event_id",
+        *_common_sql("o_orderkey", "o_custkey", "o_orderpriority"),
+        f"if(_kind = 0, {PAYLOAD_SQL}, CAST(NULL AS {PAYLOAD_TYPE})) AS payload",
+        "o_orderdate AS record_time",
+        "CAST(NULL AS STRING) AS choice",
+        "o_custkey AS cust_key",
+    )
 
 
 def exercised_events(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame:
@@ -138,21 +134,21 @@ def exercised_events(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame
     The join is an equi-join on the order key; at scale both sides are large,
     so Spark shuffles both on the key (sort-merge), and AQE splits skewed keys.
     """
-    li = _bounded(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"),
+    li = _bounded(spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+                  .select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"),
                   "l_orderkey", bounds)
     o = _orders(spark, sf_dir, bounds).select("o_orderkey", "o_custkey", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    k = F.col("l_orderkey")
-    off = offset_of(k * 10 + F.col("l_linenumber"))
-    return j.select(
-        F.lit("exercised").alias("event_type"),
-        off.alias("ledger_offset"),
-        F.concat(off, F.lit(":0")).alias("event_id"),
-        *_common("l_orderkey", F.col("o_custkey"), F.col("o_orderpriority")),
-        F.lit(None).cast(PAYLOAD_TYPE).alias("payload"),
-        F.col("l_shipdate").alias("record_time"),
-        _case(F.col("l_returnflag"), CHOICE_BY_RETURNFLAG).alias("choice"),
-        F.col("o_custkey").alias("cust_key"),
+    off = _offset_sql("l_orderkey * 10 + l_linenumber")
+    return j.selectExpr(
+        "'exercised' AS event_type",
+        f"{off} AS ledger_offset",
+        f"concat({off}, ':0') AS event_id",
+        *_common_sql("l_orderkey", "o_custkey", "o_orderpriority"),
+        f"CAST(NULL AS {PAYLOAD_TYPE}) AS payload",
+        "l_shipdate AS record_time",
+        f"{_case_sql('l_returnflag', CHOICE_BY_RETURNFLAG)} AS choice",
+        "o_custkey AS cust_key",
     )
 
 
@@ -178,3 +174,15 @@ def _offset_range(df: DataFrame, start: str | None, end: str | None) -> DataFram
     if end is not None:
         df = df.filter(F.col("ledger_offset") <= end)
     return df
+
+
+def tx_size_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upper bound of the events of each transaction of the full ledger: ``(transaction_id, _n)``.
+
+    Its line items (exercised events) plus the most its orders can add; one
+    column of ``lineitem`` and a numeric grouping, far cheaper than counting
+    the derived events.
+    """
+    li = table(spark, sf_dir, "lineitem").select(F.expr(f"l_orderkey div {TX_SIZE}").alias("_tx"))
+    return (li.groupBy("_tx").agg((F.count(F.lit(1)) + FLAT_TX_MAX_EVENTS).alias("_n"))
+            .selectExpr("concat('tr-', CAST(_tx AS STRING)) AS transaction_id", "_n"))

@@ -99,35 +99,20 @@ class DeadLetterWriter:
          .write.mode("overwrite").parquet(_batch_dir(self.log, batch_id)))
 
 
-class DedupeSink:
-    """ST7: suppress duplicates after replay: within the batch, then against committed ids.
-
-    The committed table is partitioned by an id bucket; the anti-join on
-    (bucket, id) lets dynamic partition pruning read only the buckets the
-    batch touches instead of the whole history.
+def dedupe(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """ST7: suppress events already seen, across micro-batches and restarts.
+
+    Streaming ``dropDuplicates``: the seen keys live in the state store,
+    hash-partitioned by key over the query's shuffle partitions and
+    checkpointed with it, so each micro-batch shuffles only its own rows and
+    a replay after a restart (same checkpoint) is dropped too.  No watermark:
+    a replay may come at any time, and expiring keys would let it through.
+    The state grows with the distinct keys; on a cluster it belongs in the
+    RocksDB state store (``spark.sql.streaming.stateStore.providerClass``),
+    with the shuffle partitions sized before the first run (they are fixed
+    by the checkpoint).
     """
-
-    def __init__(self, root: str, key: str, bucket_width: int):
-        self.root, self.key, self.width = root, key, bucket_width
-
-    def bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("id_bucket", F.floor(F.col(self.key) / self.width).cast("bigint"))
-
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        fresh = self.bucket(df.dropDuplicates([self.key]))
-        spark = df.sparkSession
-        try:  # ids committed by earlier batches (a replay of this batch does not count)
-            done = spark.read.parquet(self.root).filter(F.col("_batch") != batch_id).select("id_bucket", self.key)
-            fresh = fresh.join(done, ["id_bucket", self.key], "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: nothing committed yet
-            pass
-        # dynamic overwrite of (batch, bucket) partitions: a replayed batch replaces its own rows
-        (fresh.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch", "id_bucket").parquet(self.root))
-
-    def committed(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.root).drop("_batch", "id_bucket")
+    return stream.dropDuplicates(keys)
 
 
 class OffsetCommitter:

@@ -43,14 +43,25 @@ def test_abort_empty_and_retry(spark):
     assert DV.TransactionalSink(root).committed(spark).count() == 1  # visible exactly once
 
 
-def test_dedupe_sink(spark):
-    root = scratch(spark, "t-dedupe")
-    sink = DV.DedupeSink(root, "event_id", bucket_width=10)
-    b0 = spark.createDataFrame([(i, "x") for i in [1, 2, 2, 15]], "event_id long, v string")
-    sink(b0, 0)
-    sink(spark.createDataFrame([(i, "y") for i in [2, 15, 16]], "event_id long, v string"), 1)
-    sink(b0, 0)  # replay of batch 0 replaces it
-    assert sorted(r.event_id for r in sink.committed(spark).collect()) == [1, 2, 15, 16]
+def test_dedupe_across_batches_and_restart(spark):
+    """ST7: duplicates inside a batch, across batches and in a page replayed after a restart are dropped."""
+    from ledgerlane.streaming.sources import file_stream, run_to_end, stage_files
+    src = spark.range(0, 1000).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("v"))
+    d = scratch(spark, "t-dedupe-landing")
+    stage_files(src.union(src.filter(F.col("event_id") % 10 == 0)), "event_id", d, n=4)  # in-batch copies
+    stage_files(src.filter(F.col("event_id") % 3 == 0), "event_id", d, n=1)              # a later batch re-sends
+    out, ck = scratch(spark, "t-dedupe-out"), scratch(spark, "t-dedupe-ckpt")
+    stream = DV.dedupe(file_stream(spark, d, src.schema), ["event_id"])
+
+    def run():
+        run_to_end(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck))
+
+    run()
+    got = spark.read.parquet(out)
+    assert got.count() == 1000 and got.select("event_id").distinct().count() == 1000
+    stage_files(src.filter(F.col("event_id") % 97 == 0), "event_id", d, n=1)  # replay after the restart
+    run()
+    assert spark.read.parquet(out).count() == 1000
 
 
 def test_crash_and_restart_stream(spark):
