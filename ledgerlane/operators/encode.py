@@ -12,20 +12,17 @@ from pyspark.sql import functions as F
 from ledgerlane.functions.columns import iso_time
 
 
-def daml_payload(payload: str | Column = "payload") -> Column:
+def daml_payload_sql(payload: str = "payload") -> str:
+    """SQL text of ``daml_payload`` (for use inside larger SQL expressions)."""
+    p = payload
+    return (f"CASE WHEN {p} IS NOT NULL THEN named_struct('issuer', {p}.issuer, 'owner', {p}.owner, "
+            f"'deal', named_struct('amount', CAST({p}.deal.amount AS STRING), 'status', {p}.deal.status, "
+            f"'priority', {p}.deal.priority, 'urgent', {p}.deal.urgent, 'units', {p}.deal.units)) END")
+
+
+def daml_payload(payload: str = "payload") -> Column:
     """Payload struct in Daml-JSON form: Numeric fields become strings ("100.00")."""
-    p = F.col(payload) if isinstance(payload, str) else payload
-    return F.when(p.isNotNull(), F.struct(
-        p.issuer.alias("issuer"),
-        p.owner.alias("owner"),
-        F.struct(
-            p.deal.amount.cast("string").alias("amount"),
-            p.deal.status.alias("status"),
-            p.deal.priority.alias("priority"),
-            p.deal.urgent.alias("urgent"),
-            p.deal.units.alias("units"),
-        ).alias("deal"),
-    ))
+    return F.expr(daml_payload_sql(payload))
 
 
 def payload_json(payload: str | Column = "payload") -> Column:

@@ -16,17 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.operators.encode import daml_payload
+from ledgerlane.operators.encode import daml_payload_sql
 
 BROKEN_EVERY = 97  # transactions with tx_number % 97 = 0 are rendered malformed
 MAX_DOC_EVENTS = 1000  # a transaction with more events is rendered as several documents (parts)
 
-_EV = "eventId string, contractId string, templateId string"
-DOC_SCHEMA = (
-    f"offset string, events array<struct<created:struct<{_EV.replace(' string', ':string')},payload:string>,"
-    f"archived:struct<{_EV.replace(' string', ':string')}>,"
-    f"exercised:struct<{_EV.replace(' string', ':string')},choice:string>>>, _corrupt string"
-)
+_EV = "eventId:string,contractId:string,templateId:string"
+EVENT_TYPE = (f"struct<created:struct<{_EV},payload:string>,archived:struct<{_EV}>,"
+              f"exercised:struct<{_EV},choice:string>>")
+DOC_SCHEMA = f"offset string, events array<{EVENT_TYPE}>, _corrupt string"
 
 
 def tx_number(transaction_id: str | Column = "transaction_id") -> Column:
@@ -34,14 +32,14 @@ def tx_number(transaction_id: str | Column = "transaction_id") -> Column:
     return F.substring(c, 4, 40).cast("bigint")
 
 
-def _event_json_struct() -> Column:
-    ids = [F.col("event_id").alias("eventId"), F.col("contract_id").alias("contractId"),
-           F.col("template_id").alias("templateId")]
-    return F.struct(
-        F.when(F.col("event_type") == "created", F.struct(*ids, daml_payload("payload").alias("payload"))).alias("created"),
-        F.when(F.col("event_type") == "archived", F.struct(*ids)).alias("archived"),
-        F.when(F.col("event_type") == "exercised", F.struct(*ids, F.col("choice").alias("choice"))).alias("exercised"),
-    )
+def _event_json_sql() -> str:
+    """SQL text of one document event ``{created|archived|exercised: {...}}``."""
+    ids = "'eventId', event_id, 'contractId', contract_id, 'templateId', template_id"
+    return (f"named_struct("
+            f"'created', CASE WHEN event_type = 'created' THEN named_struct({ids}, 'payload', "
+            f"{daml_payload_sql('payload')}) END, "
+            f"'archived', CASE WHEN event_type = 'archived' THEN named_struct({ids}) END, "
+            f"'exercised', CASE WHEN event_type = 'exercised' THEN named_struct({ids}, 'choice', choice) END)")
 
 
 def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS, max_tx_events: int | None = None,
@@ -85,18 +83,15 @@ def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS, m
     """
     grouped = (number_in_transaction(events, max_events, max_tx_events, tx_sizes)
                .groupBy("transaction_id", "tx_offset", "part")
-               .agg(F.array_sort(F.collect_list(F.struct(
-                   F.col("ledger_offset"), F.coalesce(F.col("choice"), F.lit("")).alias("_c"),
-                   _event_json_struct().alias("ev")))).alias("evs")))
-    good = F.to_json(F.struct(F.col("tx_offset").alias("offset"),
-                              F.transform("evs", lambda e: e["ev"]).alias("events")))
-    n = tx_number()
-    broken_a = F.concat(F.lit('{"offset":"'), F.col("tx_offset"), F.lit('","events":[{"created":"not_an_object"}]}'))
-    broken_b = F.concat(F.lit('{"offset":"'), F.col("tx_offset"), F.lit('","events":[{"created":{'))
-    doc = (F.when(n % BROKEN_EVERY != 0, good)
-           .when(F.floor(n / BROKEN_EVERY) % 2 == 0, broken_a)
-           .otherwise(broken_b))
-    return grouped.select("transaction_id", "tx_offset", "part", doc.alias("doc"))
+               .agg(F.expr(f"array_sort(collect_list(named_struct('ledger_offset', ledger_offset, "
+                           f"'_c', coalesce(choice, ''), 'ev', {_event_json_sql()})))").alias("evs")))
+    n = "CAST(substring(transaction_id, 4, 40) AS BIGINT)"
+    good = "to_json(named_struct('offset', tx_offset, 'events', transform(evs, e -> e.ev)))"
+    broken_a = """concat('{"offset":"', tx_offset, '","events":[{"created":"not_an_object"}]}')"""
+    broken_b = """concat('{"offset":"', tx_offset, '","events":[{"created":{')"""
+    doc = (f"CASE WHEN {n} % {BROKEN_EVERY} <> 0 THEN {good} "
+           f"WHEN floor({n} / {BROKEN_EVERY}) % 2 = 0 THEN {broken_a} ELSE {broken_b} END")
+    return grouped.selectExpr("transaction_id", "tx_offset", "part", f"{doc} AS doc")
 
 
 def parse_documents(docs: DataFrame, doc_col: str = "doc", trees: bool = False) -> DataFrame:
@@ -107,29 +102,28 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", trees: bool = False)
     ``event_id``, ``contract_id``, ``template_id``, ``payload`` (JSON text),
     ``choice``.
     """
-    p = F.from_json(F.col(doc_col), DOC_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    keep = [c for c in docs.columns if c != doc_col]
-    parsed = docs.select(*keep, p.alias("_p"))
-    is_bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
+    keep = [f"`{c}`" for c in docs.columns if c != doc_col]
+    parsed = docs.selectExpr(*keep, f"from_json(`{doc_col}`, '{DOC_SCHEMA}', "
+                                    "map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt')) AS _p")
     # One pass: a bad document becomes a single marker item (idx -1), a good
     # one its positioned events; one explode, no second scan, no union.
-    ev_type = parsed.schema["_p"].dataType["events"].dataType.elementType
-    items = F.when(is_bad, F.array(F.struct(F.lit(-1).alias("idx"), F.lit(None).cast(ev_type).alias("e")))) \
-        .otherwise(F.transform(F.col("_p.events"), lambda e, i: F.struct(i.alias("idx"), e.alias("e"))))
-    ev = parsed.select(*keep, F.col("_p.offset").alias("offset"), F.explode(items).alias("it")) \
-        .select(*keep, "offset", F.col("it.idx").alias("idx"), F.col("it.e").alias("e"))
-    c, a, x = F.col("e.created"), F.col("e.archived"), F.col("e.exercised")
-    kinds = [(c, "created"), (a, "archived")] + ([(x, "exercised")] if trees else [])
-    kind = None
-    for s_, name in kinds:
-        kind = F.when(s_.isNotNull(), name) if kind is None else kind.when(s_.isNotNull(), name)
-    pick = lambda f: F.coalesce(*[s_[f] for s_, _ in kinds])
-    failed = F.col("idx") == -1
-    return (ev.withColumn("event_type", F.when(~failed, kind))
-            .filter(failed | F.col("event_type").isNotNull())
-            .select(*keep, F.when(failed, "malformed transaction document").alias("parse_error"),
-                    F.when(~failed, F.col("offset")).alias("offset"), F.when(~failed, F.col("idx")).alias("idx"),
-                    "event_type", pick("eventId").alias("event_id"), pick("contractId").alias("contract_id"),
-                    pick("templateId").alias("template_id"),
-                    F.when(F.col("event_type") == "created", c.payload).alias("payload"),
-                    (x.choice if trees else F.lit(None).cast("string")).alias("choice")))
+    items = (f"CASE WHEN _p IS NULL OR _p._corrupt IS NOT NULL "
+             f"THEN array(named_struct('idx', -1, 'e', CAST(NULL AS {EVENT_TYPE}))) "
+             f"ELSE transform(_p.events, (e, i) -> named_struct('idx', i, 'e', e)) END")
+    ev = (parsed.selectExpr(*keep, "_p.offset AS offset", f"explode({items}) AS it")
+          .selectExpr(*keep, "offset", "it.idx AS idx", "it.e AS e"))
+    kinds = [("e.created", "created"), ("e.archived", "archived")] + ([("e.exercised", "exercised")] if trees else [])
+    kind = "CASE " + " ".join(f"WHEN {s_} IS NOT NULL THEN '{name}'" for s_, name in kinds) + " END"
+
+    def pick(f: str) -> str:
+        return "coalesce(" + ", ".join(f"{s_}.{f}" for s_, _ in kinds) + ")"
+
+    ok = "idx <> -1"
+    return (ev.selectExpr("*", f"CASE WHEN {ok} THEN {kind} END AS event_type")
+            .filter(f"NOT ({ok}) OR event_type IS NOT NULL")
+            .selectExpr(*keep, f"CASE WHEN NOT ({ok}) THEN 'malformed transaction document' END AS parse_error",
+                        f"CASE WHEN {ok} THEN offset END AS offset", f"CASE WHEN {ok} THEN idx END AS idx",
+                        "event_type", f"{pick('eventId')} AS event_id", f"{pick('contractId')} AS contract_id",
+                        f"{pick('templateId')} AS template_id",
+                        "CASE WHEN event_type = 'created' THEN e.created.payload END AS payload",
+                        ("e.exercised.choice" if trees else "CAST(NULL AS STRING)") + " AS choice"))
