@@ -36,7 +36,8 @@ def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger
     offset is below the previous event of the same key in delivery order).
 
     Delivery order is (partition index, position in partition).  Each
-    partition is scanned once, vectorized (``mapInPandas``): it yields its
+    partition is scanned once, vectorized per Arrow batch (``mapInPandas``;
+    memory is bounded by the batch, not the partition): it yields its
     per-topic counts plus its first and last row.  A key spanning several
     partitions is stitched at the edges: an edge table holds one row per
     partition (its size is the partition count, not the data), where a key
@@ -55,30 +56,44 @@ def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger
     names = [f.split(" ")[0] for f in schema.split(", ")]
 
     def scan(batches):
-        frames = list(batches)
-        if not frames:
+        # Batch by batch (memory bounded by the Arrow batch size), carrying the
+        # previous row across batch boundaries.
+        totals: dict = {}
+        first = last = None
+        pid = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            off = pdf[offset].astype("int64").to_numpy()
+            vals = [pdf[k].to_numpy() for k in keys]
+            same = np.ones(len(pdf), dtype=bool)
+            for v in vals:
+                same[1:] &= v[1:] == v[:-1]
+            bad = np.zeros(len(pdf), dtype=bool)
+            bad[1:] = same[1:] & (off[1:] < off[:-1])
+            if last is None:
+                same[0] = False
+            else:
+                same[0] = all(v[0] == lk for v, lk in zip(vals, last[0]))
+                bad[0] = same[0] and off[0] < last[1]
+            if first is None:
+                first = ([v[0] for v in vals], int(off[0]))
+            last = ([v[-1] for v in vals], int(off[-1]))
+            g = (pd.DataFrame({"topic": pdf[topic], "events": 1, "new_keys": ~same, "bad": bad})
+                 .groupby("topic").sum())
+            for t, row in g.iterrows():
+                acc = totals.setdefault(t, [0, 0, 0])
+                acc[0] += int(row["events"]); acc[1] += int(row["new_keys"]); acc[2] += int(row["bad"])
+        if first is None:
             return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
-            return
-        off = pdf[offset].astype("int64").to_numpy()
-        same = np.ones(len(pdf), dtype=bool)
-        for k in keys:
-            v = pdf[k].to_numpy()
-            same[1:] &= v[1:] == v[:-1]
-        same[0] = False
-        bad = np.zeros(len(pdf), dtype=bool)
-        bad[1:] = same[1:] & (off[1:] < off[:-1])
-        stats = (pd.DataFrame({"topic": pdf[topic], "events": 1, "new_keys": ~same, "bad": bad})
-                 .groupby("topic", as_index=False).sum())
-        pid = int(pdf["_pid"].iloc[0])
-        out = pd.DataFrame({"kind": "group", "pid": pid, "topic": stats["topic"],
-                            "events": stats["events"].astype("int64"),
-                            "new_keys": stats["new_keys"].astype("int64"), "bad": stats["bad"].astype("int64")})
-        edge = {"kind": ["edge"], "pid": [pid], "f_off": [int(off[0])], "l_off": [int(off[-1])]}
-        for i, k in enumerate(keys):
-            edge[f"f_k{i}"] = [pdf[k].iloc[0]]
-            edge[f"l_k{i}"] = [pdf[k].iloc[-1]]
+        out = pd.DataFrame({"kind": "group", "pid": pid, "topic": list(totals),
+                            "events": [a[0] for a in totals.values()], "new_keys": [a[1] for a in totals.values()],
+                            "bad": [a[2] for a in totals.values()]})
+        edge = {"kind": ["edge"], "pid": [pid], "f_off": [first[1]], "l_off": [last[1]]}
+        for i in range(len(keys)):
+            edge[f"f_k{i}"] = [first[0][i]]
+            edge[f"l_k{i}"] = [last[0][i]]
         yield pd.concat([out, pd.DataFrame(edge)], ignore_index=True)[names]
 
     stats = (delivered.select(*cols, F.spark_partition_id().alias("_pid"))

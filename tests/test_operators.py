@@ -114,3 +114,22 @@ def test_delivery_report_counts_disorder_inside_and_across_partitions(spark):
     assert sorted(set(r[0] for r in df.select(F.spark_partition_id()).collect())) == [0, 1, 2]
     got = {r.topic: (r.events, r["keys"], r.out_of_order) for r in delivery_report(df, ["topic", "contract_id"]).collect()}
     assert got == {"t": (6, 3, 2), "u": (3, 2, 0)}
+
+
+def test_delivery_report_across_arrow_batches(spark):
+    """The per-partition scan carries the previous row over Arrow batch boundaries."""
+    from ledgerlane.operators.feed import delivery_report
+    rows = [(0, "t", "a", 1), (0, "t", "a", 3), (0, "t", "b", 5), (0, "t", "b", 4), (1, "t", "b", 2),
+            (1, "t", "c", 1), (1, "u", "x", 7), (2, "u", "x", 8), (2, "u", "y", 1), (2, "u", "y", 0)]
+    pos = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                "i int, p int, topic string, contract_id string, ledger_offset long")
+    df = pos.repartitionByRange(3, "p").sortWithinPartitions("i").drop("i", "p")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        got = {r.topic: (r.events, r["keys"], r.out_of_order)
+               for r in delivery_report(df, ["topic", "contract_id"]).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got == {"t": (6, 3, 2), "u": (4, 2, 1)}
