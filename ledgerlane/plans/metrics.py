@@ -296,13 +296,14 @@ def reconcile_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected vs delivered per (kind, template, choice); rows that differ.
 
     Delivered = routed without a default topic (unmapped templates are not
-    sent) and not rejected by the sink.
+    sent) and not rejected by the sink.  Delivered events are a subset of the
+    expected ones, so both counts come from one pass and one aggregation (a
+    conditional count) instead of two scans and a full outer join.
     """
     keys = ["event_type", "template_id", "choice"]
     lg = ledger(spark, sf_dir).withColumn("choice", F.coalesce("choice", F.lit("-")))
-    expected = lg.groupBy(*keys).agg(F.count(F.lit(1)).alias("expected"))
-    routed = R.route_topic(lg, R.routing_table(spark), default_topic=None)
-    delivered = (record_results(routed).filter(F.col("topic").isNotNull() & ~F.col("failed"))
-                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("delivered")))
-    j = expected.join(delivered, keys, "full_outer").fillna(0, ["expected", "delivered"])
-    return j.withColumn("diff", F.col("expected") - F.col("delivered")).filter(F.col("diff") != 0)
+    routed = record_results(R.route_topic(lg, R.routing_table(spark), default_topic=None))
+    counts = routed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("expected"),
+        F.count_if(F.col("topic").isNotNull() & ~F.col("failed")).alias("delivered"))
+    return counts.withColumn("diff", F.col("expected") - F.col("delivered")).filter(F.col("diff") != 0)
