@@ -104,8 +104,9 @@ def _bounded(df: DataFrame, key: str, bounds) -> DataFrame:
     return df
 
 
-def _orders(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame:
-    o = spread_table(spark, sf_dir, "orders", "o_orderkey").select(
+def _orders(spark: SparkSession, sf_dir: str, bounds=None, spread: bool = True) -> DataFrame:
+    """Orders, spread when they feed the per-row event derivation (not as a join's build side)."""
+    o = (spread_table(spark, sf_dir, "orders", "o_orderkey") if spread else table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     return _bounded(o, "o_orderkey", bounds)
 
@@ -137,7 +138,7 @@ def exercised_events(spark: SparkSession, sf_dir: str, bounds=None) -> DataFrame
     li = _bounded(spread_table(spark, sf_dir, "lineitem", "l_orderkey")
                   .select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"),
                   "l_orderkey", bounds)
-    o = _orders(spark, sf_dir, bounds).select("o_orderkey", "o_custkey", "o_orderpriority")
+    o = _orders(spark, sf_dir, bounds, spread=False).select("o_orderkey", "o_custkey", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     off = _offset_sql("l_orderkey * 10 + l_linenumber")
     return j.selectExpr(
