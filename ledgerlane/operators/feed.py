@@ -49,11 +49,11 @@ def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger
 
     cols = [*keys, offset]
     topic = keys[0]
-    key_types = ", ".join(f"k{i} string" for i in range(len(keys)))
-    schema = (f"kind string, pid int, topic string, events long, new_keys long, bad long, "
-              f"{key_types.replace('k', 'f_k')}, f_off long, {key_types.replace('k', 'l_k')}, l_off long")
-
-    names = [f.split(" ")[0] for f in schema.split(", ")]
+    fk = [f"f_k{i}" for i in range(len(keys))]
+    lk = [f"l_k{i}" for i in range(len(keys))]
+    schema = ("pid int, topic string, events long, new_keys long, bad long, "
+              + ", ".join(f"{c} string" for c in fk) + ", f_off long, "
+              + ", ".join(f"{c} string" for c in lk) + ", l_off long")
 
     def scan(batches):
         # Batch by batch (memory bounded by the Arrow batch size), carrying the
@@ -75,7 +75,7 @@ def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger
             if last is None:
                 same[0] = False
             else:
-                same[0] = all(v[0] == lk for v, lk in zip(vals, last[0]))
+                same[0] = all(v[0] == lk_ for v, lk_ in zip(vals, last[0]))
                 bad[0] = same[0] and off[0] < last[1]
             if first is None:
                 first = ([v[0] for v in vals], int(off[0]))
@@ -87,34 +87,30 @@ def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger
                 acc[0] += int(row["events"]); acc[1] += int(row["new_keys"]); acc[2] += int(row["bad"])
         if first is None:
             return
-        out = pd.DataFrame({"kind": "group", "pid": pid, "topic": list(totals),
-                            "events": [a[0] for a in totals.values()], "new_keys": [a[1] for a in totals.values()],
-                            "bad": [a[2] for a in totals.values()]})
-        edge = {"kind": ["edge"], "pid": [pid], "f_off": [first[1]], "l_off": [last[1]]}
+        # One row per topic of the partition, each carrying the partition's first and last row.
+        out = {"pid": pid, "topic": list(totals), "events": [a[0] for a in totals.values()],
+               "new_keys": [a[1] for a in totals.values()], "bad": [a[2] for a in totals.values()],
+               "f_off": first[1], "l_off": last[1]}
         for i in range(len(keys)):
-            edge[f"f_k{i}"] = [first[0][i]]
-            edge[f"l_k{i}"] = [last[0][i]]
-        yield pd.concat([out, pd.DataFrame(edge)], ignore_index=True)[names]
+            out[fk[i]] = first[0][i]
+            out[lk[i]] = last[0][i]
+        yield pd.DataFrame(out)[[f.split(" ")[0] for f in schema.split(", ")]]
 
     stats = (delivered.select(*cols, F.spark_partition_id().alias("_pid"))
              .withColumn(offset, F.col(offset).cast("bigint"))
              .mapInPandas(scan, schema))
-    groups = stats.filter(F.col("kind") == "group").groupBy("topic").agg(
-        F.sum("events").alias("events"), F.sum("new_keys").alias("new_keys"), F.sum("bad").alias("bad"))
+    # The last row of the closest earlier non-empty partition.  The stats hold
+    # at most (partitions × topics) rows, so this window stays small.
     from pyspark.sql import Window
-    prev = Window.orderBy("pid")  # one row per delivery partition
-    e = stats.filter(F.col("kind") == "edge")
-    for i in range(len(keys)):
-        e = e.withColumn(f"p_k{i}", F.lag(f"l_k{i}").over(prev))
-    e = e.withColumn("p_off", F.lag("l_off").over(prev))
-    cont = None
-    for i in range(len(keys)):
-        c = F.col(f"p_k{i}") == F.col(f"f_k{i}")
-        cont = c if cont is None else cont & c
-    edges = (e.filter(F.coalesce(cont, F.lit(False)))
-             .groupBy(F.col("f_k0").alias("topic"))
-             .agg(F.count(F.lit(1)).alias("continued"), F.count_if(F.col("f_off") < F.col("p_off")).alias("edge_bad")))
-    j = groups.join(edges, "topic", "left")
-    return j.select("topic", F.col("events").cast("bigint").alias("events"),
-                    (F.col("new_keys") - F.coalesce("continued", F.lit(0))).cast("bigint").alias("keys"),
-                    (F.col("bad") + F.coalesce("edge_bad", F.lit(0))).cast("bigint").alias("out_of_order"))
+    before = Window.orderBy("pid").rangeBetween(Window.unboundedPreceding, -1)
+    prev = stats.select("*", *[F.last(c).over(before).alias(f"p_{c}") for c in [*lk, "l_off"]])
+    cont = F.col("topic") == F.col(fk[0])  # counted once: on the row of the first key's topic
+    for f, l_ in zip(fk, lk):
+        cont = cont & (F.col(f"p_{l_}") == F.col(f))
+    cont = F.coalesce(cont, F.lit(False))
+    per = prev.groupBy("topic").agg(
+        F.sum("events").alias("events"), F.sum("new_keys").alias("new_keys"), F.sum("bad").alias("bad"),
+        F.count_if(cont).alias("continued"), F.count_if(cont & (F.col("f_off") < F.col("p_l_off"))).alias("edge_bad"))
+    return per.select("topic", F.col("events").cast("bigint").alias("events"),
+                      (F.col("new_keys") - F.col("continued")).cast("bigint").alias("keys"),
+                      (F.col("bad") + F.col("edge_bad")).cast("bigint").alias("out_of_order"))
