@@ -22,7 +22,7 @@ from ledgerlane.sources.tables import table
 from ledgerlane.streaming import deliver as DV
 from ledgerlane.streaming import dlq as Q
 from ledgerlane.streaming import retry as RT
-from ledgerlane.streaming.sources import STAGED_FILES, file_stream, key_ranges, run_to_end, stage_files
+from ledgerlane.streaming.sources import STAGED_FILES, file_stream, key_ranges, page_files, run_to_end, stage_files
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -32,8 +32,8 @@ FLAT_OUT = ["event_id", "ledger_offset", "event_type", "template_id", "contract_
 def _orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = table(spark, sf_dir, "orders").select(*ORDER_COLS)
     d = scratch(spark, "landing-orders")
-    stage_files(src, "o_orderkey", d)
-    return file_stream(spark, d, src.schema)
+    ranges = stage_files(src, "o_orderkey", d)
+    return file_stream(spark, d, src.schema, page_files(ranges))
 
 
 def _events_stream(spark: SparkSession, sf_dir: str, n_first: int | None = None):
@@ -81,13 +81,13 @@ _PAGE_SQL = (f"WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM e
 @register("paged_ingest", _PAGE_SQL + "SELECT event_id, CAST((event_id - lo) // width AS BIGINT) AS page FROM events, w")
 def paged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page-limited pull: one arriving page per micro-batch (admission control), the cursor advances."""
-    src, d, _ = _events_stream(spark, sf_dir)
+    src, d, ranges = _events_stream(spark, sf_dir)
     sink = scratch(spark, "pages")
 
     def write_page(df: DataFrame, batch_id: int) -> None:
         df.select("event_id").write.mode("overwrite").parquet(f"{sink}/page={batch_id}")
 
-    run_to_end(file_stream(spark, d, src.schema).writeStream.foreachBatch(write_page)
+    run_to_end(file_stream(spark, d, src.schema, page_files(ranges)).writeStream.foreachBatch(write_page)
                .option("checkpointLocation", scratch(spark, "pages-ckpt")))
     return spark.read.parquet(sink).select("event_id", F.col("page").cast("bigint").alias("page"))
 
@@ -117,7 +117,7 @@ SELECT event_id, CASE WHEN page IN (SELECT page FROM bad_pages) THEN 'dead_lette
 FROM pages""")
 def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST5: a batch whose write fails (it holds a poison event) goes to the DLQ; later batches still flow."""
-    src, d, _ = _events_stream(spark, sf_dir)
+    src, d, ranges = _events_stream(spark, sf_dir)
     root = scratch(spark, "dlq-batches")
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -126,7 +126,7 @@ def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{root}/sink/batch_id={batch_id}")
 
     w = DV.DeadLetterWriter(root, write, BACKOFF, sleep_scale=0.0)
-    run_to_end(file_stream(spark, d, src.schema).writeStream.foreachBatch(w)
+    run_to_end(file_stream(spark, d, src.schema, page_files(ranges)).writeStream.foreachBatch(w)
                .option("checkpointLocation", scratch(spark, "dlq-ckpt")))
     ok = spark.read.parquet(w.sink).select("event_id", F.lit("delivered").alias("outcome"))
     bad = spark.read.parquet(w.dlq).select("event_id", F.lit("dead_letter").alias("outcome"))
@@ -136,9 +136,9 @@ def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("transactional_batches", "SELECT event_id, event_type, user_id FROM events")
 def transactional_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST6: all-or-nothing batches; the commit of batch 2 fails once, the restart replays it."""
-    src, d, _ = _events_stream(spark, sf_dir)
+    src, d, ranges = _events_stream(spark, sf_dir)
     root, ck = scratch(spark, "txn"), scratch(spark, "txn-ckpt")
-    stream = file_stream(spark, d, src.schema).select("event_id", "event_type", "user_id")
+    stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
     try:
         run_to_end(stream.writeStream.foreachBatch(DV.TransactionalSink(root, fail_before_commit_of=2))
                    .option("checkpointLocation", ck))
@@ -152,9 +152,9 @@ def transactional_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dedupe_events", "SELECT event_id, event_type, user_id FROM events")
 def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7: a replay re-sends every 97th event; the sink keeps each event id once."""
-    src, d, _ = _events_stream(spark, sf_dir)
+    src, d, ranges = _events_stream(spark, sf_dir)
     stage_files(src.filter(F.col("event_id") % 97 == 0), "event_id", d, n=1)  # the replayed page
-    stream = file_stream(spark, d, src.schema).select("event_id", "event_type", "user_id")
+    stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
     return spark.read.parquet(_to_parquet(DV.dedupe(stream, ["event_id"]), spark, "dedupe"))
 
 
@@ -214,7 +214,7 @@ def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST11: stop after 3 of 5 pages, more pages arrive, restart on the same checkpoint: each event once."""
     src, d, ranges = _events_stream(spark, sf_dir, n_first=3)
     out, ck = scratch(spark, "resume-sink"), scratch(spark, "resume-ckpt")
-    stream = file_stream(spark, d, src.schema).select("event_id", "event_type", "user_id")
+    stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
     run_to_end(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck))
     stage_files(src, "event_id", d, ranges=ranges[3:])
     run_to_end(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck))
