@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ledgerlane.functions.joins import small
 
-# Routing of the reference's router test.
+# Routing of the reference's router test, and its topic naming
+# (default topic, static topic name, prefix of the prefix strategy).
 ROUTES = [("Main:Iou", "iou-events"), ("Main:Asset", "asset-events")]
 DEFAULT_TOPIC = "canton-events-default"
+STATIC_TOPIC = "canton-ledger-events"
+TOPIC_PREFIX = "canton"
 
 
 def routing_table(spark: SparkSession, routes=ROUTES) -> DataFrame:
@@ -27,7 +30,7 @@ def route_topic(events: DataFrame, routes: DataFrame, default_topic: str | None
     return out.withColumn("topic", F.coalesce(F.col("_route"), F.lit(default_topic).cast("string"))).drop("_route")
 
 
-def prefix_topic(template_col: str = "template_id", prefix: str = "canton") -> Column:
+def prefix_topic(template_col: str = "template_id", prefix: str = TOPIC_PREFIX) -> Column:
     """K2: ``<prefix>.<module>.<name>``; dots inside the module become dashes (the prefix keeps its dots)."""
     parts = F.split(F.col(template_col), ":")
     return F.concat_ws(".", F.lit(prefix), F.translate(F.element_at(parts, -2), ".", "-"), F.element_at(parts, -1))

@@ -46,14 +46,14 @@ def route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("event_id", "template_id", F.col("_t").alias("topic"), F.col("topic").alias("topic_no_default")))
 
 
-@register("topic_prefix", with_ledger("""
-SELECT event_id, 'canton-ledger-events' AS static_topic,
-       'canton.' || replace(split_part(template_id, ':', -2), '.', '-') || '.' || split_part(template_id, ':', -1)
+@register("topic_prefix", with_ledger(f"""
+SELECT event_id, '{R.STATIC_TOPIC}' AS static_topic,
+       '{R.TOPIC_PREFIX}.' || replace(split_part(template_id, ':', -2), '.', '-') || '.' || split_part(template_id, ':', -1)
          AS prefix_topic
 FROM ledger"""))
 def topic_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: static topic name vs ``prefix.module.name`` per template."""
-    return ledger(spark, sf_dir).select("event_id", F.lit("canton-ledger-events").alias("static_topic"),
+    return ledger(spark, sf_dir).select("event_id", F.lit(R.STATIC_TOPIC).alias("static_topic"),
                                         R.prefix_topic().alias("prefix_topic"))
 
 
