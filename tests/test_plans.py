@@ -56,3 +56,19 @@ def test_column_pruning_on_scans(spark):
 
 def test_feed_is_top_k_not_a_sort(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "latest_feed")
+
+
+def test_spread_only_narrow_scans(spark):
+    """A one-split scan is hash-spread over the cores; a scan with enough splits is left alone."""
+    from ledgerlane.sources.tables import spread, spread_table
+    narrow = spread_table(spark, SF001, "orders", "o_orderkey")
+    p = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in p and "hashpartitioning(o_orderkey" in p
+    wide = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
+    assert spread(wide, "id") is wide
+
+
+def test_flat_documents_skip_the_hot_check(spark):
+    """Flat transactions are bounded by construction: no size job, no numbering window."""
+    p = _plan(spark, "parse_transactions")
+    assert "Window" not in p
