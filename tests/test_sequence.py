@@ -57,3 +57,14 @@ def test_no_hot_groups_means_no_split(spark):
     df = _data(spark)
     cold, hot = split_hot(df, "g", 10_000)
     assert hot is None and cold.count() == df.count()
+
+
+def test_two_level_prefix_across_super_chunks(spark):
+    """Fan-out 4 over ~37 chunks: bases and carries cross many super-chunk edges."""
+    df = _data(spark)
+    got = number_rows(df, ["g"], [F.col("o")], F.floor(F.col("o") / 137), "rn", fanout=4)
+    assert got.select("g", "o", "rn").exceptAll(_want_rn(df).select("g", "o", "rn")).count() == 0
+    lagged = lag_rows(df, ["g"], ["o"], F.floor(F.col("o") / 137), "v", "prev", fanout=4)
+    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("o")))
+    assert lagged.select("g", "o", "prev").exceptAll(want.select("g", "o", "prev")).count() == 0
+    assert lagged.count() == df.count()
