@@ -84,3 +84,20 @@ def test_aggregates_are_hash_based(spark, name):
     if name in SORT_AGG_ALLOWED:
         return
     assert "SortAggregate" not in _plan(spark, name), name
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_declared_schemas_match_the_files(spark, sf):
+    """The declared input schemas (no footer read per scan) equal what Spark infers from the files."""
+    import os
+
+    from pyspark.sql.types import StructType
+
+    from ledgerlane.sources.tables import SCHEMAS
+    root = f"/root/testdata/{sf}"
+    if not os.path.isdir(root):
+        pytest.skip(f"{root} absent")
+    for name, ddl in SCHEMAS.items():
+        inferred = spark.read.parquet(f"{root}/{name}.parquet").schema
+        declared = StructType.fromDDL(ddl)
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
