@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.sources.tables import table
 
@@ -36,3 +37,28 @@ FROM k LEFT JOIN bad ON k.key = bad.key GROUP BY doc_id""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_WORD10 = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@register("op10_decontaminate", f"""
+WITH b AS (SELECT item_id, {_WORD10} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(10, len(w)) AS m, unnest([array_to_string(w[s:s + least(10, len(w)) - 1], ' ')
+         FOR s IN range(1, len(w) - least(10, len(w)) + 2)]) AS win FROM b WHERE len(w) > 0),
+d AS (SELECT doc_id, {_WORD10} AS w FROM documents),
+dw AS (SELECT doc_id, m, unnest(range(1, len(w) - m + 2)) AS s,
+         unnest([array_to_string(w[s:s + m - 1], ' ') FOR s IN range(1, len(w) - m + 2)]) AS win
+       FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m),
+hit AS (SELECT DISTINCT doc_id, s, dw.m, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.m = iw.m),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS x FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(x, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = hit_words().cast("long")
+    return out.select(F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("marks") > 0).alias("contaminated"))
