@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
+from ledgerlane.llm.sharding import shard_rows
+from ledgerlane.llm.url_filter import filter_urls
 from ledgerlane.sources.tables import table
 
 QUERIES = {}
@@ -62,3 +64,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_hit = hit_words().cast("long")
     return out.select(F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("marks") > 0).alias("contaminated"))
+
+
+#: Fixed values of the contract.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/")]
+
+
+@register("op8_url_filter", f"""
+WITH p AS (SELECT page_id, url, strpos(url, '://') AS i FROM pages),
+q AS (SELECT page_id, CASE WHEN i > 0 THEN {_LOWER.format("regexp_extract(substr(url, i + 3), '^([^/?#]*)', 1)")} ELSE '' END AS host,
+        CASE WHEN i > 0 THEN regexp_extract(substr(url, i + 3), '^[^/?#]*(/[^?#]*)', 1) ELSE '' END AS path FROM p),
+r(verdict, rule) AS (VALUES {', '.join(f"('{v}', '{r}')" for v, r in URL_RULES)}),
+s AS (SELECT verdict, rule, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS pre FROM r),
+m AS (SELECT page_id, host, path, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST, length(h) DESC) AS k
+      FROM q LEFT JOIN s ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+@register("op3_sharding")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+                                                    F.crc32(text).alias("text_crc32"))
+    return shard_rows(docs).select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
