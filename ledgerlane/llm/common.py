@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.session import scratch
+
 # Fixed values of the contracts: the white space between words and around lines.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -40,3 +42,15 @@ def packed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
     """The caller's columns out of ``row`` again, some replaced."""
     return df.select(*[replaced.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table of the shared folder.
+
+    Cuts the lineage (a lost executor re-reads files), runs the work above it
+    once, and lets a join with it be split: an aggregate joined on its own
+    keys has no exchange of its own, and the skew join needs one.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.llm.sharding import shard_rows
 from ledgerlane.llm.url_filter import filter_urls
+from ledgerlane.llm.warc import round_trip
 from ledgerlane.sources.tables import table
 
 QUERIES = {}
@@ -90,3 +91,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                                                     F.crc32(text).alias("text_crc32"))
     return shard_rows(docs).select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op6_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h, max(page_id) OVER (PARTITION BY sha1(b)) AS top FROM p),
+x AS (SELECT *, CAST(unhex(h) AS BIT)::VARCHAR AS bits FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(bits[5*i+1] AS INT) + 8 * CAST(bits[5*i+2] AS INT)
+    + 4 * CAST(bits[5*i+3] AS INT) + 2 * CAST(bits[5*i+4] AS INT) + CAST(bits[5*i+5] AS INT), 1) FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM x""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = round_trip(table(spark, sf_dir, "pages"))
+    return out.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
