@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import SPACES, ascii_lower, digest, packed
+from ledgerlane.llm.common import SPACES, ascii_lower, digest, packed, staged
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
@@ -33,8 +33,10 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     keys = keys.select("id", "k1", "k2", "pos", h1.alias("h1"), h2.alias("h2"))
     n_docs = F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))
     common = keys.groupBy("h1", "h2").agg(n_docs.alias("n")).filter(F.col("n") >= min_docs).select("h1", "h2")
+    common = staged(common, "common-lines")
     drops = (keys.join(common, ["h1", "h2"], "left_semi").groupBy("k1", "k2")
              .agg(F.sort_array(F.collect_set("pos")).alias("drops")))
+    drops = staged(drops, "line-drops")
     lines = docs.join(drops, ["k1", "k2"], "left").select("row", "text", "drops", F.split("text", "\n", -1).alias("lines"))
     # The kept lines are the runs between dropped positions: linear in the lines, whatever their number.
     kept = F.expr("""array_join(flatten(transform(sequence(0, size(drops)), j -> slice(lines,
