@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.llm.sharding import shard_rows
+from ledgerlane.llm.simhash import simhash_components
 from ledgerlane.llm.url_filter import filter_urls
 from ledgerlane.llm.warc import round_trip
 from ledgerlane.sources.tables import table
@@ -107,3 +108,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = round_trip(table(spark, sf_dir, "pages"))
     return out.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@register("op9_simhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_components(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
