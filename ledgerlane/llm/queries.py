@@ -9,6 +9,7 @@ from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.llm.sharding import shard_rows
 from ledgerlane.llm.simhash import simhash_components
+from ledgerlane.llm.substring_dedup import substring_dedup
 from ledgerlane.llm.url_filter import filter_urls
 from ledgerlane.llm.warc import round_trip
 from ledgerlane.sources.tables import table
@@ -114,3 +115,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_components(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+@register("op4_substring_dedup", f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(0, len(w) - 19)) AS s,
+          unnest([md5(array_to_string(w[i + 1:i + 20], ' ')) FOR i IN range(0, len(w) - 19)]) AS h FROM d WHERE len(w) >= 20),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p FROM later)),
+x AS (SELECT doc_id, unnest(range(0, len(w))) AS p, unnest(w) AS word FROM d WHERE len(w) > 0),
+k AS (SELECT x.doc_id, count(gone.p) AS n_removed,
+        sha256(coalesce(string_agg(word, ' ' ORDER BY x.p) FILTER (WHERE gone.p IS NULL), '')) AS sha
+      FROM x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.p = x.p GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(sha, sha256('')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
