@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
+from ledgerlane.llm.quality_rules import judged
 from ledgerlane.llm.sharding import shard_rows
 from ledgerlane.llm.simhash import simhash_components
 from ledgerlane.llm.substring_dedup import substring_dedup
@@ -134,3 +135,9 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
