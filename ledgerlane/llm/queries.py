@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
+from ledgerlane.llm.packing import pack
 from ledgerlane.llm.quality_rules import judged
 from ledgerlane.llm.sharding import shard_rows
 from ledgerlane.llm.simhash import simhash_components
@@ -141,3 +142,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+@register("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
