@@ -12,6 +12,7 @@ from ledgerlane.llm.quality_rules import judged
 from ledgerlane.llm.sharding import shard_rows
 from ledgerlane.llm.simhash import simhash_components
 from ledgerlane.llm.substring_dedup import substring_dedup
+from ledgerlane.llm.toxicity import toxicity
 from ledgerlane.llm.url_filter import filter_urls
 from ledgerlane.llm.warc import round_trip
 from ledgerlane.sources.tables import table
@@ -147,3 +148,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
