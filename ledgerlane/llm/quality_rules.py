@@ -18,17 +18,18 @@ REPEAT = 5  # words of a window whose repeats count
 ODD_MARKS = r"[^\p{L}\p{N}\x20\x09-\x0D]{2,}|(?<= )[^\p{L}\p{N}\x20\x09-\x0D](?= )"
 
 
-def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, k1, k2) and the counts of each whole text that the rules look at.
+def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_rows: bool = False) -> DataFrame:
+    """The id and the counts of each whole text that the rules look at, with the row itself if asked for.
 
     Null or empty text, or white space alone: all counts 0.
     """
-    d = packed(df, id_col, text_col).select("id", "k1", "k2", "text", F.btrim("text", F.lit(SPACES)).alias("trimmed"))
-    d = d.select("id", "k1", "k2", "text",
+    first = ["row", "id"] if with_rows else ["id"]
+    d = packed(df, id_col, text_col).select(*first, "text", F.btrim("text", F.lit(SPACES)).alias("trimmed"))
+    d = d.select(*first, "text",
                  F.when(F.col("trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("trimmed", f"{SPACE_CLASS}+")).alias("words"),
                  F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("lines"))
     window = ", ".join(f"words[i + {k}]" for k in range(REPEAT))
-    d = d.select("id", "k1", "k2", F.size("words").cast("long").alias("n_words"),
+    d = d.select(*first, F.size("words").cast("long").alias("n_words"),
                  F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
                  F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
                  F.regexp_count("text", F.lit("\\p{Lu}")).cast("long").alias("n_upper"),
@@ -37,7 +38,7 @@ def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
                  F.expr(f"""if(size(words) < {REPEAT}, cast(array() as array<bigint>),
                      transform(sequence(0, size(words) - {REPEAT}), i -> xxhash64({window})))""").alias("windows"))
-    keep = ["id", "k1", "k2", "n_words", "word_chars", "n_symbols", "n_upper", "n_odd_marks", "n_lines", "n_dup_lines"]
+    keep = [*first, "n_words", "word_chars", "n_symbols", "n_upper", "n_odd_marks", "n_lines", "n_dup_lines"]
     # Only texts with a window twice sort theirs: equal windows then stand side by side.
     d = d.select(*keep, F.expr("""if(size(array_distinct(windows)) = size(windows), null,
         sort_array(transform(windows, (h, i) -> named_struct('h', h, 'i', i))))""").alias("s"))
@@ -109,8 +110,8 @@ def _log_odds(votes: tuple[int, ...], prior: float, weights: list[tuple[float, f
 
 
 def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, max_repeat_percent: int = 20,
-           threshold: float = 0.5) -> DataFrame:
-    """Per row: ``id``, ``k1``, ``k2``, its counts, votes, ``base_failed``, ``quality`` (posterior) and ``kept``.
+           threshold: float = 0.5, with_rows: bool = False) -> DataFrame:
+    """Per row: ``id``, its counts, votes, ``base_failed``, ``quality`` (posterior) and ``kept``; ``row``, too, if asked for.
 
     ``base_failed``: under ``min_words`` words, or over ``max_repeat_percent``
     percent of the words in repeated windows; such rows are never kept.  The
@@ -120,7 +121,7 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     pattern of votes, 3 ^ rules at most.  Nothing is shuffled but those counts.
     Repeated rows count as often as they are there; an empty table gives none.
     """
-    d = staged(votes(features(df, id_col, text_col)), "quality")
+    d = staged(votes(features(df, id_col, text_col, with_rows)), "quality")
     names = [f"v_{r}" for r in RULES]
     counts = sorted((tuple(r[:-1]), r["count"]) for r in d.groupBy(*names).count().collect())
     prior, weights = fit(counts)
@@ -134,6 +135,5 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
 
 def kept_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that are kept, with their columns."""
-    good = staged(judged(df, id_col, text_col).filter("kept").select("k1", "k2").distinct(), "kept")
-    rows = packed(df, id_col, text_col).join(good, ["k1", "k2"], "left_semi")
-    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])
+    good = judged(df, id_col, text_col, with_rows=True).filter("kept")
+    return good.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])
