@@ -211,12 +211,43 @@ def _tag_is(v: _Value, tag: str) -> Column:
 
 
 def _as(v: _Value, spark_type: str) -> Column:
-    if isinstance(v.tag, str):  # typed
-        return v.col if spark_type != "decimal(38,10)" else v.col.try_cast(spark_type)
-    if spark_type == "decimal(38,10)":  # Daml-JSON numerics are strings
-        return F.coalesce(F.try_variant_get(v.col, "$", "string").try_cast(spark_type),
-                          F.try_variant_get(v.col, "$", spark_type))
-    return F.try_variant_get(v.col, "$", spark_type)
+    return v.col if isinstance(v.tag, str) else F.try_variant_get(v.col, "$", spark_type)
+
+
+def _numeric_text(v: _Value) -> Column:
+    return v.col.cast("string") if isinstance(v.tag, str) else F.try_variant_get(v.col, "$", "string")
+
+
+_DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+
+
+def compare_decimal(text: Column, threshold: str) -> Column:
+    """Sign of ``text - threshold`` of decimal numbers of any length, exactly; null where ``text`` is no number.
+
+    A number is its sign, its whole part without leading zeros and its
+    fraction without trailing ones; longer whole parts are larger, equally
+    long parts compare as text.  Exponent forms are written out first by a
+    cast, so they have the cast's range.
+    """
+    t = Decimal(threshold)
+    below = t < 0
+    whole, _, part = format(abs(t), "f").partition(".")
+    whole, part = whole.lstrip("0"), part.rstrip("0")
+    trimmed = F.trim(text)
+    plain = F.when(trimmed.rlike(_DECIMAL), trimmed).otherwise(trimmed.try_cast("decimal(38,18)").cast("string"))
+    digits = F.regexp_replace(plain, "^[+-]", "")
+    w = F.regexp_replace(F.regexp_extract(digits, r"^([0-9]*)", 1), "^0+", "")
+    f = F.regexp_replace(F.regexp_extract(digits, r"\.([0-9]*)$", 1), "0+$", "")
+    zero = (w == "") & (f == "")
+    negative = plain.startswith("-") & ~zero
+
+    def sign(a: Column, b: Column) -> Column:
+        return F.when(a > b, 1).when(a < b, -1).otherwise(0)
+
+    size = F.when(F.length(w) != len(whole), sign(F.length(w), F.lit(len(whole)))).when(w != whole, sign(w, F.lit(whole))).otherwise(sign(f, F.lit(part)))
+    if below:
+        return F.when(plain.isNotNull(), F.when(negative, -size).otherwise(1))
+    return F.when(plain.isNotNull(), F.when(negative, -1).otherwise(size))
 
 
 def _pred(p: ValuePredicate, v: _Value) -> Column:
@@ -233,9 +264,8 @@ def _pred(p: ValuePredicate, v: _Value) -> Column:
     if isinstance(p, BoolIs):
         return _tag_is(v, BOOL) & (_as(v, "boolean") == p.value)
     if isinstance(p, (NumericGt, NumericLt)):
-        n = _as(v, "decimal(38,10)")
-        t = F.lit(Decimal(str(p.threshold))).cast("decimal(38,10)")
-        return _tag_is(v, NUMERIC) & ((n > t) if isinstance(p, NumericGt) else (n < t))
+        up = compare_decimal(_numeric_text(v), str(p.threshold))
+        return _tag_is(v, NUMERIC) & F.coalesce(up > 0 if isinstance(p, NumericGt) else up < 0, F.lit(False))
     if isinstance(p, IsEqualTo):
         # Equality of the ledger value, type included; Numeric compares its
         # text ("1.0" is not "1.00"), records compare their JSON text.

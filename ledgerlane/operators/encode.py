@@ -40,11 +40,14 @@ def flat_json(df: DataFrame, payload: Column | None = None) -> Column:
     ``payload`` defaults to the ledger's typed payload; pass ``parse_json(text)``
     to embed a payload that arrives as JSON text.
     """
+    return F.to_json(flat_event(payload))
+
+
+def flat_event(payload: Column | None = None) -> Column:
+    """The struct behind ``flat_json``, for other renderings of the same event."""
     p = daml_payload("payload") if payload is None else payload
-    return F.to_json(F.struct(*_ids(("event_type", "type"), ("ledger_offset", "offset"),
-                                    ("transaction_id", "transactionId"), ("contract_id", "contractId"),
-                                    ("template_id", "templateId")),
-                              p.alias("payload")))
+    return F.struct(*_ids(("event_type", "type"), ("ledger_offset", "offset"), ("transaction_id", "transactionId"),
+                          ("contract_id", "contractId"), ("template_id", "templateId")), p.alias("payload"))
 
 
 def contract_event(df: DataFrame) -> Column:
@@ -59,22 +62,17 @@ def workflow_id(transaction_id: str = "transaction_id") -> Column:
     return F.concat(F.lit("wf-"), (tx_number(transaction_id) % 10).cast("string"))
 
 
-def tx_envelopes(events: DataFrame, max_events: int | None = None, max_tx_events: int | None = None) -> DataFrame:
+def tx_envelopes(events: DataFrame) -> DataFrame:
     """One tagged envelope per transaction: ``(transaction_id, envelope)``.
 
-    Events are grouped per (transaction, part): a transaction of more than
-    ``max_events`` events becomes several envelopes, the later ones tagged
-    ``"part": n`` — no group, and no document, grows with the data.
     Contract events keep ledger order through ``array_sort`` on the offset.
     """
-    from ledgerlane.sources.documents import MAX_DOC_EVENTS, number_in_transaction
-    g = (number_in_transaction(events, max_events or MAX_DOC_EVENTS, max_tx_events)
-         .groupBy("transaction_id", "tx_offset", "part")
+    g = (events.groupBy("transaction_id", "tx_offset")
          .agg(F.array_sort(F.collect_list(F.struct("ledger_offset", contract_event(events).alias("ce")))).alias("evs")))
     env = F.to_json(F.struct(
         F.lit("transaction").alias("type"),
         F.struct(F.col("transaction_id").alias("eventId"), workflow_id().alias("workflowId"),
-                 F.col("tx_offset").alias("offset"), F.when(F.col("part") > 0, F.col("part")).alias("part"),
+                 F.col("tx_offset").alias("offset"),
                  F.transform("evs", lambda e: e["ce"]).alias("contractEvents")).alias("event")))
     return g.select("transaction_id", env.alias("envelope"))
 
@@ -95,6 +93,7 @@ def decode_envelopes(envs: DataFrame, col: str = "envelope") -> DataFrame:
     p = F.from_json(F.col(col), ENVELOPE_SCHEMA)
     d = envs.select(*keep, p.alias("_e"))
     ces = F.col("_e.event.contractEvents")
+    # The two error texts are fixed values.
     err = (F.when(F.col("_e").isNull() | F.coalesce(F.col("_e.type") != "transaction", F.lit(True)),
                   "LedgerEvent expected")
            .when(F.exists(ces, lambda x: ~F.coalesce(x["type"].isin("created", "archived"), F.lit(False))),
@@ -110,9 +109,6 @@ def decode_envelopes(envs: DataFrame, col: str = "envelope") -> DataFrame:
                       F.col("it.x.event.payload").alias("payload"), "decode_error")
 
 
-SNAKE_KIND = {"created": "create", "archived": "archive", "exercised": "exercise"}
-
-
 def snake_json(df: DataFrame) -> Column:
     """Public snake-case event with signatories and observers."""
     kind = F.col("event_type")
@@ -154,12 +150,14 @@ def avro_archived(df: DataFrame) -> DataFrame:
 
 
 def avro_union(df: DataFrame) -> DataFrame:
-    """One topic carrying both records: ``struct<created, archived>`` with one non-null."""
-    c = avro_created(df)
-    a = avro_archived(df)
-    cs = c.select(F.col("eventId").alias("event_id"), F.struct(*c.columns).alias("created"))
-    as_ = a.select(F.col("eventId").alias("event_id"), F.struct(*a.columns).alias("archived"))
-    return cs.unionByName(as_, allowMissingColumns=True)
+    """One topic carrying both records: ``struct<created, archived>`` with one non-null, in one pass."""
+    ids = _ids(("event_id", "eventId"), ("contract_id", "contractId"), ("template_id", "templateId"))
+    parties = _ids(("signatories", "signatories"), ("observers", "observers"), ("transaction_id", "transactionId"))
+    created = F.struct(*ids, payload_json("payload").alias("payload"), *parties, iso_time("record_time").alias("ledgerEffectiveTime"))
+    kind = F.col("event_type")
+    return (df.filter(kind.isin("created", "archived"))
+            .select("event_id", F.when(kind == "created", created).alias("created"),
+                    F.when(kind == "archived", F.struct(*ids, *parties)).alias("archived")))
 
 
 def pretty(c: Column) -> Column:

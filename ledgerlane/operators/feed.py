@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FEED_SIZE = 200  # fixed value: the UI keeps the newest 200 events
@@ -31,86 +31,29 @@ def ordered_for_delivery(events: DataFrame, keys: list[str], partitions: int | N
 
 
 def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger_offset") -> DataFrame:
-    """Check for L2, in one pass over the delivered layout: per ``keys[0]`` (the topic):
-    ``events``, ``keys`` (distinct key groups) and ``out_of_order`` (events whose
-    offset is below the previous event of the same key in delivery order).
-
-    Delivery order is (partition index, position in partition).  Each
-    partition is scanned once, vectorized per Arrow batch (``mapInPandas``;
-    memory is bounded by the batch, not the partition): it yields its
-    per-topic counts plus its first and last row.  A key spanning several
-    partitions is stitched at the edges: an edge table holds one row per
-    partition (its size is the partition count, not the data), where a key
-    continuing from the previous non-empty partition is counted once and its
-    offsets compared across the edge.  No shuffle beyond the layout itself.
+    """Check for L2: per ``keys[0]`` (the topic, null included): ``events``, ``keys`` (distinct key groups)
+    and ``out_of_order`` (events whose offset is below the previous event of the same key in delivery order).
+
+    Delivery order is (partition index, position in partition).  Each event
+    is compared with the one before it in its partition (a window over the
+    partition, whose size the layout bounds); keys that go on in the next
+    partition are stitched in an edge table of one row per partition, whose
+    size is the partition count, not the data.
     """
-    import numpy as np
-    import pandas as pd
-
-    cols = [*keys, offset]
     topic = keys[0]
-    fk = [f"f_k{i}" for i in range(len(keys))]
-    lk = [f"l_k{i}" for i in range(len(keys))]
-    schema = ("pid int, topic string, events long, new_keys long, bad long, "
-              + ", ".join(f"{c} string" for c in fk) + ", f_off long, "
-              + ", ".join(f"{c} string" for c in lk) + ", l_off long")
-
-    def scan(batches):
-        # Batch by batch (memory bounded by the Arrow batch size), carrying the
-        # previous row across batch boundaries.
-        totals: dict = {}
-        first = last = None
-        pid = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            off = pdf[offset].astype("int64").to_numpy()
-            vals = [pdf[k].to_numpy() for k in keys]
-            same = np.ones(len(pdf), dtype=bool)
-            for v in vals:
-                same[1:] &= v[1:] == v[:-1]
-            bad = np.zeros(len(pdf), dtype=bool)
-            bad[1:] = same[1:] & (off[1:] < off[:-1])
-            if last is None:
-                same[0] = False
-            else:
-                same[0] = all(v[0] == lk_ for v, lk_ in zip(vals, last[0]))
-                bad[0] = same[0] and off[0] < last[1]
-            if first is None:
-                first = ([v[0] for v in vals], int(off[0]))
-            last = ([v[-1] for v in vals], int(off[-1]))
-            g = (pd.DataFrame({"topic": pdf[topic], "events": 1, "new_keys": ~same, "bad": bad})
-                 .groupby("topic").sum())
-            for t, row in g.iterrows():
-                acc = totals.setdefault(t, [0, 0, 0])
-                acc[0] += int(row["events"]); acc[1] += int(row["new_keys"]); acc[2] += int(row["bad"])
-        if first is None:
-            return
-        # One row per topic of the partition, each carrying the partition's first and last row.
-        out = {"pid": pid, "topic": list(totals), "events": [a[0] for a in totals.values()],
-               "new_keys": [a[1] for a in totals.values()], "bad": [a[2] for a in totals.values()],
-               "f_off": first[1], "l_off": last[1]}
-        for i in range(len(keys)):
-            out[fk[i]] = first[0][i]
-            out[lk[i]] = last[0][i]
-        yield pd.DataFrame(out)[[f.split(" ")[0] for f in schema.split(", ")]]
-
-    stats = (delivered.select(*cols, F.spark_partition_id().alias("_pid"))
-             .withColumn(offset, F.col(offset).cast("bigint"))
-             .mapInPandas(scan, schema))
-    # The last row of the closest earlier non-empty partition.  The stats hold
-    # at most (partitions × topics) rows, so this window stays small.
-    from pyspark.sql import Window
-    before = Window.orderBy("pid").rangeBetween(Window.unboundedPreceding, -1)
-    prev = stats.select("*", *[F.last(c).over(before).alias(f"p_{c}") for c in [*lk, "l_off"]])
-    cont = F.col("topic") == F.col(fk[0])  # counted once: on the row of the first key's topic
-    for f, l_ in zip(fk, lk):
-        cont = cont & (F.col(f"p_{l_}") == F.col(f))
-    cont = F.coalesce(cont, F.lit(False))
-    per = prev.groupBy("topic").agg(
-        F.sum("events").alias("events"), F.sum("new_keys").alias("new_keys"), F.sum("bad").alias("bad"),
-        F.count_if(cont).alias("continued"), F.count_if(cont & (F.col("f_off") < F.col("p_l_off"))).alias("edge_bad"))
-    return per.select("topic", F.col("events").cast("bigint").alias("events"),
-                      (F.col("new_keys") - F.col("continued")).cast("bigint").alias("keys"),
-                      (F.col("bad") + F.col("edge_bad")).cast("bigint").alias("out_of_order"))
+    # The position is taken in the delivered partition, before any shuffle.
+    d = delivered.select(*keys, F.col(offset).alias("_o"), F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
+    d = d.select(F.col(topic).alias("topic"), F.struct(*keys).alias("_k"), "_o", "_p", "_i")
+    inside = Window.partitionBy("_p").orderBy("_i")
+    rows = d.withColumns({"_b": F.lag(F.struct("_k", "_o")).over(inside), "_last": F.lead("_i").over(inside).isNull()})
+    same = F.col("_b").isNotNull() & F.col("_b._k").eqNullSafe(F.col("_k"))
+    per = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("events"), F.count_if(~same).alias("new_keys"),
+                                    F.count_if(same & (F.col("_o") < F.col("_b._o"))).alias("bad"))
+    # The first and the last event of each partition: before a first one stands the last of the partition before.
+    edges = rows.filter(F.col("_b").isNull() | F.col("_last")).withColumn("_e", F.lag(F.struct("_k", "_o")).over(Window.orderBy("_p", "_i")))
+    on = edges.filter(F.col("_b").isNull() & F.col("_e").isNotNull() & F.col("_e._k").eqNullSafe(F.col("_k")))
+    carried = on.groupBy(F.col("topic").alias("t")).agg(F.count(F.lit(1)).alias("continued"), F.count_if(F.col("_o") < F.col("_e._o")).alias("edge_bad"))
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return (per.join(carried, F.col("topic").eqNullSafe(F.col("t")), "left")
+            .select("topic", F.col("events").cast("bigint").alias("events"), (F.col("new_keys") - n("continued")).cast("bigint").alias("keys"),
+                    (F.col("bad") + n("edge_bad")).cast("bigint").alias("out_of_order")))

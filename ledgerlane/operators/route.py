@@ -111,3 +111,12 @@ def destination_type(topic: str = "topic") -> Column:
     for t, d in reversed(DESTINATION_TYPES):
         out = F.when(F.col(topic) == t, d).otherwise(out)
     return out
+
+
+def pulsar_sequence(producer: str | None, offset: str = "ledger_offset") -> Column:
+    """K7: a named producer's sequence id, which the broker deduplicates by; an unnamed one has none.
+
+    It is the event's own offset, which is unique and grows along the flat
+    stream however many events a transaction has.
+    """
+    return F.col(offset).cast("bigint") if producer else F.lit(None).cast("bigint")

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlane.session import scratch
+
 # Chunks per super-chunk: prefix counts are summed inside super-chunks, then
 # across them, so neither window holds more than ~this many rows per group
 # (a one-level prefix would put every chunk of a hot group in one task).
@@ -88,49 +90,26 @@ def lag_rows(df: DataFrame, keys: list[str], order: list[Column | str], chunk: C
             .drop("_chunk", "_carry"))
 
 
-# A hot-key list is taken to the driver (as an ``isin`` set) only while it
-# holds at most this many keys; beyond it every group takes the chunked path.
-HOT_KEYS_MAX = 10_000
-
+def number_rows_ranged(df: DataFrame, keys: list[str], order: list[Column | str], name: str = "rn",
+                       partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = 1-based row number within ``keys`` by ``order``, for groups of any size.
 
-def split_hot(df: DataFrame, key: str, bound: int,
-              sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None] | None:
-    """Split ``df`` into rows of groups with at most ``bound`` rows and rows of larger ("hot") groups.
-
-    One grouped count (partial aggregation map-side) finds the hot keys;
-    ``sizes`` ``(key, _n)`` may give instead an upper bound of each group's
-    rows that is cheaper to get (a group it marks hot wrongly is only
-    handled by the general path).  Returns ``(cold, hot)`` with ``hot`` None
-    when no group is hot, or None when more than ``HOT_KEYS_MAX`` groups are
-    hot (the caller then treats every group as hot).  Cold groups are
-    bounded, so per-group windows and collections over them stay small
-    whatever the data size.
-    """
-    if sizes is None:
-        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.filter(F.col("_n") > bound)
-    hot_keys = [r[0] for r in sizes.select(key).limit(HOT_KEYS_MAX + 1).collect()]
-    if len(hot_keys) > HOT_KEYS_MAX:
-        return None
-    if not hot_keys:
-        return df, None
-    is_hot = F.col(key).isin(hot_keys)
-    return df.filter(~is_hot), df.filter(is_hot)
-
-
-def number_rows_split(df: DataFrame, key: str, order: list[Column | str], chunk: Column, name: str = "rn",
-                      bound: int = 1000, max_group_rows: int | None = None) -> DataFrame:
-    """``number_rows`` that numbers bounded groups with a plain window and only hot groups chunked.
-
-    ``max_group_rows`` is a bound on every group's size known from how the
-    data is made; within ``bound`` no group can be hot and no check runs.
+    For orders without a chunk key, such as the events of one transaction.
+    The rows are range-partitioned on (keys, order) and written, so a group
+    that holds most rows lies in many partitions of bounded size and every
+    later read finds the same rows in the same partition; a row's number is
+    its place in the partition plus the group's rows in earlier partitions
+    (one row per group and partition).  Rows equal in ``order`` must be
+    interchangeable.
     """
-    window = Window.partitionBy(key).orderBy(*order)
-    if max_group_rows is not None and max_group_rows <= bound:
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    parts = split_hot(df, key, bound)
-    if parts is None:
-        return number_rows(df, [key], order, chunk, name)
-    cold, hot = parts
-    out = cold.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return out if hot is None else out.unionByName(number_rows(hot, [key], order, chunk, name))
+    parts = [partitions] if partitions else []
+    placed = df.repartitionByRange(*parts, *keys, *order).withColumn("_pid", F.spark_partition_id())
+    path = scratch(df.sparkSession, "ranged")
+    placed.write.parquet(path)
+    rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    base = (rows.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+            .select(*keys, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
+    inner = Window.partitionBy(*keys, "_pid").orderBy(*order)
+    return (rows.join(base, [*keys, "_pid"])
+            .withColumn(name, (F.row_number().over(inner) + F.col("_base")).cast("bigint")).drop("_pid", "_base"))

@@ -23,8 +23,17 @@ FEED_COLS = ["event_id", "ledger_offset", "event_type", "template_id", "contract
 SELECT {', '.join(FEED_COLS)} FROM ledger
 ORDER BY ledger_offset DESC, event_type DESC, choice DESC NULLS LAST LIMIT 200"""))
 def latest_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1: newest-first feed of the last 200 events (a top-k report)."""
-    return L.latest_feed(ledger(spark, sf_dir).select(*FEED_COLS))
+    """L1: newest-first feed of the last 200 events (a top-k report).
+
+    Offsets grow with the order key and every order has an event of its own,
+    so the newest 200 events belong to the newest 200 orders: their least key
+    is found first (a top-k of one column), and only events from that key on
+    are derived; the bound reaches both scans.
+    """
+    newest = table(spark, sf_dir, "orders").select("o_orderkey").orderBy(F.desc("o_orderkey")).limit(L.FEED_SIZE)
+    least = newest.agg(F.min("o_orderkey")).first()[0]
+    start = f"{least * 10 - 1:018d}" if least else None
+    return L.latest_feed(ledger(spark, sf_dir, start).select(*FEED_COLS))
 
 
 @register("ordered_delivery", with_routed("""

@@ -5,23 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import contract_abbrev, template_short
+from ledgerlane.functions.columns import contract_abbrev, offset_value, template_short
 from ledgerlane.operators import encode as E
 from ledgerlane.operators import route as R
-from ledgerlane.plans.oracle import (ISO_SQL, OPT_PAYLOAD_SQL, PAYLOAD_TEXT_SQL, TXN_SQL, arr_sql, with_ledger,
+from ledgerlane.operators import schemas as SC
+from ledgerlane.plans.oracle import (FLAT_JSON_SQL, ISO_SQL, OPT_PAYLOAD_SQL, PAYLOAD_TEXT_SQL, TXN_SQL, arr_sql, with_ledger,
                                      with_routed)
 from ledgerlane.plans.registry import register
 from ledgerlane.sources.documents import tx_number
-from ledgerlane.sources.ledger import FLAT_TX_MAX_EVENTS, flat_ledger, ledger
+from ledgerlane.sources.ledger import flat_ledger, ledger
 
 Q = "'\"'"  # a double quote in SQL
 
 
-@register("encode_flat_json", with_ledger(f"""
-SELECT event_id, '{{"type":"' || event_type || '","offset":"' || ledger_offset || '","transactionId":"' ||
-  transaction_id || '","contractId":"' || contract_id || '","templateId":"' || template_id || '"' ||
-  {OPT_PAYLOAD_SQL} || '}}' AS value
-FROM flat_ledger"""))
+@register("encode_flat_json", with_ledger(f"SELECT event_id, {FLAT_JSON_SQL} AS value FROM flat_ledger"))
 def encode_flat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = flat_ledger(spark, sf_dir)
     return df.select("event_id", E.flat_json(df).alias("value"))
@@ -37,25 +34,26 @@ SELECT transaction_id, '{{"type":"transaction","event":{{"eventId":"' || transac
   string_agg({_CE_SQL}, ',' ORDER BY ledger_offset) || ']}}}}' AS envelope
 FROM flat_ledger GROUP BY transaction_id, tx_offset"""))
 def encode_tx_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.tx_envelopes(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
+    return E.tx_envelopes(flat_ledger(spark, sf_dir))
 
 
 @register("decode_tx_envelope", with_ledger(f"""
 SELECT transaction_id, CAST(row_number() OVER (PARTITION BY transaction_id ORDER BY ledger_offset) - 1 AS INTEGER) AS idx,
-       event_type, contract_id, template_id, CAST(NULL AS VARCHAR) AS decode_error
+       event_type, contract_id, template_id, CASE WHEN issuer IS NOT NULL THEN {PAYLOAD_TEXT_SQL} END AS payload,
+       CAST(NULL AS VARCHAR) AS decode_error
 FROM flat_ledger WHERE {TXN_SQL} % 89 <> 0 AND {TXN_SQL} % 83 <> 0
 UNION ALL
-SELECT DISTINCT transaction_id, CAST(-1 AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+SELECT DISTINCT transaction_id, CAST(-1 AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
        CASE WHEN {TXN_SQL} % 89 = 0 THEN 'LedgerEvent expected' ELSE 'ContractEvent expected' END
 FROM flat_ledger WHERE {TXN_SQL} % 89 = 0 OR {TXN_SQL} % 83 = 0"""))
 def decode_tx_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decode envelopes; every 89th has a wrong top tag, every 83rd unknown contract-event tags."""
-    env = E.tx_envelopes(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
+    env = E.tx_envelopes(flat_ledger(spark, sf_dir))
     n = tx_number()
     bad_top = F.regexp_replace("envelope", r'^\{"type":"transaction"', '{"type":"checkpoint"')
     bad_ce = F.regexp_replace("envelope", r'\{"type":"(created|archived)"', '{"type":"divulged"')
     env = env.withColumn("envelope", F.when(n % 89 == 0, bad_top).when(n % 83 == 0, bad_ce).otherwise(F.col("envelope")))
-    return E.decode_envelopes(env).drop("payload")
+    return E.decode_envelopes(env)
 
 
 @register("encode_snake_json", with_ledger(f"""
@@ -118,29 +116,42 @@ def avro_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.select("event_id", branch.alias("branch"), F.to_json(F.struct("created", "archived")).alias("record"))
 
 
-_NL = "chr(10)"
+def _pretty_sql(pairs: list[tuple[str, str]], depth: int = 1) -> str:
+    """SQL text of a JSON object, indented by two; values are SQL texts."""
+    pad = "  " * depth
+    body = " || ',' || chr(10) || ".join(f"'{pad}\"{k}\" : ' || {v}" for k, v in pairs)
+    return f"'{{' || chr(10) || {body} || chr(10) || '{'  ' * (depth - 1)}}}'"
+
+
+def _text_sql(x: str) -> str:
+    return f"'\"' || {x} || '\"'"
+
+
+_HEAD = [("type", "event_type"), ("offset", "ledger_offset"), ("transactionId", "transaction_id"), ("contractId", "contract_id"),
+         ("templateId", "template_id")]
+_DEAL = _pretty_sql([("amount", _text_sql("CAST(amount AS VARCHAR)")), ("status", _text_sql("status")), ("priority", _text_sql("priority")),
+                     ("urgent", "CASE WHEN urgent THEN 'true' ELSE 'false' END"), ("units", "CAST(units AS VARCHAR)")], 3)
+_PRETTY_PAYLOAD = _pretty_sql([("issuer", _text_sql("issuer")), ("owner", _text_sql("owner")), ("deal", _DEAL)], 2)
+_PRETTY_HEAD = [(k, _text_sql(c)) for k, c in _HEAD]
 
 
 @register("encode_pretty", with_ledger(f"""
-SELECT event_id, '{{' || {_NL} || '  "type" : "' || event_type || '",' || {_NL} || '  "offset" : "' || ledger_offset ||
-  '",' || {_NL} || '  "transactionId" : "' || transaction_id || '",' || {_NL} || '  "contractId" : "' || contract_id ||
-  '",' || {_NL} || '  "templateId" : "' || template_id || '",' || {_NL} || '  "signatories" : [ "' || signatory ||
-  '" ]' || {_NL} || '}}' AS value
+SELECT event_id, CASE WHEN issuer IS NULL THEN {_pretty_sql(_PRETTY_HEAD)}
+  ELSE {_pretty_sql([*_PRETTY_HEAD, ("payload", _PRETTY_PAYLOAD)])} END AS value
 FROM flat_ledger"""))
 def encode_pretty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = flat_ledger(spark, sf_dir)
-    c = F.struct(F.col("event_type").alias("type"), F.col("ledger_offset").alias("offset"),
-                 F.col("transaction_id").alias("transactionId"), F.col("contract_id").alias("contractId"),
-                 F.col("template_id").alias("templateId"), F.col("signatories"))
-    return df.select("event_id", E.pretty(c).alias("value"))
+    """The event of P1, pretty-printed."""
+    return flat_ledger(spark, sf_dir).select("event_id", E.pretty(E.flat_event()).alias("value"))
 
 
-@register("template_schemas")
+@register("template_schemas", with_ledger("""
+SELECT template_id, path, type, count(*) AS events FROM flat_ledger, (VALUES ('issuer', 'STRING'), ('owner', 'STRING'), ('deal.amount', 'STRING'),
+  ('deal.status', 'STRING'), ('deal.priority', 'STRING'), ('deal.urgent', 'BOOLEAN'), ('deal.units', 'BIGINT')) p(path, type)
+WHERE event_type = 'created' GROUP BY template_id, path, type"""))
 def template_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P10: one payload schema per template, merged over all its events (variant schema aggregate)."""
+    """P10: one payload schema per template: its field paths and their types, over all its events."""
     df = flat_ledger(spark, sf_dir).filter(F.col("event_type") == "created")
-    return (df.groupBy("template_id")
-            .agg(F.schema_of_variant_agg(F.parse_json(E.payload_json("payload"))).alias("payload_schema"), F.count(F.lit(1)).alias("n_events")))
+    return SC.field_types(df.select("template_id", E.payload_json("payload").alias("doc")), ["template_id"], "doc")
 
 
 @register("schema_subjects", with_routed("""
@@ -154,24 +165,39 @@ def schema_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("template_id").alias("record_subject")))
 
 
-SCHEMA_SPLIT = "000000000000075000"
+_V1 = [("issuer", "STRING"), ("deal.units", "BIGINT"), ("deal.urgent", "BOOLEAN")]
+_V2 = [("issuer", "STRING"), ("deal.units", "STRING"), ("deal.status", "STRING")]
+
+
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in rows) + ") p(path, type)"
 
 
-@register("schema_evolution")
+@register("schema_evolution", with_ledger(f"""
+SELECT template_id, path, o.type AS old_type, n.type AS new_type,
+       CASE WHEN o.type IS NULL THEN 'added' WHEN n.type IS NULL THEN 'removed' WHEN o.type <> n.type THEN 'retyped' ELSE 'same' END AS change
+FROM (SELECT DISTINCT template_id, path, type FROM created, {_values(_V1)} WHERE half = 1) o
+FULL JOIN (SELECT DISTINCT template_id, path, type FROM created, {_values(_V2)} WHERE half = 2) n USING (template_id, path)""",
+    "created AS (SELECT template_id, CASE WHEN CAST(ledger_offset AS BIGINT) <= (SELECT (min(CAST(ledger_offset AS BIGINT)) + "
+    "max(CAST(ledger_offset AS BIGINT))) // 2 FROM flat_ledger) THEN 1 ELSE 2 END AS half FROM flat_ledger WHERE event_type = 'created')"))
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per template, the payload schema before and after an offset; added / removed / changed / same."""
-    df = ledger(spark, sf_dir).filter(F.col("payload").isNotNull() | (F.col("event_type") == "exercised"))
-    doc = (F.when(F.col("event_type") == "exercised", F.to_json(F.struct(F.col("choice").alias("choice"))))
-           .otherwise(F.to_json(F.struct(E.daml_payload("payload").alias("payload")))))
-    per = (df.withColumn("range", F.when(F.col("ledger_offset") <= SCHEMA_SPLIT, "old").otherwise("new"))
-           .groupBy("template_id", "range")
-           .agg(F.schema_of_variant_agg(F.parse_json(doc)).alias("s")))
-    old = per.filter(F.col("range") == "old").select("template_id", F.col("s").alias("old_schema"))
-    new = per.filter(F.col("range") == "new").select("template_id", F.col("s").alias("new_schema"))
-    j = old.join(new, "template_id", "full_outer")
-    status = (F.when(F.col("old_schema").isNull(), "added").when(F.col("new_schema").isNull(), "removed")
-              .when(F.col("old_schema") != F.col("new_schema"), "changed").otherwise("same"))
-    return j.select("template_id", "old_schema", "new_schema", status.alias("status"))
+    """Per template and field path: added, removed, retyped or the same between two offset ranges.
+
+    The ranges are the lower and the upper half of the ledger's offsets.  From
+    the upper half on the producer writes the next version of its payload:
+    units as text, a status, no urgent flag.
+    """
+    df = flat_ledger(spark, sf_dir)
+    n = offset_value("ledger_offset")
+    ends = df.agg(((F.min(n) + F.max(n)) / 2).cast("bigint")).first()[0]
+    p = F.col("payload")
+    old = F.to_json(F.struct(p["issuer"].alias("issuer"), F.struct(p["deal"]["units"].alias("units"), p["deal"]["urgent"].alias("urgent")).alias("deal")))
+    new = F.to_json(F.struct(p["issuer"].alias("issuer"),
+                             F.struct(p["deal"]["units"].cast("string").alias("units"), p["deal"]["status"].alias("status")).alias("deal")))
+    created = df.filter(F.col("event_type") == "created")
+    is_old = n <= (ends if ends is not None else 0)
+    docs = created.select("template_id", is_old.alias("is_old"), F.when(is_old, old).otherwise(new).alias("doc"))
+    return SC.schema_changes(docs, "template_id", "is_old", "doc")
 
 
 @register("template_short", with_ledger("SELECT event_id, template_id, split_part(template_id, ':', -1) AS short FROM ledger"))

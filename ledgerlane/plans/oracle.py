@@ -88,6 +88,8 @@ PAYLOAD_TEXT_SQL = (
     "CAST(units AS VARCHAR) || '}}'"
 )
 OPT_PAYLOAD_SQL = f"CASE WHEN issuer IS NULL THEN '' ELSE ',\"payload\":' || {PAYLOAD_TEXT_SQL} END"
+FLAT_JSON_SQL = ("'{\"type\":\"' || event_type || '\",\"offset\":\"' || ledger_offset || '\",\"transactionId\":\"' || transaction_id || "
+                 "'\",\"contractId\":\"' || contract_id || '\",\"templateId\":\"' || template_id || '\"' || " + OPT_PAYLOAD_SQL + " || '}'")
 ISO_SQL = "strftime(record_time, '%Y-%m-%dT%H:%M:%SZ')"
 TXN_SQL = "CAST(substr(transaction_id, 4) AS BIGINT)"
 

@@ -30,8 +30,8 @@ def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 from ledgerlane.operators import encode as E  # noqa: E402
-from ledgerlane.plans.oracle import OPT_PAYLOAD_SQL, TXN_SQL, with_ledger  # noqa: E402
-from ledgerlane.sources.ledger import FLAT_TX_MAX_EVENTS, flat_ledger  # noqa: E402
+from ledgerlane.plans.oracle import FLAT_JSON_SQL, OPT_PAYLOAD_SQL, TXN_SQL, with_ledger  # noqa: E402
+from ledgerlane.sources.ledger import flat_ledger  # noqa: E402
 
 
 @register("route_topic", with_ledger(f"""
@@ -40,10 +40,9 @@ FROM ledger LEFT JOIN routes r USING (template_id)""", "routes(template_id, topi
     f"('{t}', '{d}')" for t, d in R.ROUTES) + ")"))
 def route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: template → topic, else default; without a default, unmapped → null."""
-    routes = R.routing_table(spark)
-    a = R.route_topic(ledger(spark, sf_dir), routes)
-    return (R.route_topic(a.withColumnRenamed("topic", "_t"), routes, default_topic=None)
-            .select("event_id", "template_id", F.col("_t").alias("topic"), F.col("topic").alias("topic_no_default")))
+    out = R.route_topic(ledger(spark, sf_dir), R.routing_table(spark), default_topic=None)
+    return out.select("event_id", "template_id", F.coalesce("topic", F.lit(R.DEFAULT_TOPIC)).alias("topic"),
+                      F.col("topic").alias("topic_no_default"))
 
 
 @register("topic_prefix", with_ledger(f"""
@@ -74,16 +73,11 @@ def route_party_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.route_party_template(ledger(spark, sf_dir), party_routes(spark)).select("event_id", "party", "destination")
 
 
-_FLAT_JSON_SQL = (f"'{{\"type\":\"' || event_type || '\",\"offset\":\"' || ledger_offset || '\",\"transactionId\":\"' || "
-                  f"transaction_id || '\",\"contractId\":\"' || contract_id || '\",\"templateId\":\"' || template_id || '\"' || "
-                  f"{OPT_PAYLOAD_SQL} || '}}'")
-
-
 def routed_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.route_topic(flat_ledger(spark, sf_dir), R.routing_table(spark))
 
 
-@register("kafka_record_tx", with_routed(f"SELECT topic, transaction_id AS key, {_FLAT_JSON_SQL} AS value "
+@register("kafka_record_tx", with_routed(f"SELECT topic, transaction_id AS key, {FLAT_JSON_SQL} AS value "
                                          "FROM routed WHERE event_type <> 'exercised'"))
 def kafka_record_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: Kafka record keyed by transaction id; value is the flat JSON event."""
@@ -139,26 +133,16 @@ def static_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("pulsar_record", with_ledger(f"""
-SELECT contract_id AS key, event_id, epoch_ms(record_time) AS event_time,
-       CAST(tx_offset AS BIGINT) * 16 + row_number() OVER (PARTITION BY transaction_id ORDER BY ledger_offset) - 1
-         AS sequence_id
+SELECT contract_id AS key, {FLAT_JSON_SQL} AS value, event_id, epoch_ms(record_time) AS event_time,
+       CAST(ledger_offset AS BIGINT) AS sequence_id, CAST(NULL AS BIGINT) AS unnamed_sequence_id
 FROM flat_ledger"""))
 def pulsar_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K7: Pulsar record; sequence id = (transaction offset, index in transaction), set when the producer is named.
-
-    The index is a plain per-transaction row number for bounded transactions;
-    the rare very large ones are numbered with the chunked helper, so they
-    are still numbered by many tasks.
-    """
-    from ledgerlane.operators.sequence import number_rows_split, offset_chunk
-    df = number_rows_split(flat_ledger(spark, sf_dir), "transaction_id", [F.col("ledger_offset")],
-                           offset_chunk("ledger_offset"), "_rn", max_group_rows=FLAT_TX_MAX_EVENTS)
-    idx = F.col("_rn") - 1
-    producer_named = True
-    seq = (F.col("tx_offset").cast("bigint") * 16 + idx) if producer_named else F.lit(None).cast("bigint")
-    return df.select(F.col("contract_id").alias("key"), "event_id",
+    """K7: Pulsar record for a named producer, and the sequence id of an unnamed one (none)."""
+    df = flat_ledger(spark, sf_dir)
+    named, unnamed = R.pulsar_sequence("ledger"), R.pulsar_sequence(None)
+    return df.select(F.col("contract_id").alias("key"), E.flat_json(df).alias("value"), "event_id",
                      F.floor(epoch_micros("record_time") / 1000).cast("bigint").alias("event_time"),
-                     seq.cast("bigint").alias("sequence_id"))
+                     named.alias("sequence_id"), unnamed.alias("unnamed_sequence_id"))
 
 
 def _envelope_sql() -> str:
@@ -178,7 +162,7 @@ def kinesis_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``workflowId`` is a string field; ``transactionId`` is not a field of the
     envelope (falls back); ``offset`` is a string field.
     """
-    env = E.tx_envelopes(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
+    env = E.tx_envelopes(flat_ledger(spark, sf_dir))
     pk = lambda f: F.coalesce(R.top_level_string(F.col("envelope"), "$.event", f), F.col("transaction_id"))
     return env.select("transaction_id", pk("workflowId").alias("pk_workflow"), pk("transactionId").alias("pk_fallback"),
                       pk("offset").alias("pk_offset"), F.col("envelope").alias("data"))

@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from ledgerlane.plans.oracle import with_ledger
 from ledgerlane.plans.registry import register
 from ledgerlane.sources import documents as D
-from ledgerlane.sources.ledger import FLAT_TX_MAX_EVENTS, flat_ledger, ledger, tx_size_bounds
+from ledgerlane.sources.ledger import flat_ledger, ledger
 
 _TXN = "CAST(substr(transaction_id, 4) AS BIGINT)"
 _GOOD = f"{_TXN} % 97 <> 0"
 
 
 def flat_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.transaction_documents(flat_ledger(spark, sf_dir), max_tx_events=FLAT_TX_MAX_EVENTS)
+    return D.transaction_documents(flat_ledger(spark, sf_dir))
 
 
 def tree_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.transaction_documents(ledger(spark, sf_dir), tx_sizes=tx_size_bounds(spark, sf_dir))
+    return D.transaction_documents(ledger(spark, sf_dir))
 
 
 @register("parse_transactions", with_ledger(f"""
@@ -40,8 +40,7 @@ SELECT DISTINCT transaction_id, parse_error FROM
   (SELECT transaction_id, 'malformed transaction document' AS parse_error FROM flat_ledger WHERE NOT ({_GOOD}))"""))
 def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed documents are captured as rows (for the DLQ), not fatal."""
-    ev = D.parse_documents(flat_documents(spark, sf_dir))
-    return ev.filter(F.col("parse_error").isNotNull()).select("transaction_id", "parse_error")
+    return D.parse_failures(flat_documents(spark, sf_dir))
 
 
 @register("scan_transaction_trees", with_ledger(f"""

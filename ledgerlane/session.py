@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -35,7 +36,8 @@ def local_session(cores: int | str = "*", app: str = "ledgerlane") -> SparkSessi
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is one made under /tmp.
+    A local session that names none gets one under /tmp; any other must name
+    it, as executors don't share their machines' folders.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -45,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():
@@ -52,6 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """The files under ``path`` by a declared schema; an empty table where nothing was written."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.operators.encode import daml_payload_sql
+from ledgerlane.operators.sequence import number_rows_ranged
 
 BROKEN_EVERY = 97  # transactions with tx_number % 97 = 0 are rendered malformed
-MAX_DOC_EVENTS = 1000  # a transaction with more events is rendered as several documents (parts)
 
 _EV = "eventId:string,contractId:string,templateId:string"
 EVENT_TYPE = (f"struct<created:struct<{_EV},payload:string>,archived:struct<{_EV}>,"
@@ -42,47 +42,25 @@ def _event_json_sql() -> str:
             f"'exercised', CASE WHEN event_type = 'exercised' THEN named_struct({ids}, 'choice', choice) END)")
 
 
-def number_in_transaction(events: DataFrame, max_events: int = MAX_DOC_EVENTS, max_tx_events: int | None = None,
-                          tx_sizes: DataFrame | None = None) -> DataFrame:
-    """Add ``part``: events of a transaction in (offset, choice) order, cut into runs of ``max_events``.
+def transaction_documents(events: DataFrame, max_events: int | None = None) -> DataFrame:
+    """One JSON document per transaction: ``(transaction_id, tx_offset, doc)``.
 
-    A transaction of at most ``max_events`` events is one part (0) and needs
-    no numbering.  Larger ("hot") transactions are found first (``split_hot``)
-    and only they are numbered, chunked (``number_rows``), so even a
-    transaction holding a large share of all events is numbered by many
-    tasks, and every document built from a (transaction, part) group stays
-    bounded.  ``max_tx_events`` (a bound known from how the events are made)
-    skips the check when it is within ``max_events``; ``tx_sizes``
-    ``(transaction_id, _n)`` gives cheaper upper bounds for it.
+    Events are ordered by (ledger_offset, choice) inside the document.  A
+    document is a transaction whatever its size; with ``max_events`` a larger
+    one is rendered as several documents (``part``), each with the number of
+    its first event (``first``), which the parser adds to positions, so the
+    events that come out are the same.  Events are then numbered by ranges
+    (``number_rows_ranged``), so a transaction that holds most events is many
+    bounded tasks' work.
     """
-    from ledgerlane.operators.sequence import number_rows, offset_chunk, split_hot
-
-    def numbered(ev: DataFrame) -> DataFrame:
-        order = [F.col("ledger_offset")]
-        if "choice" in ev.columns:
-            order.append(F.coalesce(F.col("choice"), F.lit("")))
-        n = number_rows(ev, ["transaction_id"], order, offset_chunk("ledger_offset"), "_rn")
-        return n.withColumn("part", F.floor((F.col("_rn") - 1) / max_events).cast("int")).drop("_rn")
-
-    if max_tx_events is not None and max_tx_events <= max_events:
-        return events.withColumn("part", F.lit(0))
-    parts = split_hot(events, "transaction_id", max_events, tx_sizes)
-    if parts is None:
-        return numbered(events)
-    cold, hot = parts
-    out = cold.withColumn("part", F.lit(0))
-    return out if hot is None else out.unionByName(numbered(hot))
-
-
-def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS, max_tx_events: int | None = None,
-                          tx_sizes: DataFrame | None = None) -> DataFrame:
-    """One JSON document per transaction part: ``(transaction_id, tx_offset, part, doc)``.
-
-    Events are ordered by (ledger_offset, choice) inside the document; a
-    transaction of at most ``max_events`` events is exactly one document.
-    """
-    grouped = (number_in_transaction(events, max_events, max_tx_events, tx_sizes)
-               .groupBy("transaction_id", "tx_offset", "part")
+    keys = ["transaction_id", "tx_offset"]
+    if max_events is not None:
+        choice = F.coalesce(F.col("choice"), F.lit("")) if "choice" in events.columns else F.lit("")
+        numbered = number_rows_ranged(events.withColumn("_choice", choice), ["transaction_id"],
+                                      ["ledger_offset", "_choice", "event_id", "record_time"], "_rn")
+        events = numbered.withColumn("part", F.expr(f"(_rn - 1) div {max_events}")).drop("_rn", "_choice")
+        keys.append("part")
+    grouped = (events.groupBy(*keys)
                .agg(F.expr(f"array_sort(collect_list(named_struct('ledger_offset', ledger_offset, "
                            f"'_c', coalesce(choice, ''), 'ev', {_event_json_sql()})))").alias("evs")))
     n = "CAST(substring(transaction_id, 4, 40) AS BIGINT)"
@@ -91,18 +69,29 @@ def transaction_documents(events: DataFrame, max_events: int = MAX_DOC_EVENTS, m
     broken_b = """concat('{"offset":"', tx_offset, '","events":[{"created":{')"""
     doc = (f"CASE WHEN {n} % {BROKEN_EVERY} <> 0 THEN {good} "
            f"WHEN floor({n} / {BROKEN_EVERY}) % 2 = 0 THEN {broken_a} ELSE {broken_b} END")
-    return grouped.selectExpr("transaction_id", "tx_offset", "part", f"{doc} AS doc")
+    first = [f"part * {max_events}L AS first"] if max_events is not None else []
+    return grouped.selectExpr(*keys, *first, f"{doc} AS doc")
+
+
+def parse_failures(docs: DataFrame, trees: bool = False) -> DataFrame:
+    """Malformed transactions, one row each: ``(transaction_id, parse_error)``.
+
+    Only failed rows are grouped, and only where documents are parts.
+    """
+    bad = parse_documents(docs, trees=trees).filter(F.col("parse_error").isNotNull()).select("transaction_id", "parse_error")
+    return bad.distinct() if "part" in docs.columns else bad
 
 
 def parse_documents(docs: DataFrame, doc_col: str = "doc", trees: bool = False) -> DataFrame:
     """Parse documents into one row per event, plus a ``parse_error`` row per bad document.
 
     Output: the input columns except the document, ``parse_error`` (null when
-    fine), ``offset``, ``idx`` (position in the document), ``event_type``,
+    fine), ``offset``, ``idx`` (position in the transaction), ``event_type``,
     ``event_id``, ``contract_id``, ``template_id``, ``payload`` (JSON text),
     ``choice``.
     """
     keep = [f"`{c}`" for c in docs.columns if c != doc_col]
+    position = "CAST(first + idx AS INT)" if "first" in docs.columns else "idx"
     parsed = docs.selectExpr(*keep, f"from_json(`{doc_col}`, '{DOC_SCHEMA}', "
                                     "map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt')) AS _p")
     # One pass: a bad document becomes a single marker item (idx -1), a good
@@ -122,7 +111,7 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", trees: bool = False)
     return (ev.selectExpr("*", f"CASE WHEN {ok} THEN {kind} END AS event_type")
             .filter(f"NOT ({ok}) OR event_type IS NOT NULL")
             .selectExpr(*keep, f"CASE WHEN NOT ({ok}) THEN 'malformed transaction document' END AS parse_error",
-                        f"CASE WHEN {ok} THEN offset END AS offset", f"CASE WHEN {ok} THEN idx END AS idx",
+                        f"CASE WHEN {ok} THEN offset END AS offset", f"CASE WHEN {ok} THEN {position} END AS idx",
                         "event_type", f"{pick('eventId')} AS event_id", f"{pick('contractId')} AS contract_id",
                         f"{pick('templateId')} AS template_id",
                         "CASE WHEN event_type = 'created' THEN e.created.payload END AS payload",

@@ -26,7 +26,6 @@ TEMPLATES_BY_PRIORITY = [
 CHOICE_BY_RETURNFLAG = [("R", "Return"), ("A", "Accept"), ("N", "Transfer")]
 
 TX_SIZE = 3  # orders per transaction
-FLAT_TX_MAX_EVENTS = 2 * TX_SIZE  # created + archived per order: a flat transaction never holds more
 
 # Ledger value type of payload paths that are not implied by the Spark type.
 # Strings are Text unless listed here as Party.
@@ -175,15 +174,3 @@ def _offset_range(df: DataFrame, start: str | None, end: str | None) -> DataFram
     if end is not None:
         df = df.filter(F.col("ledger_offset") <= end)
     return df
-
-
-def tx_size_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upper bound of the events of each transaction of the full ledger: ``(transaction_id, _n)``.
-
-    Its line items (exercised events) plus the most its orders can add; one
-    column of ``lineitem`` and a numeric grouping, far cheaper than counting
-    the derived events.
-    """
-    li = table(spark, sf_dir, "lineitem").select(F.expr(f"l_orderkey div {TX_SIZE}").alias("_tx"))
-    return (li.groupBy("_tx").agg((F.count(F.lit(1)) + FLAT_TX_MAX_EVENTS).alias("_n"))
-            .selectExpr("concat('tr-', CAST(_tx AS STRING)) AS transaction_id", "_n"))

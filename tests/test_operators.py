@@ -2,6 +2,7 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlane.operators import encode as E
@@ -77,27 +78,80 @@ def test_envelope_roundtrip_and_bad_tags(spark):
     assert [r.decode_error for r in E.decode_envelopes(top).collect()] == ["LedgerEvent expected"]
 
 
-def test_hot_transaction_is_split_into_bounded_documents(spark):
-    """A transaction holding most events becomes several documents; parsing them back loses nothing."""
-    from ledgerlane.sources.documents import parse_documents, transaction_documents
-    n = 2500
-    ev = spark.range(0, n).select(
-        F.when(F.col("id") < 2300, F.lit("tr-3")).otherwise(F.concat(F.lit("tr-"), (F.col("id") * 97 + 1).cast("string")))
+def _hot_events(spark, n=2500, hot=2300):
+    """Archived events, most of them of one transaction whose offsets span 30 values only."""
+    return spark.range(0, n).select(
+        F.when(F.col("id") < hot, F.lit("tr-3")).otherwise(F.concat(F.lit("tr-"), (F.col("id") * 97 + 1).cast("string")))
         .alias("transaction_id"),
         F.lit("000000000000000003").alias("tx_offset"),
-        F.lpad(F.col("id").cast("string"), 18, "0").alias("ledger_offset"),
-        F.lit("archived").alias("event_type"), F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"),
+        F.lpad((F.col("id") % 30).cast("string"), 18, "0").alias("ledger_offset"),
+        F.lit("archived").alias("event_type"), F.concat(F.lit("e"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("event_id"),
         F.lit("#1:0").alias("contract_id"), F.lit("Main:Iou").alias("template_id"),
-        F.lit(None).cast("string").alias("choice"),
+        F.lit(None).cast("string").alias("choice"), F.lit(None).cast("timestamp_ntz").alias("record_time"),
         F.lit(None).cast("struct<issuer:string,owner:string,deal:struct<amount:decimal(15,2),status:string,"
                          "priority:string,urgent:boolean,units:bigint>>").alias("payload"))
-    docs = transaction_documents(ev, max_events=1000)
-    parts = {r.part for r in docs.filter(F.col("transaction_id") == "tr-3").collect()}
-    assert parts == {0, 1, 2}
+
+
+@pytest.mark.parametrize("part", [None, 1000, 7])
+def test_part_size_changes_no_event(spark, part):
+    """Events and positions of a hot transaction don't depend on how its document is cut."""
+    from ledgerlane.sources.documents import parse_documents, transaction_documents
+    docs = transaction_documents(_hot_events(spark), max_events=part)
+    of_hot = docs.filter(F.col("transaction_id") == "tr-3")
+    assert of_hot.count() == (1 if part is None else -(-2300 // part))
     back = parse_documents(docs)
-    assert back.count() == n and back.select("event_id").distinct().count() == n
-    env = E.tx_envelopes(ev, max_events=1000).filter(F.col("transaction_id") == "tr-3").collect()
-    assert sorted('"part":' in r.envelope for r in env) == [False, True, True]
+    assert back.count() == 2500 and back.select("event_id").distinct().count() == 2500
+    hot = [(r.idx, r.event_id) for r in back.filter(F.col("transaction_id") == "tr-3").collect()]
+    assert sorted(i for i, _ in hot) == list(range(2300))
+    if part is not None:  # numbered by (offset, choice, event id)
+        want = sorted((f"e{i:05d}" for i in range(2300)), key=lambda e: (int(e[1:]) % 30, e))
+        assert [e for _, e in sorted(hot)] == want
+
+
+@pytest.mark.parametrize("part", [None, 10])
+def test_a_broken_transaction_fails_once(spark, part):
+    from ledgerlane.sources.documents import parse_failures, transaction_documents
+    ev = _hot_events(spark, 60, 60).withColumn("transaction_id", F.lit("tr-97"))
+    rows = parse_failures(transaction_documents(ev, max_events=part)).collect()
+    assert [(r.transaction_id, r.parse_error) for r in rows] == [("tr-97", "malformed transaction document")]
+
+
+def test_hot_transaction_is_numbered_by_many_tasks(spark):
+    """No task numbers the whole of a transaction that holds most rows."""
+    from ledgerlane.operators.sequence import number_rows_ranged
+    ev = _hot_events(spark)
+    got = number_rows_ranged(ev, ["transaction_id"], ["ledger_offset", "event_id"], "rn", partitions=20)
+    hot = [r.rn for r in got.filter(F.col("transaction_id") == "tr-3").collect()]
+    assert sorted(hot) == list(range(1, 2301))
+    placed = spark.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0])
+    sizes = [r["count"] for r in placed.filter(F.col("transaction_id") == "tr-3").groupBy("_pid").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < 400
+
+
+def test_envelope_holds_the_whole_transaction(spark):
+    env = E.tx_envelopes(_hot_events(spark)).filter(F.col("transaction_id") == "tr-3").collect()
+    assert len(env) == 1 and env[0].envelope.count('"type":"archived"') == 2300 and '"part"' not in env[0].envelope
+
+
+@pytest.mark.parametrize("value,threshold,sign", [
+    ("1.00000000001", "1", 1), ("1" * 35, "1", 1), ("0.99", "1", -1), ("-5", "1", -1), ("-5", "-4.5", -1), ("-5", "-5.00", 0), ("007.10", "7.1", 0),
+    ("0", "-0.0", 0), ("-0.0", "0", 0), ("+3", "2", 1), ("10", "9", 1), ("9", "10", -1), (".5", "0.5", 0), ("1e3", "999", 1), ("x", "1", None),
+    (None, "1", None), ("", "1", None), ("1" * 60 + ".1", "1" * 60, 1), ("2", "-3", 1)])
+def test_decimals_compare_exactly(spark, value, threshold, sign):
+    from ledgerlane.functions.filters import compare_decimal
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(compare_decimal(F.col("v"), threshold)).first()[0] == sign
+
+
+def test_schema_rows_of_changing_documents(spark):
+    from ledgerlane.operators import schemas as SC
+    rows = [("t", True, '{"a":1,"b":{"c":"x","odd name":true}}'), ("t", True, '{"a":2}'), ("t", False, '{"a":"2","b":{"d":[1,2]}}'), ("u", False, '{"a":1}'),
+            ("u", False, None)]
+    df = spark.createDataFrame(rows, "t string, old boolean, doc string")
+    got = {(r.t, r.path): (r.old_type, r.new_type, r.change) for r in SC.schema_changes(df, "t", "old", "doc").collect()}
+    assert got == {("t", "a"): ("BIGINT", "STRING", "retyped"), ("t", "b.c"): ("STRING", None, "removed"), ("t", "b.odd name"): ("BOOLEAN", None, "removed"),
+                   ("t", "b.d"): (None, "ARRAY<BIGINT>", "added"), ("u", "a"): (None, "BIGINT", "added")}
+    assert SC.field_types(df.limit(0), ["t"], "doc").collect() == []
 
 
 def test_delivery_report_counts_disorder_inside_and_across_partitions(spark):
@@ -116,20 +170,8 @@ def test_delivery_report_counts_disorder_inside_and_across_partitions(spark):
     assert got == {"t": (6, 3, 2), "u": (3, 2, 0)}
 
 
-def test_delivery_report_across_arrow_batches(spark):
-    """The per-partition scan carries the previous row over Arrow batch boundaries."""
+def test_delivery_report_counts_unrouted_events(spark):
     from ledgerlane.operators.feed import delivery_report
-    rows = [(0, "t", "a", 1), (0, "t", "a", 3), (0, "t", "b", 5), (0, "t", "b", 4), (1, "t", "b", 2),
-            (1, "t", "c", 1), (1, "u", "x", 7), (2, "u", "x", 8), (2, "u", "y", 1), (2, "u", "y", 0)]
-    pos = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
-                                "i int, p int, topic string, contract_id string, ledger_offset long")
-    df = pos.repartitionByRange(3, "p").sortWithinPartitions("i").drop("i", "p")
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "3")
-    try:
-        got = {r.topic: (r.events, r["keys"], r.out_of_order)
-               for r in delivery_report(df, ["topic", "contract_id"]).collect()}
-    finally:
-        spark.conf.set(key, old)
-    assert got == {"t": (6, 3, 2), "u": (4, 2, 1)}
+    df = spark.createDataFrame([("t", "a", 1), (None, "a", 2), (None, "a", 1), (None, None, 3)], "topic string, contract_id string, ledger_offset long").coalesce(1)
+    got = {r.topic: (r.events, r["keys"], r.out_of_order) for r in delivery_report(df, ["topic", "contract_id"]).collect()}
+    assert got == {"t": (1, 1, 0), None: (3, 2, 1)}

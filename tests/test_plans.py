@@ -20,7 +20,7 @@ def _plan(spark, name):
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_nested_loops(spark, name):
     p = _plan(spark, name)
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "CartesianProduct"):
         assert bad not in p, (name, bad)
     if "BroadcastNestedLoopJoin" in p:
         pytest.fail(f"{name}: nested-loop join")
@@ -54,8 +54,9 @@ def test_column_pruning_on_scans(spark):
     assert schema == "struct<value:double>"
 
 
-def test_feed_is_top_k_not_a_sort(spark):
+def test_feed_is_top_k_over_the_newest_orders(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "latest_feed")
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_orderkey", _formatted(spark, "latest_feed"))
 
 
 def test_spread_only_narrow_scans(spark):
@@ -69,7 +70,7 @@ def test_spread_only_narrow_scans(spark):
 
 
 def test_flat_documents_skip_the_hot_check(spark):
-    """Flat transactions are bounded by construction: no size job, no numbering window."""
+    """A document is a whole transaction: no size job, no numbering window."""
     p = _plan(spark, "parse_transactions")
     assert "Window" not in p
 

@@ -32,33 +32,6 @@ def _want_rn(df):
     return df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("bigint"))
 
 
-def test_number_rows_split_numbers_hot_and_cold_groups(spark):
-    from ledgerlane.operators.sequence import number_rows_split, split_hot
-    df = _data(spark)
-    cold, hot = split_hot(df, "g", 1000)
-    assert {r.g for r in hot.select("g").distinct().collect()} == {"hot"}
-    assert cold.count() + hot.count() == df.count()
-    got = number_rows_split(df, "g", [F.col("o")], F.floor(F.col("o") / 137), "rn", bound=1000)
-    assert got.count() == df.count()
-    assert got.select("g", "o", "rn").exceptAll(_want_rn(df).select("g", "o", "rn")).count() == 0
-
-
-def test_number_rows_split_falls_back_when_too_many_hot_keys(spark, monkeypatch):
-    from ledgerlane.operators import sequence as S
-    monkeypatch.setattr(S, "HOT_KEYS_MAX", 0)
-    df = _data(spark)
-    assert S.split_hot(df, "g", 1000) is None
-    got = S.number_rows_split(df, "g", [F.col("o")], F.floor(F.col("o") / 137), "rn", bound=1000)
-    assert got.select("g", "o", "rn").exceptAll(_want_rn(df).select("g", "o", "rn")).count() == 0
-
-
-def test_no_hot_groups_means_no_split(spark):
-    from ledgerlane.operators.sequence import split_hot
-    df = _data(spark)
-    cold, hot = split_hot(df, "g", 10_000)
-    assert hot is None and cold.count() == df.count()
-
-
 def test_two_level_prefix_across_super_chunks(spark):
     """Fan-out 4 over ~37 chunks: bases and carries cross many super-chunk edges."""
     df = _data(spark)
