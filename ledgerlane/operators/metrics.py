@@ -7,7 +7,7 @@ results), so it reads the same on a table or, where noted, on a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import offset_number
@@ -24,18 +24,23 @@ def counter(df: DataFrame, labels: list[str], name: str = "value") -> DataFrame:
     return df.groupBy(*labels).agg(F.count(F.lit(1)).alias(name))
 
 
-def histogram(df: DataFrame, value: str | Column, buckets: list[str], labels: list[str] = ()) -> DataFrame:
+def histogram(df: DataFrame, value: str | Column, buckets: list[str], labels: list[str] = (),
+              weight: str | None = None) -> DataFrame:
     """Cumulative histogram rows ``(labels..., le, cumulative_count, sample_sum, sample_count)``.
 
     One aggregation pass (a ``count_if`` per bucket), then the bucket columns
     are unpivoted with ``stack``; ``+Inf`` is the total count.  The sum is
-    exact (decimal) and reported as a double, as exposition formats do.
+    exact (decimal) and reported as a double, as exposition formats do.  With
+    ``weight``, a row stands for that many samples of its value.
     """
     v = F.col(value) if isinstance(value, str) else value
     v = v.cast("decimal(20,6)")
-    aggs = [F.count_if(v <= F.lit(b).cast("decimal(20,6)")).alias(f"_b{i}") for i, b in enumerate(buckets)]
-    agg = df.groupBy(*labels).agg(*aggs, F.count(v).alias("sample_count"),
-                                  F.sum(v).cast("double").alias("sample_sum"))
+    w = F.col(weight) if weight else F.lit(1).cast("bigint")
+    aggs = [F.sum(F.when(v <= F.lit(b).cast("decimal(20,6)"), w).otherwise(F.lit(0))).alias(f"_b{i}") for i, b in enumerate(buckets)]
+    agg = df.groupBy(*labels).agg(*aggs, F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0))).alias("sample_count"),
+                                  F.sum(v * w if weight else v).cast("double").alias("sample_sum"))
+    if not labels:  # no rows at all: zero samples
+        agg = agg.na.fill(0, [c for c in agg.columns if c != "sample_sum"])
     pairs = ", ".join([f"'{b}', _b{i}" for i, b in enumerate(buckets)] + ["'+Inf', sample_count"])
     return agg.select(*labels, "sample_sum", "sample_count",
                       F.expr(f"stack({len(buckets) + 1}, {pairs}) AS (le, cumulative_count)"))
@@ -64,12 +69,19 @@ def transitions(log: DataFrame, key: str, status: str, order: str, chunk: Column
                 src: int = 0, dst: int = 1) -> DataFrame:
     """Per key, how many times the status went ``src`` → ``dst`` in ``order``.
 
-    The previous status comes from a chunked lag, so one busy system is
-    spread over many tasks.
+    One scan and one shuffle by (key, chunk): each chunk counts its own
+    transitions and keeps its first and last status; the steps from one chunk
+    to the next are counted over those, one row per key and chunk.  One busy
+    system is spread over as many tasks as it has chunks.
     """
-    from ledgerlane.operators.sequence import lag_rows
-    lagged = lag_rows(log, [key], [order], chunk, status, "_prev")
-    return lagged.groupBy(key).agg(F.count_if((F.col("_prev") == src) & (F.col(status) == dst)).alias("reconnects"))
+    rows = log.select(key, F.col(status).alias("_s"), F.col(order).alias("_o"), chunk.alias("_c"))
+    inside = Window.partitionBy(key, "_c").orderBy("_o")
+    step = (F.lag("_s").over(inside) == src) & (F.col("_s") == dst)
+    per = (rows.withColumn("_t", step).groupBy(key, "_c")
+           .agg(F.count_if("_t").alias("_n"), F.min_by("_s", "_o").alias("_first"), F.max_by("_s", "_o").alias("_last")))
+    edge = (F.lag("_last").over(Window.partitionBy(key).orderBy("_c")) == src) & (F.col("_first") == dst)
+    return (per.withColumn("_e", F.coalesce(edge.cast("int"), F.lit(0))).groupBy(key)
+            .agg((F.sum("_n") + F.sum("_e")).cast("bigint").alias("reconnects")))
 
 
 def ratio(num: Column, den: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.columns import offset_value
 from ledgerlane.functions.joins import small
 from ledgerlane.operators import feed as L
 from ledgerlane.operators.batching import assign_batches, batch_manifest
@@ -47,15 +48,22 @@ def ordered_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.delivery_report(d, keys)
 
 
-@register("batch_manifest", with_routed("""
-SELECT topic, batch_no, count(*) AS events, min(ledger_offset) AS first_offset, max(ledger_offset) AS last_offset
-FROM (SELECT topic, ledger_offset,
-             CAST((row_number() OVER (PARTITION BY topic ORDER BY ledger_offset) - 1) // 100 AS BIGINT) AS batch_no
-      FROM routed WHERE event_type <> 'exercised')
-GROUP BY topic, batch_no"""))
+BATCH_WITHIN_MS = 2_700  # the time limit of a batch
+
+
+@register("batch_manifest", with_routed(f"""
+SELECT topic, slot, batch_no, count(*) AS events, min(ledger_offset) AS first_offset, max(ledger_offset) AS last_offset
+FROM (SELECT topic, slot, ledger_offset,
+             CAST((row_number() OVER (PARTITION BY topic, slot ORDER BY ledger_offset) - 1) // 100 AS BIGINT) AS batch_no
+      FROM (SELECT topic, ledger_offset, CAST(ledger_offset AS BIGINT) // {BATCH_WITHIN_MS} AS slot FROM routed WHERE event_type <> 'exercised'))
+GROUP BY topic, slot, batch_no"""))
 def batch_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST3 (table form): per stream, batches of at most 100 events in offset order."""
-    return batch_manifest(assign_batches(routed_flat(spark, sf_dir), "topic"), "topic")
+    """ST3 (table form): per stream, batches of at most 100 events or 2.7 s, in offset order.
+
+    The replayed ledger is taken to arrive at one offset per millisecond.
+    """
+    arrival = offset_value("ledger_offset")
+    return batch_manifest(assign_batches(routed_flat(spark, sf_dir), "topic", arrival_ms=arrival, within_ms=BATCH_WITHIN_MS), "topic")
 
 
 # Start strategy per stream (market segment).

@@ -75,10 +75,13 @@ SELECT event_id, event_type, CAST(amount AS VARCHAR) AS amount_text, CAST(NULL A
        CAST(NULL AS VARCHAR) AS missing, CAST(units AS VARCHAR) AS units_text,
        CASE WHEN issuer IS NULL THEN NULL ELSE '{{"amount":' || CAST(amount AS VARCHAR) ||
          ',"status":"' || status || '","priority":"' || priority || '","urgent":' ||
-         CASE WHEN urgent THEN 'true' ELSE 'false' END || ',"units":' || CAST(units AS VARCHAR) || '}}' END AS deal_json
+         CASE WHEN urgent THEN 'true' ELSE 'false' END || ',"units":' || CAST(units AS VARCHAR) || '}}' END AS deal_json,
+       CASE WHEN issuer IS NULL THEN NULL ELSE '{{"issuer":"' || issuer || '","owner":"' || owner || '","deal":{{"amount":' ||
+         CAST(amount AS VARCHAR) || ',"status":"' || status || '","priority":"' || priority || '","urgent":' ||
+         CASE WHEN urgent THEN 'true' ELSE 'false' END || ',"units":' || CAST(units AS VARCHAR) || '}}}}' END AS whole_record
 FROM flat_ledger"""))
 def extract_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F8 on the typed payload: leaf, path through a leaf, missing label, nested record."""
+    """F8 on the typed payload: leaf, path through a leaf, missing label, nested record, empty path (the whole record)."""
     from ledgerlane.sources.ledger import flat_ledger
     df = flat_ledger(spark, sf_dir)
     p = typed(df)
@@ -89,6 +92,7 @@ def extract_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.extract_value(p, ("nope",)).alias("missing"),
         X.extract_value(p, ("deal", "units")).alias("units_text"),
         X.extract_value(p, ("deal",)).alias("deal_json"),
+        X.extract_value(p, ()).alias("whole_record"),
     )
 
 

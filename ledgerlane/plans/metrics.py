@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlane.functions.columns import epoch_micros, max_offset, offset_value
 from ledgerlane.operators import metrics as M
 from ledgerlane.operators import route as R
-from ledgerlane.operators.batching import assign_batches, batch_manifest
+from ledgerlane.operators.batching import BATCH_SIZE
 from ledgerlane.operators.sequence import offset_chunk
 from ledgerlane.plans.oracle import TXN_SQL, with_ledger, with_routed
 from ledgerlane.plans.registry import register
@@ -48,23 +48,18 @@ def events_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.counter(routed_ledger(spark, sf_dir), ["event_type", "template_id", "topic"], "events")
 
 
-def batched_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_batches(routed_flat(spark, sf_dir), "topic")
-
-
 @register("batches_processed", with_routed(f"""
 SELECT {_DEST_SQL} AS destination_type, count(*) AS batches, CAST(sum(events) AS BIGINT) AS events
 FROM manifest GROUP BY 1""", _MANIFEST_CTE))
 def batches_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: batches (and their events) per destination type, from the batch manifest."""
-    man = batch_manifest(batched_flat(spark, sf_dir), "topic")
-    return (man.withColumn("destination_type", R.destination_type())
-            .groupBy("destination_type").agg(F.count(F.lit(1)).alias("batches"),
-                                             F.sum("events").cast("bigint").alias("events")))
+    """M2: batches (and their events) per destination type: a stream of n events has ceil(n / size) batches."""
+    n = routed_flat(spark, sf_dir).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return (n.groupBy(R.destination_type().alias("destination_type"))
+            .agg(F.sum(F.ceil(F.col("n") / BATCH_SIZE)).cast("bigint").alias("batches"), F.sum("n").cast("bigint").alias("events")))
 
 
 def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of every stage as one log: ``(stage, error_type, dlq_id)``.
+    """Errors of every stage as one log: ``(stage, error_type, dlq_id, replayed)``.
 
     source: malformed transaction documents; transform: envelopes that do not
     decode; sink: records the broker rejected.
@@ -73,13 +68,14 @@ def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = (D.parse_documents(D.transaction_documents(flat_ledger(spark, sf_dir)))
            .filter(F.col("parse_error").isNotNull())
            .select(F.lit("source").alias("stage"), F.lit("serialization").alias("error_type"),
-                   F.concat(F.lit("source:"), "transaction_id").alias("dlq_id")))
+                   F.concat(F.lit("source:"), "transaction_id").alias("dlq_id"), F.lit(False).alias("replayed")))
     dec = (decode_tx_envelope(spark, sf_dir).filter(F.col("decode_error").isNotNull())
            .select(F.lit("transform").alias("stage"), F.lit("validation").alias("error_type"),
-                   F.concat(F.lit("transform:"), "transaction_id").alias("dlq_id")))
+                   F.concat(F.lit("transform:"), "transaction_id").alias("dlq_id"), F.lit(False).alias("replayed")))
     sink = (record_results(routed_flat(spark, sf_dir)).filter("failed")
             .select(F.lit("sink").alias("stage"), F.col("error_code").alias("error_type"),
-                    F.concat(F.lit("sink:"), "event_id").alias("dlq_id")))
+                    F.concat(F.lit("sink:"), "event_id").alias("dlq_id"),
+                    (F.col("error_code") == "ServiceUnavailable").alias("replayed")))
     return src.unionByName(dec).unionByName(sink)
 
 
@@ -124,10 +120,21 @@ def lag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.histogram(table(spark, sf_dir, "events"), "value", M.LAG_BUCKETS)
 
 
-def _durations(man: DataFrame) -> DataFrame:
-    d = (F.col("events").cast("decimal(20,6)") * F.lit(Decimal("0.003"))
-         + (F.col("batch_no") % 5).cast("decimal(20,6)") * F.lit(Decimal("0.05")))
-    return man.select(R.destination_type().alias("destination_type"), d.cast("decimal(20,6)").alias("duration"))
+def _durations(sizes: DataFrame) -> DataFrame:
+    """``(destination_type, duration, batches)`` from the events ``n`` of each stream.
+
+    A batch's duration is modelled from its size and its number modulo 5, so
+    a stream has at most six kinds of batches: full ones by that remainder,
+    and the last.
+    """
+    full = F.floor(F.col("n") / BATCH_SIZE)
+    kinds = F.array(*[F.struct(F.lit(BATCH_SIZE).cast("bigint").alias("events"), F.lit(m).cast("bigint").alias("m"),
+                               F.floor((full - m + 4) / 5).alias("batches")) for m in range(5)],
+                    F.struct((F.col("n") % BATCH_SIZE).alias("events"), (full % 5).alias("m"), F.lit(1).cast("bigint").alias("batches")))
+    k = sizes.select("topic", F.explode(kinds).alias("k")).filter("k.events > 0 AND k.batches > 0")
+    d = (F.col("k.events").cast("decimal(20,6)") * F.lit(Decimal("0.003"))
+         + F.col("k.m").cast("decimal(20,6)") * F.lit(Decimal("0.05")))
+    return k.select(R.destination_type().alias("destination_type"), d.cast("decimal(20,6)").alias("duration"), F.col("k.batches").alias("batches"))
 
 
 @register("publish_histogram", with_routed(_hist_sql(
@@ -136,8 +143,8 @@ def _durations(man: DataFrame) -> DataFrame:
     _MANIFEST_CTE))
 def publish_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: publish-duration histogram per destination type (duration modelled from batch size)."""
-    man = batch_manifest(batched_flat(spark, sf_dir), "topic")
-    return M.histogram(_durations(man), "duration", M.DEFAULT_BUCKETS, ["destination_type"])
+    sizes = routed_flat(spark, sf_dir).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return M.histogram(_durations(sizes), "duration", M.DEFAULT_BUCKETS, ["destination_type"], "batches")
 
 
 @register("dlq_depth", with_ledger(f"""
@@ -145,12 +152,8 @@ SELECT stage, count(*) AS dlq_depth FROM errlog
 WHERE dlq_id NOT IN (SELECT 'sink:' || event_id FROM flat_ledger WHERE {_K_SQL} % 13 = 0 AND {_K_SQL} % 3 = 2)
 GROUP BY stage""", _ERRLOG_CTE))
 def dlq_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: DLQ entries not yet replayed, per stage (anti-join against the replay log)."""
-    replayed = (record_results(routed_flat(spark, sf_dir))
-                .filter(F.col("failed") & (F.col("error_code") == "ServiceUnavailable"))
-                .select(F.concat(F.lit("sink:"), "event_id").alias("dlq_id")))
-    return error_log(spark, sf_dir).join(replayed, "dlq_id", "left_anti").groupBy("stage").agg(
-        F.count(F.lit(1)).alias("dlq_depth"))
+    """M7: DLQ entries not yet replayed, per stage (those the broker was unavailable for have been)."""
+    return error_log(spark, sf_dir).filter(~F.col("replayed")).groupBy("stage").agg(F.count(F.lit(1)).alias("dlq_depth"))
 
 
 # Destination of an events row by user_id % 3, system by user_id % 5.

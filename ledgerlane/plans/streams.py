@@ -13,27 +13,26 @@ from pyspark.sql.utils import StreamingQueryException
 
 from ledgerlane.functions.columns import iso_time, offset_of
 from ledgerlane.operators import route as R
+from ledgerlane.operators.batching import PAGE_SIZE, pages
 from ledgerlane.plans.delivery import BACKOFF, _retry_sql, failed_sends
 from ledgerlane.plans.oracle import with_ledger, with_routed
 from ledgerlane.plans.registry import register
-from ledgerlane.session import scratch
-from ledgerlane.sources.ledger import flat_events_from_orders
+from ledgerlane.session import read_or_empty, scratch
+from ledgerlane.sources.ledger import bounded_orders, flat_events_from_orders
 from ledgerlane.sources.tables import table
 from ledgerlane.streaming import deliver as DV
 from ledgerlane.streaming import dlq as Q
 from ledgerlane.streaming import retry as RT
-from ledgerlane.streaming.sources import STAGED_FILES, file_stream, key_ranges, page_files, run_to_end, stage_files
+from ledgerlane.streaming.sources import STAGED_FILES, file_stream, key_ranges, page_files, run_to_end, stage_files, table_stream
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 FLAT_OUT = ["event_id", "ledger_offset", "event_type", "template_id", "contract_id"]
 
 
-def _orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = table(spark, sf_dir, "orders").select(*ORDER_COLS)
-    d = scratch(spark, "landing-orders")
-    ranges = stage_files(src, "o_orderkey", d)
-    return file_stream(spark, d, src.schema, page_files(ranges))
+def _orders_stream(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Orders as a stream, in the key range that an offset range ``(start, end]`` implies (it reaches the scan)."""
+    return bounded_orders(table_stream(spark, sf_dir, "orders"), start, end)
 
 
 def _events_stream(spark: SparkSession, sf_dir: str, n_first: int | None = None):
@@ -57,7 +56,7 @@ SCAN_START = "000000000000030000"
     f"SELECT {', '.join(FLAT_OUT)} FROM flat_ledger WHERE ledger_offset > '{SCAN_START}'"))
 def scan_flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: flat-transaction stream from a start offset (exclusive); the derivation runs on the stream."""
-    ev = flat_events_from_orders(_orders_stream(spark, sf_dir))
+    ev = flat_events_from_orders(_orders_stream(spark, sf_dir, start=SCAN_START))
     out = _to_parquet(ev.filter(F.col("ledger_offset") > SCAN_START).select(*FLAT_OUT), spark, "scan")
     return spark.read.parquet(out)
 
@@ -69,7 +68,7 @@ SCAN_END = "000000000000100009"
     f"SELECT {', '.join(FLAT_OUT)} FROM flat_ledger WHERE ledger_offset <= '{SCAN_END}'"))
 def bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2: stream up to an explicit end offset, then stop (``availableNow``)."""
-    ev = flat_events_from_orders(_orders_stream(spark, sf_dir))
+    ev = flat_events_from_orders(_orders_stream(spark, sf_dir, end=SCAN_END))
     out = _to_parquet(ev.filter(F.col("ledger_offset") <= SCAN_END).select(*FLAT_OUT), spark, "bounded")
     return spark.read.parquet(out)
 
@@ -78,18 +77,12 @@ _PAGE_SQL = (f"WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM e
              f"w AS (SELECT lo, CAST(ceil((hi - lo + 1) / {STAGED_FILES}.0) AS BIGINT) AS width FROM b) ")
 
 
-@register("paged_ingest", _PAGE_SQL + "SELECT event_id, CAST((event_id - lo) // width AS BIGINT) AS page FROM events, w")
+@register("paged_ingest", f"""
+SELECT event_id, page, max(event_id) OVER (PARTITION BY page) AS cursor
+FROM (SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // {PAGE_SIZE} AS BIGINT) AS page FROM events)""")
 def paged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page-limited pull: one arriving page per micro-batch (admission control), the cursor advances."""
-    src, d, ranges = _events_stream(spark, sf_dir)
-    sink = scratch(spark, "pages")
-
-    def write_page(df: DataFrame, batch_id: int) -> None:
-        df.select("event_id").write.mode("overwrite").parquet(f"{sink}/page={batch_id}")
-
-    run_to_end(file_stream(spark, d, src.schema, page_files(ranges)).writeStream.foreachBatch(write_page)
-               .option("checkpointLocation", scratch(spark, "pages-ckpt")))
-    return spark.read.parquet(sink).select("event_id", F.col("page").cast("bigint").alias("page"))
+    """Page-limited pull: the poll that gets each event, and the cursor that poll leaves behind."""
+    return pages(table(spark, sf_dir, "events").select("event_id"), "event_id", PAGE_SIZE)
 
 
 @register("commit_offsets", with_ledger("""
@@ -100,7 +93,9 @@ def commit_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cust_key"),
                                                     F.col("c_mktsegment").alias("stream_id"))
     ev = flat_events_from_orders(_orders_stream(spark, sf_dir)).join(cust, "cust_key")
-    com = DV.OffsetCommitter(scratch(spark, "offsets"), "stream_id")
+    sink = scratch(spark, "offsets-sink")
+    com = DV.OffsetCommitter(scratch(spark, "offsets"), "stream_id",
+                             lambda df, batch: df.write.mode("overwrite").parquet(f"{sink}/batch_id={batch}"))
     run_to_end(ev.select("stream_id", "ledger_offset").writeStream.foreachBatch(com)
                .option("checkpointLocation", scratch(spark, "offsets-ckpt")))
     return com.committed(spark)
@@ -122,14 +117,14 @@ def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(df: DataFrame, batch_id: int) -> None:
         if poison(df):
-            raise RuntimeError("broker rejected batch: record too large")
+            raise DV.SendError("RecordTooLargeException", "broker rejected batch")
         df.write.mode("overwrite").parquet(f"{root}/sink/batch_id={batch_id}")
 
-    w = DV.DeadLetterWriter(root, write, BACKOFF, sleep_scale=0.0)
+    w = DV.DeadLetterWriter(root, write, "event_id", BACKOFF)
     run_to_end(file_stream(spark, d, src.schema, page_files(ranges)).writeStream.foreachBatch(w)
                .option("checkpointLocation", scratch(spark, "dlq-ckpt")))
-    ok = spark.read.parquet(w.sink).select("event_id", F.lit("delivered").alias("outcome"))
-    bad = spark.read.parquet(w.dlq).select("event_id", F.lit("dead_letter").alias("outcome"))
+    ok = w.delivered(spark, "event_id bigint").select("event_id", F.lit("delivered").alias("outcome"))
+    bad = w.dead(spark).select(F.get_json_object("event", "$.event_id").cast("bigint").alias("event_id"), F.lit("dead_letter").alias("outcome"))
     return ok.unionByName(bad)
 
 
@@ -140,13 +135,14 @@ def transactional_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, ck = scratch(spark, "txn"), scratch(spark, "txn-ckpt")
     stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
     try:
-        run_to_end(stream.writeStream.foreachBatch(DV.TransactionalSink(root, fail_before_commit_of=2))
+        run_to_end(stream.writeStream.foreachBatch(DV.TransactionalSink(root, "event_id", fail_before_commit_of=2))
                    .option("checkpointLocation", ck))
-    except StreamingQueryException:
-        pass  # the aborted batch left data without a marker: invisible to readers
-    sink = DV.TransactionalSink(root)
+    except StreamingQueryException as e:
+        if DV.AbortedCommit.__name__ not in str(e):
+            raise  # only the planned abort, which left data without a marker: invisible to readers
+    sink = DV.TransactionalSink(root, "event_id")
     run_to_end(stream.writeStream.foreachBatch(sink).option("checkpointLocation", ck))
-    return sink.committed(spark)
+    return sink.committed(spark, "event_id bigint, event_type string, user_id bigint")
 
 
 @register("dedupe_events", "SELECT event_id, event_type, user_id FROM events")
@@ -169,7 +165,7 @@ def dlq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = Q.dlq_line(iso_time("ts"),
                       F.concat(F.col("error_class"), F.lit(" after "), F.col("attempts").cast("string"),
                                F.lit(" attempts")),
-                      F.lit(""),
+                      F.concat(F.lit('SendError: "'), F.col("error_class"), F.lit('"\n\tat send(attempt '), F.col("attempts").cast("string"), F.lit(")")),
                       F.create_map(F.lit("offset"), offset_of("event_id"), F.lit("attempts"),
                                    F.col("attempts").cast("string")),
                       F.struct("event_id", "event_type", "user_id", F.col("value").cast("decimal(12,2)").alias("value")))
@@ -184,7 +180,8 @@ _DEAD_SQL = f"""dead AS (
 
 @register("dlq_jsonl", f"""WITH {_DEAD_SQL}
 SELECT '{{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '","reason":"' || error_class || ' after ' ||
-  CAST(attempts AS VARCHAR) || ' attempts","stackTrace":"","metadata":{{"offset":"' ||
+  CAST(attempts AS VARCHAR) || ' attempts","stackTrace":"SendError: \\"' || error_class || '\\"\\n\\tat send(attempt ' || CAST(attempts AS VARCHAR) ||
+  ')","metadata":{{"offset":"' ||
   lpad(CAST(event_id AS VARCHAR), 18, '0') || '","attempts":"' || CAST(attempts AS VARCHAR) ||
   '"}},"event":{{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type || '","user_id":' ||
   CAST(user_id AS VARCHAR) || ',"value":' || CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) || '}}}}' AS line
@@ -200,13 +197,21 @@ def dlq_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, error_class || ' after ' || CAST(attempts AS VARCHAR) || ' attempts' AS reason, event_type, user_id
 FROM dead""")
 def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST10: read the DLQ, then replay its events from the source table (join on the event id)."""
-    path = scratch(spark, "dlq-replay")
+    """ST10: read the DLQ, decode its events and send them through a sink again."""
+    path, sink = scratch(spark, "dlq-replay"), scratch(spark, "dlq-replay-sink")
+    Q.write_dlq(dlq_lines(spark, sf_dir), path)
+    schema = "event_id bigint, event_type string, user_id bigint, value decimal(12,2)"
+    Q.replay(Q.read_dlq(spark, path), schema, lambda df: df.write.parquet(sink))
+    return read_or_empty(spark, sink, f"reason string, {schema}").select("event_id", "reason", "event_type", "user_id")
+
+
+@register("dlq_by_reason", f"""WITH {_DEAD_SQL}
+SELECT error_class || ' after ' || CAST(attempts AS VARCHAR) || ' attempts' AS reason, count(*) AS entries FROM dead GROUP BY 1""")
+def dlq_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST10, inspection: how many entries the DLQ has for each reason."""
+    path = scratch(spark, "dlq-reasons")
     Q.write_dlq(dlq_lines(spark, sf_dir), path)
-    dlq = Q.read_dlq(spark, path).select("reason", F.get_json_object("event", "$.event_id").cast("bigint")
-                                         .alias("event_id"))
-    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
-    return dlq.join(ev, "event_id").select("event_id", "reason", "event_type", "user_id")
+    return Q.by_reason(Q.read_dlq(spark, path))
 
 
 @register("resume_stream", "SELECT event_id, event_type, user_id FROM events")
@@ -221,11 +226,13 @@ def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@register("fan_out", with_routed("SELECT event_id, topic FROM routed WHERE event_type <> 'exercised'"))
+@register("fan_out", with_routed("""
+SELECT event_id, topic, count(*) OVER (PARTITION BY topic) AS topic_events FROM routed WHERE event_type <> 'exercised'"""))
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST12: one routed stream written to two sinks: events by topic folder, and counts per topic."""
+    """ST12: one routed stream written to two sinks: events by topic folder, and counts per topic (both are read back)."""
     ev = R.route_topic(flat_events_from_orders(_orders_stream(spark, sf_dir)), R.routing_table(spark))
     sink = DV.FanOut(scratch(spark, "fan-events"), scratch(spark, "fan-counts"))
     run_to_end(ev.select("event_id", "topic", "ledger_offset").writeStream.foreachBatch(sink)
                .option("checkpointLocation", scratch(spark, "fan-ckpt")))
-    return sink.events(spark).select("event_id", "topic")
+    counts = sink.counts(spark).groupBy("topic").agg(F.sum("events").alias("topic_events"))
+    return sink.events(spark).select("event_id", "topic").join(counts, "topic").select("event_id", "topic", "topic_events")

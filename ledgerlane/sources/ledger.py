@@ -103,6 +103,11 @@ def _bounded(df: DataFrame, key: str, bounds) -> DataFrame:
     return df
 
 
+def bounded_orders(orders: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """A (batch or streaming) ``orders`` frame cut to the key range of an offset range."""
+    return _bounded(orders, "o_orderkey", key_bounds(start, end))
+
+
 def _orders(spark: SparkSession, sf_dir: str, bounds=None, spread: bool = True) -> DataFrame:
     """Orders, spread when they feed the per-row event derivation (not as a join's build side)."""
     o = (spread_table(spark, sf_dir, "orders", "o_orderkey") if spread else table(spark, sf_dir, "orders")).select(

@@ -9,12 +9,16 @@ id: it overwrites ``batch_id=N`` rather than appending blindly.
 from __future__ import annotations
 
 import time
+import traceback
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.streaming.retry import Backoff
+from ledgerlane.functions.columns import iso_time
+from ledgerlane.session import read_or_empty
+from ledgerlane.streaming.dlq import dlq_line, read_dlq
+from ledgerlane.streaming.retry import RETRIABLE, Backoff
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
@@ -22,16 +26,18 @@ def _batch_dir(root: str, batch_id: int) -> str:
 
 
 class TransactionalSink:
-    """ST6: all-or-nothing batches: data first, then a commit marker.
+    """ST6: all-or-nothing batches: messages and offset are committed together.
 
-    Readers see a batch only once its marker exists (``committed``); an
+    Data first, then a marker that holds the batch id and the batch's last
+    offset.  Readers see a batch and its offset only once its marker exists; an
     aborted batch leaves data without a marker and is overwritten when the
     batch is replayed.  An empty batch writes and commits nothing.
     """
 
-    def __init__(self, root: str, fail_before_commit_of: int | None = None):
-        self.data = f"{root}/data"
-        self.commits = f"{root}/commits"
+    MARKER = "committed_batch bigint, last_offset string, committed_at timestamp, batch_id int"
+
+    def __init__(self, root: str, offset_col: str, fail_before_commit_of: int | None = None):
+        self.data, self.commits, self.offset_col = f"{root}/data", f"{root}/commits", offset_col
         self.fail_before_commit_of = fail_before_commit_of
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
@@ -39,35 +45,51 @@ class TransactionalSink:
             return
         df.write.mode("overwrite").parquet(_batch_dir(self.data, batch_id))
         if self.fail_before_commit_of == batch_id:
-            raise RuntimeError(f"commit of batch {batch_id} failed")
-        spark = df.sparkSession
-        (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("committed_batch"),
-                               F.current_timestamp().alias("committed_at"))
+            raise AbortedCommit(f"commit of batch {batch_id} failed")
+        written = df.sparkSession.read.schema(df.schema).parquet(_batch_dir(self.data, batch_id))
+        (written.agg(F.lit(batch_id).cast("bigint").alias("committed_batch"), F.max(self.offset_col).cast("string").alias("last_offset"),
+                     F.current_timestamp().alias("committed_at"))
          .write.mode("overwrite").parquet(_batch_dir(self.commits, batch_id)))
 
-    def committed(self, spark: SparkSession) -> DataFrame:
-        """Committed rows only: data semi-joined to the markers on batch id."""
-        data = spark.read.parquet(self.data)
-        try:
-            marks = spark.read.parquet(self.commits).select("batch_id")
-        except Exception:  # no commit yet
-            return data.limit(0).drop("batch_id")
-        return data.join(marks, "batch_id", "left_semi").drop("batch_id")
+    def committed(self, spark: SparkSession, schema: str) -> DataFrame:
+        """Rows of committed batches: data semi-joined to the markers on the batch id."""
+        data = read_or_empty(spark, self.data, f"{schema}, batch_id int")
+        return data.join(self.markers(spark).select("batch_id"), "batch_id", "left_semi").drop("batch_id")
+
+    def markers(self, spark: SparkSession) -> DataFrame:
+        """(committed_batch, last_offset, committed_at) of every committed batch."""
+        return read_or_empty(spark, self.commits, self.MARKER)
+
+
+class AbortedCommit(RuntimeError):
+    """A planned failure between a batch's data and its marker."""
+
+
+class SendError(RuntimeError):
+    """A failed write with the broker's error class, by which it is retried or not."""
+
+    def __init__(self, error_class: str, message: str):
+        super().__init__(f"{error_class}: {message}")
+        self.error_class = error_class
 
 
 class DeadLetterWriter:
     """ST5: a batch whose write keeps failing goes to the DLQ; the stream goes on.
 
-    The write is tried under the backoff rule (ST8); after the last attempt
-    the batch's rows are written to the DLQ with the reason and batch id,
-    and a batch-log row records the outcome.  A failing DLQ write raises
-    (the query stops and the batch is replayed) — nothing is dropped.
+    The write is tried under the retry rule (ST8): transient error classes
+    again after the rule's wait, at most ``max_attempts`` times, any other
+    error once.  Then the batch's events are written to the DLQ as JSON lines
+    (ST9) with the reason, the stack trace, the batch id, their offset and the
+    number of attempts; a batch log records the outcome.  A failing DLQ write
+    raises (the query stops and the batch is replayed) — nothing is dropped.
     """
 
-    def __init__(self, root: str, write: Callable[[DataFrame, int], None], backoff: Backoff = Backoff(),
-                 sleep_scale: float = 0.0):
+    LOG = "status string, events bigint, attempts int, batch_id int"
+
+    def __init__(self, root: str, write: Callable[[DataFrame, int], None], offset_col: str, backoff: Backoff = Backoff(),
+                 sleep: Callable[[float], None] = time.sleep):
         self.sink, self.dlq, self.log = f"{root}/sink", f"{root}/dlq", f"{root}/batch_log"
-        self.write, self.backoff, self.sleep_scale = write, backoff, sleep_scale
+        self.write, self.offset_col, self.backoff, self.sleep = write, offset_col, backoff, sleep
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         df = df.persist()  # the attempts and the DLQ write reuse one read of the batch
@@ -80,24 +102,44 @@ class DeadLetterWriter:
         n = df.count()
         if n == 0:
             return
-        err = None
-        for attempt in range(1, self.backoff.max_attempts + 1):
+        attempt, err = 0, None
+        while True:
+            attempt += 1
             try:
                 self.write(df, batch_id)
                 err = None
                 break
             except Exception as e:  # noqa: BLE001 - every write error is a delivery failure
-                err = e
-                if attempt < self.backoff.max_attempts:
-                    time.sleep(self.backoff.wait_ms(attempt) / 1000 * self.sleep_scale)
-        status = "delivered" if err is None else "dead_letter"
+                err, trace = e, traceback.format_exc()
+                if not transient(e) or attempt == self.backoff.max_attempts:
+                    break
+                self.sleep(self.backoff.wait_ms(attempt) / 1000)
         if err is not None:
-            (df.select(F.lit(str(err)[:500]).alias("reason"), F.lit(batch_id).cast("bigint").alias("dlq_batch"),
-                       F.to_json(F.struct(*df.columns)).alias("event"), *df.columns)
-             .write.mode("overwrite").parquet(_batch_dir(self.dlq, batch_id)))
-        (df.sparkSession.range(1).select(F.lit(status).alias("status"), F.lit(n).cast("bigint").alias("events"))
+            line = dlq_line(iso_time(F.current_timestamp()), F.lit(str(err)), F.lit(trace),
+                            F.create_map(F.lit("batch"), F.lit(str(batch_id)), F.lit("offset"), F.col(self.offset_col).cast("string"),
+                                         F.lit("attempts"), F.lit(str(attempt))), F.struct(*df.columns))
+            df.select(line.alias("value")).write.mode("overwrite").text(_batch_dir(self.dlq, batch_id))
+        (df.sparkSession.range(1).select(F.lit("delivered" if err is None else "dead_letter").alias("status"),
+                                         F.lit(n).cast("bigint").alias("events"), F.lit(attempt).cast("int").alias("attempts"))
          .write.mode("overwrite").parquet(_batch_dir(self.log, batch_id)))
 
+    def delivered(self, spark: SparkSession, schema: str) -> DataFrame:
+        """What the sink holds; nothing if every batch was dead-lettered."""
+        return read_or_empty(spark, self.sink, f"{schema}, batch_id int").drop("batch_id")
+
+    def dead(self, spark: SparkSession) -> DataFrame:
+        """The DLQ's entries; nothing if every batch was delivered."""
+        return read_dlq(spark, self.dlq)
+
+
+def transient(e: Exception) -> bool:
+    """Whether the retry rule takes an error for a passing one, by its class."""
+    return (e.error_class if isinstance(e, SendError) else type(e).__name__) in RETRIABLE
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def dedupe(stream: DataFrame, keys: list[str]) -> DataFrame:
     """ST7: suppress events already seen, across micro-batches and restarts.
@@ -107,33 +149,39 @@ def dedupe(stream: DataFrame, keys: list[str]) -> DataFrame:
     checkpointed with it, so each micro-batch shuffles only its own rows and
     a replay after a restart (same checkpoint) is dropped too.  No watermark:
     a replay may come at any time, and expiring keys would let it through.
-    The state grows with the distinct keys; on a cluster it belongs in the
-    RocksDB state store (``spark.sql.streaming.stateStore.providerClass``),
-    with the shuffle partitions sized before the first run (they are fixed
-    by the checkpoint).
+    The state grows with the distinct keys, so it is kept on disk (RocksDB);
+    memory holds its cache only.  The store is set here, before the query's
+    first start, which fixes it in the checkpoint.
     """
+    stream.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     return stream.dropDuplicates(keys)
 
 
 class OffsetCommitter:
-    """ST4: after a batch succeeds, record the last offset per stream; reads are monotone.
+    """ST4: write a batch, then commit the last offset per stream; commits are monotone.
 
-    Each batch appends ``(stream, offset, batch)`` rows; the committed offset is
-    ``max`` per stream, so a late or replayed batch can never move it back.
+    The log is two snapshots of all streams' offsets, written in turn: each
+    commit merges the other one with the batch by ``max``, so a late or
+    replayed batch moves nothing back, a commit that dies half-way leaves the
+    other snapshot, and the log doesn't grow with the batches.
     """
 
-    def __init__(self, root: str, stream_col: str, offset_col: str = "ledger_offset"):
-        self.root, self.stream_col, self.offset_col = root, stream_col, offset_col
+    SCHEMA = "stream string, offset string, half int"
+
+    def __init__(self, root: str, stream_col: str, write: Callable[[DataFrame, int], None], offset_col: str = "ledger_offset"):
+        self.root, self.stream_col, self.offset_col, self.write = root, stream_col, offset_col, write
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        (df.groupBy(self.stream_col).agg(F.max(self.offset_col).alias("offset"))
-         .withColumn("batch", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").parquet(_batch_dir(self.root, batch_id)))
+        self.write(df, batch_id)  # raises: nothing is committed, and the batch is replayed
+        new = df.select(F.col(self.stream_col).alias("stream"), F.col(self.offset_col).alias("offset"))
+        old = read_or_empty(df.sparkSession, f"{self.root}/half={1 - batch_id % 2}", "stream string, offset string")
+        (old.unionByName(new).groupBy("stream").agg(F.max("offset").alias("offset"))
+         .write.mode("overwrite").parquet(f"{self.root}/half={batch_id % 2}"))
 
     def committed(self, spark: SparkSession) -> DataFrame:
-        return (spark.read.parquet(self.root).groupBy(self.stream_col)
+        return (read_or_empty(spark, self.root, self.SCHEMA).groupBy(F.col("stream").alias(self.stream_col))
                 .agg(F.max("offset").alias("committed_offset")))
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.session import read_or_empty
+
 DLQ_LINE_SCHEMA = ("timestamp string, reason string, stackTrace string, metadata map<string,string>, "
                    "event string")
 
@@ -22,11 +26,15 @@ def write_dlq(lines: DataFrame, path: str, col: str = "line") -> None:
 
 def read_dlq(spark: SparkSession, path: str) -> DataFrame:
     """Parse the DLQ back; ``event`` stays JSON text, to be decoded by its producer's schema."""
-    raw = spark.read.text(path)
-    p = F.from_json("value", DLQ_LINE_SCHEMA.replace("event string", "event string"))
-    return raw.select(p.alias("d")).select("d.*")
+    raw = read_or_empty(spark, path, "value string", "text")
+    return raw.select(F.from_json("value", DLQ_LINE_SCHEMA).alias("d")).select("d.*")
 
 
 def by_reason(dlq: DataFrame) -> DataFrame:
-    """Inspection: entries per reason."""
+    """ST10, inspection: entries per reason."""
     return dlq.groupBy("reason").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def replay(dlq: DataFrame, schema: str, send: Callable[[DataFrame], None]) -> None:
+    """ST10, reprocessing: decode the entries' events and send them again; their reason goes along."""
+    send(dlq.select("reason", F.from_json("event", schema).alias("e")).select("reason", "e.*"))

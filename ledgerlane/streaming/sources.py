@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ledgerlane.sources.tables import SCHEMAS
+
 STAGED_FILES = 5
-STREAM_TIMEOUT_S = 900
 # A staged file covers at most this many keys, so one writing task stays
 # bounded however large the table; a page wider than that is several files.
 PAGE_FILE_KEYS = 5_000_000
@@ -63,11 +64,20 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
             .parquet(path))
 
 
-def run_to_end(writer: DataStreamWriter, timeout_s: int = STREAM_TIMEOUT_S) -> StreamingQuery:
-    """Start with ``availableNow`` (all data present now, in admission-controlled batches) and wait."""
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's own files as a stream, read where they are: for queries whose batches don't matter."""
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet*")
+
+
+def run_to_end(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
+    """Start with ``availableNow`` (all data present now, in admission-controlled batches) and wait.
+
+    ``timeout_s`` is for tests; a stream takes as long as its data does.
+    """
     q = writer.trigger(availableNow=True).start()
-    done = q.awaitTermination(timeout_s)
-    if not done:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
     return q

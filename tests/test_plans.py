@@ -7,8 +7,8 @@ import pytest
 from ledgerlane import plans
 from tests.conftest import SF001
 
-STREAMING = {"scan_flat_events", "bounded_stream", "paged_ingest", "commit_offsets", "dead_letter_batches",
-             "transactional_batches", "dedupe_events", "resume_stream", "fan_out", "dlq_jsonl", "dlq_replay"}
+STREAMING = {"scan_flat_events", "bounded_stream", "commit_offsets", "dead_letter_batches",
+             "transactional_batches", "dedupe_events", "resume_stream", "fan_out", "dlq_jsonl", "dlq_replay", "dlq_by_reason"}
 BATCH = sorted(set(plans.QUERIES) - STREAMING)
 
 
@@ -41,6 +41,41 @@ def test_offset_range_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(l_orderkey", p)
 
 
+def test_bounded_streams_push_their_range(spark):
+    """The offset range of a stream reaches the scan of its files as key bounds."""
+    from ledgerlane.plans import streams as S
+    for kw, name in (({"start": S.SCAN_START}, "GreaterThanOrEqual"), ({"end": S.SCAN_END}, "LessThanOrEqual")):
+        df = S._orders_stream(spark, SF001, **kw)
+        assert df.isStreaming
+        batch = S.bounded_orders(S.table(spark, SF001, "orders"), **kw)
+        assert "Filter (o_orderkey" in df._jdf.queryExecution().logical().toString()
+        assert re.search(rf"PushedFilters: \[[^\]]*{name}\(o_orderkey", batch._jdf.queryExecution().toString())
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Without one, files of a job would lie on single machines."""
+    from ledgerlane.session import shared_dir
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_flagship_broadcasts_routes_and_aggregates_partially(spark):
     p = _plan(spark, "topic_summary")
     assert "BroadcastHashJoin" in p

@@ -15,7 +15,8 @@ def _events(spark, rows):
 
 def test_single_and_mixed_batch_commit_last_offset(spark):
     root = scratch(spark, "t-offsets")
-    com = DV.OffsetCommitter(root, "stream", "ledger_offset")
+    sink = scratch(spark, "t-offsets-sink")
+    com = DV.OffsetCommitter(root, "stream", lambda df, batch: df.write.parquet(f"{sink}/batch_id={batch}"), "ledger_offset")
     single = _events(spark, [("created", "offset-1", "tx-1", "cid-1", "tid", '{"field":"value"}')]).withColumn(
         "stream", F.lit("s"))
     com(single, 0)
@@ -28,19 +29,107 @@ def test_single_and_mixed_batch_commit_last_offset(spark):
     # a late, smaller batch never moves the committed offset back (monotone)
     com(mixed.limit(1), 2)
     assert {r.stream: r.committed_offset for r in com.committed(spark).collect()}["m"] == "offset-12"
+    assert spark.read.parquet(sink).count() == 5  # every batch was written before its offset was committed
+
+
+def test_a_failed_write_commits_no_offset(spark):
+    def write(df, batch):
+        if batch == 1:
+            raise RuntimeError("sink is down")
+
+    com = DV.OffsetCommitter(scratch(spark, "t-offsets"), "s", write, "o")
+    assert com.committed(spark).collect() == []
+    rows = lambda o: spark.createDataFrame([("a", o), ("b", o)], "s string, o string")
+    com(rows("offset-1"), 0)
+    with pytest.raises(RuntimeError):
+        com(rows("offset-2"), 1)
+    assert {r.committed_offset for r in com.committed(spark).collect()} == {"offset-1"}
+    for batch in range(2, 9):
+        com(rows(f"offset-{batch}"), batch)
+    assert {(r.s, r.committed_offset) for r in com.committed(spark).collect()} == {("a", "offset-8"), ("b", "offset-8")}
+    assert len({f.split("half=")[1][0] for f in spark.read.parquet(com.root).inputFiles()}) == 2  # the log doesn't grow
 
 
 def test_abort_empty_and_retry(spark):
     root = scratch(spark, "t-txn")
     rows = _events(spark, [("created", "offset-1", "tx-1", "cid-1", "tid", "{}")])
-    failing = DV.TransactionalSink(root, fail_before_commit_of=0)
+    failing = DV.TransactionalSink(root, "ledger_offset", fail_before_commit_of=0)
     with pytest.raises(RuntimeError):
         failing(rows, 0)
-    assert failing.committed(spark).count() == 0  # aborted: nothing visible
-    DV.TransactionalSink(root)(rows.limit(0), 1)  # empty batch: no commit
-    assert DV.TransactionalSink(root).committed(spark).count() == 0
-    DV.TransactionalSink(root)(rows, 0)  # retry of the same batch id
-    assert DV.TransactionalSink(root).committed(spark).count() == 1  # visible exactly once
+    sink = DV.TransactionalSink(root, "ledger_offset")
+    seen = lambda: (sink.committed(spark, SCHEMA).count(), [(r.committed_batch, r.last_offset) for r in sink.markers(spark).collect()])
+    assert seen() == (0, [])  # aborted: neither messages nor offset
+    sink(rows.limit(0), 1)  # empty batch: no commit
+    assert seen() == (0, [])
+    sink(rows, 0)  # retry of the same batch id: messages and offset, once
+    assert seen() == (1, [(0, "offset-1")])
+
+
+def test_only_a_missing_folder_reads_as_empty(spark):
+    from py4j.protocol import Py4JJavaError
+
+    from ledgerlane.session import read_or_empty
+    assert read_or_empty(spark, scratch(spark, "t-none"), "a int").collect() == []
+    with pytest.raises(Py4JJavaError):
+        read_or_empty(spark, scratch(spark, "t-none"), "a int", "no_such_format")
+
+
+@pytest.mark.parametrize("error,attempts,waits", [
+    (DV.SendError("RecordTooLargeException", "too large"), 1, []),
+    (ValueError("bad record"), 1, []),
+    (DV.SendError("TimeoutException", "slow"), 5, [0.2, 0.4, 0.8, 1.0]),
+])
+def test_retry_by_error_class_then_dead_letter(spark, error, attempts, waits):
+    """A permanent error is tried once, a passing one as often as the rule says; then the batch is dead-lettered whole."""
+    tried, slept = [], []
+
+    def write(df, batch):
+        tried.append(batch)
+        raise error
+
+    w = DV.DeadLetterWriter(scratch(spark, "t-dlq"), write, "o", sleep=slept.append)
+    text = 'quote " and\nnewline ' + "x" * 2000
+    rows = spark.createDataFrame([(1, "o-1", text), (2, "o-2", None)], "id int, o string, t string")
+    w(rows, 7)
+    assert len(tried) == attempts and slept == waits
+    dead = w.dead(spark).collect()
+    assert sorted(r.metadata["offset"] for r in dead) == ["o-1", "o-2"]
+    assert {(r.reason, r.metadata["batch"], r.metadata["attempts"]) for r in dead} == {(str(error), "7", str(attempts))}
+    assert all("Traceback" in r.stackTrace and str(error) in r.stackTrace for r in dead)
+    assert w.delivered(spark, "id int").collect() == []
+    # Reprocessing: the events come back whole, through a sink.
+    from ledgerlane.streaming import dlq as Q
+    out = []
+    Q.replay(w.dead(spark), "id int, o string, t string", lambda df: out.extend(df.collect()))
+    assert sorted((r.id, r.o, r.t) for r in out) == [(1, "o-1", text), (2, "o-2", None)]
+    assert [(r.reason, r.entries) for r in Q.by_reason(w.dead(spark)).collect()] == [(str(error), 2)]
+
+
+def test_a_passing_error_is_delivered_on_retry(spark):
+    left = [2]
+    root = scratch(spark, "t-dlq")
+
+    def write(df, batch):
+        left[0] -= 1
+        if left[0] >= 0:
+            raise DV.SendError("NetworkException", "reset")
+        df.write.parquet(f"{root}/sink/batch_id={batch}")
+
+    w = DV.DeadLetterWriter(root, write, "id", sleep=lambda s: None)
+    w(spark.createDataFrame([(1,)], "id int"), 0)
+    assert [r.id for r in w.delivered(spark, "id int").collect()] == [1] and w.dead(spark).collect() == []
+    log = spark.read.parquet(w.log).first()
+    assert (log.status, log.events, log.attempts) == ("delivered", 1, 3)
+
+
+def test_fan_out_counts_are_those_of_the_events(spark):
+    f = DV.FanOut(scratch(spark, "t-fan-events"), scratch(spark, "t-fan-counts"))
+    rows = spark.range(10).select("id", F.when(F.col("id") < 7, "a").otherwise("b").alias("topic"))
+    f(rows, 0)
+    f(rows, 0)  # a replayed batch replaces itself
+    f(rows.filter("id = 0"), 1)
+    assert {(r.topic, r.n) for r in f.counts(spark).groupBy("topic").agg(F.sum("events").alias("n")).collect()} == {("a", 8), ("b", 3)}
+    assert f.events(spark).count() == 11
 
 
 def test_dedupe_across_batches_and_restart(spark):
@@ -74,12 +163,14 @@ def test_crash_and_restart_stream(spark):
     stream = file_stream(spark, d, src.schema)
     from pyspark.sql.utils import StreamingQueryException
     with pytest.raises(StreamingQueryException):
-        run_to_end(stream.writeStream.foreachBatch(DV.TransactionalSink(root, fail_before_commit_of=2))
+        run_to_end(stream.writeStream.foreachBatch(DV.TransactionalSink(root, "event_id", fail_before_commit_of=2))
                    .option("checkpointLocation", ck))
-    sink = DV.TransactionalSink(root)
-    assert sink.committed(spark).count() == 400  # batches 0 and 1 only
+    sink = DV.TransactionalSink(root, "event_id")
+    schema = "event_id bigint, v bigint"
+    assert sink.committed(spark, schema).count() == 400  # batches 0 and 1 only
+    assert sorted(r.last_offset for r in sink.markers(spark).collect()) == ["199", "399"]  # nor any other offset
     run_to_end(stream.writeStream.foreachBatch(sink).option("checkpointLocation", ck))
-    out = sink.committed(spark)
+    out = sink.committed(spark, schema)
     assert out.count() == 1000 and out.select("event_id").distinct().count() == 1000
     marks = spark.read.parquet(sink.commits).select("batch_id").distinct().count()
     assert marks == 5
