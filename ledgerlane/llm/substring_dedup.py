@@ -169,7 +169,9 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Level one: anchors found at two places at least (a place: text and position).
     place = F.xxhash64("t1", "t2", "span")
     repeats = staged(found.groupBy("five").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("five"), "anchors")
-    alive = staged(found.join(repeats, "five", "left_semi").distinct(), "repeated-anchors")
+    # Copies in several tasks gave equal rows.  They go after the table is written: on top of the join, the
+    # distinct would hold each anchor's rows together, and a hot anchor's couldn't be split.
+    alive = staged(found.join(repeats, "five", "left_semi"), "repeated-anchors").distinct()
     earliest_doc = docs.groupBy("t1", "t2").agg(F.min(_order()).alias("doc"))
     firsts = staged(earliest_doc.join(alive.select("t1", "t2").distinct(), ["t1", "t2"]), "first-documents")
     alive = staged(alive.join(firsts, ["t1", "t2"]), "candidates")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 LONG_WORD = 64  # longer words are hashed one by one: the polynomial below is for short ones
 
 # Fixed byte classes: white space ends a word, or everything but 0-9, a-z and non-ASCII does.
