@@ -29,11 +29,11 @@ HEADLINE = [
     "partial_failures",
     "events_processed",
     "lag_histogram",
-    "reconnects",               # chunked lag
-    "reconcile_delivery",       # full outer join of two aggregates
+    "reconnects",               # transitions by chunk, edges stitched
+    "reconcile_delivery",       # two counts in one aggregate
     "latest_feed",              # top-k
-    "ordered_delivery",
-    "dedupe_events",            # streaming: foreachBatch dedupe
+    "ordered_delivery",         # range layout and its check
+    "dedupe_events",            # streaming: dropDuplicates, RocksDB state
     "fan_out",                  # streaming: two sinks
 ]
 
@@ -45,6 +45,8 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from ledgerlane import plans
+    if only == ["all"]:
+        only = sorted(plans.QUERIES)
     from ledgerlane.session import local_session
 
     spark = local_session(cpus, app="ledgerlane-bench")

@@ -13,8 +13,9 @@ def col_(c: str | Column) -> Column:
 
 
 def offset_of(n: str | Column) -> Column:
-    """Zero-padded fixed-width ledger offset from a non-negative integer."""
-    return F.lpad(col_(n).cast("string"), OFFSET_WIDTH, "0")
+    """Zero-padded fixed-width ledger offset from a non-negative integer (a longer number is kept whole)."""
+    text = col_(n).cast("string")
+    return F.when(F.length(text) > OFFSET_WIDTH, text).otherwise(F.lpad(text, OFFSET_WIDTH, "0"))
 
 
 def offset_value(o: str | Column) -> Column:

@@ -67,5 +67,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the shared folder for one run."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder for one run, in this application's part of the shared folder."""
+    return f"{_own(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/ledgerlane-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete this application's scratch folder: call it when results that read from there are done with."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,7 @@
 """Golden cases from the reference's own tests (FIXTURES.md part A)."""
 
+# The documents, identifiers and values of these cases, as they must match.
+
 from decimal import Decimal
 
 from pyspark.sql import functions as F

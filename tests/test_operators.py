@@ -175,3 +175,46 @@ def test_delivery_report_counts_unrouted_events(spark):
     df = spark.createDataFrame([("t", "a", 1), (None, "a", 2), (None, "a", 1), (None, None, 3)], "topic string, contract_id string, ledger_offset long").coalesce(1)
     got = {r.topic: (r.events, r["keys"], r.out_of_order) for r in delivery_report(df, ["topic", "contract_id"]).collect()}
     assert got == {"t": (1, 1, 0), None: (3, 2, 1)}
+
+
+def test_prefix_topic_dots(spark):
+    """K2: a prefix keeps its dots, a module's become dashes."""
+    rows = [("Main:Iou",), ("pkg:Daml.Finance.Holding:Base",), ("A.B:C.D",)]
+    df = spark.createDataFrame(rows, "template_id string")
+    got = [r[0] for r in df.select(R.prefix_topic(prefix="canton.ledger.events")).collect()]
+    assert got == ["canton.ledger.events.Main.Iou", "canton.ledger.events.Daml-Finance-Holding.Base", "canton.ledger.events.A-B.C.D"]
+
+
+def test_batches_close_by_size_or_time(spark):
+    """ST3: a batch ends at its size or its time limit, whichever comes first."""
+    from ledgerlane.operators.batching import assign_batches, batch_manifest
+    at = [0, 1, 2, 3, 4, 10, 11, 25, 26, 27]
+    df = spark.createDataFrame([("s", t) for t in at], "topic string, t long").withColumn("ledger_offset", F.lpad(F.col("t").cast("string"), 18, "0"))
+    rows = batch_manifest(assign_batches(df, size=3, arrival_ms=F.col("t"), within_ms=10)).collect()
+    assert sorted((r.slot, r.batch_no, r.events, int(r.first_offset)) for r in rows) == [(0, 0, 3, 0), (0, 1, 2, 3), (1, 0, 2, 10), (2, 0, 3, 25)]
+    assert len(batch_manifest(assign_batches(df, size=3)).collect()) == 4
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 5000])
+def test_pages_of_any_size(spark, size):
+    from ledgerlane.operators.batching import pages
+    df = spark.range(0, 2000, 3).withColumnRenamed("id", "k")
+    got = sorted((r.k, r.page, r.cursor) for r in pages(df, "k", size).collect())
+    keys = list(range(0, 2000, 3))
+    assert got == [(k, i // size, keys[min(i // size * size + size, len(keys)) - 1]) for i, k in enumerate(keys)]
+
+
+def test_offsets_over_18_digits_are_kept_whole(spark):
+    from ledgerlane.functions.columns import offset_of
+    df = spark.createDataFrame([(5,), (9_223_372_036_854_775_807,)], "n long")
+    assert [r[0] for r in df.select(offset_of("n")).collect()] == ["0" * 17 + "5", "9223372036854775807"]
+
+
+def test_reconnects_across_chunks(spark):
+    """Steps inside chunks and from one chunk to a later one, per key."""
+    from ledgerlane.operators.metrics import transitions
+    rows = [("a", o, s) for o, s in enumerate([0, 1, 1, 0, 0, 1, 0, 1])] + [("b", 0, 1), ("b", 50, 1), ("c", 3, 0), ("c", 90, 1)]
+    df = spark.createDataFrame(rows, "k string, o long, s int")
+    for width in (1, 2, 3, 100):
+        got = {r.k: r.reconnects for r in transitions(df, "k", "s", "o", F.floor(F.col("o") / width)).collect()}
+        assert got == {"a": 3, "b": 0, "c": 1}
