@@ -3,8 +3,10 @@
 Learning.  A token's score is its log-odds between toxic and clean labelled
 documents, with a Dirichlet prior that is the whole corpus; tokens whose
 log-odds aren't clearly above zero score a small negative constant, so a
-random text drifts down.  Tokens are hashed to a fixed number of slots: the
-model's size doesn't depend on the vocabulary.
+random text drifts down.  Tokens are hashed to a slot in each of two tables
+of fixed size, and score the lower of both slots' scores: the model's size
+doesn't depend on the vocabulary, and a token that shares a slot with a toxic
+one hardly ever shares both.
 
 Scoring.  One linear scan (Ruzzo and Tompa) finds all maximal segments of
 positive score.  The best segment of a clean text of n words follows an
@@ -27,6 +29,7 @@ from ledgerlane.llm.common import staged
 from ledgerlane.llm.words import NOT_ALNUM, slices, split_words
 
 SLOT_BITS = 17
+SLOTS = 1 << SLOT_BITS  # of each table
 MAX_LABELLED = 200_000  # labelled rows that the model is fitted on; more are cut to those with the smallest hash of their id
 PRIOR_DOCS = 100.0      # the prior weighs as much as so many documents in each class
 CLEAR = 3.0             # standard errors above zero from which a token's log-odds count
@@ -34,22 +37,26 @@ TOP_SCORE = 10.0
 BY_CHANCE = 0.05        # segments expected by chance in a clean text of that length, at most, of a toxic passage
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's slot in the first and in the second table."""
+    first, second = hashes >> np.uint64(64 - SLOT_BITS), hashes >> np.uint64(64 - 2 * SLOT_BITS)
+    return first.astype(np.int64), (second & np.uint64(SLOTS - 1)).astype(np.int64) + SLOTS
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents that have each slot's tokens: all, toxic and clean ones; slot -1 counts the documents."""
-    n = 1 << SLOT_BITS
+    n = 2 * SLOTS
     counts, docs = np.zeros((3, n), np.int64), np.zeros(3, np.int64)
     for batch in batches:
         for part in slices(batch, "text"):
             label = part.column("label").fill_null(-1).to_numpy(zero_copy_only=False)
             w = split_words(part.column("text"), NOT_ALNUM, lower=True)
-            own, slot = np.divmod(np.unique(w.text_of() * n + _slots(w.hashes())), n)
-            for k, docs_of in enumerate((label >= -1, label == 1, label == 0)):
-                counts[k] += np.bincount(slot[docs_of[own]], minlength=n)
-                docs[k] += docs_of.sum()
+            classes = (label >= -1, label == 1, label == 0)
+            docs += [of.sum() for of in classes]
+            for slots in _slots(w.hashes()):
+                own, slot = np.divmod(np.unique(w.text_of() * n + slots), n)
+                for k, of in enumerate(classes):
+                    counts[k] += np.bincount(slot[of[own]], minlength=n)
     some = np.flatnonzero(counts[0])
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), *[pa.array(np.concatenate([docs[k:k + 1], counts[k][some]])) for k in range(3)]],
                                      names=["slot", "every", "toxic", "clean"])
@@ -104,7 +111,7 @@ def _scan(batches: Iterator[pa.RecordBatch], score: np.ndarray) -> Iterator[pa.R
     for batch in batches:
         for part in slices(batch, "text"):
             w = split_words(part.column("text"), NOT_ALNUM, lower=True)
-            s = score[_slots(w.hashes())]
+            s = np.minimum(*(score[slots] for slots in _slots(w.hashes())))
             total = np.concatenate([[0.0], np.cumsum(s)])
             hits = np.flatnonzero(s > 0)
             cuts = np.searchsorted(hits, w.bounds)
@@ -152,7 +159,7 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     The classifier is fitted on a bounded sample of labelled rows that aren't
     held out (``max_labelled``); the prior's counts cover all rows.  No text is
     shuffled: the sample is broadcast, within its bound, and so are the scores
-    of 2 ^ 17 slots.  Texts are read twice, to count and to scan.
+    of 2 ^ 18 slots.  Texts are read twice, to count and to scan.
 
     Null or empty text, or one without words: no segment, scored as such.
     Without a label of each class every score is 0.  Repeated rows are scored
@@ -165,12 +172,14 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = (known.mapInArrow(_count, "slot bigint, every bigint, toxic bigint, clean bigint").groupBy("slot")
               .agg(*[F.sum(c).alias(c) for c in ("every", "toxic", "clean")]).toArrow())  # a row for each slot at most
     slot = counts.column("slot").to_numpy() + 1
-    full = np.zeros((3, (1 << SLOT_BITS) + 1))
+    full = np.zeros((3, 2 * SLOTS + 1))
     for k, c in enumerate(("every", "toxic", "clean")):
         full[k, slot] = counts.column(c).to_numpy()
     docs = full[:, 0]
     fits = docs[1] > 0 and docs[2] > 0
-    score, lam = token_scores(*full[:, 1:], docs) if fits else (np.full(1 << SLOT_BITS, -1.0), 1.0)
+    tables = [token_scores(*full[:, a:a + SLOTS], docs) if fits else (np.full(SLOTS, -1.0), 1.0) for a in (1, SLOTS + 1)]
+    # Each table's scores are at least the tokens': the smaller lambda is the cautious one.
+    score, lam = np.concatenate([t for t, _ in tables]), min(x for _, x in tables)
     shared = spark.sparkContext.broadcast(score)
     id_type = df.schema[id_col].dataType.simpleString()
     found = staged(src.mapInArrow(lambda it: _scan(it, shared.value),
