@@ -23,7 +23,7 @@ from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words
 TABLE_BITS = 16
 # Windows per search table: a block of items is broadcast to the tasks, so its size is bounded whatever
 # the number of items; more items are more blocks.
-BLOCK_WINDOWS = 200_000
+BLOCK_WINDOWS = 50_000
 
 
 class WuManber:
