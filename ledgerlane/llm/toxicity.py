@@ -1,9 +1,12 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Learning.  A token's score is its log-odds between toxic and clean labelled
-documents, with a Dirichlet prior that is the whole corpus; tokens whose
-log-odds aren't clearly above zero score a small negative constant, so a
-random text drifts down.  Tokens are hashed to a slot in each of two tables
+Learning.  A word's tokens are the word and its stems of a few lengths.  A
+token's score is its log-odds between toxic and clean labelled documents, with
+a Dirichlet prior that is the whole corpus; tokens whose log-odds aren't
+clearly above zero score a small negative constant, so a random text drifts
+down.  A word scores as its best token.  Near copies among the labelled
+documents count once: else the rare words of one text with many copies would
+pass for signs of its label.  Tokens are hashed to a slot in each of two tables
 of fixed size, and score the lower of both slots' scores: the model's size
 doesn't depend on the vocabulary, and a token that shares a slot with a toxic
 one hardly ever shares both.
@@ -26,13 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import staged
-from ledgerlane.llm.words import NOT_ALNUM, slices, split_words
+from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words, window_hashes
 
 SLOT_BITS = 17
 SLOTS = 1 << SLOT_BITS  # of each table
+STEMS = (4, 5, 6)       # bytes of the stems that are tokens besides the word
+SHINGLE = 5             # words of the shingles by which near copies are told
 MAX_LABELLED = 200_000  # labelled rows that the model is fitted on; more are cut to those with the smallest hash of their id
 PRIOR_DOCS = 100.0      # the prior weighs as much as so many documents in each class
 CLEAR = 3.0             # standard errors above zero from which a token's log-odds count
+LEAST_ODDS = 2.0        # log-odds below this tell too little, however sure
 TOP_SCORE = 10.0
 BY_CHANCE = 0.05        # segments expected by chance in a clean text of that length, at most, of a toxic passage
 
@@ -43,8 +49,31 @@ def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first.astype(np.int64), (second & np.uint64(SLOTS - 1)).astype(np.int64) + SLOTS
 
 
+def _tokens(w: Words) -> np.ndarray:
+    """A row for the words and one for each length of stems."""
+    return np.vstack([w.hashes()[None], w.stem_hashes(STEMS)])
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest shingle hash of each text: near copies mostly share it."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            w = split_words(part.column("text"), NOT_ALNUM, lower=True)
+            h, bounds = w.hashes(), w.bounds
+            out = np.zeros(part.num_rows, np.uint64)
+            for d in range(part.num_rows):
+                a, b = int(bounds[d]), int(bounds[d + 1])
+                if b > a:
+                    starts = np.arange(a, max(a + 1, b - SHINGLE + 1)) - a
+                    out[d] = window_hashes(h[a:b], starts, np.minimum(starts + SHINGLE, b - a)).min()
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(out.view(np.int64))], names=["id", "label", "sketch"])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that have each slot's tokens: all, toxic and clean ones; slot -1 counts the documents."""
+    """How often the documents have each slot's tokens: all, toxic and clean ones; slot -1 counts the documents.
+
+    A token that a document has t times counts 1 + floor(log2 t): repeats tell something, but not as much as documents.
+    """
     n = 2 * SLOTS
     counts, docs = np.zeros((3, n), np.int64), np.zeros(3, np.int64)
     for batch in batches:
@@ -53,23 +82,30 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w = split_words(part.column("text"), NOT_ALNUM, lower=True)
             classes = (label >= -1, label == 1, label == 0)
             docs += [of.sum() for of in classes]
-            for slots in _slots(w.hashes()):
-                own, slot = np.divmod(np.unique(w.text_of() * n + slots), n)
+            tokens = _tokens(w)
+            sets = [np.unique(tokens[:, a:b], return_counts=True) for a, b in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist())]
+            own = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
+            times = np.frexp(np.concatenate([np.zeros(0), *[t for _, t in sets]]))[1]
+            for slots in _slots(np.concatenate([np.zeros(0, np.uint64), *[x for x, _ in sets]])):
                 for k, of in enumerate(classes):
-                    counts[k] += np.bincount(slot[of[own]], minlength=n)
+                    counts[k] += np.bincount(slots[of[own]], times[of[own]], n).astype(np.int64)
     some = np.flatnonzero(counts[0])
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), *[pa.array(np.concatenate([docs[k:k + 1], counts[k][some]])) for k in range(3)]],
                                      names=["slot", "every", "toxic", "clean"])
 
 
 def token_scores(every: np.ndarray, toxic: np.ndarray, clean: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, float]:
-    """Score of each slot's tokens and the extreme-value law's lambda, from the numbers of documents that have them."""
-    share = (every + 0.01) / (docs[0] + 1)
-    prior = PRIOR_DOCS * share
+    """Score of each slot's tokens and the extreme-value law's lambda, from their counts.
+
+    Log-odds with an informative Dirichlet prior: pseudo-counts in proportion
+    to the whole corpus, as many as ``PRIOR_DOCS`` of its documents have.
+    """
+    strength = PRIOR_DOCS * every.sum() / max(docs[0], 1)
+    prior = strength * (every + 0.01) / (every + 0.01).sum()
     a, b = toxic + prior, clean + prior
-    odds = np.log(a / (docs[1] + PRIOR_DOCS - a + 1)) - np.log(b / (docs[2] + PRIOR_DOCS - b + 1))
+    odds = np.log(a / (toxic.sum() + strength - a)) - np.log(b / (clean.sum() + strength - b))
     z = odds / np.sqrt(1 / a + 1 / b)
-    score = np.where((z >= CLEAR) & (odds > 0), np.minimum(odds, TOP_SCORE), 0.0)
+    score = np.where((z >= CLEAR) & (odds >= LEAST_ODDS), np.minimum(odds, TOP_SCORE), 0.0)
     p = (clean + prior) / (clean + prior).sum()
     drift = max(0.05, 2 * float((p * score).sum()))
     score = np.where(score > 0, score, -drift)
@@ -111,7 +147,7 @@ def _scan(batches: Iterator[pa.RecordBatch], score: np.ndarray) -> Iterator[pa.R
     for batch in batches:
         for part in slices(batch, "text"):
             w = split_words(part.column("text"), NOT_ALNUM, lower=True)
-            s = np.minimum(*(score[slots] for slots in _slots(w.hashes())))
+            s = np.minimum(*(score[slots] for slots in _slots(_tokens(w)))).max(axis=0)
             total = np.concatenate([[0.0], np.cumsum(s)])
             hits = np.flatnonzero(s > 0)
             cuts = np.searchsorted(hits, w.bounds)
@@ -152,6 +188,14 @@ def training_labels(labels: DataFrame, id_col: str, label_col: str, max_labelled
     return staged(rows.orderBy(F.xxhash64("id")).limit(max_labelled), "training-labels")
 
 
+def _without_copies(src: DataFrame, train: DataFrame) -> DataFrame:
+    """(id, label) of one document of each label and sketch among the labelled ones."""
+    id_type = src.schema["id"].dataType.simpleString()
+    sketched = src.join(F.broadcast(train), "id").select("id", "label", "text").mapInArrow(_sketch, f"id {id_type}, label int, sketch bigint")
+    one = sketched.groupBy("sketch", "label").agg(F.min("id").alias("id")).select("id", "label").distinct()
+    return staged(one, "training-documents")
+
+
 def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row: ``id``, ``held_out``, ``score``, ``predicted`` and ``passages`` (start, end, score, by_chance) in words.
@@ -159,7 +203,8 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     The classifier is fitted on a bounded sample of labelled rows that aren't
     held out (``max_labelled``); the prior's counts cover all rows.  No text is
     shuffled: the sample is broadcast, within its bound, and so are the scores
-    of 2 ^ 18 slots.  Texts are read twice, to count and to scan.
+    of 2 ^ 18 slots.  Labelled texts are read to tell copies, all texts to count
+and to scan.
 
     Null or empty text, or one without words: no segment, scored as such.
     Without a label of each class every score is 0.  Repeated rows are scored
@@ -168,7 +213,7 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     spark = df.sparkSession
     train = training_labels(labels, id_col, label_col, max_labelled)
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    known = src.join(F.broadcast(train), "id", "left").select("text", "label")
+    known = src.join(F.broadcast(_without_copies(src, train)), "id", "left").select("text", "label")
     counts = (known.mapInArrow(_count, "slot bigint, every bigint, toxic bigint, clean bigint").groupBy("slot")
               .agg(*[F.sum(c).alias(c) for c in ("every", "toxic", "clean")]).toArrow())  # a row for each slot at most
     slot = counts.column("slot").to_numpy() + 1

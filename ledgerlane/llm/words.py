@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 LONG_WORD = 64  # longer words are hashed one by one: the polynomial below is for short ones
 
 # Fixed byte classes: white space ends a word, or everything but 0-9, a-z and non-ASCII does.
@@ -77,6 +77,20 @@ class Words:
             h[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i]:self.ends[i]].tobytes(), seed=which)
         return h
 
+    def stem_hashes(self, sizes: tuple[int, ...]) -> np.ndarray:
+        """A row per size: a hash of each word's first so many bytes; of words that aren't longer, the whole word's."""
+        out = np.empty((len(sizes), len(self.starts)), np.uint64)
+        whole = self.hashes()
+        values = self.data.astype(np.uint64) + np.uint64(1)
+        up, down = _powers(_BASES[0], len(values) + 1)
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[:len(values)], out=total[1:])
+        for row, size in zip(out, sizes):
+            longer = self.ends - self.starts > size
+            stem = mix((total[np.minimum(self.starts + size, self.ends)] - total[self.starts]) * down[self.starts] + np.uint64(size))
+            row[:] = np.where(longer, stem, whole)
+        return out
+
     def text_of(self) -> np.ndarray:
         """The text each word belongs to."""
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))

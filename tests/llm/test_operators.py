@@ -324,13 +324,20 @@ def test_held_out_accuracy(spark):
 
 
 def test_toxicity_edges(spark):
-    rows = texts() + [(300 + i, "you awful idiot " * (i % 4) + f"plain words number {i}") for i in range(60)]
-    labels = [(300 + i, int(i % 4 > 0)) for i in range(50)] + [(None, 1), (301, None), (999, 1)]
+    plain = [f"w{k}" for k in range(400)]
+    rng = np.random.default_rng(3)
+    bad = lambda i: "you awful idiot, idiotically " if i % 4 == 1 else ""
+    rows = texts() + [(1000 + i, " ".join(rng.choice(plain, 30)) + f" {bad(i)}" + " ".join(rng.choice(plain, 30))) for i in range(800)]
+    labels = [(1000 + i, int(i % 4 == 1)) for i in range(600)] + [(None, 1), (1001, None), (999, 1)]
     df, lab = spark.createDataFrame(rows, DOC), spark.createDataFrame(labels, "doc_id bigint, toxic int")
-    out = {(r.id, r.held_out): r for r in toxicity.toxicity(df, lab).collect()}
-    assert sum(1 for _ in out) <= len(rows) and out[(None, True)].score is not None
-    for i in range(50, 60):
-        r = next(r for (k, _), r in out.items() if k == 300 + i)
-        assert (r.score > 0.4) == (i % 4 > 0)
+    found = toxicity.toxicity(df, lab).collect()
+    assert len(found) == len(rows)
+    out = {r.id: r for r in found if r.id is not None}
+    for i in range(600, 800):
+        r = out[1000 + i]
+        assert r.predicted == int(i % 4 == 1)
+        assert [(p.start, p.end) for p in r.passages] == ([(30, 34)] if r.predicted else [])
+    nulls = [r for r in found if r.id is None]
+    assert len(nulls) == 2 and all(r.held_out and r.predicted == 0 for r in nulls)  # a null id is held out, as crc32 of "" is 0
     none = toxicity.toxicity(df, lab.limit(0)).collect()
     assert len(none) == len(rows) and {r.score for r in none} == {0.0}
