@@ -5,7 +5,7 @@ import os
 import pytest
 
 from ledgerlane import plans
-from ledgerlane.plans.check import compare, duck
+from tests.check import compare, duck
 from tests.conftest import SF01, SF001
 
 #: The largest tables take as long as all other tests together.
