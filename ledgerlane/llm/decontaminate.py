@@ -17,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ledgerlane.llm.common import digest
 from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words
 
 TABLE_BITS = 16
@@ -138,17 +140,16 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
         raise ValueError("a window is 1 to 255 words")
     carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep or [])]
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *carried)
-    kept = "".join(f", c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(keep or []))
-    schema = f"id {df.schema[id_col].dataType.simpleString()}{kept}, n_words bigint, marks array<bigint>, items array<string>"
+    found = list(StructType.fromDDL("n_words bigint, marks array<bigint>, items array<string>"))
+    schema = StructType([*src.drop("text").schema, *found])
     tables_of = lambda block: [WuManber(m, p) for m, p in sorted(block.items())]
     blocks = [tables_of(b) for b in _blocks(items, item_id, item_text, window, block_windows)]
     if len(blocks) == 1:
         return _found(src, blocks[0], schema)
     # More blocks: the same rows once for each block, met again by digest (equal rows have equal answers).
-    from ledgerlane.llm.common import digest
     k1, k2 = digest(F.col("id"), F.col("text"))
     src = src.select("*", k1.alias("k1"), k2.alias("k2"))
-    schema = schema.replace(", n_words", ", k1 bigint, k2 bigint, n_words", 1)
+    schema = StructType([*src.drop("text").schema, *found])
     first = _found(src, [], schema)
     hits = None
     for tables in blocks:
@@ -161,7 +162,7 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
             .withColumns({"marks": F.coalesce("m", "marks"), "items": F.coalesce("i", "items")}).drop("k1", "k2", "m", "i"))
 
 
-def _found(src: DataFrame, tables: list[WuManber], schema: str) -> DataFrame:
+def _found(src: DataFrame, tables: list[WuManber], schema: StructType) -> DataFrame:
     shared = src.sparkSession.sparkContext.broadcast(tables)
     return src.mapInArrow(lambda it: _search(it, shared.value), schema)
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlane.session import scratch
 
@@ -97,10 +98,10 @@ def shard_rows(df: DataFrame, shards: int = 8, seed: int = 42, file_rows: int =
     """
     spark = df.sparkSession
     path = scratch(spark, "shard")
-    (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-     .write.option("maxRecordsPerFile", file_rows).parquet(path))
-    staged = (spark.read.schema(f"row {df.select(F.struct(*[F.col(f'`{c}`') for c in df.columns])).schema[0].dataType.simpleString()}")
-              .parquet(path).select("row", F.col("_metadata.file_name").alias("name"), F.col("_metadata.row_index").alias("at")))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    rows.write.option("maxRecordsPerFile", file_rows).parquet(path)
+    staged = (spark.read.schema(rows.schema).parquet(path)
+              .select("row", F.col("_metadata.file_name").alias("name"), F.col("_metadata.row_index").alias("at")))
     counts = sorted((r["name"], r["count"]) for r in staged.groupBy("name").count().collect())
     n = sum(c for _, c in counts)
     sizes = shard_sizes(n, shards)
@@ -108,7 +109,7 @@ def shard_rows(df: DataFrame, shards: int = 8, seed: int = 42, file_rows: int =
     matrix = spark.createDataFrame([(name, i, cuts[i].tolist()) for i, (name, _) in enumerate(counts)],
                                    "name string, file int, cuts array<bigint>")
     dealt = staged.join(matrix, "name").select("row", "file", "at", "cuts")
-    schema = f"row {staged.schema['row'].dataType.simpleString()}, file int, at bigint, shard int, key bigint"
+    schema = StructType([rows.schema["row"], *StructType.fromDDL("file int, at bigint, shard int, key bigint")])
     dealt = dealt.mapInArrow(lambda it: _deal(it, seed), schema)
     blocks = max(1, -(-(n // shards) // block_rows))
     # Equal cuts of the keys' range: blocks of about equal size in key order.
@@ -116,7 +117,7 @@ def shard_rows(df: DataFrame, shards: int = 8, seed: int = 42, file_rows: int =
     dealt = dealt.withColumn("block", F.expr(f"cast(floor((cast(key as decimal(20,0)) + 9223372036854775808) / {width}) as int)"))
     dealt_path = scratch(spark, "shard-dealt")
     dealt.write.parquet(dealt_path)
-    dealt = spark.read.schema(f"{schema}, block int").parquet(dealt_path)
+    dealt = spark.read.schema(dealt.schema).parquet(dealt_path)
     before = (Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     firsts = dealt.groupBy("shard", "block").count().select(
         "shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))

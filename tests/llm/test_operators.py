@@ -95,6 +95,15 @@ def test_contamination_in_blocks(spark):
     same_rows(one, want)
 
 
+def test_odd_column_names_are_carried(spark):
+    df = spark.createDataFrame([(1, "q w e", {"a b": 1.5}, 3)], "doc_id bigint, text string, `odd name` map<string,double>, slot int")
+    items = spark.createDataFrame([("i", "w")], "item_id string, text string")
+    r = contamination(df, items, keep=df.columns).first()
+    assert (r.c0, r.c1, r.c2, r.c3, r.marks) == (1, "q w e", {"a b": 1.5}, 3, [1 << 8 | 1])
+    r = sharding.shard_rows(df, 2).first()
+    assert (r.row["odd name"], r.row["slot"], r.shard, r.slot) == ({"a b": 1.5}, 3, 0, 0)
+
+
 # URL filters
 
 def test_digest_array_tells_collisions_apart(tmp_path, monkeypatch):
