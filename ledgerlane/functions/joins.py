@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A configuration table (routes, handlers, subscriptions) is broadcast only
-# while it holds at most this many rows; larger ones take a shuffle join.
+# while it holds at most this many rows and bytes; larger ones take a shuffle join.
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def small(df: DataFrame, known_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when its row count is proven within ``max_rows``.
+def small(df: DataFrame, known_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS,
+          max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when its size is proven within ``max_rows`` and ``max_bytes``.
 
-    ``known_rows`` is given when the caller built the table from a list; else
-    the check reads at most ``max_rows + 1`` rows of it (bounded work).
+    ``known_rows`` is given when the caller built the table from a list that
+    the driver holds; else at most ``max_rows + 1`` rows of it are read and
+    their bytes summed (bounded work).
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df

@@ -11,7 +11,6 @@ from ledgerlane.functions.columns import epoch_micros, max_offset, offset_value
 from ledgerlane.operators import metrics as M
 from ledgerlane.operators import route as R
 from ledgerlane.operators.batching import BATCH_SIZE
-from ledgerlane.operators.sequence import offset_chunk
 from ledgerlane.plans.oracle import TXN_SQL, with_ledger, with_routed
 from ledgerlane.plans.registry import register
 from ledgerlane.plans.routing import record_results, routed_flat, routed_ledger

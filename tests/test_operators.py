@@ -1,7 +1,5 @@
 """Unit checks of individual operators on small hand-made frames."""
 
-from decimal import Decimal
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +216,10 @@ def test_reconnects_across_chunks(spark):
     for width in (1, 2, 3, 100):
         got = {r.k: r.reconnects for r in transitions(df, "k", "s", "o", F.floor(F.col("o") / width)).collect()}
         assert got == {"a": 3, "b": 0, "c": 1}
+
+
+def test_broadcast_only_within_rows_and_bytes(spark):
+    from ledgerlane.functions.joins import small
+    df = spark.range(100).withColumn("t", F.repeat(F.lit("x"), 1000))
+    hinted = lambda d: "UnresolvedHint" in d._jdf.queryExecution().logical().toString() or "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert hinted(small(df)) and not hinted(small(df, max_rows=99)) and not hinted(small(df, max_bytes=50_000))
