@@ -157,6 +157,7 @@ class _Value:
     col: Column | None
     tag: object  # str, or a Column yielding a tag string (json form)
     text: Column | None = None  # canonical text form (for Numeric equality)
+    scale: int | None = None  # of a decimal column
 
 
 def _typed_extract(ctx: TypedPayload, path: tuple) -> _Value:
@@ -180,7 +181,7 @@ def _typed_extract(ctx: TypedPayload, path: tuple) -> _Value:
     else:
         tag = ctx.tags.get(tuple(path), TEXT)
     text = c.cast("string") if tag != RECORD else F.to_json(c)
-    return _Value(c, tag, text)
+    return _Value(c, tag, text, cur_type.scale if isinstance(cur_type, T.DecimalType) else None)
 
 
 def _json_extract(ctx: JsonPayload, path: tuple) -> _Value:
@@ -218,6 +219,7 @@ def _numeric_text(v: _Value) -> Column:
     return v.col.cast("string") if isinstance(v.tag, str) else F.try_variant_get(v.col, "$", "string")
 
 
+_FITS = r"^-?[0-9]{1,27}(\.[0-9]{1,10})?$"
 _DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
 
 
@@ -264,8 +266,17 @@ def _pred(p: ValuePredicate, v: _Value) -> Column:
     if isinstance(p, BoolIs):
         return _tag_is(v, BOOL) & (_as(v, "boolean") == p.value)
     if isinstance(p, (NumericGt, NumericLt)):
-        up = compare_decimal(_numeric_text(v), str(p.threshold))
-        return _tag_is(v, NUMERIC) & F.coalesce(up > 0 if isinstance(p, NumericGt) else up < 0, F.lit(False))
+        text, t = _numeric_text(v), Decimal(str(p.threshold))
+        up = compare_decimal(text, str(t))
+        exact = up > 0 if isinstance(p, NumericGt) else up < 0
+        if abs(t) < Decimal(10) ** 27 and t.as_tuple().exponent >= -10:
+            if v.scale is not None and v.scale <= 10:  # the column's decimals widen to the limit's without loss
+                d, limit = v.col, F.lit(t)
+                return _tag_is(v, NUMERIC) & F.coalesce(d > limit if isinstance(p, NumericGt) else d < limit, F.lit(False))
+            # A number that a decimal(38,10) holds exactly, as nearly all do, is compared as one; the answer is the same.
+            d, limit = text.try_cast("decimal(38,10)"), F.lit(t).cast("decimal(38,10)")
+            exact = F.when(text.rlike(_FITS), d > limit if isinstance(p, NumericGt) else d < limit).otherwise(exact)
+        return _tag_is(v, NUMERIC) & F.coalesce(exact, F.lit(False))
     if isinstance(p, IsEqualTo):
         # Equality of the ledger value, type included; Numeric compares its
         # text ("1.0" is not "1.00"), records compare their JSON text.

@@ -46,7 +46,7 @@ def spread(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
 
     A parquet file with a single row group is read by one task whatever its
     byte splits, so all work up to the first shuffle would run on one core.
-    A scan that would keep at most a quarter of the cores busy is
+    A scan that would keep at most half of the cores busy is
     hash-partitioned on ``key`` over ``defaultParallelism`` partitions
     (deterministic, and two tables spread on their join key are
     co-partitioned); any other (any large table) is returned unchanged, so at
@@ -60,7 +60,7 @@ def spread(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
         target = df.sparkSession.sparkContext.defaultParallelism
         cache_key = (path, target)
         if path is None or cache_key not in _SPREAD:
-            _SPREAD[cache_key] = 4 * df.rdd.getNumPartitions() <= target
+            _SPREAD[cache_key] = 2 * df.rdd.getNumPartitions() <= target
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): leave the scan as it is
         return df
     return df.repartition(target, key) if _SPREAD[cache_key] else df

@@ -223,3 +223,22 @@ def test_broadcast_only_within_rows_and_bytes(spark):
     df = spark.range(100).withColumn("t", F.repeat(F.lit("x"), 1000))
     hinted = lambda d: "UnresolvedHint" in d._jdf.queryExecution().logical().toString() or "broadcast" in d._jdf.queryExecution().logical().toString().lower()
     assert hinted(small(df)) and not hinted(small(df, max_rows=99)) and not hinted(small(df, max_bytes=50_000))
+
+
+def test_numeric_predicates_agree_with_decimals(spark):
+    """The fast comparison and the exact one give one answer, on text and at the edges of what a decimal(38,10) holds."""
+    from decimal import Decimal
+
+    from ledgerlane.functions import filters as X
+    values = ["1", "1.00000000001", "0.9999999999", "1" * 27, "1" * 28, "1" * 35, "-1" + "0" * 30, "-0.5", "x", "", "1.", ".5", "007", "1e2"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    number = lambda v: Decimal(v) if v not in ("x", "") else None
+    tagged = X._Value(F.col("v"), X.NUMERIC, F.col("v"))
+    for t in ("1", "0.99999999995", "1" * 30, "-0.25", "7"):
+        for p, op in ((X.NumericGt, Decimal.__gt__), (X.NumericLt, Decimal.__lt__)):
+            got = [r[0] for r in df.select(X._pred(p(Decimal(t)), tagged)).collect()]
+            assert got == [n is not None and op(n, Decimal(t)) for n in map(number, values)], (t, p)
+    typed = spark.sql("SELECT CAST(x AS DECIMAL(38,10)) AS v FROM VALUES ('1'), ('1.0000000001'), ('9999999999999999999999999999'), ('-3'), (NULL) AS t(x)")
+    for t in ("1", "0.9999999999", "999999999999999999999999999"):
+        rows = typed.select("v", X._pred(X.NumericGt(Decimal(t)), X._Value(F.col("v"), X.NUMERIC, F.col("v"), 10)).alias("up")).collect()
+        assert [r.up for r in rows] == [r.v is not None and r.v > Decimal(t) for r in rows]
