@@ -7,6 +7,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerlane.llm import packing, sharding, toxicity, url_filter, warc
@@ -241,6 +243,43 @@ def test_bm25_order():
     assert list(packing.fill_windows(units, 8, idf, 4.0)) == [[(0, 0, 4), (3, 0, 4)], [(1, 0, 4), (2, 0, 4)]]
 
 
+@pytest.mark.parametrize("topics", [10, 40])
+def test_neighbours_are_found_in_the_whole_table(spark, topics):
+    # Documents of a topic have its words in a random order, so hardly any pair of ids in a row is common to two of them.
+    rng = np.random.default_rng(topics)
+    words = [f"{a}{b}" for a in "Alpha Gamma Delta Omega Sigma Theta Kappa Zeta Lambda Iota".split() for b in range(10, 90)]
+    of = [rng.permutation(words)[:12] for _ in range(topics)]
+    rows = [(i, " ".join(rng.choice(of[i % topics], 24))) for i in range(topics * 8)]
+    out = packing.pack(spark.createDataFrame(rows, DOC).repartition(3), window=256, shard_units=16).collect()
+    of_seq = {}
+    for p in sorted(out, key=lambda p: p.offset):
+        of_seq.setdefault(p.sequence_id, []).append(p.id)
+    joined = [(a, b) for s in of_seq.values() for a in s[:1] for b in s[1:]]
+    # In the whole table, a document's nearest neighbours are of its topic, at both sizes.
+    assert np.mean([a % topics == b % topics for a, b in joined]) > 0.5
+
+
+def test_search_is_brute_force(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_UNITS", 7)
+    rng = np.random.default_rng(5)
+    docs = [np.minimum(rng.geometric(0.05, rng.integers(1, 60)), 199).astype("<u2") for _ in range(50)]
+    size, df = np.array([len(d) for d in docs]), np.zeros(200)
+    for d in docs:
+        df[np.unique(d)] += 1
+    idf = np.log(1 + (50 - df + 0.5) / (df + 0.5))
+    hot = np.full(200, -1)
+    hot[df * packing.HOT > 50] = np.arange(np.sum(df * packing.HOT > 50))
+    bags = [np.unique(d, return_counts=True) for d in docs]
+    index = pa.table({"unit": np.arange(50), "doc_tokens": size, "terms": [b[0].tobytes() for b in bags], "tf": [b[1].astype("<u4").tobytes() for b in bags]})
+    pq.write_table(index, f"{tmp_path}/index.parquet")
+    got = pa.Table.from_batches(packing._search(iter(index.to_batches()), [f"{tmp_path}/index.parquet"], idf, size.mean(), hot, 4, "<u2"))
+    whole = packing.Shard(docs, idf, size.mean())
+    for s in range(50):
+        mine = [u for u, of in zip(got["unit"].to_pylist(), got["seed"].to_pylist()) if of == s]
+        best = np.sort(whole.scores(s))[::-1][:4]
+        assert np.allclose(whole.scores(s)[mine], best[best > 0], rtol=1e-4)
+
+
 # Quality rules
 
 def brute_counts(t):
