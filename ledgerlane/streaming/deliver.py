@@ -163,7 +163,9 @@ class OffsetCommitter:
     The log is two snapshots of all streams' offsets, written in turn: each
     commit merges the other one with the batch by ``max``, so a late or
     replayed batch moves nothing back, a commit that dies half-way leaves the
-    other snapshot, and the log doesn't grow with the batches.
+    other snapshot, and the log doesn't grow with the batches.  An empty batch
+    writes nothing to the sink, but carries the snapshot over, so the other one
+    is always that of the batch before.
     """
 
     SCHEMA = "stream string, offset string, half int"
@@ -172,9 +174,8 @@ class OffsetCommitter:
         self.root, self.stream_col, self.offset_col, self.write = root, stream_col, offset_col, write
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        self.write(df, batch_id)  # raises: nothing is committed, and the batch is replayed
+        if not df.isEmpty():
+            self.write(df, batch_id)  # raises: nothing is committed, and the batch is replayed
         new = df.select(F.col(self.stream_col).alias("stream"), F.col(self.offset_col).alias("offset"))
         old = read_or_empty(df.sparkSession, f"{self.root}/half={1 - batch_id % 2}", "stream string, offset string")
         (old.unionByName(new).groupBy("stream").agg(F.max("offset").alias("offset"))

@@ -1,10 +1,13 @@
 """Sink behaviour: transactional batches, offset commits, dedupe (FIXTURES A3, SURVEY §5 d)."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlane.session import scratch
 from ledgerlane.streaming import deliver as DV
+from ledgerlane.streaming.sources import file_stream, run_to_end
 
 SCHEMA = "type string, ledger_offset string, transaction_id string, contract_id string, template_id string, payload string"
 
@@ -50,6 +53,18 @@ def test_a_failed_write_commits_no_offset(spark):
     assert len({f.split("half=")[1][0] for f in spark.read.parquet(com.root).inputFiles()}) == 2  # the log doesn't grow
 
 
+def test_an_empty_batch_loses_no_committed_offset(spark):
+    d, written = scratch(spark, "t-landing"), []
+    for rows in ([("a", "offset-1")], [], [("b", "offset-2")], [], [], [("c", "offset-3")]):  # a micro-batch each
+        spark.createDataFrame(rows, "s string, o string").coalesce(1).write.mode("append").parquet(d)
+        time.sleep(0.02)
+    com = DV.OffsetCommitter(scratch(spark, "t-offsets"), "s", lambda df, batch: written.append(batch), "o")
+    run_to_end(file_stream(spark, d, "s string, o string").writeStream.foreachBatch(com)
+               .option("checkpointLocation", scratch(spark, "t-offsets-ckpt")), timeout_s=120)
+    assert {(r.s, r.committed_offset) for r in com.committed(spark).collect()} == {("a", "offset-1"), ("b", "offset-2"), ("c", "offset-3")}
+    assert written == [0, 2, 5]
+
+
 def test_abort_empty_and_retry(spark):
     root = scratch(spark, "t-txn")
     rows = _events(spark, [("created", "offset-1", "tx-1", "cid-1", "tid", "{}")])
