@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.llm.centroids import cluster_vectors
 from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.llm.packing import pack
@@ -154,3 +155,34 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumnRenamed("id", "doc_id")
+
+
+_ROUND = """
+d{i} AS MATERIALIZED (SELECT v.row, c.cluster, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{i} c ON v.j = c.j GROUP BY v.row, c.cluster),
+a{i} AS MATERIALIZED (SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM d{i} GROUP BY row)"""
+_MOVE = """,
+m{i} AS (SELECT a.cluster, v.j, CAST(floor_div(sum(v.x), count(*)) AS BIGINT) AS x FROM a{i} a JOIN v ON v.row = a.row GROUP BY a.cluster, v.j),
+c{next} AS MATERIALIZED (SELECT c.cluster, c.j, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.cluster AND m.j = c.j)"""
+
+
+def _clusters_sql(rounds: int = 5, k: int = 40) -> str:
+    # The floor of a quotient of integers: a truncated one, less one where it was cut upward.
+    floor = "(sum(v.x) // count(*)) - CASE WHEN sum(v.x) % count(*) < 0 THEN 1 ELSE 0 END"
+    steps = ",".join(_ROUND.format(i=i) + (_MOVE.format(i=i, next=i + 1).replace("floor_div(sum(v.x), count(*))", floor) if i < rounds else "") for i in range(rounds + 1))
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS vec FROM embeddings
+  WHERE len(embedding) = 64 AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+v AS MATERIALIZED (SELECT row, unnest(vec) AS x, unnest(range(64)) AS j FROM kept),
+s AS (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), vec) - 1 AS cluster, vec FROM kept),
+c0 AS MATERIALIZED (SELECT cluster, unnest(vec) AS x, unnest(range(64)) AS j FROM s WHERE cluster < {k}),{steps},
+h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} a JOIN kept USING (row) JOIN h ON h.cluster = a.cluster"""
+
+
+@register("op13_centroid_clustering", _clusters_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", F.sha2(digits, 256).alias("centroid_sha256"))
