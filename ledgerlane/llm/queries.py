@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.centroids import cluster_vectors
+from ledgerlane.llm.chosen_path import minhash_components
+from ledgerlane.llm.collocations import collocations
 from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.llm.packing import pack
@@ -186,3 +188,30 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cluster_vectors(table(spark, sf_dir, "embeddings"))
     digits = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
     return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", F.sha2(digits, 256).alias("centroid_sha256"))
+
+
+@register("op12_collocations", f"""
+WITH w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+      FROM w, (VALUES (1), (2), (3), (4), (5)) s(m) WHERE len(w) >= m),
+f AS MATERIALIZED (SELECT lang, phrase, m, count(*) AS a FROM g GROUP BY lang, phrase, m HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.a, t.n, k.k, l.a AS l, r.a AS r, (CAST(1000 AS HUGEINT) * k.a * t.n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+      FROM k JOIN t ON t.lang = k.lang JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:k.k], ' ')
+      JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS q FROM s) WHERE q = 1),
+x AS (SELECT DISTINCT b.lang, b.phrase FROM b JOIN c ON c.lang = b.lang AND c.m > len(string_split(b.phrase, ' ')) AND 100 * c.a >= 100 * b.a
+      AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' '))
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b ANTI JOIN x USING (lang, phrase)) WHERE rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op11_minhash")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash_components(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")

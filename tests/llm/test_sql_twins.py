@@ -28,10 +28,17 @@ PAGES = [(1, "http://Example.COM/en/x?q=/fr/", "same"), (2, "https://www.example
          (9, "http://a.example.com:80/en/", "\x00\x1f\x8b\x08 WARC/1.1"), (10, "a://b://com/", " "), (11, "://.com//", "page"), (12, "h://net/es/?#", "same\r\n\r\n")]
 
 
+_V = [0.1 * i for i in range(64)]
+VECTORS = [(1, None), (2, []), (3, _V[:63]), (4, [*_V[:63], None]), (5, [*_V[:63], float("nan")]), (6, [*_V[:63], float("-inf")])] + [
+    (10 + i, [(-1) ** j * 0.01 * ((i * j) % 23) for j in range(64)]) for i in range(90)] + [(200 + i, _V) for i in range(30)]
+
+
 @pytest.fixture(scope="module")
 def hard(tmp_path_factory):
     d = tmp_path_factory.mktemp("hard")
-    tables = {"documents": (DOCUMENTS, "doc_id BIGINT, text VARCHAR"), "benchmark": (ITEMS, "item_id BIGINT, text VARCHAR"),
+    common = "Two common words. ten times over, " * 10  # phrases frequent enough, per language
+    documents = [(i, t, (None, "en", "", "und")[i % 4]) for i, t in DOCUMENTS] + [(300 + i, common, (None, "en", "fr")[i % 3]) for i in range(33)]
+    tables = {"documents": (documents, "doc_id BIGINT, text VARCHAR, lang VARCHAR"), "embeddings": (VECTORS, "vec_id BIGINT, embedding DOUBLE[]"), "benchmark": (ITEMS, "item_id BIGINT, text VARCHAR"),
               "pages": (PAGES, "page_id BIGINT, url VARCHAR, html VARCHAR")}
     con = duckdb.connect()
     for name, (rows, cols) in tables.items():
@@ -51,7 +58,7 @@ def test_hard_rows(spark, hard, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t, schema in {"documents": "doc_id bigint, text string", "benchmark": "item_id bigint, text string", "pages": "page_id bigint, url string, html string",
+    for t, schema in {"documents": "doc_id bigint, text string, lang string", "embeddings": "vec_id bigint, embedding array<float>", "benchmark": "item_id bigint, text string", "pages": "page_id bigint, url string, html string",
                       "labels": "doc_id bigint, quality int, toxic int"}.items():
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).collect() == []
