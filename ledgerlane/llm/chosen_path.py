@@ -5,13 +5,15 @@ A tree sends it from a node to one child for each of ``branches`` coordinates
 that the node chose: the child that its token there names.  Two sets of
 similarity 0.8 share a child with 0.8 for each coordinate, so with two
 coordinates a node their common paths branch faster than they die out: one
-tree misses such a pair with 0.0625 at most, however deep it is, and ``TREES``
+tree misses such a pair with about 0.0625 at most, however deep it is, and ``TREES``
 independent trees with 0.0625 ** TREES (1e-6 for five).
 
 Nodes of at most ``node_sets`` sets are compared exhaustively: by agreeing
 tokens first, which leaves cells of possible copies, and what is linked in a
-cell is then decided on the full sets.  Larger nodes branch on.  Equal sets
-are one set throughout.
+cell is then decided on the full sets.  In a larger node one set is compared
+with all others, on full sets too; sets that are then in one component need
+no further comparison with each other, and what is still open either meets
+that component in blocks or branches on.  Equal sets are one set throughout.
 """
 
 from __future__ import annotations
@@ -210,36 +212,46 @@ def _members(sets: DataFrame, docs: DataFrame, unique: DataFrame, shingle: int)
     return rows.mapInArrow(lambda it: _sets(it, shingle), "s1 bigint, s2 bigint, items array<bigint>")
 
 
-def _shed(rows: DataFrame, full: DataFrame, percent: int, node_sets: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(edges, rows that branch on, rows of new small nodes) of nodes that are too large.
-
-    A node's first set is its pivot; all its links are made.  Jaccard distance
-    is a metric, so a set within half the link's distance of the pivot (core)
-    can be linked only with sets that are linked with the pivot too, whose
-    component is then the same, or with those up to half the distance beyond
-    (fringe).  Where the fringe is at most half a node, the core is compared
-    with it in blocks and leaves the node; else all stay.
-    """
-    half = node_sets // 2
-    pivot = staged(rows.groupBy("node").agg(F.min(F.struct("s1", "s2")).alias("p")), "pivots")
+def _pivot_links(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(a1, a2, b1, b2): one set of each large node, drawn by hash, is compared with all others of the node."""
+    drawn = rows.groupBy("node").agg(F.min_by(F.struct("s1", "s2"), F.xxhash64("node", "s1", "s2")).alias("p"))
     shown = full.select(F.struct("s1", "s2").alias("p"), F.col("items").alias("of_pivot"))
-    pivot = staged(pivot.join(shown, "p"), "pivot-sets")
+    pivot = staged(staged(drawn, "pivots").join(shown, "p"), "pivot-sets")
     both = F.size(F.array_intersect("items", "of_pivot")).cast("bigint")
-    far = (100 - percent) / 2
-    seen = staged(rows.join(full, ["s1", "s2"]).join(pivot, "node")
-                  .select("node", "s1", "s2", "n", "p", both.alias("i"), (F.size("items") + F.size("of_pivot") - both).alias("u"))
-                  .withColumn("zone", F.expr(f"CASE WHEN 100 * i >= {100 - far} * u THEN 'core' WHEN 100 * i >= {percent} * u THEN 'near' "
-                                             f"WHEN 100 * i >= {percent - far} * u THEN 'fringe' ELSE 'far' END")), "seen")
-    edges = seen.filter(seen.zone.isin("core", "near")).selectExpr("p.s1 AS a1", "p.s2 AS a2", "s1 AS b1", "s2 AS b2").filter("a1 <> b1 OR a2 <> b2")
-    stats = staged(seen.groupBy("node").agg(F.count_if(F.col("zone") == "core").alias("cores"), F.count_if(F.col("zone") == "fringe").alias("fringes")), "zones")
-    seen = seen.join(stats, "node")
-    shed = F.col("fringes") <= half
-    blocks = F.ceil(F.col("cores") / half).cast("bigint")
-    block = F.when(F.col("zone") == "core", F.array(F.pmod(F.xxhash64("s1", "s2"), blocks))).otherwise(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
-    meet = (seen.filter(shed & (F.col("fringes") > 0) & F.col("zone").isin("core", "fringe")).withColumn("block", F.explode(block))
-            .select(F.xxhash64("node", F.lit("core and fringe"), "block").alias("node"), "s1", "s2", "n"))
-    stay = seen.filter(~shed | (F.col("zone") != "core")).select("node", "s1", "s2", "n")
-    return edges, stay, meet
+    seen = rows.join(full, ["s1", "s2"]).join(pivot, "node").withColumn("i", both).filter(100 * F.col("i") >= percent * (F.size("items") + F.size("of_pivot") - F.col("i")))
+    return seen.selectExpr("p.s1 AS a1", "p.s2 AS a2", "s1 AS b1", "s2 AS b2").filter("a1 <> b1 OR a2 <> b2").distinct()
+
+
+def _nodes_of(edges: DataFrame) -> DataFrame:
+    return edges.select(F.struct(F.col("a1").alias("s1"), F.col("a2").alias("s2")).alias("a"), F.struct(F.col("b1").alias("s1"), F.col("b2").alias("s2")).alias("b"))
+
+
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """``rows`` (with s1, s2) and ``root``, the component that is known so far: the set itself where it has no link yet."""
+    named = label.select(F.col("node.s1").alias("s1"), F.col("node.s2").alias("s2"), "root")
+    return rows.join(named, ["s1", "s2"], "left").withColumn("root", F.coalesce("root", F.struct("s1", "s2")))
+
+
+def _settle(rows: DataFrame, label: DataFrame, node_sets: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that branch on, rows of new small nodes) of large nodes, after their pivots' links.
+
+    Links inside a component add nothing, so of a node's largest component
+    (its core) only the links with the node's other sets are still open.
+    Where those others are at most half a small node, they meet the core in
+    blocks, each a small node; where there are none, the node is done; else
+    all its sets branch on.
+    """
+    half = max(node_sets // 2, 1)
+    rooted = staged(_labelled(rows, label), "rooted-rows")
+    sizes = rooted.groupBy("node", "root").agg(F.count("*").alias("size"))
+    core = staged(sizes.groupBy("node").agg(F.max(F.struct("size", "root")).alias("core"), F.sum("size").alias("all")), "cores")
+    seen = rooted.join(core, "node")
+    others = F.col("all") - F.col("core.size")
+    blocks = F.ceil(F.col("core.size") / half).cast("bigint")
+    block = F.when(F.col("root") == F.col("core.root"), F.array(F.pmod(F.xxhash64("s1", "s2"), blocks))).otherwise(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    meet = (seen.filter((others > 0) & (others <= half)).withColumn("block", F.explode(block))
+            .select(F.xxhash64("node", F.lit("core and others"), "block").alias("node"), "s1", "s2", "n"))
+    return seen.filter(others > half).select("node", "s1", "s2", "n"), staged(meet, "met")
 
 
 def links(docs: DataFrame, unique: DataFrame, shingle: int, percent: int = 80, trees: int = TREES, branches: int = 2, node_sets: int = NODE_SETS,
@@ -248,13 +260,10 @@ def links(docs: DataFrame, unique: DataFrame, shingle: int, percent: int = 80, t
 
     ``unique`` (s1, s2, n, sig, text_key) has each set once; ``docs`` (k1, k2, text) their texts.
     """
-    spark = unique.sparkSession
     roots = unique.filter("n > 0").withColumn("node", F.explode(F.array(*[F.xxhash64(F.lit("tree"), F.lit(t)) for t in range(trees)])))
     frontier = staged(_branch(roots, branches), "level-1")
-    small, edges = None, None
-    level = 1
+    small, edges, label = None, None, None
     while True:
-        level += 1
         counts = staged(frontier.groupBy("node").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1"), "node-sizes")
         fits = (F.col("sets") <= min(FEW, node_sets)) | ((F.col("sets") <= node_sets) & (F.col("shingles") <= node_shingles))
         leaves = frontier.join(counts.filter(fits), "node", "left_semi")
@@ -264,18 +273,22 @@ def links(docs: DataFrame, unique: DataFrame, shingle: int, percent: int = 80, t
             break
         rows = staged(frontier.join(large, "node", "left_semi"), "large-nodes")
         full = staged(_members(rows.select("s1", "s2"), docs, unique, shingle), "large-sets")
-        more, rows, meet = _shed(rows, full, percent, node_sets)
-        edges = more if edges is None else edges.unionByName(more)
-        small = small.unionByName(meet)
-        frontier = staged(_branch(rows.join(unique.select("s1", "s2", "sig"), ["s1", "s2"]), branches), f"level-{level}")
+        more = _pivot_links(rows, full, percent)
+        edges = staged(more if edges is None else edges.unionByName(more), "pivot-links")
+        label = staged(components(_nodes_of(edges)), "labels")
+        rows, met = _settle(rows, label, node_sets)
+        small = small.unionByName(met)
+        frontier = staged(_branch(rows.join(unique.select("s1", "s2", "sig"), ["s1", "s2"]), branches), "level")
     dealt = small.join(unique.select("s1", "s2", "sig"), ["s1", "s2"]).repartition("node").sortWithinPartitions("node")
     cells = staged(dealt.mapInArrow(lambda it: _cells(it, percent), CELLS).distinct(), "cells")
+    if label is not None:  # a cell inside one component adds nothing
+        rooted = staged(_labelled(cells, label), "rooted-cells")
+        ends = rooted.groupBy("c1", "c2").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        cells = staged(cells.join(staged(ends.filter("low <> high"), "open-cells"), ["c1", "c2"], "left_semi"), "cells")
     members = staged(_members(cells.select("s1", "s2"), docs, unique, shingle), "member-sets")
     dealt = cells.join(members, ["s1", "s2"]).repartition("c1", "c2").sortWithinPartitions("c1", "c2")
     found = dealt.mapInArrow(lambda it: _confirmed(it, percent), EDGES)
-    found = found if edges is None else found.unionByName(edges)
-    return staged(found.distinct().select(F.struct(F.col("a1").alias("s1"), F.col("a2").alias("s2")).alias("a"),
-                                          F.struct(F.col("b1").alias("s1"), F.col("b2").alias("s2")).alias("b")), "links")
+    return staged(_nodes_of(found if edges is None else found.unionByName(edges)), "links")
 
 
 def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 80, trees: int = TREES,

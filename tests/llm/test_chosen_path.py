@@ -78,7 +78,7 @@ def near_copies(n, words, changes, seed):
     return out
 
 
-@pytest.mark.parametrize("node_sets", [8, 4096])
+@pytest.mark.parametrize("node_sets", [64, 4096])
 def test_large_nodes_branch_or_shed_their_core(spark, node_sets):
     many = near_copies(120, 150, 6, 1) + near_copies(60, 150, 1, 2) + [f"own text number {i} " + "shared passage of some words " * 3 for i in range(40)]
     rows = [(i * 3, t) for i, t in enumerate(many)] + [(1000 + i, many[0]) for i in range(30)]
@@ -116,7 +116,7 @@ def test_one_tree_misses_some_and_five_none(spark):
         rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
     want = expected(rows)
     assert sum(c != i for i, _, c, _ in want) > 100
-    same_rows(got(spark, rows, node_sets=2), want)
+    same_rows(got(spark, rows, node_sets=8), want)
 
 
 def test_other_columns_and_empty_table(spark):
