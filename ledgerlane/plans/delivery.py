@@ -11,11 +11,16 @@ from ledgerlane.operators import feed as L
 from ledgerlane.operators.batching import assign_batches, batch_manifest
 from ledgerlane.plans.metrics import _STREAM_CTE, stream_positions
 from ledgerlane.plans.oracle import with_ledger, with_routed
-from ledgerlane.plans.registry import register
+from ledgerlane.plans.registry import ORACLE, register
 from ledgerlane.plans.routing import routed_flat, routed_ledger
+from ledgerlane.plans.scans import ARCHIVE_FILE_ROWS
+from ledgerlane.session import scratch
+from ledgerlane.sources.archive import Archive
 from ledgerlane.sources.ledger import ledger
 from ledgerlane.sources.tables import table
 from ledgerlane.streaming import retry as RT
+from ledgerlane.streaming.grouping import OpenBatches
+from ledgerlane.streaming.poller import drain, polled
 
 FEED_COLS = ["event_id", "ledger_offset", "event_type", "template_id", "contract_id", "choice"]
 
@@ -49,6 +54,7 @@ def ordered_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BATCH_WITHIN_MS = 2_700  # the time limit of a batch
+MANIFEST_PAGES = 50      # polls in a micro-batch: their ends fall inside batches
 
 
 @register("batch_manifest", with_routed(f"""
@@ -58,10 +64,21 @@ FROM (SELECT topic, slot, ledger_offset,
       FROM (SELECT topic, ledger_offset, CAST(ledger_offset AS BIGINT) // {BATCH_WITHIN_MS} AS slot FROM routed WHERE event_type <> 'exercised'))
 GROUP BY topic, slot, batch_no"""))
 def batch_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST3 (table form): per stream, batches of at most 100 events or 2.7 s, in offset order.
+    """ST3: per stream, batches of at most 100 events or 2.7 s, in offset order, open between micro-batches.
 
     The replayed ledger is taken to arrive at one offset per millisecond.
     """
+    archive = Archive(spark, scratch(spark, "routed-archive"), "ledger_offset string, event_id string, topic string", file_rows=ARCHIVE_FILE_ROWS)
+    archive.append(routed_flat(spark, sf_dir))
+    out = OpenBatches(scratch(spark, "manifest"), "topic", offset_value("ledger_offset"), BATCH_WITHIN_MS)
+    drain(polled(archive, "ledger_offset string, topic string", pages_per_batch=MANIFEST_PAGES).writeStream.foreachBatch(out)
+          .option("checkpointLocation", scratch(spark, "manifest-ckpt")))
+    return out.manifest(spark)
+
+
+@register("batch_manifest_table", ORACLE["batch_manifest"])
+def batch_manifest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3, table form: the same batches from the whole table at once."""
     arrival = offset_value("ledger_offset")
     return batch_manifest(assign_batches(routed_flat(spark, sf_dir), "topic", arrival_ms=arrival, within_ms=BATCH_WITHIN_MS), "topic")
 

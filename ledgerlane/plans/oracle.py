@@ -71,6 +71,11 @@ routed AS (SELECT l.*, coalesce(r.topic, '{DEFAULT_TOPIC}') AS topic
 """
 
 
+def offset_at_sql(share: tuple[int, int]) -> str:
+    """The offset at a share of the way from the least order to the greatest, as a scalar subquery."""
+    return f"(SELECT {_off(f'(min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) * {share[0]} // {share[1]}) * 10')} FROM orders)"
+
+
 def with_ledger(body: str, *extra_ctes: str) -> str:
     ctes = ",\n".join([LEDGER_CTE.strip(), *[c.strip() for c in extra_ctes]])
     return f"WITH {ctes}\n{body}"

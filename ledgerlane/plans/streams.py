@@ -1,8 +1,9 @@
 """Registered queries that run a Structured Streaming query to the end (S3, S5, ST2, ST4–ST7, ST9–ST12).
 
-Each callable stages the input table as arriving files in a fresh folder of
-the shared checkpoint directory, runs the stream with ``availableNow`` and
-returns a batch DataFrame over what the sink committed.
+Where batches matter, the input is an event archive in the shared folder that
+the stream polls page by page; elsewhere a table's own files are streamed.
+Each callable runs its stream to the end and returns a batch DataFrame over
+what the sink committed.
 """
 
 from __future__ import annotations
@@ -13,20 +14,22 @@ from pyspark.sql.utils import StreamingQueryException
 
 from ledgerlane.functions.columns import iso_time, offset_of
 from ledgerlane.operators import route as R
-from ledgerlane.operators.batching import PAGE_SIZE, pages
 from ledgerlane.plans.delivery import BACKOFF, _retry_sql, failed_sends
-from ledgerlane.plans.oracle import with_ledger, with_routed
+from ledgerlane.plans.oracle import offset_at_sql, with_ledger, with_routed
 from ledgerlane.plans.registry import register
+from ledgerlane.plans.scans import ARCHIVE_FILE_ROWS, ledger_archive
 from ledgerlane.session import read_or_empty, scratch
-from ledgerlane.sources.ledger import bounded_orders, flat_events_from_orders
+from ledgerlane.sources.archive import Archive
+from ledgerlane.sources.ledger import bounded_orders, flat_events_from_orders, offset_at
 from ledgerlane.sources.tables import table
 from ledgerlane.streaming import deliver as DV
 from ledgerlane.streaming import dlq as Q
 from ledgerlane.streaming import retry as RT
-from ledgerlane.streaming.sources import STAGED_FILES, file_stream, key_ranges, page_files, run_to_end, stage_files, table_stream
+from ledgerlane.streaming.dedupe import DedupeSink
+from ledgerlane.streaming.poller import PAGE_SIZE, drain, polled
+from ledgerlane.streaming.sources import run_to_end, table_stream
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 FLAT_OUT = ["event_id", "ledger_offset", "event_type", "template_id", "contract_id"]
 
 
@@ -35,12 +38,21 @@ def _orders_stream(spark: SparkSession, sf_dir: str, start: str | None = None, e
     return bounded_orders(table_stream(spark, sf_dir, "orders"), start, end)
 
 
-def _events_stream(spark: SparkSession, sf_dir: str, n_first: int | None = None):
-    src = table(spark, sf_dir, "events").select(*EVENT_COLS)
-    d = scratch(spark, "landing-events")
-    ranges = key_ranges(src, "event_id", STAGED_FILES)
-    stage_files(src, "event_id", d, ranges=ranges[:n_first] if n_first else ranges)
-    return src, d, ranges
+# Events with a fixed-width offset of their own, as the archive orders them.
+EVENTS = "ledger_offset string, event_id bigint, event_type string, user_id bigint, value double"
+BATCH_PAGES = 20    # polls of 100 events in a micro-batch
+DEDUPE_PAGES = 100
+EVENT_FILE_ROWS = 100_000
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(offset_of("event_id").alias("ledger_offset"), "event_id", "event_type", "user_id", "value")
+
+
+def _events_archive(spark: SparkSession, events: DataFrame) -> Archive:
+    out = Archive(spark, scratch(spark, "events-archive"), EVENTS, file_rows=EVENT_FILE_ROWS)
+    out.append(events)
+    return out
 
 
 def _to_parquet(stream: DataFrame, spark: SparkSession, name: str) -> str:
@@ -49,40 +61,74 @@ def _to_parquet(stream: DataFrame, spark: SparkSession, name: str) -> str:
     return out
 
 
-SCAN_START = "000000000000030000"
+SCAN_FROM = (1, 5)  # shares of the ledger's range of offsets
+SCAN_TO = (2, 3)
+STORED = (1, 10)
 
 
 @register("scan_flat_events", with_ledger(
-    f"SELECT {', '.join(FLAT_OUT)} FROM flat_ledger WHERE ledger_offset > '{SCAN_START}'"))
+    f"SELECT {', '.join(FLAT_OUT)} FROM flat_ledger WHERE ledger_offset > {offset_at_sql(SCAN_FROM)}"))
 def scan_flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: flat-transaction stream from a start offset (exclusive); the derivation runs on the stream."""
-    ev = flat_events_from_orders(_orders_stream(spark, sf_dir, start=SCAN_START))
-    out = _to_parquet(ev.filter(F.col("ledger_offset") > SCAN_START).select(*FLAT_OUT), spark, "scan")
+    """S3: flat-transaction stream from a start offset (exclusive), a fifth along the ledger; the derivation runs on the stream."""
+    start = offset_at(spark, sf_dir, SCAN_FROM)
+    ev = flat_events_from_orders(_orders_stream(spark, sf_dir, start=start))
+    out = _to_parquet(ev.filter(F.col("ledger_offset") > F.lit(start)).select(*FLAT_OUT), spark, "scan")
     return spark.read.parquet(out)
 
 
-SCAN_END = "000000000000100009"
-
-
 @register("bounded_stream", with_ledger(
-    f"SELECT {', '.join(FLAT_OUT)} FROM flat_ledger WHERE ledger_offset <= '{SCAN_END}'"))
+    f"SELECT {', '.join(FLAT_OUT)} FROM flat_ledger WHERE ledger_offset <= {offset_at_sql(SCAN_TO)}"))
 def bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2: stream up to an explicit end offset, then stop (``availableNow``)."""
-    ev = flat_events_from_orders(_orders_stream(spark, sf_dir, end=SCAN_END))
-    out = _to_parquet(ev.filter(F.col("ledger_offset") <= SCAN_END).select(*FLAT_OUT), spark, "bounded")
+    """ST2: stream up to an explicit end offset, two thirds along the ledger, then stop (``availableNow``)."""
+    end = offset_at(spark, sf_dir, SCAN_TO)
+    ev = flat_events_from_orders(_orders_stream(spark, sf_dir, end=end))
+    out = _to_parquet(ev.filter(F.col("ledger_offset") <= F.lit(end)).select(*FLAT_OUT), spark, "bounded")
     return spark.read.parquet(out)
 
 
-_PAGE_SQL = (f"WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events), "
-             f"w AS (SELECT lo, CAST(ceil((hi - lo + 1) / {STAGED_FILES}.0) AS BIGINT) AS width FROM b) ")
+POLLED = "event_id string, ledger_offset string, page bigint, cursor string"
+
+
+class Stopped(RuntimeError):
+    """A planned stop of a stream."""
+
+
+def _stopping(write, at: int | None):
+    """``write``, but ended before micro-batch ``at``."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        if batch_id == at:
+            raise Stopped(f"before batch {batch_id}")
+        write(df, batch_id)
+    return batch
+
+
+def _drain_twice(stream, write, checkpoint: str, stop_at: int) -> None:
+    """Run until micro-batch ``stop_at`` is refused, then again from the checkpoint to the end."""
+    try:
+        drain(stream().writeStream.foreachBatch(_stopping(write, stop_at)).option("checkpointLocation", checkpoint))
+    except StreamingQueryException as e:
+        if Stopped.__name__ not in str(e):
+            raise
+    drain(stream().writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
-@register("paged_ingest", f"""
-SELECT event_id, page, max(event_id) OVER (PARTITION BY page) AS cursor
-FROM (SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // {PAGE_SIZE} AS BIGINT) AS page FROM events)""")
+@register("paged_ingest", with_ledger(f"""
+SELECT event_id, page, max(ledger_offset) OVER (PARTITION BY page) AS cursor
+FROM (SELECT event_id, ledger_offset, CAST((row_number() OVER (ORDER BY ledger_offset) - 1) // {PAGE_SIZE} AS BIGINT) AS page
+      FROM flat_ledger WHERE ledger_offset > {offset_at_sql(STORED)})"""))
 def paged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page-limited pull: the poll that gets each event, and the cursor that poll leaves behind."""
-    return pages(table(spark, sf_dir, "events").select("event_id"), "event_id", PAGE_SIZE)
+    """The ledger polled from a stored offset, 100 events a poll, stopped after the first micro-batch and gone on with.
+
+    Each event comes with the poll that got it and the cursor which that poll leaves behind.
+    """
+    archive = ledger_archive(spark, sf_dir, ARCHIVE_FILE_ROWS)
+    out, start = scratch(spark, "polled"), offset_at(spark, sf_dir, STORED)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.select("event_id", "page", "cursor").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    _drain_twice(lambda: polled(archive, POLLED, start, pages_per_batch=DEDUPE_PAGES), write, scratch(spark, "polled-ckpt"), stop_at=1)
+    return read_or_empty(spark, out, "event_id string, page bigint, cursor string, batch_id int").drop("batch_id")
 
 
 @register("commit_offsets", with_ledger("""
@@ -105,14 +151,14 @@ def poison(df: DataFrame) -> bool:
     return not df.filter((F.col("event_type") == "error") & (F.col("value") > 300)).isEmpty()
 
 
-@register("dead_letter_batches", _PAGE_SQL + """, pages AS (SELECT event_id, (event_id - lo) // width AS page,
-   event_type = 'error' AND value > 300 AS bad FROM events, w),
- bad_pages AS (SELECT DISTINCT page FROM pages WHERE bad)
-SELECT event_id, CASE WHEN page IN (SELECT page FROM bad_pages) THEN 'dead_letter' ELSE 'delivered' END AS outcome
-FROM pages""")
+_BATCHED_SQL = f"SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // {BATCH_PAGES * PAGE_SIZE} AS batch, event_type = 'error' AND value > 300 AS bad FROM events"
+
+
+@register("dead_letter_batches", f"""WITH b AS ({_BATCHED_SQL}), bad AS (SELECT DISTINCT batch FROM b WHERE bad)
+SELECT event_id, CASE WHEN batch IN (SELECT batch FROM bad) THEN 'dead_letter' ELSE 'delivered' END AS outcome FROM b""")
 def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST5: a batch whose write fails (it holds a poison event) goes to the DLQ; later batches still flow."""
-    src, d, ranges = _events_stream(spark, sf_dir)
+    archive = _events_archive(spark, _events(spark, sf_dir))
     root = scratch(spark, "dlq-batches")
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -121,37 +167,46 @@ def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{root}/sink/batch_id={batch_id}")
 
     w = DV.DeadLetterWriter(root, write, "event_id", BACKOFF)
-    run_to_end(file_stream(spark, d, src.schema, page_files(ranges)).writeStream.foreachBatch(w)
-               .option("checkpointLocation", scratch(spark, "dlq-ckpt")))
+    drain(polled(archive, pages_per_batch=BATCH_PAGES).writeStream.foreachBatch(w).option("checkpointLocation", scratch(spark, "dlq-ckpt")))
     ok = w.delivered(spark, "event_id bigint").select("event_id", F.lit("delivered").alias("outcome"))
     bad = w.dead(spark).select(F.get_json_object("event", "$.event_id").cast("bigint").alias("event_id"), F.lit("dead_letter").alias("outcome"))
     return ok.unionByName(bad)
 
 
+SENT = "event_id bigint, event_type string, user_id bigint"
+
+
 @register("transactional_batches", "SELECT event_id, event_type, user_id FROM events")
 def transactional_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST6: all-or-nothing batches; the commit of batch 2 fails once, the restart replays it."""
-    src, d, ranges = _events_stream(spark, sf_dir)
+    archive = _events_archive(spark, _events(spark, sf_dir))
     root, ck = scratch(spark, "txn"), scratch(spark, "txn-ckpt")
-    stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
+
+    def run(sink: DV.TransactionalSink) -> None:
+        drain(polled(archive, SENT, pages_per_batch=BATCH_PAGES).writeStream.foreachBatch(sink).option("checkpointLocation", ck))
+
     try:
-        run_to_end(stream.writeStream.foreachBatch(DV.TransactionalSink(root, "event_id", fail_before_commit_of=2))
-                   .option("checkpointLocation", ck))
+        run(DV.TransactionalSink(root, "event_id", fail_before_commit_of=2))
     except StreamingQueryException as e:
         if DV.AbortedCommit.__name__ not in str(e):
             raise  # only the planned abort, which left data without a marker: invisible to readers
     sink = DV.TransactionalSink(root, "event_id")
-    run_to_end(stream.writeStream.foreachBatch(sink).option("checkpointLocation", ck))
-    return sink.committed(spark, "event_id bigint, event_type string, user_id bigint")
+    run(sink)
+    return sink.committed(spark, SENT)
 
 
 @register("dedupe_events", "SELECT event_id, event_type, user_id FROM events")
 def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST7: a replay re-sends every 97th event; the sink keeps each event id once."""
-    src, d, ranges = _events_stream(spark, sf_dir)
-    stage_files(src.filter(F.col("event_id") % 97 == 0), "event_id", d, n=1)  # the replayed page
-    stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
-    return spark.read.parquet(_to_parquet(DV.dedupe(stream, ["event_id"]), spark, "dedupe"))
+    """ST7: a replay re-sends every 97th event at the end of the ledger; the sink keeps each event id once."""
+    events = _events(spark, sf_dir)
+    archive = _events_archive(spark, events)
+    last = events.agg(F.max("event_id")).first()[0]
+    again = events.filter(F.col("event_id") % 97 == 0)
+    if last is not None:  # the replay's own offsets follow the ledger's
+        archive.append(again.withColumn("ledger_offset", offset_of(F.col("event_id") + last + 1)))
+    sink = DedupeSink(spark, scratch(spark, "dedupe"), "event_id", "event_id", SENT, width=DEDUPE_PAGES * PAGE_SIZE)
+    drain(polled(archive, SENT, pages_per_batch=DEDUPE_PAGES).writeStream.foreachBatch(sink).option("checkpointLocation", scratch(spark, "dedupe-ckpt")))
+    return sink.written(spark)
 
 
 def dlq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,14 +271,20 @@ def dlq_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("resume_stream", "SELECT event_id, event_type, user_id FROM events")
 def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST11: stop after 3 of 5 pages, more pages arrive, restart on the same checkpoint: each event once."""
-    src, d, ranges = _events_stream(spark, sf_dir, n_first=3)
+    """ST11: the first part of the ledger is there and read, the rest is appended, a restart on the same checkpoint goes on: each event once."""
+    events = _events(spark, sf_dir)
+    lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
+    early = F.col("event_id") <= F.lit(None if lo is None else lo + (hi - lo) * 3 // 5)
+    archive = _events_archive(spark, events.filter(early))
     out, ck = scratch(spark, "resume-sink"), scratch(spark, "resume-ckpt")
-    stream = file_stream(spark, d, src.schema, page_files(ranges)).select("event_id", "event_type", "user_id")
-    run_to_end(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck))
-    stage_files(src, "event_id", d, ranges=ranges[3:])
-    run_to_end(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck))
-    return spark.read.parquet(out)
+
+    def run() -> None:
+        drain(polled(archive, SENT, pages_per_batch=DEDUPE_PAGES).writeStream.format("parquet").option("path", out).option("checkpointLocation", ck))
+
+    run()
+    archive.append(events.filter(~early))
+    run()
+    return read_or_empty(spark, out, SENT)
 
 
 @register("fan_out", with_routed("""

@@ -94,6 +94,12 @@ def key_bounds(start: str | None, end: str | None) -> tuple[int | None, int | No
     return lo, hi
 
 
+def offset_at(spark: SparkSession, sf_dir: str, share: tuple[int, int]) -> str | None:
+    """The offset at ``share`` (numerator, denominator) of the way from the ledger's least order to its greatest; None for an empty ledger."""
+    lo, hi = table(spark, sf_dir, "orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return None if lo is None else f"{(lo + (hi - lo) * share[0] // share[1]) * 10:018d}"
+
+
 def _bounded(df: DataFrame, key: str, bounds) -> DataFrame:
     lo, hi = bounds or (None, None)
     if lo is not None:
