@@ -29,8 +29,8 @@ from ledgerlane.llm.files import located
 from ledgerlane.llm.words import Words, mix, slices, split_words, window_hashes
 from ledgerlane.session import scratch
 
-BLOCK_BYTES = 32 << 20     # text that one counter is merged over before the shuffle
-SLICE = 4 << 20
+BLOCK_BYTES = 16 << 20     # text that one counter is merged over before the shuffle
+SLICE = 1 << 20
 BLOCKS_IN_BUCKET = 16      # blocks whose lists share a folder
 SEGMENT = 1 << 16          # a stripe is cut so that a segment counts about so many occurrences
 WORDS_IN_SEGMENT = 1 << 14  # and the stripe of the empty prefix by distinct words of a block
