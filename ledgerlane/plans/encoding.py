@@ -219,3 +219,37 @@ def streamed_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("emitter", "consumer", F.col("event.templateId").alias("template_id"),
                     F.col("event.contractId").alias("contract_id"), F.col("event.payload").alias("payload"),
                     F.col("event.emittedAt").alias("emitted_at"))
+
+
+# From which tenth of the ledger on the producer writes which version of its payload.
+VERSION_FROM = [(1, 0), (2, 3), (3, 7)]
+_VERSION_SQL = "CASE WHEN tenth >= 7 THEN 3 WHEN tenth >= 3 THEN 2 ELSE 1 END"
+
+
+@register("schema_versions", with_ledger(f"""
+SELECT template_id, version, min(tenth) AS first_range, max(tenth) AS last_range, 3 AS fields,
+       CASE v WHEN 1 THEN 0 ELSE 1 END * (version > 1)::INT AS added, CASE v WHEN 1 THEN 0 ELSE 1 END * (version > 1)::INT AS removed,
+       CASE v WHEN 2 THEN 1 ELSE 0 END * (version > 1)::INT AS retyped,
+       CASE WHEN version > 1 THEN false END AS backward, CASE WHEN version > 1 THEN false END AS forward
+FROM (SELECT *, dense_rank() OVER (PARTITION BY template_id ORDER BY v) AS version
+      FROM (SELECT template_id, tenth, {_VERSION_SQL} AS v FROM created))
+GROUP BY template_id, version, v""",
+    "ends AS (SELECT min(CAST(ledger_offset AS BIGINT)) AS lo, max(CAST(ledger_offset AS BIGINT)) AS hi FROM flat_ledger)",
+    "created AS (SELECT template_id, (CAST(ledger_offset AS BIGINT) - lo) * 10 // (hi - lo + 1) AS tenth FROM flat_ledger, ends WHERE event_type = 'created')"))
+def schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 over ten ranges: the versions of each template's payload, their change points and whether readers of one read the other.
+
+    The producer writes (issuer, units, urgent), then units as text and a
+    status in place of urgent, then a priority in place of the status.
+    """
+    df = flat_ledger(spark, sf_dir)
+    n = offset_value("ledger_offset")
+    lo, hi = df.agg(F.min(n), F.max(n)).first()
+    tenth = F.floor((n - F.lit(lo)) * 10 / F.lit(1 if lo is None else hi - lo + 1)).cast("bigint")
+    p, deal = F.col("payload"), F.col("payload")["deal"]
+    one = F.to_json(F.struct(p["issuer"].alias("issuer"), F.struct(deal["units"].alias("units"), deal["urgent"].alias("urgent")).alias("deal")))
+    two = F.to_json(F.struct(p["issuer"].alias("issuer"), F.struct(deal["units"].cast("string").alias("units"), deal["status"].alias("status")).alias("deal")))
+    three = F.to_json(F.struct(p["issuer"].alias("issuer"), F.struct(deal["units"].cast("string").alias("units"), deal["priority"].alias("priority")).alias("deal")))
+    created = df.filter(F.col("event_type") == "created").withColumn("tenth", tenth)
+    doc = F.when(F.col("tenth") >= VERSION_FROM[2][1], three).when(F.col("tenth") >= VERSION_FROM[1][1], two).otherwise(one)
+    return SC.schema_versions(created.select("template_id", "tenth", doc.alias("doc")), "template_id", "tenth", "doc")

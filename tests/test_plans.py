@@ -44,7 +44,8 @@ def test_offset_range_reaches_the_scan(spark):
 def test_bounded_streams_push_their_range(spark):
     """The offset range of a stream reaches the scan of its files as key bounds."""
     from ledgerlane.plans import streams as S
-    for kw, name in (({"start": S.SCAN_START}, "GreaterThanOrEqual"), ({"end": S.SCAN_END}, "LessThanOrEqual")):
+    start, end = S.offset_at(spark, SF001, S.SCAN_FROM), S.offset_at(spark, SF001, S.SCAN_TO)
+    for kw, name in (({"start": start}, "GreaterThanOrEqual"), ({"end": end}, "LessThanOrEqual")):
         df = S._orders_stream(spark, SF001, **kw)
         assert df.isStreaming
         batch = S.bounded_orders(S.table(spark, SF001, "orders"), **kw)

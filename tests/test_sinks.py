@@ -149,7 +149,8 @@ def test_fan_out_counts_are_those_of_the_events(spark):
 
 def test_dedupe_across_batches_and_restart(spark):
     """ST7: duplicates inside a batch, across batches and in a page replayed after a restart are dropped."""
-    from ledgerlane.streaming.sources import file_stream, run_to_end, stage_files
+    from ledgerlane.streaming.sources import file_stream, run_to_end
+    from tests.arrival import stage_files
     src = spark.range(0, 1000).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("v"))
     d = scratch(spark, "t-dedupe-landing")
     stage_files(src.union(src.filter(F.col("event_id") % 10 == 0)), "event_id", d, n=4)  # in-batch copies
@@ -170,7 +171,8 @@ def test_dedupe_across_batches_and_restart(spark):
 
 def test_crash_and_restart_stream(spark):
     """A stream fails at batch 2's commit; restart on the checkpoint: each event exactly once."""
-    from ledgerlane.streaming.sources import file_stream, run_to_end, stage_files
+    from ledgerlane.streaming.sources import file_stream, run_to_end
+    from tests.arrival import stage_files
     src = spark.range(0, 1000).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("v"))
     d = scratch(spark, "t-landing")
     stage_files(src, "event_id", d, n=5)
@@ -194,11 +196,12 @@ def test_crash_and_restart_stream(spark):
 def test_multi_file_pages_still_arrive_one_page_per_batch(spark, monkeypatch):
     """A page wider than PAGE_FILE_KEYS is several files (parallel writers); admission keeps batches = pages."""
     from ledgerlane.streaming import sources as S
-    monkeypatch.setattr(S, "PAGE_FILE_KEYS", 70)
+    from tests import arrival as A
+    monkeypatch.setattr(A, "PAGE_FILE_KEYS", 70)
     src = spark.range(0, 1000).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("v"))
     d = scratch(spark, "t-pages")
-    ranges = S.stage_files(src, "event_id", d, n=5)
-    k = S.page_files(ranges)
+    ranges = A.stage_files(src, "event_id", d, n=5)
+    k = A.page_files(ranges)
     assert k == 3
     assert len([f for f in spark.read.parquet(d).inputFiles()]) == 5 * k
     out = scratch(spark, "t-pages-out")

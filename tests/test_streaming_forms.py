@@ -13,7 +13,8 @@ from ledgerlane.session import scratch
 from ledgerlane.sources.documents import parse_documents, transaction_documents
 from ledgerlane.sources.ledger import PAYLOAD_TAGS, flat_events_from_orders, flat_ledger
 from ledgerlane.sources.tables import table
-from ledgerlane.streaming.sources import file_stream, run_to_end, stage_files
+from ledgerlane.streaming.sources import file_stream, run_to_end
+from tests.arrival import stage_files
 from tests.conftest import SF001
 
 
