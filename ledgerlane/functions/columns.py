@@ -28,14 +28,22 @@ def offset_value(o: str | Column) -> Column:
     return col_(o).cast("bigint")
 
 
-def max_offset(o: str | Column) -> Column:
-    """Last (greatest) fixed-width offset of a group, as offset text."""
-    return offset_of(F.max(offset_value(o)))
+def is_fixed_width(o: str | Column) -> Column:
+    """Whether an offset is ``OFFSET_WIDTH`` digits.  In ledger order all others come after those, by their text."""
+    return col_(o).rlike(f"^[0-9]{{{OFFSET_WIDTH}}}$")
 
 
-def min_offset(o: str | Column) -> Column:
-    """First (least) fixed-width offset of a group, as offset text."""
-    return offset_of(F.min(offset_value(o)))
+def max_offset(o: str | Column, opaque: bool = False) -> Column:
+    """Last (greatest) fixed-width offset of a group, as offset text; ``opaque``: of offsets of any form."""
+    digits = offset_of(F.max(offset_value(o)))  # where some aren't digits, those decide
+    return F.coalesce(F.max(F.when(~is_fixed_width(o), col_(o))), digits) if opaque else digits
+
+
+def min_offset(o: str | Column, opaque: bool = False) -> Column:
+    """First (least) fixed-width offset of a group, as offset text; ``opaque``: of offsets of any form."""
+    if not opaque:
+        return offset_of(F.min(offset_value(o)))
+    return F.coalesce(offset_of(F.min(F.when(is_fixed_width(o), offset_value(o)))), F.min(col_(o)))
 
 
 def iso_time(ts: str | Column) -> Column:

@@ -22,11 +22,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.columns import template_key
+from ledgerlane.functions.joins import small
 
 TEXT, PARTY, NUMERIC, INT64, BOOL, RECORD = "text", "party", "numeric", "int64", "bool", "record"
 
@@ -67,6 +68,28 @@ class ByTemplate(EventFilter):
     hash_agnostic: bool = False
 
 
+@dataclass(frozen=True, eq=False)
+class TemplateIn(EventFilter):
+    """F6 over a table of template ids (its first column), of any size."""
+
+    templates: DataFrame
+    hash_agnostic: bool = False
+
+
+@dataclass(frozen=True, eq=False)
+class StakeholderIn(EventFilter):
+    """F13 over a table of parties (its first column): any of them is a signatory or observer."""
+
+    parties: DataFrame
+
+
+@dataclass(frozen=True)
+class _Flag(EventFilter):
+    """A membership that a join has put into a column."""
+
+    column: str
+
+
 @dataclass(frozen=True)
 class ByArgument(EventFilter):
     path: tuple
@@ -220,36 +243,44 @@ def _numeric_text(v: _Value) -> Column:
 
 
 _FITS = r"^-?[0-9]{1,27}(\.[0-9]{1,10})?$"
-_DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+_NUMBER = r"^([+-]?)([0-9]*)(?:\.([0-9]*))?(?:[eE]([+-]?[0-9]+))?$"
+_MAX_EXPONENT = 2_147_483_647  # fixed value: decimals have 32-bit scales
 
 
 def compare_decimal(text: Column, threshold: str) -> Column:
-    """Sign of ``text - threshold`` of decimal numbers of any length, exactly; null where ``text`` is no number.
+    """Sign of ``text - threshold`` of decimal numbers of any length and exponent, exactly; null where ``text`` is no number.
 
-    A number is its sign, its whole part without leading zeros and its
-    fraction without trailing ones; longer whole parts are larger, equally
-    long parts compare as text.  Exponent forms are written out first by a
-    cast, so they have the cast's range.
+    A number other than zero is its sign, its digits without zeros at either
+    end, and the place of the point before them: larger places are larger,
+    equal places compare by the digits as text.  An exponent only moves the
+    point, so nothing is written out.  Spaces aren't part of a number.
     """
     t = Decimal(threshold)
-    below = t < 0
-    whole, _, part = format(abs(t), "f").partition(".")
-    whole, part = whole.lstrip("0"), part.rstrip("0")
-    trimmed = F.trim(text)
-    plain = F.when(trimmed.rlike(_DECIMAL), trimmed).otherwise(trimmed.try_cast("decimal(38,18)").cast("string"))
-    digits = F.regexp_replace(plain, "^[+-]", "")
-    w = F.regexp_replace(F.regexp_extract(digits, r"^([0-9]*)", 1), "^0+", "")
-    f = F.regexp_replace(F.regexp_extract(digits, r"\.([0-9]*)$", 1), "0+$", "")
-    zero = (w == "") & (f == "")
-    negative = plain.startswith("-") & ~zero
+    digits_t = "".join(map(str, t.as_tuple().digits)).lstrip("0")
+    place_t = len(digits_t) + int(t.as_tuple().exponent)
+    digits_t = digits_t.rstrip("0")
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(text, _NUMBER, i)
+
+    digits = F.concat(part(2), part(3))
+    exponent = F.when(part(4) == "", F.lit(0).cast("bigint")).otherwise(part(4).try_cast("bigint"))
+    number = text.rlike(_NUMBER) & (digits != "") & (F.abs(exponent) <= _MAX_EXPONENT)
+    cut = F.regexp_replace(digits, "^0+", "")
+    place = F.length(part(2)) - (F.length(digits) - F.length(cut)) + exponent
+    d = F.regexp_replace(cut, "0+$", "")
 
     def sign(a: Column, b: Column) -> Column:
         return F.when(a > b, 1).when(a < b, -1).otherwise(0)
 
-    size = F.when(F.length(w) != len(whole), sign(F.length(w), F.lit(len(whole)))).when(w != whole, sign(w, F.lit(whole))).otherwise(sign(f, F.lit(part)))
-    if below:
-        return F.when(plain.isNotNull(), F.when(negative, -size).otherwise(1))
-    return F.when(plain.isNotNull(), F.when(negative, -1).otherwise(size))
+    size = F.when(place != place_t, sign(place, F.lit(place_t))).otherwise(sign(d, F.lit(digits_t))) if digits_t else F.lit(1)
+    negative = part(1) == "-"
+    zero = F.lit(0 if not digits_t else 1 if t < 0 else -1)  # how a zero compares with the threshold
+    if digits_t and t < 0:
+        other = F.when(negative, -size).otherwise(1)
+    else:
+        other = F.when(negative, -1).otherwise(size)
+    return F.when(F.coalesce(number, F.lit(False)), F.when(d == "", zero).otherwise(other))
 
 
 def _pred(p: ValuePredicate, v: _Value) -> Column:
@@ -315,6 +346,10 @@ def compile_filter(f: EventFilter, payload, template_col: str = "template_id") -
         if f.hash_agnostic:
             return F.coalesce(template_key(t).isin(sorted({":".join(i.split(":")[-2:]) for i in ids})), F.lit(False))
         return F.coalesce(t.isin(ids), F.lit(False))
+    if isinstance(f, _Flag):
+        return F.coalesce(F.col(f.column), F.lit(False))
+    if isinstance(f, (TemplateIn, StakeholderIn)):
+        raise TypeError("a filter over a table is a join: use apply_filter")
     if isinstance(f, ByArgument):
         path = tuple(f.path)
         v = _typed_extract(payload, path) if isinstance(payload, TypedPayload) else _json_extract(payload, path)
@@ -353,3 +388,75 @@ def subscription(subs: list[tuple[str, list[str]]], template_col: str = "templat
         tmpl = F.lit(True) if not templates else F.coalesce(F.col(template_col).isin(list(templates)), F.lit(False))
         out = out | (visible_to(party) & tmpl)
     return out
+
+
+# ------------------------------------------------------ filters over tables
+# A set of template ids up to this size is a literal list of the predicate; a larger one is joined.
+LITERAL_IDS = 1_000
+
+
+def apply_filter(df: DataFrame, f: EventFilter, payload, template_col: str = "template_id", parties: tuple[str, str] = ("signatories", "observers")) -> DataFrame:
+    """The rows of ``df`` that pass ``f``, where sets may be tables or long lists.
+
+    Each such set is a left join with its distinct members that adds a flag;
+    the boolean tree stands on the flags, so ``Not`` and ``Or`` over sets are
+    what they are over lists.  A set is broadcast while its size is proven
+    small, and shuffled beyond.  A party set meets the distinct stakeholder
+    lists of the events, not the events.
+    """
+    columns = df.columns
+    joined, n = df, 0
+
+    def flagged(members: DataFrame, on: dict[str, Column]) -> EventFilter:
+        """Join ``members`` (its columns named as in ``on``) and name the flag."""
+        nonlocal joined, n
+        n += 1
+        name = f"_in_{n}"
+        members = small(members.distinct()).withColumn(name, F.lit(True))
+        keys = {f"_key_{n}_{c}": c for c in on}
+        members = members.select(*[F.col(c).alias(k) for k, c in keys.items()], name)
+        cond = None
+        for k, c in keys.items():
+            one = on[c].eqNullSafe(F.col(k)) if c == "stakeholders" else on[c] == F.col(k)
+            cond = one if cond is None else cond & one
+        joined = joined.join(members, cond, "left").drop(*keys)
+        return _Flag(name)
+
+    def walk(g: EventFilter) -> EventFilter:
+        if isinstance(g, (And, Or)):
+            return type(g)(tuple(walk(x) for x in g.filters))
+        if isinstance(g, Not):
+            return Not(walk(g.filter))
+        if isinstance(g, ByTemplate) and len(g.template_ids) > LITERAL_IDS:
+            ids = df.sparkSession.createDataFrame([(i,) for i in sorted(g.template_ids)], "template string")
+            return walk(TemplateIn(ids, g.hash_agnostic))
+        if isinstance(g, TemplateIn):
+            ids = g.templates.select(F.col(g.templates.columns[0]).alias("template"))
+            of_event = F.col(template_col)
+            if g.hash_agnostic:
+                ids, of_event = ids.select(template_key("template").alias("template")), template_key(template_col)
+            return flagged(ids, {"template": of_event})
+        if isinstance(g, StakeholderIn):
+            wanted = g.parties.select(F.col(g.parties.columns[0]).alias("party")).distinct()
+            lists = df.select(stakeholders(*parties).alias("stakeholders")).distinct()
+            each = lists.select("stakeholders", F.explode("stakeholders").alias("party"))
+            return flagged(each.join(small(wanted), "party", "left_semi").select("stakeholders"), {"stakeholders": stakeholders(*parties)})
+        return g
+
+    tree = walk(f)
+    return joined.filter(compile_filter(tree, payload, template_col)).select(*columns)
+
+
+def subscribed(df: DataFrame, subscriptions: DataFrame, template_col: str = "template_id", parties: tuple[str, str] = ("signatories", "observers")) -> DataFrame:
+    """F10 over a table ``(party, template_id)``: rows with a stakeholder subscribed to the template; a null template means all.
+
+    The distinct (stakeholders, template) pairs of the events meet the table;
+    the events meet the pairs that matched.
+    """
+    who = stakeholders(*parties)
+    pairs = df.select(who.alias("stakeholders"), F.col(template_col).alias("template")).distinct()
+    subs = small(subscriptions.select(F.col("party"), F.col("template_id").alias("wanted")).distinct())
+    each = pairs.select("stakeholders", "template", F.explode("stakeholders").alias("party")).join(subs, "party")
+    matched = each.filter(F.col("wanted").isNull() | (F.col("wanted") == F.col("template"))).select("stakeholders", "template").distinct()
+    matched = matched.select(F.col("stakeholders").alias("_who"), F.col("template").alias("_what"))
+    return df.join(matched, who.eqNullSafe(F.col("_who")) & F.col(template_col).eqNullSafe(F.col("_what")), "left_semi")

@@ -30,11 +30,11 @@ def assign_batches(events: DataFrame, stream_col: str = "topic", size: int = BAT
     return n.withColumn("batch_no", F.floor((F.col("_rn") - 1) / size).cast("bigint")).drop("_rn")
 
 
-def batch_manifest(batched: DataFrame, stream_col: str = "topic", order_col: str = "ledger_offset") -> DataFrame:
-    """One row per batch: stream, slot, batch_no, events, first and last (fixed-width) offset."""
+def batch_manifest(batched: DataFrame, stream_col: str = "topic", order_col: str = "ledger_offset", opaque: bool = False) -> DataFrame:
+    """One row per batch: stream, slot, batch_no, events, first and last (fixed-width, or ``opaque``) offset."""
     return batched.groupBy(stream_col, "slot", "batch_no").agg(
-        F.count(F.lit(1)).alias("events"), min_offset(order_col).alias("first_offset"),
-        max_offset(order_col).alias("last_offset"))
+        F.count(F.lit(1)).alias("events"), min_offset(order_col, opaque).alias("first_offset"),
+        max_offset(order_col, opaque).alias("last_offset"))
 
 
 def pages(events: DataFrame, key: str, size: int = PAGE_SIZE) -> DataFrame:

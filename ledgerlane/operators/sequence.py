@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.columns import OFFSET_WIDTH, is_fixed_width
 from ledgerlane.session import scratch
 
 # Chunks per super-chunk: prefix counts are summed inside super-chunks, then
@@ -26,9 +27,12 @@ CHUNK_FANOUT = 1000
 
 
 def offset_chunk(offset: str | Column = "ledger_offset", digits: int = 6) -> Column:
-    """Chunk of a fixed-width offset: its value without the last ``digits`` digits (≤ 10**digits offsets per chunk)."""
+    """Chunk of a fixed-width offset: its value without the last ``digits`` digits (≤ 10**digits offsets per chunk).
+
+    Offsets of another form come after all of those, in one chunk by their text.
+    """
     c = F.col(offset) if isinstance(offset, str) else offset
-    return F.substring(c, 1, 18 - digits).cast("bigint")
+    return F.when(is_fixed_width(c), F.substring(c, 1, OFFSET_WIDTH - digits).cast("bigint")).otherwise(10 ** (OFFSET_WIDTH - digits))
 
 
 def _super(chunk: str, fanout: int) -> Column:

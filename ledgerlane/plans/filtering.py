@@ -13,6 +13,7 @@ from ledgerlane.operators.encode import payload_json
 from ledgerlane.plans.oracle import with_ledger
 from ledgerlane.plans.registry import register
 from ledgerlane.sources.ledger import PAYLOAD_TAGS, ledger
+from ledgerlane.sources.tables import table
 
 OUT = ["event_id", "ledger_offset", "event_type", "template_id"]
 OUT_SQL = "SELECT event_id, ledger_offset, event_type, template_id FROM ledger"
@@ -173,3 +174,47 @@ def dispatch_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = ledger(spark, sf_dir).select("event_id", "event_type",
                                       F.explode(F.array("event_type", F.lit("*"))).alias("on_type"))
     return ev.join(h, "on_type").select("event_id", "event_type", "handler")
+
+
+# Sets that grow with the tables: an id for every order besides two real ones, and the parties of customers in credit.
+_SETS = """big(template_id) AS (SELECT 'Generated:T' || CAST(o_orderkey AS VARCHAR) FROM orders UNION ALL VALUES ('Main:Iou'), ('Token:Fungible')),
+blocked(template_id) AS (SELECT 'Blocked:T' || CAST(o_orderkey AS VARCHAR) FROM orders UNION ALL VALUES ('Token:Fungible')),
+credit(party) AS (SELECT 'Cust' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 5000)"""
+
+
+@register("filter_large_sets", with_ledger(f"""{OUT_SQL}
+WHERE (template_id IN (SELECT template_id FROM big) OR signatory IN (SELECT party FROM credit) OR observer IN (SELECT party FROM credit))
+  AND template_id NOT IN (SELECT template_id FROM blocked)""", _SETS))
+def filter_large_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6, F13 over tables: ``And``, ``Or`` and ``Not`` over sets as large as the orders and customers, joined and not listed."""
+    def ids(prefix: str, *real: str) -> DataFrame:
+        made = table(spark, sf_dir, "orders").select(F.concat(F.lit(f"{prefix}:T"), F.col("o_orderkey").cast("string")).alias("template_id"))
+        return made.unionByName(spark.createDataFrame([(t,) for t in real], "template_id string"))
+    credit = table(spark, sf_dir, "customer").filter("c_acctbal > 5000").select(F.concat(F.lit("Cust"), F.col("c_custkey").cast("string")).alias("party"))
+    df = ledger(spark, sf_dir)
+    f = X.And((X.Or((X.TemplateIn(ids("Generated", "Main:Iou", "Token:Fungible")), X.StakeholderIn(credit))), X.Not(X.TemplateIn(ids("Blocked", "Token:Fungible")))))
+    return X.apply_filter(df, f, typed(df)).select(*OUT)
+
+
+@register("subscribe_table", with_ledger(f"""{OUT_SQL} WHERE EXISTS (SELECT 1 FROM subs WHERE (party = signatory OR party = observer) AND (subs.template_id IS NULL OR subs.template_id = ledger.template_id))""",
+    """subs AS (SELECT 'Cust' || CAST(c_custkey AS VARCHAR) AS party, CASE c_custkey % 4 WHEN 0 THEN 'Main:Iou' WHEN 1 THEN 'Main:Asset' WHEN 2 THEN 'None:Such' END AS template_id
+FROM customer WHERE c_custkey % 3 = 0)"""))
+def subscribe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 over a subscription table, a row for every third customer; some want one template, some all."""
+    c = F.col("c_custkey")
+    wanted = F.when(c % 4 == 0, "Main:Iou").when(c % 4 == 1, "Main:Asset").when(c % 4 == 2, "None:Such")
+    subs = table(spark, sf_dir, "customer").filter(c % 3 == 0).select(F.concat(F.lit("Cust"), c.cast("string")).alias("party"), wanted.alias("template_id"))
+    return X.subscribed(ledger(spark, sf_dir), subs).select(*OUT)
+
+
+@register("pred_numeric_exponent", with_ledger("""
+SELECT event_id, ledger_offset, event_type, template_id FROM flat_ledger WHERE event_type = 'created' AND CAST(substr(contract_id, 2, length(contract_id) - 3) AS BIGINT) % 4 IN (0, 3)"""))
+def pred_numeric_exponent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9e, F9f on numbers in exponent form: beyond every decimal type, below it, with spaces, and plain."""
+    from ledgerlane.sources.ledger import flat_ledger
+    df = flat_ledger(spark, sf_dir).filter("event_type = 'created'")
+    key = F.expr("CAST(substr(contract_id, 2, length(contract_id) - 3) AS BIGINT)")
+    amount = F.when(key % 4 == 0, F.concat(key.cast("string"), F.lit("1E400"))).when(key % 4 == 1, F.concat(F.lit("1"), key.cast("string"), F.lit("e-300"))).when(key % 4 == 2, " 7 ").otherwise("20E-1")
+    df = df.withColumn("doc", F.to_json(F.struct(amount.alias("amount"))))
+    f = X.And((arg("amount", X.NumericGt(Decimal("1"))), X.Not(arg("amount", X.NumericLt(Decimal("2"))))))
+    return X.parse_payload_once(df, "doc").filter(X.compile_filter(f, X.JsonPayload("_payload_v", {("amount",): X.NUMERIC}, parsed=True))).select(*OUT)

@@ -121,14 +121,14 @@ STATIC_HEADERS = {"source": "ledger", "format": "json"}
 
 
 @register("static_headers", with_routed(f"""
-SELECT topic, contract_id AS key,
+SELECT topic, contract_id AS key, {_TS_JSON_SQL} AS value,
        'templateId=' || template_id || ';eventType=' || CASE event_type WHEN 'created' THEN 'Created' ELSE 'Archived' END
          || ';source=ledger;format=json' AS headers
 FROM routed WHERE event_type <> 'exercised'"""))
 def static_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: configured static headers appended to every record."""
     r = _contract_records(spark, sf_dir)
-    return r.select("topic", "key", R.render_headers(R.with_static_headers(F.col("headers"), STATIC_HEADERS))
+    return r.select("topic", "key", "value", R.render_headers(R.with_static_headers(F.col("headers"), STATIC_HEADERS))
                     .alias("headers"))
 
 

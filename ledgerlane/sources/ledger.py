@@ -44,7 +44,7 @@ def _case_sql(expr: str, pairs) -> str:
 
 
 def _offset_sql(n: str) -> str:
-    return f"lpad(CAST({n} AS STRING), 18, '0')"
+    return f"if(length(CAST({n} AS STRING)) > 18, CAST({n} AS STRING), lpad(CAST({n} AS STRING), 18, '0'))"
 
 
 # The derivation is written as SQL expression text: the JVM parses each
