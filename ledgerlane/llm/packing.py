@@ -1,43 +1,41 @@
-"""Lexical retrieval packing: windows of related documents, found by BM25 over all documents.
+"""Lexical retrieval packing: windows of related documents, found in a sharded BM25 index.
 
 A document's ids are cut into windows; what fills a window is a sequence of
-its own, and the rest, shorter than a window, is a unit to be packed.  Windows
-are filled in rounds.  In a round some units are seeds, and each seed's query,
-all ids of its document, is scored against every other unused unit's document,
-in blocks of the index that are read one after another.  A unit goes to the
-seed that it suits best, and a seed takes its units best first; the last is
-cut, and its remainder stays unused.  Of the seeds that can't fill their window
-the less filled half gives its units free, which choose again, a few times;
-seeds and units that are left then are unused in the next round.  The last few units are
-packed by one task that fills one window after another.
+its own, and the rest, shorter than a window, is a unit to be packed.  Every
+unit belongs to one shard of the index: that of its topic, the nearest of at
+most ``TOPICS`` centroids of hashed BM25 weights, and inside a topic that is
+larger than a shard, of the smallest hash among its heaviest ids, so that
+units with the same rare ids meet.  In a shard a seed, the next unused unit,
+takes its unused neighbours, best first by BM25 over their whole documents,
+until its window is full; the last is cut, and its remainder stays unused.
+
+A shard has about ``shard_units`` units, and a seed sees its own shard only:
+``shard_units`` of all units or more makes one shard, which is exact.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import zlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import staged
-from ledgerlane.llm.files import located
-from ledgerlane.llm.words import slices
+from ledgerlane.llm.words import mix, slices
 
 END = 0                # the id that ends a document
-SHARD_UNITS = 2048     # units that one task packs by itself, about
-BLOCK_UNITS = 8192     # units of the index that are scored at a time
-SEED_ROWS = 4096       # seeds that are scored at a time
-NEIGHBOURS = 32        # a seed's neighbours in a round, at least
-PASSES = 5             # times that a round's units choose among the seeds that are left
-HOT = 8                # ids that one document in so many has are scored by a matrix product
-TIES = 1e-5            # scores that differ by less, relatively, are ties and broken differently for each seed
+SHARD_UNITS = 2048     # units of a shard, about; one task packs it
+OVERSIZE = 2           # a topic is cut only where it has so many times a shard's units
+TOPICS = 256           # centroids at most: the model that tasks get doesn't grow with the table
+DIMS = 256             # hashed dimensions of a unit's BM25 weights
+SAMPLE = 16_384        # units that the centroids are fitted on, at most; every unit is indexed
+HEAVIEST = 12          # ids of a unit, by weight, among which the smallest hash decides inside a topic
 K1, B = 1.2, 0.75
 
 
@@ -64,42 +62,102 @@ def tokenizer(json_name: str):
     return fast, slow.get_vocab_size()
 
 
-TOKENS = "doc_tokens bigint, crcs array<bigint>, tail binary, terms binary, tf binary, unit bigint, stats array<bigint>"
+TOKENS = "doc_tokens bigint, ids binary, unit bigint, stats array<bigint>"
 
 
-def _tokenize(batches: Iterator[pa.RecordBatch], json_name: str, window: int) -> Iterator[pa.RecordBatch]:
+def _tokenize(batches: Iterator[pa.RecordBatch], json_name: str) -> Iterator[pa.RecordBatch]:
+    """Each text's ids and the end id, as little-endian 32-bit numbers; then the task's share of the index's statistics."""
     encode, vocabulary = tokenizer(json_name)
-    width = _width(vocabulary)
     part = TaskContext.get().partitionId() << 40
-    df, units, tokens, row = np.zeros(vocabulary, np.int64), 0, 0, 0
+    df, units, tokens = np.zeros(vocabulary, np.int64), 0, 0
     id_type = None
 
-    def out(ids, n, crcs, tail, terms, tf, unit, stats):
-        return pa.RecordBatch.from_arrays(
-            [ids, pa.array(n, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tail, pa.binary()), pa.array(terms, pa.binary()),
-             pa.array(tf, pa.binary()), pa.array(unit, pa.int64()), pa.array(stats, pa.list_(pa.int64()))],
-            names=["id", "doc_tokens", "crcs", "tail", "terms", "tf", "unit", "stats"])
+    def out(ids, n, data, unit, stats):
+        return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(data, pa.binary()), pa.array(unit, pa.int64()), pa.array(stats, pa.list_(pa.int64()))],
+                                          names=["id", "doc_tokens", "ids", "unit", "stats"])
 
     for batch in batches:
         id_type = batch.schema.field("id").type
         for piece in slices(batch, "text"):
-            n, crcs, tails, terms, tfs, unit = [], [], [], [], [], []
+            n, data, unit = [], [], []
             for text in piece.column("text").to_pylist():
-                ids = np.fromiter([*encode(text or ""), END], np.uint32)
-                full = len(ids) // window * window
+                ids = np.fromiter([*encode(text or ""), END], "<u4")
                 n.append(len(ids))
-                crcs.append([zlib.crc32(ids[a:a + window].astype("<u4").tobytes()) for a in range(0, full, window)])
-                tails.append(ids[full:].astype(width).tobytes())
-                term, tf = np.unique(ids, return_counts=True)
-                terms.append(term.astype(width).tobytes())
-                tfs.append(tf.astype("<u4").tobytes())
-                unit.append(part | row)
-                row += 1
-                df[term] += 1
+                data.append(ids.tobytes())
+                unit.append(part | units)
+                df[np.unique(ids)] += 1
                 units, tokens = units + 1, tokens + len(ids)
-            yield out(piece.column("id"), n, crcs, tails, terms, tfs, unit, [None] * len(n))
-    if id_type is not None:  # the task's share of the index's statistics
-        yield out(pa.nulls(1, id_type), [None], [None], [None], [None], [None], [None], [[units, tokens, *df.tolist()]])
+            yield out(piece.column("id"), n, data, unit, [None] * len(n))
+    if id_type is not None:
+        yield out(pa.nulls(1, id_type), [None], [None], [None], [[units, tokens, *df.tolist()]])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    return mix(x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+
+def weights(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct ids, their counts, their BM25 weights) of a document."""
+    term, tf = np.unique(ids, return_counts=True)
+    return term, tf, idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
+
+
+def hashed(term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The weights in ``DIMS`` hashed dimensions with hashed signs, of length one."""
+    h = _mixed(term)
+    sign = np.where(h >> np.uint64(63), 1.0, -1.0)
+    v = np.bincount((h % np.uint64(DIMS)).astype(np.int64), sign * weight, DIMS)
+    return v / max(np.linalg.norm(v), 1e-12)
+
+
+def centroids(points: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
+    """k directions by spherical k-means, from points drawn far from those drawn before."""
+    rng = np.random.default_rng(0)
+    c = np.empty((k, points.shape[1]))
+    c[0] = points[0]
+    far = 1 - points @ c[0]
+    for i in range(1, k):
+        chance = np.maximum(far, 0) ** 2
+        drawn = rng.choice(len(points), 8, p=chance / chance.sum()) if chance.sum() > 1e-9 else [i % len(points)]
+        c[i] = max((points[j] for j in drawn), key=lambda p: np.maximum(far - (1 - points @ p), 0).sum())  # the draw that covers most
+        far = np.minimum(far, 1 - points @ c[i])
+    for _ in range(rounds):
+        near = (points @ c.T).argmax(1)
+        total = np.zeros_like(c)
+        np.add.at(total, near, points)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        c = np.where(size > 1e-9, total / np.maximum(size, 1e-9), c)
+    return c
+
+
+def _vectors(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = []
+        for x in b.column("ids").to_pylist():
+            term, _, weight = weights(np.frombuffer(x, "<u4"), idf, mean)
+            rows.append(hashed(term, weight).astype(np.float32))
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float32()))], names=["v"])
+
+
+ROUTED = "doc_tokens bigint, tail binary, terms binary, tf binary, unit bigint, topic int, mark bigint"
+
+
+def _route(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, topics: np.ndarray, window: int, width: str) -> Iterator[pa.RecordBatch]:
+    """Each unit with its topic and the mark that decides its shard inside the topic."""
+    for b in batches:
+        tails, terms, tfs, topic, mark = [], [], [], [], []
+        for x in b.column("ids").to_pylist():
+            ids = np.frombuffer(x, "<u4")
+            term, tf, weight = weights(ids, idf, mean)
+            tails.append(ids[len(ids) // window * window:].astype(width).tobytes())
+            terms.append(term.astype(width).tobytes())
+            tfs.append(tf.astype("<u4").tobytes())
+            topic.append(int((topics @ hashed(term, weight)).argmax()))
+            heavy = term[np.argsort(-weight, kind="stable")[:HEAVIEST]]
+            mark.append(int(_mixed(heavy).min() >> np.uint64(1)))
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("doc_tokens"), pa.array(tails, pa.binary()), pa.array(terms, pa.binary()), pa.array(tfs, pa.binary()),
+                                          b.column("unit"), pa.array(topic, pa.int32()), pa.array(mark, pa.int64())],
+                                         names=["id", "doc_tokens", "tail", "terms", "tf", "unit", "topic", "mark"])
 
 
 def _width(vocabulary: int) -> str:
@@ -164,222 +222,94 @@ def fill_windows(units: list[np.ndarray], window: int, idf: np.ndarray, mean: fl
         yield out
 
 
-class Block:
-    """A block of the index, scored for many seeds at a time."""
-
-    def __init__(self, batch: pa.RecordBatch, idf: np.ndarray, mean: float, hot: np.ndarray, width: str):
-        self.units = batch.column("unit").to_numpy()
-        self.n = len(self.units)
-        size = batch.column("doc_tokens").to_numpy()
-        terms = [np.frombuffer(t, width) for t in batch.column("terms").to_pylist()]
-        row, term = np.repeat(np.arange(self.n), [len(t) for t in terms]), np.concatenate(terms)
-        tf = np.frombuffer(b"".join(batch.column("tf").to_pylist()), "<u4").astype(float)
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[row] / mean))
-        h = hot[term] >= 0
-        self.dense = np.zeros((hot.max() + 1, self.n), np.float32)
-        self.dense[hot[term[h]], row[h]] = weight[h]
-        order = np.argsort(term[~h], kind="stable")
-        self.row, self.weight = row[~h][order], weight[~h][order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(term[~h], minlength=len(idf)))])
-
-    def scores(self, hot: np.ndarray, cold: list[np.ndarray]) -> np.ndarray:
-        """BM25 of the block's units (columns) for each query (rows): its hot ids as a row of 0 and 1, and its other ids."""
-        out = hot @ self.dense
-        for s, q in enumerate(cold):
-            spans = [slice(a, b) for a, b in zip(self.first[q].tolist(), self.first[q + 1].tolist()) if b > a]
-            if spans:
-                out[s] += np.bincount(np.concatenate([self.row[x] for x in spans]), np.concatenate([self.weight[x] for x in spans]), self.n)
-        return out
-
-
-def _index(files: list[str]) -> Iterator[pa.RecordBatch]:
-    for f in files:
-        where, path = located(f)
-        with where.open_input_file(path) as opened:
-            yield from pq.ParquetFile(opened).iter_batches(BLOCK_UNITS, columns=["unit", "doc_tokens", "terms", "tf"])
-
-
-def _best(row: np.ndarray, unit: np.ndarray, score: np.ndarray, most: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The ``most`` highest scores of each row, and the score that a further one has to exceed."""
-    order = np.lexsort((unit, -score, row))
-    row, unit, score = row[order], unit[order], score[order]
-    first = np.searchsorted(row, np.arange(n + 1))
-    at = np.arange(len(row)) - first[row]
-    bound = np.zeros(n, np.float32)
-    bound[row[at == most - 1]] = score[at == most - 1]
-    return row[at < most], unit[at < most], score[at < most], bound
-
-
-def _search(batches: Iterator[pa.RecordBatch], files: list[str], idf: np.ndarray, mean: float, hot: np.ndarray, most: int,
-            width: str) -> Iterator[pa.RecordBatch]:
-    """(seed, unit, score): each seed's ``most`` best units of the whole index."""
-    noise = 1 + TIES * np.random.default_rng(0).random(2 * BLOCK_UNITS, np.float32)
-    rows = [b for b in batches if b.num_rows]
-    if not rows:
-        return
-    table = pa.Table.from_batches(rows)
-    for a in range(0, table.num_rows, SEED_ROWS):
-        part = table.slice(a, SEED_ROWS)
-        seeds = part.column("unit").to_numpy()
-        shift = (seeds * 7919 % BLOCK_UNITS).tolist()
-        terms = [np.frombuffer(t, width).astype(np.int64) for t in part.column("terms").to_pylist()]
-        query = np.zeros((len(seeds), hot.max() + 1), np.float32)
-        for s, q in enumerate(terms):
-            query[s, hot[q[hot[q] >= 0]]] = 1
-        cold = [q[hot[q] < 0] for q in terms]
-        row, unit, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-        bound = np.zeros(len(seeds), np.float32)
-        for batch in _index(files):
-            block = Block(batch, idf, mean, hot, width)
-            scores = block.scores(query, cold)
-            found = [[row], [unit], [score]]
-            for s in range(len(seeds)):
-                x = scores[s]
-                x *= noise[shift[s]:shift[s] + block.n]
-                at = np.flatnonzero(x > bound[s])
-                if len(at) > most:
-                    at = at[np.argpartition(x[at], len(at) - most)[-most:]]
-                for to, v in zip(found, (np.full(len(at), s), block.units[at], x[at])):
-                    to.append(v)
-            row, unit, score, bound = _best(*map(np.concatenate, found), most, len(seeds))
-        yield pa.RecordBatch.from_arrays([pa.array(seeds[row]), pa.array(unit), pa.array(score.astype(float))], names=["seed", "unit", "score"])
-
-
-def _crc(batches: Iterator[pa.RecordBatch], width: str) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        crc = [zlib.crc32(np.frombuffer(t, width)[a:a + n].astype("<u4").tobytes())
-               for t, a, n in zip(*(b.column(c).to_pylist() for c in ("tail", "at", "length")))]
-        yield pa.RecordBatch.from_arrays([pa.array(crc, pa.int64()) if c == "ids_crc32" else b.column(c) for c in PIECE], names=PIECE)
-
-
-PIECE = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-NUMBERS = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+PIECE = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+NUMBERS = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 def _pack(table: pa.Table, window: int, width: str, idf: np.ndarray, mean: float, id_type: pa.DataType) -> pa.Table:
+    """The pieces of a shard's windows."""
     table = table.sort_by("unit")
-    at = table.column("at").to_pylist()
-    units = [np.frombuffer(t, width)[a:] for t, a in zip(table.column("tail").to_pylist(), at)]
+    units = [np.frombuffer(t, width) for t in table.column("tail").to_pylist()]
     docs = [np.repeat(np.frombuffer(t, width), np.frombuffer(n, "<u4")) for t, n in zip(table.column("terms").to_pylist(), table.column("tf").to_pylist())]
-    before = (table.column("doc_tokens").to_numpy() - np.array([len(u) for u in units]))
+    before = table.column("doc_tokens").to_numpy() - np.array([len(u) for u in units])
+    which, start, length, data, sequence, offset = [], [], [], [], [], []
     shard = table.column("shard")[0].as_py()
-    which, start, length, crc, sequence, offset = [], [], [], [], [], []
     for s, pieces in enumerate(fill_windows(units, window, idf, mean, docs)):
         o = 0
         for u, a, n in pieces:
             which.append(u)
             start.append(int(before[u]) + a)
             length.append(n)
-            crc.append(zlib.crc32(units[u][a:a + n].astype("<u4").tobytes()))
-            sequence.append((shard << 24 | s) << 2 | 2)
+            data.append(units[u][a:a + n].astype("<u4").tobytes())
+            sequence.append((shard << 20 | s) << 1 | 1)
             offset.append(o)
             o += n
     pick = table.take(pa.array(which, pa.int64()))
-    return pa.table([pick.column("id").cast(id_type), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+    return pa.table([pick.column("id").cast(id_type), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary()),
                      pick.column("doc_tokens"), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names=PIECE)
 
 
-def _round(docs: DataFrame, left: DataFrame, k: int, units: int, tokens: int, window: int, idf, mean: float, hot: np.ndarray, width: str) -> DataFrame:
-    """(seed, unit, at, length, offset) of the windows that a round fills; ``left``: (unit, at, rest) of the unused units."""
+def routed_units(docs: DataFrame, n: int, idf: np.ndarray, mean: float, window: int, shard_units: int) -> DataFrame:
+    """(id, doc_tokens, tail, terms, tf, unit, shard): the units and their shards; ``n``: how many documents there are."""
     spark = docs.sparkSession
-    # Seeds for half of the windows that the units fill: each has about twice the units that it needs.
-    share = int(2 ** 20 * min(0.5, tokens / units / window / 2)) or 1
-    marked = left.withColumn("is_seed", F.pmod(F.xxhash64("unit", F.lit(k)), F.lit(2 ** 20)) < share)
-    index = docs.select("unit", "doc_tokens", "terms", "tf")
-    pool = staged(index.join(marked.filter("not is_seed").select("unit"), "unit"), "pool")
-    files = sorted(pool.inputFiles())
-    most = max(NEIGHBOURS, 8 * -(-window * units // tokens))
-    seeds = marked.filter("is_seed")
-    tasks = max(spark.sparkContext.defaultParallelism, units * share // 2 ** 20 // SEED_ROWS + 1)
-    near = (index.join(seeds, "unit").select("unit", "terms").repartition(tasks)
-            .mapInArrow(lambda it: _search(it, files, idf.value, mean, hot, most, width), "seed bigint, unit bigint, score double"))
-    live = staged(near.join(left, "unit").join(seeds.select(F.col("unit").alias("seed"), F.col("at").alias("seed_at"), F.col("rest").alias("seed_rest")), "seed"),
-                  "neighbours")
-    w = Window.partitionBy("seed").orderBy(F.desc("score"), "unit")
-    windows = []
-    for _ in range(PASSES):
-        # Each unit goes to the seed that it suits best, and a seed takes its units best first.
-        own = live.join(live.groupBy("unit").agg(F.max(F.struct("score", "seed")).alias("m")).select("unit", "m.seed"), ["unit", "seed"])
-        own = (own.withColumn("end", F.col("seed_rest") + F.sum("rest").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("offset", F.col("end") - F.col("rest")))
-        own = staged(own.withColumn("most", F.max("end").over(Window.partitionBy("seed"))), "choice")
-        whole = own.filter((F.col("most") >= window) & (F.col("offset") < window))
-        member = whole.select("seed", "unit", "at", F.least("rest", F.lit(window) - F.col("offset")).alias("length"), "offset")
-        first = (whole.filter(F.col("offset") == F.col("seed_rest"))
-                 .select("seed", F.col("seed").alias("unit"), F.col("seed_at").alias("at"), F.col("seed_rest").alias("length"), F.lit(0).cast("long").alias("offset")))
-        windows.append(staged(member.unionByName(first), "windows"))
-        # The less filled half of the other seeds gives its units free for the rest.
-        short = own.filter(F.col("most") < window).groupBy("seed").agg(F.max("most").alias("most"))
-        half = short.agg(F.percentile_approx("most", 0.5)).first()[0]
-        if half is None:
-            break
-        live = staged(live.join(short.filter(F.col("most") >= half).select("seed"), "seed", "left_semi")
-                      .join(windows[-1].select("unit"), "unit", "left_anti"), "neighbours")
-    return functools.reduce(DataFrame.unionByName, windows)
+    width = _width(len(idf))
+    k = max(1, min(TOPICS, -(-n // shard_units)))
+    shared = spark.sparkContext.broadcast(idf)  # one number for each id of the vocabulary
+    sample = docs.select("ids", F.xxhash64("unit").alias("h")).orderBy("h").limit(min(SAMPLE, 64 * k)).select("ids") if k > 1 else docs.select("ids").limit(1)
+    points = sample.mapInArrow(lambda it: _vectors(it, shared.value, mean), "v array<float>").toArrow()  # at most SAMPLE rows of DIMS numbers
+    points = np.array(points.column("v").to_pylist(), np.float64)
+    topics = centroids(points, min(k, len(points)))
+    units = docs.filter(F.col("doc_tokens") % window > 0)
+    id_type = docs.schema["id"].dataType.simpleString()
+    routed = staged(units.select("id", "doc_tokens", "ids", "unit").mapInArrow(lambda it: _route(it, shared.value, mean, topics, window, width), f"id {id_type}, {ROUTED}"), "routed")
+    # Inside a topic shards by mark; where one mark has more units than a shard, by unit.
+    sizes = {r["topic"]: r["count"] for r in routed.groupBy("topic").count().collect()}  # TOPICS rows at most
+    parts = F.element_at(F.array(*[F.lit(max(1, math.ceil(sizes.get(t, 0) / (OVERSIZE * shard_units)))) for t in range(len(topics))]), F.col("topic") + 1)
+    placed = routed.withColumn("part", F.pmod("mark", parts).cast("bigint"))
+    full = staged(placed.groupBy("topic", "part").count().select("topic", "part", F.greatest(F.lit(1), F.ceil(F.col("count") / (OVERSIZE * shard_units))).cast("bigint").alias("cuts")), "shard-sizes")
+    cut = F.pmod(F.xxhash64("unit"), F.col("cuts"))
+    shard = F.col("topic").cast("bigint") * (1 << 34) + F.col("part") * (1 << 14) + cut  # 2^20 shards of a topic by mark, 2^14 of a mark
+    return placed.join(full, ["topic", "part"]).select("id", "doc_tokens", "tail", "terms", "tf", "unit", shard.alias("shard"))
 
 
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, json_name: str = "byte_bpe_50k.json",
          shard_units: int = SHARD_UNITS) -> DataFrame:
-    """Pieces: ``id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and ``offset``.
-
-    Every row's ids and the end id lie in exactly one piece each.  A seed's
-    neighbours are those of the whole table, whatever its size, so the scoring
-    grows with the square of the documents.  Rounds end when ``shard_units``
-    units or fewer are left, which one task packs, or when a round fills no
-    window; then the units are dealt to tasks of about ``shard_units`` each.
-    Only the last window of such a task may have padding.  The index's
-    statistics (documents, mean length, documents that have an id) cover all
-    documents; the driver gets one number for each id of the vocabulary.
-
-    Null or empty text: the end id alone.  Repeated rows are packed each on
-    its own; an empty table gives no pieces.
+    """Pieces: ``id``, ``start``, ``length``, ``ids`` (little-endian 32-bit), ``doc_tokens``, ``sequence_id`` and ``offset``.
+
+    Every row's ids and the end id lie in exactly one piece each.  One method
+    at every size: units are dealt to shards, each packed by one task; only a
+    shard's last window may have padding.  The index's statistics (documents,
+    mean length, documents that have an id) cover all documents; the driver
+    gets one number for each id of the vocabulary, the centroids' sample and
+    the sizes of the topics.  The sample only places the centroids: every unit
+    is indexed.  A topic, or copies that all have the same heaviest ids, of any size
+    are many shards.
+
+    Null or empty text: the end id alone.  A text of any length is one value
+    in one task, whose query is all its ids.  Ties in score: the unit that
+    comes first.  Repeated rows are packed each on its own; an empty table
+    gives no pieces.  Other columns are not read.
     """
     spark = df.sparkSession
     id_type = df.schema[id_col].dataType.simpleString()
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    done = staged(src.mapInArrow(lambda it: _tokenize(it, json_name, window), f"id {id_type}, {TOKENS}"), "tokens")
+    src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    done = staged(src.mapInArrow(lambda it: _tokenize(it, json_name), f"id {id_type}, {TOKENS}"), "tokens")
     stats = dict(done.select(F.posexplode("stats").alias("at", "n")).groupBy("at").agg(F.sum("n")).collect())
     docs = done.filter("unit is not null")
-    full = (docs.select("id", "doc_tokens", "unit", F.posexplode("crcs").alias("w", "ids_crc32"))
-            .select("id", (F.col("w") * window).cast("long").alias("start"), F.lit(window).cast("long").alias("length"), "ids_crc32", "doc_tokens",
-                    F.monotonically_increasing_id().alias("n"))
-            .select("id", "start", "length", "ids_crc32", "doc_tokens", F.shiftleft("n", 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+    size = 4 * window
+    whole = docs.filter(F.col("doc_tokens") >= window)
+    full = (whole.select("id", "doc_tokens", "ids", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("doc_tokens") / window) - 1)).alias("w"))
+            .select("id", (F.col("w") * window).alias("start"), F.lit(window).cast("long").alias("length"),
+                    F.expr(f"substring(ids, CAST(w * {size} + 1 AS INT), {size})").alias("ids"), "doc_tokens",
+                    F.shiftleft(F.monotonically_increasing_id(), 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
     n = int(stats.get(0, 0))
     if not n:
         return full
     mean = stats[1] / n
     df_of = np.array([stats.get(i + 2, 0) for i in range(len(stats) - 2)], float)
     idf = np.log(1 + (n - df_of + 0.5) / (df_of + 0.5))
-    shared = spark.sparkContext.broadcast(idf)  # one number for each id
-    hot = np.full(len(idf), -1)
-    common = np.flatnonzero(df_of * HOT > n)
-    hot[common] = np.arange(len(common))
     width = _width(len(idf))
-
-    def size(units: DataFrame) -> tuple[int, int]:
-        return tuple(units.agg(F.count("*"), F.coalesce(F.sum("rest"), F.lit(0))).first())
-
-    left = docs.select("unit", F.lit(0).cast("long").alias("at"), (F.col("doc_tokens") % window).alias("rest")).filter("rest > 0")
-    units, tokens = size(left)
-    windows, k = [], 0
-    while units > shard_units:
-        got = _round(docs, left, k, units, tokens, window, shared, mean, hot, width)
-        if got.isEmpty():
-            break
-        windows.append(got)
-        left = staged(left.join(got.select("unit", "length"), "unit", "left")
-                      .select("unit", (F.col("at") + F.coalesce("length", F.lit(0))).alias("at"), (F.col("rest") - F.coalesce("length", F.lit(0))).alias("rest"))
-                      .filter("rest > 0"), "left")
-        units, tokens = size(left)
-        k += 1
+    dealt = routed_units(docs, n, idf, mean, window, shard_units)
+    shared = spark.sparkContext.broadcast(idf)
     arrow_id = pa.schema(spark.createDataFrame([], f"id {id_type}").toArrow().schema).field("id").type
-    parts = max(1, round(units / shard_units))
-    dealt = docs.join(left, "unit").select("id", "doc_tokens", "tail", "terms", "tf", "unit", "at", F.pmod(F.xxhash64("unit"), F.lit(parts)).alias("shard"))
-    out = full.unionByName(dealt.groupBy("shard").applyInArrow(lambda t: _pack(t, window, width, shared.value, mean, arrow_id), f"id {id_type}, {NUMBERS}"))
-    if not windows:
-        return out
-    pieces = functools.reduce(DataFrame.unionByName, windows).join(docs.select("id", "doc_tokens", "tail", "unit"), "unit")
-    start = F.col("doc_tokens") - F.col("doc_tokens") % window + F.col("at")
-    return out.unionByName(
-        pieces.select("id", start.alias("start"), "length", "doc_tokens", F.shiftleft("seed", 2).bitwiseOR(F.lit(1)).alias("sequence_id"), "offset", "tail", "at")
-        .mapInArrow(lambda it: _crc(it, width), f"id {id_type}, {NUMBERS}"))
+    return full.unionByName(dealt.groupBy("shard").applyInArrow(lambda t: _pack(t, window, width, shared.value, mean, arrow_id), f"id {id_type}, {NUMBERS}"))

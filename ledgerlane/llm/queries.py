@@ -150,7 +150,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    out = pack(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 @register("op2_toxicity")

@@ -78,4 +78,4 @@ def test_stages(spark, data):
 
 
 def test_run_is_the_stages(spark, data):
-    assert P.run(spark, data).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert P.run(spark, data).columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
