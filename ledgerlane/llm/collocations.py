@@ -29,12 +29,12 @@ from ledgerlane.llm.files import located
 from ledgerlane.llm.words import Words, mix, slices, split_words, window_hashes
 from ledgerlane.session import scratch
 
-BLOCK_BYTES = 16 << 20     # text that one counter is merged over before the shuffle
+BLOCK_BYTES = 8 << 20     # text that one counter is merged over before the shuffle
 SLICE = 1 << 20
 BLOCKS_IN_BUCKET = 16      # blocks whose lists share a folder
 SEGMENT = 1 << 16          # a stripe is cut so that a segment counts about so many occurrences
-WORDS_IN_SEGMENT = 1 << 14  # and the stripe of the empty prefix by distinct words of a block
-ROWS = 4096                # stripes in an output batch
+BUCKET_BYTES = 3 << 19     # text whose occurrences one bucket of stripes holds, about: a task merges a bucket at a time
+ROWS = 256                 # buckets of a block in an output batch
 
 # Fixed values of the contract: what ends a piece, and what stands between words.
 PIECE_ENDS = np.zeros(256, bool)
@@ -123,8 +123,8 @@ def _groups(key: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Counter:
     """The stripes of one block at one level."""
 
-    def __init__(self, level: int, listed: Listed | None, segments: int):
-        self.level, self.listed, self.segments = level, listed, segments
+    def __init__(self, level: int, listed: Listed | None, buckets: int):
+        self.level, self.listed, self.buckets = level, listed, np.uint64(buckets)
         self.parts: list[tuple] = []
 
     def add(self, langs: pa.Array, texts: pa.Array) -> None:
@@ -142,10 +142,11 @@ class Counter:
         piece = ends_before[w.starts] + w.text_of()  # grows with every piece end and every text: equal inside a piece only
         first = np.arange(n - m + 1)
         first = first[piece[first] == piece[first + m - 1]]
-        weight = np.full(n, 0, np.int64)
+        prefix = weight = np.zeros(n, np.int64)
         if m > 1:
             shorter = np.arange(n - m + 2)
-            known, weight = self.listed.find(mix(window_hashes(h, shorter, shorter + m - 1) + salt[shorter]))
+            prefix = mix(window_hashes(h, shorter, shorter + m - 1) + salt[shorter])
+            known, weight = self.listed.find(prefix)
             first = first[known[first] & known[first + 1]]
         if not len(first):
             return
@@ -153,48 +154,59 @@ class Counter:
         order, begin = _groups(key, window_hashes(h2, first, first + m, 1))
         rep = first[order[begin]]
         flat = Flat(w)
-        self.parts.append((key[order[begin]], window_hashes(h2, rep, rep + m, 1), np.diff(np.append(begin, len(order))), weight[rep], h[rep + m - 1],
+        self.parts.append((key[order[begin]], window_hashes(h2, rep, rep + m, 1), np.diff(np.append(begin, len(order))), self._home(prefix[rep], weight[rep], h[rep + m - 1]),
                            pc.take(codes.dictionary, pa.array(lang[rep])).cast(pa.large_string()), flat.text(rep, rep + m - 1),
                            flat.text(rep + m - 1, rep + m)))
 
+    def _home(self, prefix: np.ndarray, weight: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """A hash of each entry's stripe segment; its low bits name the bucket.
+
+        The empty prefix is cut by the word.  Others are cut by the prefix's
+        count in the corpus, which all blocks know alike, so that they cut it alike.
+        """
+        if self.level == 1:
+            return mix(word) & (self.buckets - np.uint64(1))
+        cuts = 1 << np.ceil(np.log2(np.maximum(weight / SEGMENT, 1))).astype(np.int64)
+        return mix(prefix.astype(np.uint64) + (mix(word) & (cuts.astype(np.uint64) - np.uint64(1))))
+
     def stripes(self, block: int) -> Iterator[pa.RecordBatch]:
+        """A row per bucket: its stripes, each with the words that follow its prefix and their counts."""
         if not self.parts:
             return
-        key, second, n, weight, nexts = (np.concatenate([p[i] for p in self.parts]) for i in range(5))
-        lang, prefix, word = (pa.concat_arrays([p[i] for p in self.parts]) for i in range(5, 8))
+        key, second, n, home = (np.concatenate([p[i] for p in self.parts]) for i in range(4))
+        lang, prefix, word = (pa.concat_arrays([p[i] for p in self.parts]) for i in range(4, 7))
         self.parts = []
         order, begin = _groups(key, second)
-        count = np.add.reduceat(n[order], begin)
-        rep = order[begin]
-        # Segments by the prefix's count in the corpus, which all blocks know alike, so that they cut it alike.
-        cuts = self.segments if self.level == 1 else 1 << np.ceil(np.log2(np.maximum(weight[rep] / SEGMENT, 1))).astype(np.int64)
-        seg = (nexts[rep] & (np.asarray(cuts, np.uint64) - np.uint64(1))).astype(np.int64)
+        count, rep = np.add.reduceat(n[order], begin), order[begin]
+        bucket = (home[rep] & (self.buckets - np.uint64(1))).astype(np.int64)
+        by = np.lexsort((home[rep], bucket))
+        rep, bucket, count = rep[by], bucket[by], count[by]
         lang, prefix, word = (x.take(pa.array(rep)) for x in (lang, prefix, word))
-        by = pc.sort_indices(pa.table({"lang": lang, "prefix": prefix, "seg": seg}), sort_keys=[("lang", "ascending"), ("prefix", "ascending"), ("seg", "ascending")])
-        lang, prefix, word = (x.take(by) for x in (lang, prefix, word))
-        seg, count = seg[by], count[by]
-        new = np.ones(len(seg), bool)
+        other = np.zeros(len(rep), bool)
         for x in (lang, prefix):
-            new[1:] &= pc.equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False)
-        new[1:] &= seg[1:] == seg[:-1]
-        new[1:] = ~new[1:]
-        begin = np.flatnonzero(new)
-        stop = np.append(begin[1:], len(seg))
-        for at in range(0, len(begin), ROWS):
-            b, e = begin[at:at + ROWS], stop[at:at + ROWS]
-            offs = pa.array(np.append(b, e[-1]) - b[0], pa.int32())
-            inside = slice(int(b[0]), int(e[-1]))
-            rows = pa.array(b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(b), block)), lang.take(rows).cast(pa.string()), prefix.take(rows).cast(pa.string()), pa.array(seg[b]),
-                 pa.ListArray.from_arrays(offs, word[inside].cast(pa.string())), pa.ListArray.from_arrays(offs, pa.array(count[inside]))],
-                names=["block", "lang", "prefix", "seg", "words", "counts"])
-
-
-STRIPES = "block bigint, lang string, prefix string, seg bigint, words array<string>, counts array<bigint>"
-
-
-def _count(batches: Iterator[pa.RecordBatch], level: int, uri: str | None, segments: int) -> Iterator[pa.RecordBatch]:
+            other[1:] |= ~pc.equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False)
+        row = np.ones(len(rep), bool)
+        row[1:] = bucket[1:] != bucket[:-1]
+        rows = np.flatnonzero(row)
+        for at in range(0, len(rows), ROWS):
+            a = int(rows[at])
+            b = int(rows[at + ROWS]) if at + ROWS < len(rows) else len(rep)
+            inside = np.flatnonzero(row[a:b])
+            heads = np.flatnonzero(row[a:b] | other[a:b])
+            ends = pa.array(np.append(heads, b - a), pa.int32())
+            took = pa.array(heads + a)
+            stripe = pa.StructArray.from_arrays(
+                [lang.take(took).cast(pa.string()), prefix.take(took).cast(pa.string()), pa.ListArray.from_arrays(ends, word[a:b].cast(pa.string())),
+                 pa.ListArray.from_arrays(ends, pa.array(count[a:b]))], names=["lang", "prefix", "words", "counts"])
+            offs = pa.array(np.append(np.searchsorted(heads, inside), len(heads)), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(inside), block)), pa.array(bucket[a:b][inside]), pa.ListArray.from_arrays(offs, stripe)],
+                                             names=["block", "bucket", "stripes"])
+
+
+STRIPES = "block bigint, bucket bigint, stripes array<struct<lang: string, prefix: string, words: array<string>, counts: array<bigint>>>"
+
+
+def _count(batches: Iterator[pa.RecordBatch], level: int, uri: str | None, buckets: int) -> Iterator[pa.RecordBatch]:
     block, counter = None, None
     for batch in batches:
         blocks = batch.column("block").to_numpy()
@@ -206,7 +218,7 @@ def _count(batches: Iterator[pa.RecordBatch], level: int, uri: str | None, segme
                 if counter:
                     yield from counter.stripes(block)
                 block = int(blocks[a])
-                counter = Counter(level, Listed(uri, block) if uri else None, segments)
+                counter = Counter(level, Listed(uri, block) if uri else None, buckets)
             for part in slices(batch.slice(a, b - a), "text", SLICE):
                 counter.add(part.column("lang"), part.column("text"))
     if counter:
@@ -216,58 +228,46 @@ def _count(batches: Iterator[pa.RecordBatch], level: int, uri: str | None, segme
 FREQUENT = "block bigint, lang string, phrase string, n bigint, first boolean"
 
 
-def _merged(t: pa.Table, group: np.ndarray, least: int) -> pa.RecordBatch:
-    """Whole groups of stripes added up elementwise: a row per entry of ``least`` occurrences or more and block that has it."""
-    words = t.column("words").combine_chunks()
-    size = np.diff(words.offsets.to_numpy())
-    row = np.repeat(np.arange(len(size)), size)
-    coded = words.flatten().dictionary_encode()
-    key = group[row] * max(len(coded.dictionary), 1) + coded.indices.to_numpy()
+def _merged(t: pa.Table, least: int) -> pa.RecordBatch:
+    """A bucket's stripes added up elementwise: a row per entry of ``least`` occurrences or more and block that has it."""
+    stripes = t.column("stripes").combine_chunks()
+    row = pc.list_parent_indices(stripes).to_numpy()
+    lang, prefix, words, counts = pc.list_flatten(stripes).flatten()
+    stripe = pc.list_parent_indices(words).to_numpy()
+    coded, said, spoken = pc.list_flatten(words).dictionary_encode(), prefix.dictionary_encode(), lang.dictionary_encode()
+    home = spoken.indices.to_numpy().astype(np.int64) * max(len(said.dictionary), 1) + said.indices.to_numpy()
+    _, home = np.unique(home, return_inverse=True)
+    key = home[stripe] * max(len(coded.dictionary), 1) + coded.indices.to_numpy()
     _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
     total = np.zeros(len(first), np.int64)
-    np.add.at(total, inverse, t.column("counts").combine_chunks().flatten().to_numpy())
+    np.add.at(total, inverse, pc.list_flatten(counts).to_numpy())
     keep = np.flatnonzero(total[inverse] >= least)
     begins = np.zeros(len(key), bool)
     begins[first] = True
-    rows = pa.array(row[keep])
-    prefix, word = t.column("prefix").combine_chunks().take(rows), coded.dictionary.take(coded.indices.take(pa.array(keep)))
-    phrase = pc.if_else(pc.equal(prefix, ""), word, pc.binary_join_element_wise(prefix, word, " "))
-    return pa.RecordBatch.from_arrays([t.column("block").combine_chunks().take(rows), t.column("lang").combine_chunks().take(rows), phrase,
+    of = pa.array(stripe[keep])
+    before, word = prefix.take(of), coded.dictionary.take(coded.indices.take(pa.array(keep)))
+    phrase = pc.if_else(pc.equal(before, ""), word, pc.binary_join_element_wise(before, word, " "))
+    return pa.RecordBatch.from_arrays([t.column("block").combine_chunks().take(pa.array(row[stripe[keep]])), lang.take(of), phrase,
                                        pa.array(total[inverse[keep]]), pa.array(begins[keep])], names=["block", "lang", "phrase", "n", "first"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """The segments of a sorted partition, each merged; one may span batches."""
-    held: list[pa.Table] = []
+    """The buckets of a sorted partition, each merged; one may span batches."""
+    held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = pa.Table.from_batches([batch])
-        new = np.zeros(t.num_rows, bool)
-        for c in ("lang", "prefix", "seg"):
-            x = batch.column(c)
-            new[1:] |= ~pc.equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False)
-        key = tuple(batch.column(c)[0].as_py() for c in ("lang", "prefix", "seg"))
-        new[0] = key != last
-        last = tuple(batch.column(c)[t.num_rows - 1].as_py() for c in ("lang", "prefix", "seg"))
-        cut = np.flatnonzero(new)
-        if not len(cut):
-            held.append(t)
-            continue
-        if cut[-1]:  # some group ends inside the batch
-            whole = pa.concat_tables([*held, t.slice(0, cut[-1])])
-            ahead = whole.num_rows - int(cut[-1])
-            group = np.zeros(whole.num_rows, np.int64)
-            group[ahead:] = np.cumsum(new[:cut[-1]])
-            yield _merged(whole, group, least)
-        elif held:
-            whole = pa.concat_tables(held)
-            yield _merged(whole, np.zeros(whole.num_rows, np.int64), least)
-        held = [t.slice(cut[-1])]
+        bucket = batch.column("bucket").to_numpy()
+        cut = np.flatnonzero(np.diff(bucket)) + 1
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)]):
+            if a == b:
+                continue
+            if held and bucket[a] != last:
+                yield _merged(pa.Table.from_batches(held), least)
+                held = []
+            last = bucket[a]
+            held.append(batch.slice(a, b - a))
     if held:
-        whole = pa.concat_tables(held)
-        yield _merged(whole, np.zeros(whole.num_rows, np.int64), least)
+        yield _merged(pa.Table.from_batches(held), least)
 
 
 def frequent_phrases(df: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = 100, max_words: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -277,14 +277,14 @@ def frequent_phrases(df: DataFrame, lang_col: str = "lang", text_col: str = "tex
             .filter(F.length("text") > 0))
     blocks = staged(text.mapInArrow(_blocks, "lang string, text string, block bigint"), "blocks")
     n_blocks = blocks.select(F.approx_count_distinct("block")).first()[0]
-    segments = 1 << max(0, (n_blocks * max(BLOCK_BYTES // 64 // WORDS_IN_SEGMENT, 1)).bit_length())
+    buckets = 1 << max(0, n_blocks * BLOCK_BYTES // BUCKET_BYTES).bit_length()
     uri, levels, totals = None, [], None
     for m in range(1, max_words + 1):
-        stripes = staged(blocks.mapInArrow(lambda it, m=m, uri=uri: _count(it, m, uri, segments), STRIPES), f"stripes-{m}")
+        stripes = staged(blocks.mapInArrow(lambda it, m=m, uri=uri: _count(it, m, uri, buckets), STRIPES), f"stripes-{m}")
         if m == 1:
-            in_stripe = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
-            totals = staged(stripes.groupBy("lang").agg(F.sum(in_stripe).alias("n")), "words")
-        dealt = stripes.repartition("lang", "prefix", "seg").sortWithinPartitions("lang", "prefix", "seg")
+            each = stripes.select(F.explode("stripes").alias("s")).select("s.lang", F.aggregate("s.counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n"))
+            totals = staged(each.groupBy("lang").agg(F.sum("n").alias("n")), "words")
+        dealt = stripes.repartition("bucket").sortWithinPartitions("bucket")
         uri = scratch(spark, f"frequent-{m}")
         (dealt.mapInArrow(lambda it: _merge(it, min_count), FREQUENT)
          .withColumn("bucket", F.floor(F.col("block") / BLOCKS_IN_BUCKET).cast("bigint"))
@@ -314,7 +314,8 @@ def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     ``und``; null, empty or wordless texts count nothing; repeated rows each
     count.  A text is one value in one task, whatever its length; counters
     cover a block of text (``BLOCK_BYTES``, or one longer text).  A prefix
-    with many occurrences is cut into segments by the next word.  Other
+    with many occurrences is cut into segments by the next word, and buckets of
+    segments, more of them the larger the corpus, are merged one by one.  Other
     columns are not read; an empty table gives no rows.
     """
     counts, totals = frequent_phrases(df, lang_col, text_col, min_count, max_words)

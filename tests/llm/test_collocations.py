@@ -62,7 +62,7 @@ def test_many_blocks_and_segments(spark, monkeypatch):
     monkeypatch.setattr(P, "BLOCK_BYTES", 50_000)
     monkeypatch.setattr(P, "SLICE", 10_000)
     monkeypatch.setattr(P, "SEGMENT", 16)
-    monkeypatch.setattr(P, "WORDS_IN_SEGMENT", 64)
+    monkeypatch.setattr(P, "BUCKET_BYTES", 5_000)
     monkeypatch.setattr(P, "ROWS", 7)
     same_rows(got(spark, rows, 8), plain(rows, 8))
 
