@@ -30,11 +30,12 @@ from ledgerlane.llm.common import staged
 from ledgerlane.llm.words import mix, slices
 
 END = 0                # the id that ends a document
-SHARD_UNITS = 2048     # units of a shard, about; one task packs it
+SHARD_UNITS = 1024     # units of a shard, about; one task packs it
 OVERSIZE = 2           # a topic is cut only where it has so many times a shard's units
 TOPICS = 256           # centroids at most: the model that tasks get doesn't grow with the table
 DIMS = 256             # hashed dimensions of a unit's BM25 weights
 SAMPLE = 16_384        # units that the centroids are fitted on, at most; every unit is indexed
+WORDS = 200_000        # words whose ids a task remembers, at most
 HEAVIEST = 12          # ids of a unit, by weight, among which the smallest hash decides inside a topic
 K1, B = 1.2, 0.75
 
@@ -62,14 +63,59 @@ def tokenizer(json_name: str):
     return fast, slow.get_vocab_size()
 
 
+class Encoder:
+    """Texts to ids as little-endian 32-bit numbers, with the ids of words remembered.
+
+    A single space between two characters that aren't white space begins a
+    new piece of the vocabulary's pattern, so a text's ids are those of its
+    words, each with the space before it, one after another.  Spaces beside
+    other white space stay inside a longer piece.
+    """
+
+    def __init__(self, json_name: str):
+        self.encode, self.vocabulary = tokenizer(json_name)
+        self.known: dict[str, bytes | None] = {}
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.encode(text), "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes | None:
+        """The ids of a space and the word; None where the space can't be cut off."""
+        if len(self.known) >= WORDS:
+            self.known.clear()
+        out = None if not word or word[0].isspace() or word[-1].isspace() else self._ids(" " + word)
+        if len(word) <= 64:
+            self.known[word] = out
+        return out
+
+    def ids(self, text: str) -> bytes:
+        first, *words = text.split(" ")
+        known, missing = self.known, -1
+        found = [known.get(w, missing) for w in words]
+        if missing in found:
+            found = [self._word(w) if x is missing else x for w, x in zip(words, found)]
+        if first and not first[-1].isspace() and None not in found:
+            return b"".join([self._ids(first), *found])
+        out, piece, open_end = [], first, not first or first[-1].isspace()
+        for w, x in zip(words, found):
+            if x is None or open_end:
+                piece += " " + w
+            else:
+                out.append(self._ids(piece))
+                piece = " " + w
+            open_end = not w or w[-1].isspace()
+        return b"".join([*out, self._ids(piece)])
+
+
 TOKENS = "doc_tokens bigint, ids binary, unit bigint, stats array<bigint>"
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch], json_name: str) -> Iterator[pa.RecordBatch]:
     """Each text's ids and the end id, as little-endian 32-bit numbers; then the task's share of the index's statistics."""
-    encode, vocabulary = tokenizer(json_name)
+    encoder = Encoder(json_name)
     part = TaskContext.get().partitionId() << 40
-    df, units, tokens = np.zeros(vocabulary, np.int64), 0, 0
+    df, units, tokens = np.zeros(encoder.vocabulary, np.int64), 0, 0
+    end = np.array([END], "<u4").tobytes()
     id_type = None
 
     def out(ids, n, data, unit, stats):
@@ -81,11 +127,12 @@ def _tokenize(batches: Iterator[pa.RecordBatch], json_name: str) -> Iterator[pa.
         for piece in slices(batch, "text"):
             n, data, unit = [], [], []
             for text in piece.column("text").to_pylist():
-                ids = np.fromiter([*encode(text or ""), END], "<u4")
+                data.append(encoder.ids(text or "") + end)
+                ids = np.frombuffer(data[-1], "<u4")
                 n.append(len(ids))
-                data.append(ids.tobytes())
                 unit.append(part | units)
-                df[np.unique(ids)] += 1
+                seen = np.bincount(ids, minlength=1) > 0
+                df[:len(seen)] += seen
                 units, tokens = units + 1, tokens + len(ids)
             yield out(piece.column("id"), n, data, unit, [None] * len(n))
     if id_type is not None:
@@ -98,16 +145,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def weights(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct ids, their counts, their BM25 weights) of a document."""
-    term, tf = np.unique(ids, return_counts=True)
+    count = np.bincount(ids, minlength=1) if len(ids) > 512 else None
+    term, tf = np.unique(ids, return_counts=True) if count is None else (np.flatnonzero(count), count[count > 0])
     return term, tf, idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
 
 
-def hashed(term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+@functools.lru_cache(maxsize=2)
+def _hashes(vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, dimension, sign) of every id."""
+    h = _mixed(np.arange(vocabulary))
+    return h, (h % np.uint64(DIMS)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
+
+
+def hashed(term: np.ndarray, weight: np.ndarray, vocabulary: int) -> np.ndarray:
     """The weights in ``DIMS`` hashed dimensions with hashed signs, of length one."""
-    h = _mixed(term)
-    sign = np.where(h >> np.uint64(63), 1.0, -1.0)
-    v = np.bincount((h % np.uint64(DIMS)).astype(np.int64), sign * weight, DIMS)
-    return v / max(np.linalg.norm(v), 1e-12)
+    _, dim, sign = _hashes(vocabulary)
+    v = np.bincount(dim[term], sign[term] * weight, DIMS)
+    return v / max(np.sqrt(v @ v), 1e-12)
 
 
 def centroids(points: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
@@ -135,7 +189,7 @@ def _vectors(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float) ->
         rows = []
         for x in b.column("ids").to_pylist():
             term, _, weight = weights(np.frombuffer(x, "<u4"), idf, mean)
-            rows.append(hashed(term, weight).astype(np.float32))
+            rows.append(hashed(term, weight, len(idf)).astype(np.float32))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float32()))], names=["v"])
 
 
@@ -144,7 +198,10 @@ ROUTED = "doc_tokens bigint, tail binary, terms binary, tf binary, unit bigint,
 
 def _route(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, topics: np.ndarray, window: int, width: str) -> Iterator[pa.RecordBatch]:
     """Each unit with its topic and the mark that decides its shard inside the topic."""
+    marks = _hashes(len(idf))[0]
     for b in batches:
+        if not b.num_rows:
+            continue
         tails, terms, tfs, topic, mark = [], [], [], [], []
         for x in b.column("ids").to_pylist():
             ids = np.frombuffer(x, "<u4")
@@ -152,11 +209,11 @@ def _route(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, topi
             tails.append(ids[len(ids) // window * window:].astype(width).tobytes())
             terms.append(term.astype(width).tobytes())
             tfs.append(tf.astype("<u4").tobytes())
-            topic.append(int((topics @ hashed(term, weight)).argmax()))
-            heavy = term[np.argsort(-weight, kind="stable")[:HEAVIEST]]
-            mark.append(int(_mixed(heavy).min() >> np.uint64(1)))
+            topic.append(hashed(term, weight, len(idf)))
+            heavy = term[np.argpartition(-weight, HEAVIEST)[:HEAVIEST]] if len(term) > HEAVIEST else term
+            mark.append(int(marks[heavy].min() >> np.uint64(1)))
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("doc_tokens"), pa.array(tails, pa.binary()), pa.array(terms, pa.binary()), pa.array(tfs, pa.binary()),
-                                          b.column("unit"), pa.array(topic, pa.int32()), pa.array(mark, pa.int64())],
+                                          b.column("unit"), pa.array((np.array(topic) @ topics.T).argmax(1).astype(np.int32)), pa.array(mark, pa.int64())],
                                          names=["id", "doc_tokens", "tail", "terms", "tf", "unit", "topic", "mark"])
 
 
@@ -255,10 +312,12 @@ def routed_units(docs: DataFrame, n: int, idf: np.ndarray, mean: float, window:
     width = _width(len(idf))
     k = max(1, min(TOPICS, -(-n // shard_units)))
     shared = spark.sparkContext.broadcast(idf)  # one number for each id of the vocabulary
-    sample = docs.select("ids", F.xxhash64("unit").alias("h")).orderBy("h").limit(min(SAMPLE, 64 * k)).select("ids") if k > 1 else docs.select("ids").limit(1)
+    share = min(1.0, min(SAMPLE, 64 * k) / n)  # of the documents, by a hash: about so many rows, found in one scan
+    sample = docs.filter(F.pmod(F.xxhash64("unit"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) if k > 1 else 1 << 30))
+    sample = (sample if k > 1 else sample.limit(1)).select("ids")
     points = sample.mapInArrow(lambda it: _vectors(it, shared.value, mean), "v array<float>").toArrow()  # at most SAMPLE rows of DIMS numbers
     points = np.array(points.column("v").to_pylist(), np.float64)
-    topics = centroids(points, min(k, len(points)))
+    topics = centroids(points, min(k, len(points))) if len(points) else np.zeros((1, DIMS))
     units = docs.filter(F.col("doc_tokens") % window > 0)
     id_type = docs.schema["id"].dataType.simpleString()
     routed = staged(units.select("id", "doc_tokens", "ids", "unit").mapInArrow(lambda it: _route(it, shared.value, mean, topics, window, width), f"id {id_type}, {ROUTED}"), "routed")
