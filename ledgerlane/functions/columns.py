@@ -23,9 +23,9 @@ def offset_value(o: str | Column) -> Column:
 
     Aggregates over it (``max``, ``max_by`` ordering) keep fixed-width buffers
     and so plan as HashAggregate; over the text they fall back to a
-    sort-based aggregate.
+    sort-based aggregate.  Null for offsets that aren't digits.
     """
-    return col_(o).cast("bigint")
+    return col_(o).try_cast("bigint")
 
 
 def is_fixed_width(o: str | Column) -> Column:

@@ -268,7 +268,7 @@ LEFT JOIN committed c USING (stream_id)""", _STREAM_CTE))
 def offset_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger end minus committed offset, per stream."""
     j = stream_positions(spark, sf_dir)
-    lag = F.col("end_offset").cast("bigint") - F.coalesce(F.col("committed_offset").cast("bigint"), F.lit(0))
+    lag = offset_value("end_offset") - F.coalesce(offset_value("committed_offset"), F.lit(0))
     return j.select("stream_id", "end_offset", "committed_offset", lag.alias("offset_lag"))
 
 

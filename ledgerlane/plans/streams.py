@@ -15,8 +15,10 @@ from pyspark.sql.utils import StreamingQueryException
 from ledgerlane.functions.columns import iso_time, offset_of
 from ledgerlane.operators import route as R
 from ledgerlane.plans.delivery import BACKOFF, _retry_sql, failed_sends
+from ledgerlane.plans.metrics import _DEST_SQL, _K_SQL, record_results, status_log
 from ledgerlane.plans.oracle import offset_at_sql, with_ledger, with_routed
-from ledgerlane.plans.registry import register
+from ledgerlane.plans.registry import ORACLE, register
+from ledgerlane.plans.routing import routed_flat
 from ledgerlane.plans.scans import ARCHIVE_FILE_ROWS, ledger_archive
 from ledgerlane.session import read_or_empty, scratch
 from ledgerlane.sources.archive import Archive
@@ -26,7 +28,11 @@ from ledgerlane.streaming import deliver as DV
 from ledgerlane.streaming import dlq as Q
 from ledgerlane.streaming import retry as RT
 from ledgerlane.streaming.dedupe import DedupeSink
+from ledgerlane.streaming.feed import FeedSink
+from ledgerlane.streaming.live import MetricsLog, StatusFold, observed
 from ledgerlane.streaming.poller import PAGE_SIZE, drain, polled
+from ledgerlane.streaming.reprocess import REPLAYS, Reprocessor, dlq_stream
+from ledgerlane.streaming.sinks import IndependentSinks
 from ledgerlane.streaming.sources import run_to_end, table_stream
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -297,3 +303,110 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
                .option("checkpointLocation", scratch(spark, "fan-ckpt")))
     counts = sink.counts(spark).groupBy("topic").agg(F.sum("events").alias("topic_events"))
     return sink.events(spark).select("event_id", "topic").join(counts, "topic").select("event_id", "topic", "topic_events")
+
+
+STATUS_CHUNK = 10_000
+STATUS_RUNS = 1 << 20
+FEED_SCHEMA = "event_id string, ledger_offset string, event_type string, template_id string, contract_id string, choice string"
+LIVE_PAGES = 100
+
+
+@register("latest_feed_stream", with_ledger("""
+SELECT event_id, ledger_offset, event_type, template_id, contract_id, choice FROM flat_ledger
+ORDER BY ledger_offset DESC, event_type DESC, choice DESC NULLS LAST LIMIT 200"""))
+def latest_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on a stream: the newest 200 events of the flat ledger, merged micro-batch by micro-batch."""
+    archive = ledger_archive(spark, sf_dir, ARCHIVE_FILE_ROWS)
+    sink = FeedSink(scratch(spark, "feed"), FEED_SCHEMA)
+    stream = polled(archive, pages_per_batch=LIVE_PAGES).withColumn("choice", F.lit(None).cast("string"))
+    drain(stream.writeStream.foreachBatch(sink).option("checkpointLocation", scratch(spark, "feed-ckpt")))
+    return sink.feed(spark)
+
+
+@register("fan_out_alone", with_ledger("""
+SELECT sink, event_id FROM flat_ledger, (VALUES ('steady'), ('down for a while')) s(sink)"""))
+def fan_out_alone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST12: two sinks over one stream; one refuses its first three parts, then catches up from its own last offset."""
+    archive = ledger_archive(spark, sf_dir, ARCHIVE_FILE_ROWS)
+    root, refused = scratch(spark, "alone"), []
+
+    def write(name: str):
+        def part(events: DataFrame, number: str) -> None:
+            if name == "down for a while" and len(refused) < 3:
+                refused.append(number)
+                raise DV.SendError("NetworkException", "sink is down")
+            events.select("event_id").write.mode("overwrite").parquet(f"{root}/sink={name}/part={number}")
+        return part
+
+    sinks = IndependentSinks(archive, scratch(spark, "alone-log"), {n: write(n) for n in ("steady", "down for a while")})
+    drain(polled(archive, pages_per_batch=LIVE_PAGES // 2).writeStream.foreachBatch(sinks).option("checkpointLocation", scratch(spark, "alone-ckpt")))
+    while sinks.catch_up(spark):  # a short ledger ends while the sink is still down
+        pass
+    return read_or_empty(spark, root, "event_id string, sink string, part string").select("sink", "event_id")
+
+
+MOST_REPLAYS = 3
+
+
+@register("dlq_reprocess", f"""WITH {_DEAD_SQL}
+SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'quarantined' ELSE 'sent' END AS outcome,
+       CASE WHEN user_id % 3 = 0 THEN {MOST_REPLAYS - 1} WHEN user_id % 3 = 1 THEN 1 ELSE 0 END AS replays FROM dead""")
+def dlq_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST10: the DLQ streamed through a transactional sink; some entries pass at once, some at the second try, some never.
+
+    The first batch's mark fails once; the restart sends it again, once.
+    """
+    dlq, root, ck = scratch(spark, "dlq-again"), scratch(spark, "reprocess"), scratch(spark, "reprocess-ckpt")
+    Q.write_dlq(dlq_lines(spark, sf_dir), dlq)
+    schema = "event_id bigint, event_type string, user_id bigint, value decimal(12,2)"
+
+    def accepts():
+        return (F.col("user_id") % 3 == 2) | ((F.col("user_id") % 3 == 1) & (F.col("replays") >= 1))
+
+    def run(fail: int | None) -> Reprocessor:
+        out = Reprocessor(root, dlq, schema, accepts, MOST_REPLAYS, fail)
+        drain(dlq_stream(spark, dlq).writeStream.foreachBatch(out).option("checkpointLocation", ck))
+        return out
+
+    try:
+        run(0)
+    except StreamingQueryException as e:
+        if DV.AbortedCommit.__name__ not in str(e):
+            raise
+    done = run(None)
+    sent = done.sent(spark).select("event_id", F.lit("sent").alias("outcome"), "replays")
+    held = done.quarantined(spark)
+    held = held.select(F.get_json_object("event", "$.event_id").cast("bigint").alias("event_id"), F.lit("quarantined").alias("outcome"), F.col("metadata")[REPLAYS].cast("int").alias("replays"))
+    return sent.unionByName(held)
+
+
+@register("failure_rate_live", with_routed(f"""
+SELECT {_DEST_SQL} AS destination_type, count(*) AS received, count(*) FILTER (WHERE NOT failed) AS processed, count(*) FILTER (WHERE failed) AS failed
+FROM (SELECT topic, {_K_SQL} % 13 = 0 AS failed FROM routed WHERE event_type <> 'exercised') GROUP BY 1"""))
+def failure_rate_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 live: received, processed and failed per destination, observed on the delivery stream micro-batch by micro-batch."""
+    archive = Archive(spark, scratch(spark, "routed-archive"), "ledger_offset string, event_id string, topic string, failed boolean", file_rows=ARCHIVE_FILE_ROWS)
+    archive.append(record_results(routed_flat(spark, sf_dir)))
+    kinds = sorted({d for _, d in R.DESTINATION_TYPES} | {R.DEFAULT_DESTINATION})
+    log = MetricsLog(kinds)
+    stream = polled(archive, pages_per_batch=LIVE_PAGES).withColumn("kind", R.destination_type())
+    seen = observed(stream, {k: F.col("kind") == k for k in kinds}, F.col("failed"))
+    log.finish(drain(seen.writeStream.format("noop").option("checkpointLocation", scratch(spark, "live-ckpt"))))
+    out = log.table(spark).groupBy("destination_type").agg(*[F.sum(c).alias(c) for c in ("received", "processed", "failed")])
+    return out.filter("received > 0")
+
+
+@register("reconnects_stream", ORACLE["reconnects"])
+def reconnects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 on a stream: the status log comes in two halves, the later one first; the fold's count is that of the whole."""
+    log = status_log(spark, sf_dir).select(F.col("event_id").alias("at"), "system", "status")
+    lo, hi = log.agg(F.min("at"), F.max("at")).first()
+    fold = StatusFold(scratch(spark, "status-fold"), "system", "status", "at", width=STATUS_CHUNK)
+    middle = None if lo is None else (lo + hi) // 2
+    for i, half in enumerate((F.col("at") > F.lit(middle), F.col("at") <= F.lit(middle))):
+        archive = Archive(spark, scratch(spark, "status-archive"), "ledger_offset string, at bigint, system string, status int", tie=("at",), file_rows=EVENT_FILE_ROWS)
+        archive.append(log.filter(half).withColumn("ledger_offset", offset_of("at")))
+        first = i * STATUS_RUNS  # batch numbers of the second run go on after those of the first
+        drain(polled(archive, "at bigint, system string, status int", pages_per_batch=BATCH_PAGES).writeStream
+              .foreachBatch(lambda df, n, first=first: fold(df, first + n)).option("checkpointLocation", scratch(spark, "status-ckpt")))
+    return fold.reconnects(spark)
