@@ -56,10 +56,10 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """The files under ``path`` by a declared schema; an empty table where nothing was written."""
+def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", nested: bool = False) -> DataFrame:
+    """The files under ``path`` by a declared schema; an empty table where nothing was written.  ``nested``: folders are no partitions."""
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return spark.read.schema(schema).format(fmt).option("recursiveFileLookup", nested).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -26,7 +26,7 @@ def write_dlq(lines: DataFrame, path: str, col: str = "line") -> None:
 
 def read_dlq(spark: SparkSession, path: str) -> DataFrame:
     """Parse the DLQ back; ``event`` stays JSON text, to be decoded by its producer's schema."""
-    raw = read_or_empty(spark, path, "value string", "text")
+    raw = read_or_empty(spark, path, "value string", "text", nested=True)
     return raw.select(F.from_json("value", DLQ_LINE_SCHEMA).alias("d")).select("d.*")
 
 

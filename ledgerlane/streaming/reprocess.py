@@ -39,25 +39,28 @@ class Reprocessor:
         if df.isEmpty():
             return
         times = F.coalesce(F.try_element_at("metadata", F.lit(REPLAYS)).try_cast("int"), F.lit(0))
-        got = df.withColumn("e", F.from_json("event", self.schema)).withColumn("replays", times)
-        whole = F.col("e").isNotNull() & F.col("e.event_id").isNotNull()
-        got = got.withColumn("whole", whole).persist()
+        got = df.withColumn("_e", F.from_json("event", self.schema)).withColumn("_replays", times).persist()
         try:
-            good = got.filter("whole").select("reason", "replays", "e.*").withColumn("_ok", F.coalesce(self.accepts(), F.lit(False)))
-            sent = good.filter("_ok").drop("_ok")
-            key = F.struct("e.*")
-            failed = got.filter("whole").select("*", "e.*").withColumn("_ok", F.coalesce(self.accepts(), F.lit(False))).filter("NOT _ok")
-            more = F.map_concat(F.map_filter(F.coalesce("metadata", F.create_map().cast("map<string,string>")), lambda k, _: k != REPLAYS),
+            decoded = F.col("_e.event_id").isNotNull()
+            entry = F.struct("timestamp", "reason", "stackTrace", "metadata", "value")
+            good = got.filter(decoded).select(entry.alias("_entry"), "reason", F.col("_replays").alias("replays"), "_e.*").withColumn("_ok", F.coalesce(self.accepts(), F.lit(False)))
+            failed = good.filter("NOT _ok")
+            event = [F.col(c) for c in self.spark_columns(df.sparkSession)]
+            more = F.map_concat(F.map_filter(F.coalesce("_entry.metadata", F.create_map().cast("map<string,string>")), lambda k, _: k != REPLAYS),
                                 F.create_map(F.lit(REPLAYS), (F.col("replays") + 1).cast("string")))
-            again = F.to_json(F.struct("timestamp", "reason", "stackTrace", more.alias("metadata"), key.alias("event")))
+            again = F.to_json(F.struct("_entry.timestamp", "reason", "_entry.stackTrace", more.alias("metadata"), F.struct(*event).alias("event")))
             # The way back first: were it last, a batch that dies after its mark would not be tried again and lose it.
             failed.filter(F.col("replays") + 1 < self.most).select(again.alias("value")).write.mode("overwrite").text(f"{self.dlq}/replayed={batch_id}")
-            out = failed.filter(F.col("replays") + 1 >= self.most).select("value").unionByName(got.filter("NOT whole").select("value"))
+            out = failed.filter(F.col("replays") + 1 >= self.most).select("_entry.value").unionByName(got.filter(~F.coalesce(decoded, F.lit(False))).select("value"))
             out.write.mode("overwrite").text(f"{self.root}/quarantine/batch_id={batch_id}")
+            sent = good.filter("_ok").select("reason", "replays", *event)
             self.sink(sent, batch_id)
         finally:
             got.unpersist()
 
+    def spark_columns(self, spark: SparkSession) -> list[str]:
+        return spark.createDataFrame([], self.schema).columns
+
     def sent(self, spark: SparkSession) -> DataFrame:
         """(reason, replays, the event's columns) of every entry that was sent."""
         return self.sink.committed(spark, f"reason string, replays int, {self.schema}")
