@@ -9,22 +9,26 @@ are compared, word by word, with the text.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlane.llm.common import digest
+from ledgerlane.llm.files import located
 from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words
+from ledgerlane.session import scratch
 
 TABLE_BITS = 16
-# Windows per search table: a block of items is broadcast to the tasks, so its size is bounded whatever
-# the number of items; more items are more blocks.
+# Windows of a block, which a task holds the search tables of: more windows are more blocks.
 BLOCK_WINDOWS = 50_000
 
 
@@ -73,32 +77,48 @@ class WuManber:
             at += 1
 
 
-def item_windows(items: list[tuple[object, str | None]], window: int) -> dict[int, dict[tuple[bytes, ...], set[str]]]:
-    """Windows by length: ``window`` consecutive words of an item, or all its words where it has fewer."""
+def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """(words, item): ``window`` consecutive words of an item, or all its words where it has fewer, by the texts' own word rule."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            w = split_words(part.column("text"), NOT_ALNUM, lower=True)
+            items = part.column("item").to_pylist()
+            bounds = w.bounds.tolist()
+            for item, a, b in zip(items, bounds, bounds[1:]):
+                m = min(window, b - a)
+                word = [w.word(i).decode() for i in range(a, b)]
+                for at in range(0, len(word) - m + 1 if m else 0, 10_000):
+                    found = [word[s:s + m] for s in range(at, min(at + 10_000, len(word) - m + 1))]
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), pa.array([item] * len(found), pa.string())], names=["words", "item"])
+
+
+def window_blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_windows: int) -> list[str]:
+    """The items' windows as written files of at most ``block_windows`` each: a block is a file, whose name is all that the driver sees."""
+    spark = items.sparkSession
+    src = items.select(F.col(f"`{id_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text"))
+    path = scratch(spark, "benchmark-windows")
+    schema = "words array<string>, item string"
+    src.mapInArrow(lambda it: _windows(it, window), schema).write.option("maxRecordsPerFile", block_windows).parquet(path)
+    written = spark.read.schema(schema).parquet(path)
+    full = written.groupBy(F.input_file_name().alias("file")).count().orderBy("file")
+    return [unquote(r["file"]) for r in full.collect()]  # a name for each block
+
+
+@functools.lru_cache(maxsize=1)
+def _tables(file: str | None) -> list[WuManber]:
+    """The search tables of a block, built in the task from its file."""
+    if file is None:
+        return []
+    where, path = located(file)
+    rows = pq.read_table(path, filesystem=where, partitioning=None)
     by: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
-    for item, text in items:
-        w = split_words(pa.array([text or ""], pa.string()), NOT_ALNUM, lower=True)
-        words = [w.word(i) for i in range(len(w.starts))]
-        m = min(window, len(words))
-        for s in range(len(words) - m + 1 if m else 0):
-            by[m][tuple(words[s:s + m])].update([] if item is None else [str(item)])
-    return by
-
-
-def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_windows: int) -> Iterator[dict]:
-    """Items in blocks of a bounded number of windows, streamed to the driver one partition at a time."""
-    block, size = [], 0
-    for r in items.select(F.col(id_col), F.col(text_col)).toLocalIterator():
-        n = max(1, len((r[1] or "").split()))
-        if block and size + n > block_windows:
-            yield item_windows(block, window)
-            block, size = [], 0
-        block.append((r[0], r[1]))
-        size += n
-    yield item_windows(block, window)
-
-
-def _search(batches: Iterator[pa.RecordBatch], tables: list[WuManber]) -> Iterator[pa.RecordBatch]:
+    for words, item in zip(rows.column("words").to_pylist(), rows.column("item").to_pylist()):
+        by[len(words)][tuple(w.encode() for w in words)].update([] if item is None else [item])
+    return [WuManber(m, p) for m, p in sorted(by.items())]
+
+
+def _search(batches: Iterator[pa.RecordBatch], file: str | None) -> Iterator[pa.RecordBatch]:
+    tables = _tables(file)
     for batch in batches:
         for part in slices(batch, "text"):
             words = split_words(part.column("text"), NOT_ALNUM, lower=True)
@@ -126,10 +146,12 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
                   block_windows: int = BLOCK_WINDOWS, keep: list[str] | None = None) -> DataFrame:
     """Per row: ``id``, ``n_words``, ``marks`` (``start << 8 | length`` of each window found) and ``items`` found.
 
-    The items are a stated query set: they go through the driver and to the
-    tasks in blocks of at most ``block_windows`` windows (one item at least),
-    and every row is searched for every block: one scan of the texts for each
-    block, with no shuffle of any text.  ``keep`` names columns to carry.
+    The items are a stated query set: their windows are cut by tasks and
+    written in blocks of at most ``block_windows``; a task builds a block's
+    tables from its file, and every row is searched for every block: one scan
+    of the texts for each block, with no shuffle of any text.  The driver
+    sees the blocks' names only.  ``keep`` names columns to carry, which
+    clash with nothing.  Long texts are searched whole, a slice of rows at a time.
 
     Null text or item text: no words, so nothing is found.  Items with a null
     id mark the words they hit but are not listed.  Repeated rows and items
@@ -142,18 +164,17 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *carried)
     found = list(StructType.fromDDL("n_words bigint, marks array<bigint>, items array<string>"))
     schema = StructType([*src.drop("text").schema, *found])
-    tables_of = lambda block: [WuManber(m, p) for m, p in sorted(block.items())]
-    blocks = [tables_of(b) for b in _blocks(items, item_id, item_text, window, block_windows)]
-    if len(blocks) == 1:
-        return _found(src, blocks[0], schema)
+    blocks = window_blocks(items, item_id, item_text, window, block_windows)
+    if len(blocks) <= 1:
+        return _found(src, blocks[0] if blocks else None, schema)
     # More blocks: the same rows once for each block, met again by digest (equal rows have equal answers).
     k1, k2 = digest(F.col("id"), F.col("text"))
     src = src.select("*", k1.alias("k1"), k2.alias("k2"))
     schema = StructType([*src.drop("text").schema, *found])
-    first = _found(src, [], schema)
+    first = _found(src, None, schema)
     hits = None
-    for tables in blocks:
-        part = _found(src.select("id", "text", *[f"c{i}" for i in range(len(keep or []))], "k1", "k2"), tables, schema)
+    for file in blocks:
+        part = _found(src.select("id", "text", *[f"c{i}" for i in range(len(keep or []))], "k1", "k2"), file, schema)
         part = part.filter(F.size("marks") > 0).select("k1", "k2", "marks", "items").distinct()
         hits = part if hits is None else hits.unionByName(part)
     hits = hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list("marks")).alias("m"),
@@ -162,9 +183,8 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
             .withColumns({"marks": F.coalesce("m", "marks"), "items": F.coalesce("i", "items")}).drop("k1", "k2", "m", "i"))
 
 
-def _found(src: DataFrame, tables: list[WuManber], schema: StructType) -> DataFrame:
-    shared = src.sparkSession.sparkContext.broadcast(tables)
-    return src.mapInArrow(lambda it: _search(it, shared.value), schema)
+def _found(src: DataFrame, file: str | None, schema: StructType) -> DataFrame:
+    return src.mapInArrow(lambda it: _search(it, file), schema)
 
 
 def hit_words(marks: str = "marks") -> Column:

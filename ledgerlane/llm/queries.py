@@ -95,10 +95,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_sharding")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-                                                    F.crc32(text).alias("text_crc32"))
-    return shard_rows(docs).select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    out = shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("row.text", F.lit("")).cast("binary")
+    return out.select("row.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
 
 
 @register("op6_warc", """

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.llm.chosen_path import minhash_components
 from ledgerlane.llm.common import staged
 from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words, window_hashes
 
@@ -54,21 +55,6 @@ def _tokens(w: Words) -> np.ndarray:
     return np.vstack([w.hashes()[None], w.stem_hashes(STEMS)])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The smallest shingle hash of each text: near copies mostly share it."""
-    for batch in batches:
-        for part in slices(batch, "text"):
-            w = split_words(part.column("text"), NOT_ALNUM, lower=True)
-            h, bounds = w.hashes(), w.bounds
-            out = np.zeros(part.num_rows, np.uint64)
-            for d in range(part.num_rows):
-                a, b = int(bounds[d]), int(bounds[d + 1])
-                if b > a:
-                    starts = np.arange(a, max(a + 1, b - SHINGLE + 1)) - a
-                    out[d] = window_hashes(h[a:b], starts, np.minimum(starts + SHINGLE, b - a)).min()
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(out.view(np.int64))], names=["id", "label", "sketch"])
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often the documents have each slot's tokens: all, toxic and clean ones; slot -1 counts the documents.
 
@@ -189,10 +175,10 @@ def training_labels(labels: DataFrame, id_col: str, label_col: str, max_labelled
 
 
 def _without_copies(src: DataFrame, train: DataFrame) -> DataFrame:
-    """(id, label) of one document of each label and sketch among the labelled ones."""
-    id_type = src.schema["id"].dataType.simpleString()
-    sketched = src.join(F.broadcast(train), "id").select("id", "label", "text").mapInArrow(_sketch, f"id {id_type}, label int, sketch bigint")
-    one = sketched.groupBy("sketch", "label").agg(F.min("id").alias("id")).select("id", "label").distinct()
+    """(id, label) of one document of each label and group of near copies (five-word shingles, similarity 0.8 or more) among the labelled ones."""
+    labelled = src.join(F.broadcast(train.select("id")), "id").select("id", "text")
+    group = minhash_components(labelled, "id", "text", shingle=5).select("id", "component_id").distinct()
+    one = group.join(F.broadcast(train), "id").groupBy("component_id", "label").agg(F.min("id").alias("id")).select("id", "label").distinct()
     return staged(one, "training-documents")
 
 
@@ -203,10 +189,13 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     The classifier is fitted on a bounded sample of labelled rows that aren't
     held out (``max_labelled``); the prior's counts cover all rows.  No text is
     shuffled: the sample is broadcast, within its bound, and so are the scores
-    of 2 ^ 18 slots.  Labelled texts are read to tell copies, all texts to count
-and to scan.
+    of 2 ^ 18 slots.  Labelled texts are read to tell near copies, all texts to
+    count and to scan.  Other columns are not read.
 
-    Null or empty text, or one without words: no segment, scored as such.
+    Null or empty text, or one without words: no segment, scored as such.  A
+    text of any length is scanned whole, in one task.  Ties: of segments that
+    score alike all are found; an id that labels call both is toxic; of rows
+    that share a labelled id the least values enter the fit.
     Without a label of each class every score is 0.  Repeated rows are scored
     alike; an empty table gives no rows.
     """
@@ -231,7 +220,9 @@ and to scan.
                                   f"id {id_type}, n bigint, segments array<struct<start: bigint, end: bigint, score: double>>"), "segments")
     best = F.coalesce(F.expr("array_max(transform(segments, x -> x.score))"), F.lit(0.0))
     found = found.withColumn("best", best)
-    labelled = found.join(F.broadcast(train), "id")
+    # One row of each labelled id, whatever the number of rows that share it: the sample is bounded by ``max_labelled``.
+    names = ["x0", "x1", "x2", "x3"]
+    labelled = found.join(F.broadcast(train), "id").groupBy("id", "label").agg(F.min(F.struct("n", "best")).alias("r")).select("label", "r.n", "r.best")
     chance = labelled.filter("label = 0 and n > 0").agg(F.avg(F.col("n") * F.exp(-lam * F.col("best")))).first()[0]
     k = 1 / chance if chance else 1.0
     # Of each segment: how many as good are expected by chance in a clean text of that length.
@@ -239,10 +230,9 @@ and to scan.
         'by_chance', {k!r}D * n * exp(-{lam!r}D * x.score))), x -> x.by_chance <= {BY_CHANCE}D)"""))
     found = found.withColumns({"x0": lam * F.col("best"), "x1": F.log1p("n"), "x3": F.size("passages").cast("double"),
                                "x2": F.log1p(F.expr("aggregate(passages, 0D, (a, x) -> a + greatest(0D, -ln(x.by_chance + 1e-300D)))"))})
-    names = ["x0", "x1", "x2", "x3"]
     p = F.lit(0.0)
     if fits:
-        sample = found.join(F.broadcast(train), "id").select(*names, "label").toArrow()  # bounded by the sample (and rows that share its ids)
+        sample = found.join(F.broadcast(train), "id").groupBy("id", "label").agg(F.min(F.struct(*names)).alias("r")).select("r.*", "label").toArrow()
         w = logistic(np.column_stack([sample.column(c).to_numpy() for c in names]), sample.column("label").to_numpy().astype(float))
         line = F.lit(float(w[-1]))
         for name, weight in zip(names, w):

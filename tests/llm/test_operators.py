@@ -428,3 +428,44 @@ def test_toxicity_edges(spark):
     assert len(nulls) == 2 and all(r.held_out and r.predicted == 0 for r in nulls)  # a null id is held out, as crc32 of "" is 0
     none = toxicity.toxicity(df, lab.limit(0)).collect()
     assert len(none) == len(rows) and {r.score for r in none} == {0.0}
+
+
+def test_labelled_texts_that_share_a_passage_all_count(spark):
+    rng = np.random.default_rng(1)
+    passage = " ".join(f"shared{i}" for i in range(50))
+    docs = [(i, passage + " " + " ".join(f"w{x}" for x in rng.integers(0, 100_000, 50))) for i in range(400)]
+    docs += [(1000 + i, docs[0][1]) for i in range(20)] + [(2000 + i, docs[1][1] + f" end{i}") for i in range(20)]
+    train = spark.createDataFrame([(i, 0) for i, _ in docs], "id bigint, label int")
+    got = {r.id for r in toxicity._without_copies(spark.createDataFrame(docs, "id bigint, text string"), train).collect()}
+    assert got == {i for i in range(400)}  # copies and near copies are one, the others all stay
+
+
+def test_rows_that_share_a_labelled_id_are_one_of_the_sample(spark):
+    words = "good fine nice kind calm".split()
+    docs = [(i, " ".join(words) + f" w{i}") for i in range(40)] + [(100 + i, "vile nasty scum filth " + f"w{i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(100 + i, 1) for i in range(40)], "doc_id bigint, toxic int")
+    once = toxicity.toxicity(spark.createDataFrame(docs, DOC), labels).select("id", "predicted").collect()
+    many = toxicity.toxicity(spark.createDataFrame(docs + [docs[1]] * 500, DOC), labels).select("id", "predicted").distinct().collect()
+    assert set(map(tuple, many)) == set(map(tuple, once))
+
+
+def test_benchmark_blocks_are_bounded_by_windows_of_the_texts_own_words(spark, tmp_path):
+    from ledgerlane.llm.decontaminate import window_blocks
+    items = spark.createDataFrame([(i, ",".join(f"i{i}x{j}" for j in range(400))) for i in range(6)] + [(9, None), (10, "a b")], "item_id bigint, text string")
+    blocks = window_blocks(items, "item_id", "text", 10, 500)
+    sizes = [pq.read_table(f.removeprefix("file://"), partitioning=None).num_rows for f in blocks]
+    assert max(sizes) <= 500 and sum(sizes) == 6 * 391 + 1
+    docs = spark.createDataFrame([(1, "x " + " ".join(f"I3x{j}" for j in range(100, 115)) + " y"), (2, "b a"), (3, "A B")], DOC)
+    got = {r.id: (r.items, len(r.marks)) for r in contamination(docs, items, block_windows=500).collect()}
+    assert got == {1: (["3"], 6), 2: ([], 0), 3: (["10"], 1)}
+
+
+def test_sharding_deals_whole_rows_as_a_plain_deal_of_the_same_draws(spark):
+    docs = spark.createDataFrame([(i, "t" * (i % 50) + str(i)) for i in range(900)], DOC).repartition(5)
+    out = sharding.shard_rows(docs, 7, seed=3, file_rows=64, block_rows=30).collect()
+    assert sorted((r["row"].doc_id, r["row"].text) for r in out) == sorted((i, "t" * (i % 50) + str(i)) for i in range(900))
+    by = {}
+    for r in out:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert sorted(by) == list(range(7)) and all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert {len(v) for v in by.values()} == {128, 129}
