@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.chosen_path import minhash_components
 from ledgerlane.llm.common import staged
-from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words, window_hashes
+from ledgerlane.llm.words import NOT_ALNUM, Words, slices, split_words
 
 SLOT_BITS = 17
 SLOTS = 1 << SLOT_BITS  # of each table
@@ -177,7 +177,7 @@ def training_labels(labels: DataFrame, id_col: str, label_col: str, max_labelled
 def _without_copies(src: DataFrame, train: DataFrame) -> DataFrame:
     """(id, label) of one document of each label and group of near copies (five-word shingles, similarity 0.8 or more) among the labelled ones."""
     labelled = src.join(F.broadcast(train.select("id")), "id").select("id", "text")
-    group = minhash_components(labelled, "id", "text", shingle=5).select("id", "component_id").distinct()
+    group = minhash_components(labelled, "id", "text", shingle=SHINGLE).select("id", "component_id").distinct()
     one = group.join(F.broadcast(train), "id").groupBy("component_id", "label").agg(F.min("id").alias("id")).select("id", "label").distinct()
     return staged(one, "training-documents")
 

@@ -440,13 +440,14 @@ def test_labelled_texts_that_share_a_passage_all_count(spark):
     assert got == {i for i in range(400)}  # copies and near copies are one, the others all stay
 
 
-def test_rows_that_share_a_labelled_id_are_one_of_the_sample(spark):
+def test_rows_that_share_a_labelled_id_are_one_of_the_sample(spark, monkeypatch):
     words = "good fine nice kind calm".split()
     docs = [(i, " ".join(words) + f" w{i}") for i in range(40)] + [(100 + i, "vile nasty scum filth " + f"w{i}") for i in range(40)]
     labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(100 + i, 1) for i in range(40)], "doc_id bigint, toxic int")
-    once = toxicity.toxicity(spark.createDataFrame(docs, DOC), labels).select("id", "predicted").collect()
-    many = toxicity.toxicity(spark.createDataFrame(docs + [docs[1]] * 500, DOC), labels).select("id", "predicted").distinct().collect()
-    assert set(map(tuple, many)) == set(map(tuple, once))
+    sizes, fit = [], toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y, *a, **k: sizes.append(len(x)) or fit(x, y, *a, **k))
+    out = toxicity.toxicity(spark.createDataFrame(docs + [docs[1]] * 500 + [(101, "other text of it")] * 300, DOC), labels)
+    assert out.count() == 880 and sizes == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _ in docs)]
 
 
 def test_benchmark_blocks_are_bounded_by_windows_of_the_texts_own_words(spark, tmp_path):
