@@ -66,45 +66,53 @@ def tokenizer(json_name: str):
 class Encoder:
     """Texts to ids as little-endian 32-bit numbers, with the ids of words remembered.
 
-    A single space between two characters that aren't white space begins a
-    new piece of the vocabulary's pattern, so a text's ids are those of its
-    words, each with the space before it, one after another.  Spaces beside
-    other white space stay inside a longer piece.
+    A piece of the vocabulary's pattern never goes on over the beginning of
+    white space, and of white space before a character only the last space
+    belongs to that character's piece.  So a text's ids are those of its words,
+    each with the space before it, one after another; only a word with other
+    white space at an end of it is encoded together with its neighbour.
     """
 
     def __init__(self, json_name: str):
         self.encode, self.vocabulary = tokenizer(json_name)
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.encode(text), "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes | None:
-        """The ids of a space and the word; None where the space can't be cut off."""
-        if len(self.known) >= WORDS:
-            self.known.clear()
-        out = None if not word or word[0].isspace() or word[-1].isspace() else self._ids(" " + word)
-        if len(word) <= 64:
+    def _word(self, word: str) -> bytes:
+        """The ids of a space and the word; none where it may not stand alone."""
+        out = b"" if not word or word[0].isspace() or word[-1].isspace() else self._ids(" " + word)
+        if len(self.known) < WORDS and len(word) <= 64:
             self.known[word] = out
         return out
 
     def ids(self, text: str) -> bytes:
         first, *words = text.split(" ")
-        known, missing = self.known, -1
-        found = [known.get(w, missing) for w in words]
-        if missing in found:
-            found = [self._word(w) if x is missing else x for w, x in zip(words, found)]
-        if first and not first[-1].isspace() and None not in found:
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = [self._word(w) if x is None else x for w, x in zip(words, found)]
+        if first and not first[-1].isspace() and b"" not in found:
             return b"".join([self._ids(first), *found])
-        out, piece, open_end = [], first, not first or first[-1].isspace()
+        out, piece = [], first  # piece: text that isn't encoded yet, as its end is open
         for w, x in zip(words, found):
-            if x is None or open_end:
-                piece += " " + w
-            else:
+            if piece is None and x:
+                out.append(x)
+                continue
+            if piece is not None and piece and not piece[-1].isspace():
                 out.append(self._ids(piece))
-                piece = " " + w
-            open_end = not w or w[-1].isspace()
-        return b"".join([*out, self._ids(piece)])
+                piece = None
+                if x:
+                    out.append(x)
+                    continue
+            piece = (piece or "") + " " + w
+        return b"".join([*out, self._ids(piece or "")])
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(json_name: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(json_name)
 
 
 TOKENS = "doc_tokens bigint, ids binary, unit bigint, stats array<bigint>"
@@ -112,9 +120,9 @@ TOKENS = "doc_tokens bigint, ids binary, unit bigint, stats array<bigint>"
 
 def _tokenize(batches: Iterator[pa.RecordBatch], json_name: str) -> Iterator[pa.RecordBatch]:
     """Each text's ids and the end id, as little-endian 32-bit numbers; then the task's share of the index's statistics."""
-    encoder = Encoder(json_name)
+    words = encoder(json_name)
     part = TaskContext.get().partitionId() << 40
-    df, units, tokens = np.zeros(encoder.vocabulary, np.int64), 0, 0
+    df, units, tokens = np.zeros(words.vocabulary, np.int64), 0, 0
     end = np.array([END], "<u4").tobytes()
     id_type = None
 
@@ -127,7 +135,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch], json_name: str) -> Iterator[pa.
         for piece in slices(batch, "text"):
             n, data, unit = [], [], []
             for text in piece.column("text").to_pylist():
-                data.append(encoder.ids(text or "") + end)
+                data.append(words.ids(text or "") + end)
                 ids = np.frombuffer(data[-1], "<u4")
                 n.append(len(ids))
                 unit.append(part | units)
