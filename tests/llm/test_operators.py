@@ -196,22 +196,10 @@ def test_tokenizers_agree():
     slow.encode_special_tokens = True
     fast, size = packing.tokenizer("byte_bpe_50k.json")
     assert size == 50257
-    for _, t in docs_of("sf0.001") + texts() + [(0, " " * 5000 + "x\n\n\n"), (0, "<|endoftext|> it's"), (0, "\u3000é\x00\U0001f600" * 50)]:
+    for _, t in docs_of("sf0.01") + texts() + [(0, " " * 5000 + "x\n\n\n"), (0, "<|endoftext|> it's"), (0, "\u3000é\x00\U0001f600" * 50)]:
         assert list(fast(t or "")) == slow.encode(t or "", add_special_tokens=False).ids
 
 
-def test_remembered_words_give_the_tokenizer_s_ids(monkeypatch):
-    fast, _ = packing.tokenizer("byte_bpe_50k.json")
-    rng = np.random.default_rng(2)
-    bits = [" ", "  ", "\n", " \n", "\n ", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "a", "it's", "É", "12", "!?", "'ll", "文字", "\U0001f600", "word", "\x00"]
-    odd = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(3_000)] + ["", " ", "  ", " a", "a ", "\n a b", "a  b c", "x" * 70 + " " + "y" * 70]
-    for words in (packing.WORDS, 3):
-        monkeypatch.setattr(packing, "WORDS", words)
-        encoder = packing.Encoder("byte_bpe_50k.json")
-        for t in odd + [t or "" for _, t in docs_of("sf0.01")[:300] + texts()]:
-            assert np.frombuffer(encoder.ids(t), "<u4").tolist() == list(fast(t)), repr(t[:80])
-
-
 @pytest.mark.parametrize("window,shard", [(64, 8), (1024, 2048)])
 def test_every_id_is_packed_once(spark, window, shard):
     fast, _ = packing.tokenizer("byte_bpe_50k.json")
