@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import staged
+from ledgerlane.llm.common import remove, staged
 from ledgerlane.llm.files import located
 from ledgerlane.llm.words import Words, mix, slices, split_words, window_hashes
 from ledgerlane.session import scratch
 
-BLOCK_BYTES = 8 << 20     # text that one counter is merged over before the shuffle
+BLOCK_BYTES = 4 << 20     # text that one counter is merged over before the shuffle
 SLICE = 1 << 20
 BLOCKS_IN_BUCKET = 16      # blocks whose lists share a folder
 SEGMENT = 1 << 16          # a stripe is cut so that a segment counts about so many occurrences
@@ -126,6 +126,7 @@ class Counter:
     def __init__(self, level: int, listed: Listed | None, buckets: int):
         self.level, self.listed, self.buckets = level, listed, np.uint64(buckets)
         self.parts: list[tuple] = []
+        self.langs: dict[str, int] = {}  # the block's languages, by number
 
     def add(self, langs: pa.Array, texts: pa.Array) -> None:
         m = self.level
@@ -135,8 +136,9 @@ class Counter:
             return
         codes = pc.fill_null(langs, "und").dictionary_encode()
         names = codes.dictionary.to_pylist()
-        lang = codes.indices.to_numpy()[w.text_of()]
-        salt = _lang_key(names)[lang]
+        number = np.array([self.langs.setdefault(x, len(self.langs)) for x in names], np.int32)
+        of = codes.indices.to_numpy()[w.text_of()]
+        salt, lang = _lang_key(names)[of], number[of]
         h, h2 = w.hashes(0), w.hashes(1)
         ends_before = np.concatenate([[0], np.cumsum(PIECE_ENDS[w.data])])
         piece = ends_before[w.starts] + w.text_of()  # grows with every piece end and every text: equal inside a piece only
@@ -155,8 +157,7 @@ class Counter:
         rep = first[order[begin]]
         flat = Flat(w)
         self.parts.append((key[order[begin]], window_hashes(h2, rep, rep + m, 1), np.diff(np.append(begin, len(order))), self._home(prefix[rep], weight[rep], h[rep + m - 1]),
-                           pc.take(codes.dictionary, pa.array(lang[rep])).cast(pa.large_string()), flat.text(rep, rep + m - 1),
-                           flat.text(rep + m - 1, rep + m)))
+                           lang[rep], flat.text(rep, rep + m - 1), flat.text(rep + m - 1, rep + m)))
 
     def _home(self, prefix: np.ndarray, weight: np.ndarray, word: np.ndarray) -> np.ndarray:
         """A hash of each entry's stripe segment; its low bits name the bucket.
@@ -173,18 +174,19 @@ class Counter:
         """A row per bucket: its stripes, each with the words that follow its prefix and their counts."""
         if not self.parts:
             return
-        key, second, n, home = (np.concatenate([p[i] for p in self.parts]) for i in range(4))
-        lang, prefix, word = (pa.concat_arrays([p[i] for p in self.parts]) for i in range(4, 7))
+        key, second, n, home, lang = (np.concatenate([p[i] for p in self.parts]) for i in range(5))
+        prefix, word = (pa.concat_arrays([p[i] for p in self.parts]) for i in range(5, 7))
         self.parts = []
         order, begin = _groups(key, second)
         count, rep = np.add.reduceat(n[order], begin), order[begin]
         bucket = (home[rep] & (self.buckets - np.uint64(1))).astype(np.int64)
         by = np.lexsort((home[rep], bucket))
         rep, bucket, count = rep[by], bucket[by], count[by]
-        lang, prefix, word = (x.take(pa.array(rep)) for x in (lang, prefix, word))
+        names, lang = pa.array(list(self.langs), pa.string()), lang[rep]
+        prefix, word = (x.take(pa.array(rep)) for x in (prefix, word))
+        del key, second, n, home, order
         other = np.zeros(len(rep), bool)
-        for x in (lang, prefix):
-            other[1:] |= ~pc.equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False)
+        other[1:] = (lang[1:] != lang[:-1]) | ~pc.equal(prefix[1:], prefix[:-1]).to_numpy(zero_copy_only=False)
         row = np.ones(len(rep), bool)
         row[1:] = bucket[1:] != bucket[:-1]
         rows = np.flatnonzero(row)
@@ -196,11 +198,13 @@ class Counter:
             ends = pa.array(np.append(heads, b - a), pa.int32())
             took = pa.array(heads + a)
             stripe = pa.StructArray.from_arrays(
-                [lang.take(took).cast(pa.string()), prefix.take(took).cast(pa.string()), pa.ListArray.from_arrays(ends, word[a:b].cast(pa.string())),
+                [names.take(pa.array(lang[heads + a])), prefix.take(took).cast(pa.string()), pa.ListArray.from_arrays(ends, word[a:b].cast(pa.string())),
                  pa.ListArray.from_arrays(ends, pa.array(count[a:b]))], names=["lang", "prefix", "words", "counts"])
             offs = pa.array(np.append(np.searchsorted(heads, inside), len(heads)), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(inside), block)), pa.array(bucket[a:b][inside]), pa.ListArray.from_arrays(offs, stripe)],
                                              names=["block", "bucket", "stripes"])
+        del prefix, word
+        pa.default_memory_pool().release_unused()
 
 
 STRIPES = "block bigint, bucket bigint, stripes array<struct<lang: string, prefix: string, words: array<string>, counts: array<bigint>>>"
@@ -289,6 +293,7 @@ def frequent_phrases(df: DataFrame, lang_col: str = "lang", text_col: str = "tex
         (dealt.mapInArrow(lambda it: _merge(it, min_count), FREQUENT)
          .withColumn("bucket", F.floor(F.col("block") / BLOCKS_IN_BUCKET).cast("bigint"))
          .repartition("bucket").sortWithinPartitions("bucket", "block").write.partitionBy("bucket").parquet(uri))
+        remove(stripes)  # merged: nothing reads them again
         here = spark.read.schema(f"{FREQUENT}, bucket bigint").parquet(uri).filter("first")
         levels.append(here.select("lang", "phrase", F.lit(m).alias("m"), F.col("n").alias("a")))
         if here.isEmpty():
