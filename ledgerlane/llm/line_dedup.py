@@ -23,7 +23,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
     Null or empty text: one empty line, kept.  Null ids together are one
     document; rows with one id are one document (each is returned).  An empty
-    table gives no rows.
+    table gives no rows.  A text of any length is one row, whose lines are
+    counted apart and joined again in one task.
     """
     docs = packed(df, id_col, text_col)
     keys = (docs.select("id", "k1", "k2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))

@@ -21,7 +21,9 @@ ODD_MARKS = r"[^\p{L}\p{N}\x20\x09-\x0D]{2,}|(?<= )[^\p{L}\p{N}\x20\x09-\x0D](?=
 def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_rows: bool = False) -> DataFrame:
     """The id and the counts of each whole text that the rules look at, with the row itself if asked for.
 
-    Null or empty text, or white space alone: all counts 0.
+    Null or empty text, or white space alone: all counts 0.  A text of any
+    length is counted whole, in one row.  The caller's columns travel in one
+    struct, so none clashes.
     """
     first = ["row", "id"] if with_rows else ["id"]
     d = packed(df, id_col, text_col).select(*first, "text", F.btrim("text", F.lit(SPACES)).alias("trimmed"))
@@ -120,6 +122,7 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     The accuracies are fitted to all rows: the driver gets one count for each
     pattern of votes, 3 ^ rules at most.  Nothing is shuffled but those counts.
     Repeated rows count as often as they are there; an empty table gives none.
+    Very long texts are judged by the same counts; ties don't arise.
     """
     d = staged(votes(features(df, id_col, text_col, with_rows)), "quality")
     names = [f"v_{r}" for r in RULES]

@@ -284,7 +284,8 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Per row: ``id``, ``k1``, ``k2``, ``fp``, ``root`` and ``component_id``.
 
     Null or empty text, or one without words: fingerprint zero, linked like
-    any other.  Repeated rows share all; an empty table gives no rows.
+    any other.  Repeated rows share all; an empty table gives no rows.  A text
+    of any length is fingerprinted whole.  Other columns are not read.
     Whole texts are read once; only digests and fingerprints are shuffled.
     """
     prints = staged(fingerprints(df, id_col, text_col, shingle), "prints")

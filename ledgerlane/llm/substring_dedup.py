@@ -205,6 +205,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Rows with one id are one document: equal starts are no earlier ones, so
     repeated rows keep what one of them keeps.  Null or empty text: no words.
+    A text of any length is cut to windows whole.  Other columns are not read;
+    an empty table gives no rows.
     Only anchors, stretches and open windows are shuffled, and texts where
     something may go; the join sides that a hot passage or text could load
     are split by the skew join.

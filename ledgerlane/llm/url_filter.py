@@ -147,7 +147,7 @@ def filter_urls(df: DataFrame, rules: Iterable[tuple[str, str]], id_col: str = "
 
     Null URL or none with ``://``: empty host and path, no rule.  An empty
     rule list fits nothing.  Repeated rows are judged alike; an empty table
-    gives no rows.
+    gives no rows.  A URL of any length is read whole.  Other columns are not read.
     """
     spark: SparkSession = df.sparkSession
     name = f"rules-{uuid.uuid4().hex}.idx"

@@ -98,7 +98,8 @@ def write_archives(df: DataFrame, root: str, id_col: str = "page_id", url_col: s
 
     Null text: an empty payload.  Null ids are below all others; rows that
     share the largest id (repeats, or nulls alone) are all responses.  Null
-    URL: no target header.  An empty table writes no archive.
+    URL: no target header.  An empty table writes no archive.  A payload of
+    any length is one record, written by one task.  Other columns are not read.
     """
     payload = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("text"),

@@ -458,3 +458,15 @@ def test_sharding_deals_whole_rows_as_a_plain_deal_of_the_same_draws(spark):
         by.setdefault(r.shard, []).append(r.slot)
     assert sorted(by) == list(range(7)) and all(sorted(v) == list(range(len(v))) for v in by.values())
     assert {len(v) for v in by.values()} == {128, 129}
+
+
+def test_clashing_columns_and_long_urls(spark):
+    docs = [(1, "good fine nice " * 5, 3, "x", 1.5, "u"), (2, "vile scum " * 6, 4, "y", 2.5, "v"), (3, None, None, None, None, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, id int, stats string, n double, ids string")
+    labels = spark.createDataFrame([(1, 0, "a"), (2, 1, "b")], "doc_id bigint, toxic int, id string")
+    assert sorted(r.id for r in toxicity.toxicity(df, labels).collect()) == [1, 2, 3]
+    assert {p.id for p in packing.pack(df).collect()} == {1, 2, 3}
+    long = "http://" + "a." * 5_000 + "example.com/en/" + "p/" * 200_000
+    pages = spark.createDataFrame([(1, long, "h", "p"), (2, "x" * 500_000, "h", "p")], "page_id bigint, url string, host string, path string")
+    got = {r.id: (r.rule, r.verdict) for r in url_filter.filter_urls(pages, [("block", "example.com/en/"), ("allow", "com/")]).collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: (None, "allow")}

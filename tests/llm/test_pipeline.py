@@ -77,5 +77,11 @@ def test_stages(spark, data):
     assert total == {r[0]: len(fast(r[1] or "")) + 1 for r in before}
 
 
+def test_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert P.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run_is_the_stages(spark, data):
     assert P.run(spark, data).columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
