@@ -137,6 +137,34 @@ def test_a_passing_error_is_delivered_on_retry(spark):
     assert (log.status, log.events, log.attempts) == ("delivered", 1, 3)
 
 
+def test_batches_of_one_write_fail_and_are_retried_alone(spark):
+    root, tries, slept = scratch(spark, "t-units"), [], []
+    errors = {1: [DV.SendError("RecordTooLargeException", "too large")], 2: [DV.SendError("TimeoutException", "slow")] * 2, 3: [DV.SendError("NetworkException", "reset")] * 9}
+
+    def write(df, batch):
+        here = sorted(r.b for r in df.select("b").distinct().collect())
+        tries.append(here)
+        bad = {b: errors[b][len(tries) - 1] for b in here if len(errors.get(b, [])) >= len(tries)}
+        df.filter(~F.col("b").isin(list(bad))).write.mode("overwrite").parquet(f"{root}/sink/batch_id={batch}")
+        if bad:
+            raise DV.BatchErrors(bad)
+
+    w = DV.DeadLetterWriter(root, write, "id", sleep=slept.append, batch_col="b")
+    rows = spark.range(50).select("id", F.floor(F.col("id") / 10).alias("b"))
+    for _ in range(2):  # a micro-batch that is tried again leaves the same
+        tries.clear()
+        w(rows, 6)
+        assert tries == [[0, 1, 2, 3, 4]] + [[0, 2, 3, 4]] * 4
+        assert sorted(r.id for r in w.delivered(spark, "id bigint").collect()) == [*range(10), *range(20, 30), *range(40, 50)]
+        dead = w.dead(spark).collect()
+        assert sorted(int(r.metadata["offset"]) for r in dead) == [*range(10, 20), *range(30, 40)]
+        assert {(r.metadata["batch"], r.reason, r.metadata["attempts"]) for r in dead} == {("1", str(errors[1][0]), "1"), ("3", str(errors[3][0]), "5")}
+        assert all("Traceback" in r.stackTrace and r.reason in r.stackTrace for r in dead)
+        assert sorted((r.batch, r.status, r.events, r.attempts) for r in spark.read.parquet(w.log).collect()) == [
+            (0, "delivered", 10, 1), (1, "dead_letter", 10, 1), (2, "delivered", 10, 3), (3, "dead_letter", 10, 5), (4, "delivered", 10, 1)]
+    assert slept == [0.2, 0.4, 0.8, 1.0] * 2
+
+
 def test_fan_out_counts_are_those_of_the_events(spark):
     f = DV.FanOut(scratch(spark, "t-fan-events"), scratch(spark, "t-fan-counts"))
     rows = spark.range(10).select("id", F.when(F.col("id") < 7, "a").otherwise("b").alias("topic"))
