@@ -11,6 +11,8 @@ from ledgerlane.streaming.dedupe import DedupeSink
 from ledgerlane.streaming.grouping import OpenBatches
 from ledgerlane.streaming.poller import drain, polled
 
+from tests.conftest import SF001
+
 SCHEMA = "ledger_offset string, event_id bigint, template_id string, contract_id string"
 
 
@@ -110,6 +112,30 @@ def test_a_page_that_was_not_full_is_filled_up(spark):
     assert {r.cursor for r in rows if r.page == 2} == {offset(249), offset(299)}
 
 
+def test_a_backlog_is_read_in_growing_batches(spark):
+    a = archive(spark, 130)
+    a.append(events(spark, 0, 2_030))
+    out, ck = scratch(spark, "t-backlog"), scratch(spark, "t-backlog-ckpt")
+    kw = {"pages_per_batch": 1, "most_pages": 8}
+    with pytest.raises(StreamingQueryException):
+        read_all(spark, a, out, ck, fail_before=3, **kw)
+    assert spark.read.parquet(out).count() == 700
+    read_all(spark, a, out, ck, **kw)
+    rows = spark.read.parquet(out).collect()
+    ends = [100, 300, 700, 1_500, 2_030]  # 1, 2, 4, 8 polls, and what is left
+    assert sorted((r.event_id, r.page, r.batch) for r in rows) == [(n, n // 100, sum(n >= e for e in ends)) for n in range(2_030)]
+    assert {(r.page, r.cursor) for r in rows} == {(p, offset(min(p * 100 + 99, 2_029))) for p in range(21)}
+
+
+def test_the_registered_streams_take_a_backlog_in_few_batches(spark, monkeypatch):
+    from ledgerlane.plans import streams as S
+    polls = []
+    monkeypatch.setattr(S, "polled", lambda *args, **kw: polls.append(kw) or polled(*args, **kw))
+    for name in ("dead_letter_batches", "transactional_batches", "resume_stream", "latest_feed_stream"):
+        S.__dict__[name](spark, SF001)
+    assert polls and all(kw["most_pages"] >= 100 * kw["pages_per_batch"] for kw in polls)
+
+
 IDS = "event_id bigint, v bigint"
 
 
