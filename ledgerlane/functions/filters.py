@@ -19,6 +19,7 @@ Two payload forms are supported:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.columns import template_key
-from ledgerlane.functions.joins import small
+from ledgerlane.functions.joins import is_small, small
+from ledgerlane.session import scratch
 
 TEXT, PARTY, NUMERIC, INT64, BOOL, RECORD = "text", "party", "numeric", "int64", "bool", "record"
 
@@ -402,17 +404,34 @@ def apply_filter(df: DataFrame, f: EventFilter, payload, template_col: str = "te
     the boolean tree stands on the flags, so ``Not`` and ``Or`` over sets are
     what they are over lists.  A set is broadcast while its size is proven
     small, and shuffled beyond.  A party set meets the distinct stakeholder
-    lists of the events, not the events.
+    lists of the events, and a large template set their distinct templates,
+    not the events: many events have one template, and a shuffle of events by
+    template would put them all in one task.
     """
     columns = df.columns
-    joined, n = df, 0
-
-    def flagged(members: DataFrame, on: dict[str, Column]) -> EventFilter:
-        """Join ``members`` (its columns named as in ``on``) and name the flag."""
+    joined, n, seen = df, 0, None
+
+    def templates() -> DataFrame:
+        """The events' distinct templates, written once for all sets."""
+        nonlocal seen
+        if seen is None:
+            path = scratch(df.sparkSession, "templates")
+            found = df.select(F.col(template_col).alias("template")).distinct()
+            found.write.parquet(path)
+            seen = df.sparkSession.read.schema(found.schema).parquet(path)
+        return seen
+
+    def flagged(members: DataFrame, on: dict[str, Column], met: Callable[[], DataFrame] | None = None) -> EventFilter:
+        """Join ``members`` (its columns named as in ``on``) and name the flag; ``met``: what a large set is cut to first."""
         nonlocal joined, n
         n += 1
         name = f"_in_{n}"
-        members = small(members.distinct()).withColumn(name, F.lit(True))
+        members = members.distinct()
+        if is_small(members):
+            members = F.broadcast(members)
+        elif met is not None and not df.isStreaming:
+            members = small(met().distinct().join(members, list(on), "left_semi"))
+        members = members.withColumn(name, F.lit(True))
         keys = {f"_key_{n}_{c}": c for c in on}
         members = members.select(*[F.col(c).alias(k) for k, c in keys.items()], name)
         cond = None
@@ -431,11 +450,10 @@ def apply_filter(df: DataFrame, f: EventFilter, payload, template_col: str = "te
             ids = df.sparkSession.createDataFrame([(i,) for i in sorted(g.template_ids)], "template string")
             return walk(TemplateIn(ids, g.hash_agnostic))
         if isinstance(g, TemplateIn):
-            ids = g.templates.select(F.col(g.templates.columns[0]).alias("template"))
-            of_event = F.col(template_col)
-            if g.hash_agnostic:
-                ids, of_event = ids.select(template_key("template").alias("template")), template_key(template_col)
-            return flagged(ids, {"template": of_event})
+            def keyed(of):
+                return template_key(of) if g.hash_agnostic else F.col(of)
+            ids = g.templates.select(F.col(g.templates.columns[0]).alias("template")).select(keyed("template").alias("template"))
+            return flagged(ids, {"template": keyed(template_col)}, lambda: templates().select(keyed("template").alias("template")))
         if isinstance(g, StakeholderIn):
             wanted = g.parties.select(F.col(g.parties.columns[0]).alias("party")).distinct()
             lists = df.select(stakeholders(*parties).alias("stakeholders")).distinct()

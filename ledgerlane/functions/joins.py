@@ -21,6 +21,11 @@ def small(df: DataFrame, known_rows: int | None = None, max_rows: int = BROADCAS
     """
     if known_rows is not None:
         return F.broadcast(df) if known_rows <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows and ``max_bytes``; at most ``max_rows + 1`` rows of it are read."""
     size = F.octet_length(F.to_json(F.struct(*df.columns)))
     n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
+    return n <= max_rows and size <= max_bytes

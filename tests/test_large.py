@@ -97,3 +97,13 @@ def test_offsets_that_are_not_digits(spark):
     rows = batch_manifest(assign_batches(df, size=4), opaque=True).collect()
     # Fixed-width offsets come first, then the others by their text.
     assert sorted((r.batch_no, r.events, r.first_offset, r.last_offset) for r in rows) == [(0, 4, f"{5:018d}", "offset-1"), (1, 2, "offset-2", "offset-3")]
+
+
+def test_a_large_template_set_puts_no_template_in_one_task(spark):
+    rows = spark.range(0, 3_000).select("id", F.when(F.col("id") % 3 == 0, "Main:Iou").when(F.col("id") % 3 == 1, "Other:T").alias("template_id"))
+    ids = spark.range(0, 100_050).select(F.concat(F.lit("Generated:T"), F.col("id").cast("string")).alias("t")).unionByName(spark.createDataFrame([("Main:Iou",)], "t string"))
+    for f, want in ((X.TemplateIn(ids), lambda i: i % 3 == 0), (X.Not(X.TemplateIn(ids)), lambda i: i % 3 != 0), (X.TemplateIn(ids, True), lambda i: i % 3 == 0)):
+        out = X.apply_filter(rows, f, None)
+        assert sorted(r.id for r in out.collect()) == [i for i in range(3_000) if want(i)]
+        plan = out._jdf.queryExecution().toString()
+        assert "hint=(strategy=broadcast)" in plan or "rightHint=(strategy=broadcast)" in plan
