@@ -58,6 +58,15 @@ def test_filters_skip_files_and_lose_no_event(spark):
         a.replay(having={"event_id": [1]})
 
 
+def test_filter_bits_are_sorted_as_numbers(spark):
+    a = archive(spark, 500, indexed=("template_id", "contract_id"))
+    a.append(events(spark, 0, 2_000))
+    placed = spark.read.schema(SCHEMA).parquet(f"{a.root}/data/append=0").withColumn("file", F.col("_metadata.file_path"))
+    plan = a._filters(placed)._jdf.queryExecution().sparkPlan().toString()
+    sorts = [line for line in plan.splitlines() if "bitmap_construct_agg" in line]
+    assert sorts and all("keys=[_file" in line or "key=[_file" in line for line in sorts)  # an int, not a path in every bit
+
+
 def test_appends_follow_each_other_and_are_all_or_nothing(spark):
     a = archive(spark)
     assert a.append(events(spark, 0, 0)) == -1 and a.replay().count() == 0
