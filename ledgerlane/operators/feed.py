@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,30 +34,67 @@ def ordered_for_delivery(events: DataFrame, keys: list[str], partitions: int | N
     return events.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
 
 
+def _steps(names: list[str]):
+    """Walks a partition in delivery order: counts per topic, and the partition's first and last event.
+
+    ``names``: the columns of the key, then the offset; a batch is compared with itself one row on.
+    """
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, first, last, before = [], None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            here = pa.Table.from_batches([batch])
+            rows = here if before is None else pa.concat_tables([before, here])
+            a, b = rows.slice(0, rows.num_rows - 1), rows.slice(1)
+            same = pa.chunked_array([pa.array([True] * b.num_rows, pa.bool_())])
+            for c in names[:-1]:
+                equal = pc.fill_null(pc.equal(a[c], b[c]), False)
+                same = pc.and_(same, pc.or_(equal, pc.and_(pc.is_null(a[c]), pc.is_null(b[c]))))
+            bad = pc.and_(same, pc.fill_null(pc.less(b[names[-1]], a[names[-1]]), False))
+            new = pc.invert(same).cast(pa.int64()).combine_chunks()
+            bad = bad.cast(pa.int64()).combine_chunks()
+            if before is None:  # nothing stands before the first event
+                first = batch.slice(0, 1).select(names).to_pylist()[0]
+                new, bad = pa.concat_arrays([pa.array([1], pa.int64()), new]), pa.concat_arrays([pa.array([0], pa.int64()), bad])
+            counts.append(pa.table({"topic": here[names[0]], "n": pa.array([1] * here.num_rows, pa.int64()), "new": new, "bad": bad})
+                          .group_by("topic").aggregate([("n", "sum"), ("new", "sum"), ("bad", "sum")]))
+            before = here.slice(here.num_rows - 1)
+            last, part, types = before.select(names).to_pylist()[0], before["_p"][0].as_py(), here.select(names).schema
+        if last is None:
+            return
+        total = pa.concat_tables(counts).group_by("topic").aggregate([(f"{c}_sum", "sum") for c in ("n", "new", "bad")])
+        edge = pa.struct([(f"c{i}", f.type) for i, f in enumerate(types)])
+        out = pa.schema([("topic", types.field(0).type), ("events", pa.int64()), ("new_keys", pa.int64()), ("bad", pa.int64()), ("_p", pa.int32()), ("_first", edge), ("_last", edge)])
+        ends = {k: {f"c{i}": v[c] for i, c in enumerate(names)} for k, v in (("_first", first), ("_last", last))}
+        rows = [{"topic": r["topic"], "events": r["n_sum_sum"], "new_keys": r["new_sum_sum"], "bad": r["bad_sum_sum"]} for r in total.to_pylist()]
+        yield pa.RecordBatch.from_pylist([*rows, {"topic": last[names[0]], "_p": part, **ends}], schema=out)
+    return walk
+
+
 def delivery_report(delivered: DataFrame, keys: list[str], offset: str = "ledger_offset") -> DataFrame:
     """Check for L2: per ``keys[0]`` (the topic, null included): ``events``, ``keys`` (distinct key groups)
     and ``out_of_order`` (events whose offset is below the previous event of the same key in delivery order).
 
     Delivery order is (partition index, position in partition).  Each event
-    is compared with the one before it in its partition (a window over the
-    partition, whose size the layout bounds); keys that go on in the next
-    partition are stitched in an edge table of one row per partition, whose
-    size is the partition count, not the data.
+    is compared with the one before it where it lies: a delivered partition
+    is walked once and gives a row per topic, so no event is shuffled again.
+    Keys that go on in the next partition are stitched in an edge table of one
+    row per partition, whose size is the partition count, not the data.
     """
-    topic = keys[0]
-    # The position is taken in the delivered partition, before any shuffle.
-    d = delivered.select(*keys, F.col(offset).alias("_o"), F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
-    d = d.select(F.col(topic).alias("topic"), F.struct(*keys).alias("_k"), "_o", "_p", "_i")
-    inside = Window.partitionBy("_p").orderBy("_i")
-    rows = d.withColumns({"_b": F.lag(F.struct("_k", "_o")).over(inside), "_last": F.lead("_i").over(inside).isNull()})
-    same = F.col("_b").isNotNull() & F.col("_b._k").eqNullSafe(F.col("_k"))
-    per = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("events"), F.count_if(~same).alias("new_keys"),
-                                    F.count_if(same & (F.col("_o") < F.col("_b._o"))).alias("bad"))
-    # The first and the last event of each partition: before a first one stands the last of the partition before.
-    edges = rows.filter(F.col("_b").isNull() | F.col("_last")).withColumn("_e", F.lag(F.struct("_k", "_o")).over(Window.orderBy("_p", "_i")))
-    on = edges.filter(F.col("_b").isNull() & F.col("_e").isNotNull() & F.col("_e._k").eqNullSafe(F.col("_k")))
-    carried = on.groupBy(F.col("topic").alias("t")).agg(F.count(F.lit(1)).alias("continued"), F.count_if(F.col("_o") < F.col("_e._o")).alias("edge_bad"))
-    n = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return (per.join(carried, F.col("topic").eqNullSafe(F.col("t")), "left")
-            .select("topic", F.col("events").cast("bigint").alias("events"), (F.col("new_keys") - n("continued")).cast("bigint").alias("keys"),
-                    (F.col("bad") + n("edge_bad")).cast("bigint").alias("out_of_order")))
+    names = [*[f"_k{i}" for i in range(len(keys))], "_o"]
+    d = delivered.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(offset).alias("_o"), F.spark_partition_id().alias("_p"))
+    types = {f.name: f.dataType.simpleString() for f in d.schema}
+    edge = f"struct<{','.join(f'c{i}:{types[n]}' for i, n in enumerate(names))}>"
+    walked = d.mapInArrow(_steps(names), f"topic {types[names[0]]}, events bigint, new_keys bigint, bad bigint, _p int, _first {edge}, _last {edge}")
+    # An edge has no counts: one row per partition, whose first event comes after the last of the partition before.
+    edges = walked.filter("events IS NULL").withColumn("_e", F.lag("_last").over(Window.orderBy("_p")))
+    at = f"c{len(keys)}"
+    same = F.col("_e").isNotNull()
+    for i in range(len(keys)):
+        same = same & F.col(f"_e.c{i}").eqNullSafe(F.col(f"_first.c{i}"))
+    below = F.coalesce(F.col(f"_first.{at}") < F.col(f"_e.{at}"), F.lit(False)).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    carried = edges.filter(same).select(F.col("_first.c0").alias("topic"), zero.alias("events"), F.lit(-1).cast("bigint").alias("new_keys"), below.alias("bad"))
+    whole = walked.filter("events IS NOT NULL").select("topic", "events", "new_keys", "bad").unionByName(carried)
+    return whole.groupBy("topic").agg(F.sum("events").alias("events"), F.sum("new_keys").alias("keys"), F.sum("bad").alias("out_of_order"))
