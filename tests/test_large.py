@@ -48,6 +48,19 @@ def test_party_tables_and_subscription_tables(spark, events):
     assert sorted(r.id for r in out.collect()) == [r.id for r in rows if "P1" in who(r) or ("Q0" in who(r) and r.template_id in ("pkg0:M:T1", "pkg1:M:T2"))]
 
 
+def test_large_party_sets_meet_no_sort_of_stakeholder_lists(spark, events, monkeypatch):
+    monkeypatch.setattr(X, "is_small", lambda *a: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        subs = spark.createDataFrame([("P1", None), ("Q0", "pkg0:M:T1")], "party string, template_id string")
+        for out in (X.subscribed(events, subs), X.apply_filter(events, X.StakeholderIn(ids(spark, ["P1", "Q2"])), None)):
+            plan = out._jdf.queryExecution().sparkPlan().toString()
+            top = next(line for line in plan.splitlines() if "Join" in line)
+            assert "ShuffledHashJoin" in top, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("value,threshold,sign", [
     ("1E30", "1", 1), ("1E+5", "100000", 0), ("-1e999999999", "0", -1), ("1e-999999999", "0", 1), ("1e-999999999", "0.1", -1), (" 7 ", "1", None), ("7 ", "1", None),
     ("1E", "1", None), ("e5", "1", None), (".", "0", None), ("1e3000000000", "1", None), ("0e5", "0", 0), ("00.0010e3", "1", 0), ("12.5e-1", "1.25", 0), ("-12.5E-1", "-1.2", -1),
