@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlane.llm.common import remove
 from ledgerlane.session import scratch
 
 FILE_ROWS = 1 << 20    # rows of a staged file at most: one file's permutation fits a task
@@ -108,7 +109,7 @@ def shard_rows(df: DataFrame, shards: int = 8, seed: int = 42, file_rows: int =
     cuts = np.cumsum(communication_matrix([c for _, c in counts], sizes, seed), axis=1)
     matrix = spark.createDataFrame([(name, i, cuts[i].tolist()) for i, (name, _) in enumerate(counts)],
                                    "name string, file int, cuts array<bigint>")
-    dealt = staged.join(matrix, "name").select("row", "file", "at", "cuts")
+    dealt = staged.join(F.broadcast(matrix), "name").select("row", "file", "at", "cuts")  # one row a file, which the driver has
     schema = StructType([rows.schema["row"], *StructType.fromDDL("file int, at bigint, shard int, key bigint")])
     dealt = dealt.mapInArrow(lambda it: _deal(it, seed), schema)
     blocks = max(1, -(-(n // shards) // block_rows))
@@ -117,6 +118,7 @@ def shard_rows(df: DataFrame, shards: int = 8, seed: int = 42, file_rows: int =
     dealt = dealt.withColumn("block", F.expr(f"cast(floor((cast(key as decimal(20,0)) + 9223372036854775808) / {width}) as int)"))
     dealt_path = scratch(spark, "shard-dealt")
     dealt.write.parquet(dealt_path)
+    remove(staged)  # dealt: nothing reads them again
     dealt = spark.read.schema(dealt.schema).parquet(dealt_path)
     before = (Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     firsts = dealt.groupBy("shard", "block").count().select(

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import os
 import re
 import zlib
 from collections import Counter
@@ -17,6 +18,7 @@ from ledgerlane.llm.decontaminate import contamination, hit_words
 from ledgerlane.llm.line_dedup import line_dedup
 from ledgerlane.llm.quality_rules import features, fit, judged, kept_rows
 from ledgerlane.llm.substring_dedup import substring_dedup
+from ledgerlane.session import scratch
 from tests.llm.helpers import docs_of, same_rows, texts
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -163,6 +165,15 @@ def test_shards_are_exact(spark, n, shards, block):
         assert sorted(r.slot for r in out if r.shard == s) == list(range(by[s]))
 
 
+def test_sharding_holds_one_copy(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(sharding, "scratch", lambda *a: made.append(scratch(*a)) or made[-1])
+    rows = [(i % 400, "same" if i % 3 else None) for i in range(1003)]
+    out = sharding.shard_rows(spark.createDataFrame(rows, DOC).repartition(5), 8, file_rows=150)
+    assert [os.path.exists(p) for p in made] == [False, True]
+    same_rows([tuple(r.row) for r in out.collect()], rows)
+
+
 def test_matrix_is_exact_and_uniform():
     counts, sizes = [30, 50, 20], sharding.shard_sizes(100, 8)
     draws = np.array([sharding.communication_matrix(counts, sizes, s) for s in range(2000)])
