@@ -200,6 +200,26 @@ def test_permutation_moves_rows(spark):
 
 # Packing
 
+def test_statistics_of_many_documents_at_once(monkeypatch):
+    # Counts, weights and postings of a batch are those of its documents one by one, wherever it is cut.
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 50, n).astype("<u4") for n in (1, 700, 3, 40, 40, 900, 2)]
+    idf, mean = rng.random(50) + 0.5, 241.0
+    monkeypatch.setattr(packing, "BATCH_IDS", 64)
+    cuts = packing._cuts(np.array([len(d) for d in docs]))
+    assert len(cuts) > 2 and [i for a, b in cuts for i in range(a, b)] == list(range(len(docs)))
+    term, tf, bounds, size = packing._counted([d.tobytes() for d in docs], 50)
+    parts = [np.unique(d, return_counts=True) for d in docs]
+    assert [(t.tolist(), n.tolist()) for t, n in parts] == [(term[a:b].tolist(), tf[a:b].tolist()) for a, b in zip(bounds, bounds[1:])]
+    index, whole = packing.Shard.of_counts([t for t, _ in parts], [n for _, n in parts], idf, mean), packing.Shard(docs, idf, mean)
+    unused = np.array([1.0, 0, 1, 0, 0, 0, 0])
+    want = [whole.scores(i) for i in range(len(docs))]
+    assert all((index.scores(i) == want[i]).all() for i in range(len(docs)))
+    index.keep(unused)  # used units go, the others' scores stay
+    assert len(index.unit) < len(whole.unit)
+    assert all((index.scores(i) == want[i] * unused).all() for i in range(len(docs)))
+
+
 def test_tokenizers_agree():
     import public_tokenizers as P
     from tokenizers import Tokenizer
