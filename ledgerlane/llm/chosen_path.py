@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import digest, staged
+from ledgerlane.llm.common import digest, likely, staged
 from ledgerlane.llm.components import components
 from ledgerlane.llm.words import mix, slices, split_words, window_hashes
 
@@ -207,8 +207,8 @@ def _branch(rows: DataFrame, branches: int) -> DataFrame:
 
 def _members(sets: DataFrame, docs: DataFrame, unique: DataFrame, shingle: int) -> DataFrame:
     """(s1, s2, items): the full sets of ``sets`` (s1, s2), from one text of each."""
-    texts = unique.join(sets.distinct(), ["s1", "s2"], "left_semi").select("s1", "s2", "text_key.k1", "text_key.k2")
-    rows = docs.join(texts, ["k1", "k2"]).dropDuplicates(["s1", "s2"]).select("s1", "s2", "text")
+    texts = staged(unique.join(sets.distinct(), ["s1", "s2"], "left_semi").select("s1", "s2", "text_key.k1", "text_key.k2"), "text-keys")
+    rows = likely(docs, texts, "k1", "k2").join(texts, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("s1", "s2", "text")
     return rows.mapInArrow(lambda it: _sets(it, shingle), "s1 bigint, s2 bigint, items array<bigint>")
 
 

@@ -26,12 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import SPACE_CLASS, SPACES, digest, staged
+from ledgerlane.llm.common import SPACE_CLASS, SPACES, digest, likely, staged
 from ledgerlane.llm.words import Words, slices, split_words, window_hashes
 
 FIRST = 5  # words of the first level
-# Bits of the filter that keeps most texts without candidates out of the text shuffles: fixed, whatever the input.
-FILTER_WORDS = 1 << 17
 
 
 def _firsts(values: np.ndarray, width: int) -> np.ndarray:
@@ -138,18 +136,6 @@ def _order(id_col: str = "id") -> Column:
     return F.struct(F.col(id_col).isNotNull().alias("some"), F.col(id_col).alias("id"))
 
 
-def _filtered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that may be among the wanted texts: a fixed-size bit table, so no wanted row is lost.
-
-    It only saves shuffling texts that aren't wanted; the exact join follows.
-    """
-    cell = lambda: F.pmod(F.col("t1"), F.lit(FILTER_WORDS)).alias("cell")
-    bit = lambda: F.expr("shiftleft(1L, cast(pmod(t2, 64) as int))")
-    table = staged(wanted.select(cell(), bit().alias("b")).groupBy("cell").agg(F.bit_or("b").alias("bits")), "text-filter")
-    return (docs.withColumn("cell", cell()).join(F.broadcast(table), "cell")  # FILTER_WORDS rows of two longs at most
-            .filter(F.col("bits").bitwiseAND(bit()) != 0).drop("cell", "bits"))
-
-
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     t1, t2 = digest(F.coalesce(F.col(text_col), F.lit("")))
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), t1.alias("t1"), t2.alias("t2"))
@@ -186,7 +172,7 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     unsettled = (alive.join(first, key).filter(F.struct("doc", "at").eqNullSafe(F.col("first")))
                  .join(several, "five", "left_semi").groupBy("t1", "t2", "doc").agg(F.collect_set("span").alias("spans")))
     unsettled = staged(unsettled, "open-stretches")
-    one_each = (_filtered(docs, unsettled.select("t1", "t2")).join(unsettled, ["t1", "t2"])
+    one_each = (likely(docs, unsettled.select("t1", "t2"), "t1", "t2").join(unsettled, ["t1", "t2"])
                 .filter(F.col("id").eqNullSafe(F.col("doc.id"))).select("id", "t1", "t2", "spans", "text"))
     windows = staged(one_each.mapInArrow(lambda it: _emit_windows(it, window),
                                          f"id {id_type}, t1 bigint, t2 bigint, start bigint, w1 bigint, w2 bigint"), "windows")
@@ -213,7 +199,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     docs = _texts(df, id_col, text_col)
     ranges = repeated_ranges(df, id_col, text_col, window)
-    cut = (_filtered(docs, ranges.select("t1", "t2")).select("t1", "t2", "text").join(ranges, ["t1", "t2"])
+    cut = (likely(docs, ranges.select("t1", "t2"), "t1", "t2").select("t1", "t2", "text").join(ranges, ["t1", "t2"])
            .dropDuplicates(["t1", "t2"]).select("t1", "t2", "ranges", "text")
            .mapInArrow(_emit_kept, "t1 bigint, t2 bigint, n_removed bigint, kept_sha256 string"))
     plain = F.btrim(F.regexp_replace("text", f"{SPACE_CLASS}+", " "), F.lit(SPACES))

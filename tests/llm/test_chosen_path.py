@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerlane.llm import chosen_path as C
+from ledgerlane.llm import common
 from tests.llm.helpers import docs_of, same_rows, texts
 
 DOC = "doc_id bigint, text string"
@@ -123,3 +124,20 @@ def test_other_columns_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b c d e", 1, "x"), (2, "a b c d e", 2, "y")], "doc_id bigint, text string, s1 int, node string")
     assert sorted(C.minhash_components(df).select("id", "component_id").collect()) == [(1, 1), (2, 1)]
     assert C.minhash_components(spark.createDataFrame([], DOC)).collect() == []
+
+
+def test_only_wanted_texts_are_shuffled(spark, monkeypatch):
+    met = []
+
+    def counted(docs, wanted, *keys):
+        out = common.likely(docs, wanted, *keys)
+        met.append((docs.count(), wanted.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(C, "likely", counted)
+    alone = [(i, " ".join(f"w{i}x{k}" for k in range(8))) for i in range(600)]
+    near = [(1000 + i, "a b c d e f g h i j k l m n o p q r s t u v w x y z " + "!" * (i + 1)) for i in range(4)]
+    rows = alone + near + near[:2] + [(7000, None)]
+    got = {r.id: r.component_id for r in C.minhash_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: 1000 if 1000 <= i < 1004 else i for i, _ in rows}
+    assert met and all(docs == len(rows) and wanted <= kept < 60 for docs, wanted, kept in met)
