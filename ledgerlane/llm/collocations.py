@@ -24,17 +24,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import remove, staged
+from ledgerlane.llm.common import BATCH_ROWS, batches_of, remove, staged
 from ledgerlane.llm.files import located
 from ledgerlane.llm.words import Words, mix, slices, split_words, window_hashes
 from ledgerlane.session import scratch
 
 BLOCK_BYTES = 4 << 20     # text that one counter is merged over before the shuffle
-SLICE = 1 << 20
+SLICE = 1 << 19
 BLOCKS_IN_BUCKET = 16      # blocks whose lists share a folder
+ROW_GROUP = 1 << 20        # bytes of a row group of such lists: a block reads its own ones, not its neighbours'
 SEGMENT = 1 << 16          # a stripe is cut so that a segment counts about so many occurrences
-BUCKET_BYTES = 3 << 19     # text whose occurrences one bucket of stripes holds, about: a task merges a bucket at a time
-ROWS = 256                 # buckets of a block in an output batch
+# A block's stripes lie in buckets, a row each: always so many that rows grow with the blocks alone, and more of them
+# only for a corpus whose buckets would hold the occurrences of more text than a task merges at once.
+BUCKETS = 1 << 12
+BUCKET_BYTES = 3 << 19
+MERGED = 1 << 18           # entries of whole buckets that a task merges at once, or those of one bucket
+ROWS = 512                 # buckets of a block in an output batch
 
 # Fixed values of the contract: what ends a piece, and what stands between words.
 PIECE_ENDS = np.zeros(256, bool)
@@ -256,44 +261,55 @@ def _merged(t: pa.Table, least: int) -> pa.RecordBatch:
 
 
 def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """The buckets of a sorted partition, each merged; one may span batches."""
+    """The buckets of a sorted partition, merged some whole ones at a time; one may span batches."""
     held: list[pa.RecordBatch] = []
-    last = None
+    last, size = None, 0
     for batch in batches:
-        bucket = batch.column("bucket").to_numpy()
-        cut = np.flatnonzero(np.diff(bucket)) + 1
-        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)]):
-            if a == b:
-                continue
-            if held and bucket[a] != last:
-                yield _merged(pa.Table.from_batches(held), least)
-                held = []
-            last = bucket[a]
-            held.append(batch.slice(a, b - a))
+        if not batch.num_rows:
+            continue
+        bucket, stripes = batch.column("bucket").to_numpy(), batch.column("stripes")
+        lengths = pc.list_value_length(pc.list_flatten(stripes).flatten()[2]).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(stripes).to_numpy())])
+        upto = np.concatenate([[0], np.cumsum(lengths)])[ends]  # entries before each row
+        at = 0
+        for row in np.flatnonzero(np.diff(bucket, prepend=bucket[0] if last is None else last)).tolist():
+            if size + upto[row] - upto[at] >= MERGED:
+                yield _merged(pa.Table.from_batches([*held, batch.slice(at, row - at)]), least)
+                held, size, at = [], 0, row
+        held.append(batch.slice(at))
+        last, size = bucket[-1], size + upto[-1] - upto[at]
     if held:
         yield _merged(pa.Table.from_batches(held), least)
 
 
+def buckets_of(n_blocks: int) -> int:
+    return max(BUCKETS, 1 << (n_blocks * BLOCK_BYTES // BUCKET_BYTES).bit_length())
+
+
 def frequent_phrases(df: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = 100, max_words: int = 5) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, m, a) of every phrase of up to ``max_words`` words with ``min_count`` occurrences or more, and (lang, n), all word occurrences."""
     spark = df.sparkSession
     text = (df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
             .filter(F.length("text") > 0))
-    blocks = staged(text.mapInArrow(_blocks, "lang string, text string, block bigint"), "blocks")
+    blocks = staged(text.mapInArrow(_blocks, "lang string, text string, block bigint"), "blocks", wide=True)
     n_blocks = blocks.select(F.approx_count_distinct("block")).first()[0]
-    buckets = 1 << max(0, n_blocks * BLOCK_BYTES // BUCKET_BYTES).bit_length()
+    buckets = buckets_of(n_blocks)
     uri, levels, totals = None, [], None
     for m in range(1, max_words + 1):
-        stripes = staged(blocks.mapInArrow(lambda it, m=m, uri=uri: _count(it, m, uri, buckets), STRIPES), f"stripes-{m}")
-        if m == 1:
+        stripes = blocks.mapInArrow(lambda it, m=m, uri=uri: _count(it, m, uri, buckets), STRIPES)
+        if m == 1:  # read twice
+            stripes = staged(stripes, "stripes", wide=True)
             each = stripes.select(F.explode("stripes").alias("s")).select("s.lang", F.aggregate("s.counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n"))
             totals = staged(each.groupBy("lang").agg(F.sum("n").alias("n")), "words")
         dealt = stripes.repartition("bucket").sortWithinPartitions("bucket")
         uri = scratch(spark, f"frequent-{m}")
-        (dealt.mapInArrow(lambda it: _merge(it, min_count), FREQUENT)
-         .withColumn("bucket", F.floor(F.col("block") / BLOCKS_IN_BUCKET).cast("bigint"))
-         .repartition("bucket").sortWithinPartitions("bucket", "block").write.partitionBy("bucket").parquet(uri))
-        remove(stripes)  # merged: nothing reads them again
+        lists = (dealt.mapInArrow(lambda it: _merge(it, min_count), FREQUENT)
+                 .withColumn("bucket", F.floor(F.col("block") / BLOCKS_IN_BUCKET).cast("bigint"))
+                 .repartition("bucket").sortWithinPartitions("bucket", "block"))
+        with batches_of(spark, BATCH_ROWS):
+            lists.write.option("parquet.block.size", ROW_GROUP).partitionBy("bucket").parquet(uri)
+        if m == 1:
+            remove(stripes)  # merged: nothing reads them again
         here = spark.read.schema(f"{FREQUENT}, bucket bigint").parquet(uri).filter("first")
         levels.append(here.select("lang", "phrase", F.lit(m).alias("m"), F.col("n").alias("a")))
         if here.isEmpty():

@@ -3,9 +3,11 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from ledgerlane.llm import collocations as P
+from ledgerlane.llm.common import batches_of
 from tests.llm.helpers import docs_of, same_rows, texts
 
 ROW = "lang string, text string"
@@ -84,3 +86,31 @@ def test_products_beyond_64_bits(spark):
 
 def test_empty_table(spark):
     assert P.collocations(spark.createDataFrame([], ROW)).collect() == []
+
+
+def test_rows_of_stripes_grow_with_the_blocks_alone():
+    # Buckets grew with the table from its second block on, and each block has a row per bucket.
+    assert P.buckets_of(1) == P.buckets_of(200) == P.BUCKETS
+    assert P.buckets_of(1_000_000) * P.BUCKET_BYTES >= 1_000_000 * P.BLOCK_BYTES
+
+
+def test_buckets_are_merged_some_at_a_time_and_across_batches(spark, monkeypatch):
+    langs, texts_ = zip(*docs_of("sf0.001", cols=("lang", "text")))
+    counter = P.Counter(1, None, 64)
+    counter.add(pa.array(langs), pa.array(texts_))
+    rows = pa.Table.from_batches(list(counter.stripes(0))).sort_by("bucket").combine_chunks()
+    assert rows.num_rows <= 64
+    whole = pa.Table.from_batches(P._merge(iter(rows.to_batches()), 3)).to_pylist()
+    monkeypatch.setattr(P, "MERGED", 500)
+    parts = [b.to_pylist() for b in P._merge(iter(rows.to_batches(max_chunksize=5)), 3)]
+    assert 1 < len(parts) < 64
+    by = lambda r: (r["lang"], r["phrase"])
+    assert sorted((r for part in parts for r in part), key=by) == sorted(whole, key=by)
+
+
+def test_batch_size_of_the_session_comes_back(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with batches_of(spark, 7):
+        assert spark.conf.get(key) == "7"
+    assert spark.conf.get(key) == before
