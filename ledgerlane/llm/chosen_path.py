@@ -80,11 +80,12 @@ def _prints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Reco
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """The rows with the full set of their last column, the text, in its place."""
     for batch in batches:
         for part in slices(batch, "text"):
             one, _, bounds = shingle_sets(part.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([part.column("s1"), part.column("s2"),
-                                              pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(one.view(np.int64)))], names=["s1", "s2", "items"])
+            items = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(one.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], items], names=[*part.schema.names[:-1], "items"])
 
 
 def forest(n: int, near) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,11 +206,15 @@ def _branch(rows: DataFrame, branches: int) -> DataFrame:
     return rows.selectExpr("s1", "s2", "n", f"explode({child}) AS node")
 
 
+def _texts(sets: DataFrame, docs: DataFrame, unique: DataFrame) -> DataFrame:
+    """(s1, s2, text): one text of each of ``sets`` (s1, s2)."""
+    texts = staged(unique.join(sets.distinct(), ["s1", "s2"], "left_semi").select("s1", "s2", "text_key.k1", "text_key.k2"), "text-keys")
+    return likely(docs, texts, "k1", "k2").join(texts, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("s1", "s2", "text")
+
+
 def _members(sets: DataFrame, docs: DataFrame, unique: DataFrame, shingle: int) -> DataFrame:
     """(s1, s2, items): the full sets of ``sets`` (s1, s2), from one text of each."""
-    texts = staged(unique.join(sets.distinct(), ["s1", "s2"], "left_semi").select("s1", "s2", "text_key.k1", "text_key.k2"), "text-keys")
-    rows = likely(docs, texts, "k1", "k2").join(texts, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("s1", "s2", "text")
-    return rows.mapInArrow(lambda it: _sets(it, shingle), "s1 bigint, s2 bigint, items array<bigint>")
+    return _texts(sets, docs, unique).mapInArrow(lambda it: _sets(it, shingle), "s1 bigint, s2 bigint, items array<bigint>")
 
 
 def _pivot_links(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -279,16 +284,19 @@ def links(docs: DataFrame, unique: DataFrame, shingle: int, percent: int = 80, t
         rows, met = _settle(rows, label, node_sets)
         small = small.unionByName(met)
         frontier = staged(_branch(rows.join(unique.select("s1", "s2", "sig"), ["s1", "s2"]), branches), "level")
-    dealt = small.join(unique.select("s1", "s2", "sig"), ["s1", "s2"]).repartition("node").sortWithinPartitions("node")
+    # A byte of each token is shuffled: pairs that agree still do, one in 256 others seem to, and full sets decide.
+    short = unique.select("s1", "s2", F.transform("sig", lambda x: (F.pmod(x, F.lit(256)) - 128).cast("tinyint")).alias("sig"))
+    dealt = small.join(short, ["s1", "s2"]).repartition("node").sortWithinPartitions("node")
     cells = staged(dealt.mapInArrow(lambda it: _cells(it, percent), CELLS).distinct(), "cells")
     if label is not None:  # a cell inside one component adds nothing
         rooted = staged(_labelled(cells, label), "rooted-cells")
         ends = rooted.groupBy("c1", "c2").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         cells = staged(cells.join(staged(ends.filter("low <> high"), "open-cells"), ["c1", "c2"], "left_semi"), "cells")
-    members = staged(_members(cells.select("s1", "s2"), docs, unique, shingle), "member-sets")
-    dealt = cells.join(members, ["s1", "s2"]).repartition("c1", "c2").sortWithinPartitions("c1", "c2")
-    found = dealt.mapInArrow(lambda it: _confirmed(it, percent), EDGES)
-    return staged(_nodes_of(found if edges is None else found.unionByName(edges)), "links")
+    # Texts are shuffled, not the sets made of them: these are larger, and hashes don't compress.
+    members = staged(_texts(cells.select("s1", "s2"), docs, unique), "member-texts")
+    dealt = cells.join(members, ["s1", "s2"]).select("c1", "c2", "s1", "s2", "text").repartition("c1", "c2").sortWithinPartitions("c1", "c2")
+    found = dealt.mapInArrow(lambda it: _confirmed(_sets(it, shingle), percent), EDGES)
+    return staged(_nodes_of(found if edges is None else found.unionByName(edges)), "links", wide=True)
 
 
 def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 80, trees: int = TREES,
@@ -311,7 +319,7 @@ def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     k1, k2 = digest(F.col(f"`{text_col}`"))
     docs = df.select(F.col(f"`{id_col}`").alias("id"), k1.alias("k1"), k2.alias("k2"), F.col(f"`{text_col}`").alias("text"))
     id_type = df.schema[id_col].dataType.simpleString()
-    prints = staged(docs.mapInArrow(lambda it: _prints(it, shingle), f"id {id_type}, k1 bigint, k2 bigint, s1 bigint, s2 bigint, n bigint, sig array<int>"), "prints")
+    prints = staged(docs.mapInArrow(lambda it: _prints(it, shingle), f"id {id_type}, k1 bigint, k2 bigint, s1 bigint, s2 bigint, n bigint, sig array<int>"), "prints", wide=True)
     unique = staged(prints.groupBy("s1", "s2").agg(F.min("id").alias("first"), F.max("n").alias("n"), F.min(F.struct("k1", "k2")).alias("text_key"),
                                                   F.any_value("sig").alias("sig")), "sets")
     linked = links(docs.select("k1", "k2", "text"), unique, shingle, percent, trees, branches, node_sets, node_shingles)

@@ -141,3 +141,11 @@ def test_only_wanted_texts_are_shuffled(spark, monkeypatch):
     got = {r.id: r.component_id for r in C.minhash_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == {i: 1000 if 1000 <= i < 1004 else i for i, _ in rows}
     assert met and all(docs == len(rows) and wanted <= kept < 60 for docs, wanted, kept in met)
+
+
+def test_texts_travel_with_their_cells_to_where_sets_are_made():
+    rows = pa.RecordBatch.from_pydict({"c1": pa.array([1, 1]), "c2": pa.array([2, 2]), "s1": pa.array([3, 4]), "s2": pa.array([5, 6]), "text": pa.array(["a b c d e", "A b c d e"])})
+    out, = C._sets(iter([rows]), 4)
+    assert out.schema.names == ["c1", "c2", "s1", "s2", "items"] and out.column("c1").to_pylist() == [1, 1]
+    found, = C._confirmed(iter([out]), 80)
+    assert found.to_pylist() == [{"a1": 3, "a2": 5, "b1": 4, "b2": 6}]
