@@ -288,7 +288,7 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     of any length is fingerprinted whole.  Other columns are not read.
     Whole texts are read once; only digests and fingerprints are shuffled.
     """
-    prints = staged(fingerprints(df, id_col, text_col, shingle), "prints")
+    prints = staged(fingerprints(df, id_col, text_col, shingle), "prints", wide=True)
     return prints.join(near_duplicates(prints, radius, bucket), "fp")
 
 
