@@ -7,32 +7,32 @@ among longer phrases come from the same table, one level apart.
 
 A phrase can't be more frequent than a part of it, so level m counts only
 phrases whose first and last m - 1 words were frequent at the level before.
-Each block of text gets back the frequent phrases among its own only, as a
-part of a written table; nothing that grows with the corpus is broadcast.
+Tasks learn which were by a bit table of fixed size: it lets no frequent
+phrase out, and one too many only costs a count that isn't kept.  No list of
+phrases goes back to the blocks of text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import BATCH_ROWS, batches_of, remove, staged
+from ledgerlane.llm.common import remove, staged
 from ledgerlane.llm.files import located
 from ledgerlane.llm.words import Words, mix, slices, split_words, window_hashes
 from ledgerlane.session import scratch
 
 BLOCK_BYTES = 4 << 20     # text that one counter is merged over before the shuffle
 SLICE = 1 << 19
-BLOCKS_IN_BUCKET = 16      # blocks whose lists share a folder
-ROW_GROUP = 1 << 20        # bytes of a row group of such lists: a block reads its own ones, not its neighbours'
+TABLE_WORDS = 1 << 22      # of 64 bits, in the table of frequent phrases: fixed, whatever the corpus
 SEGMENT = 1 << 16          # a stripe is cut so that a segment counts about so many occurrences
 # A block's stripes lie in buckets, a row each: always so many that rows grow with the blocks alone, and more of them
 # only for a corpus whose buckets would hold the occurrences of more text than a task merges at once.
@@ -90,30 +90,36 @@ def _lang_key(langs: list[str]) -> np.ndarray:
     return h.hashes(1)
 
 
-class Listed:
-    """The frequent phrases of one block from the level before, by hash, with their counts in the corpus."""
+class Frequent:
+    """Which phrases of the level before were frequent, by bits of their hash, and the counts of the few that fill several segments."""
 
-    def __init__(self, uri: str, block: int):
-        where, path = located(f"{uri}/bucket={block // BLOCKS_IN_BUCKET}")
-        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if where.get_file_info(path).type == fs.FileType.NotFound:
-            return
-        t = pq.read_table(path, filesystem=where, columns=["lang", "phrase", "n"], filters=[("block", "==", block)], partitioning=None)
-        if t.num_rows:
-            langs = t.column("lang").combine_chunks().dictionary_encode()
-            w = split_words(t.column("phrase").combine_chunks(), WORD_ENDS)
-            h = window_hashes(w.hashes(), w.bounds[:-1], w.bounds[1:])
-            keys = mix(h + _lang_key(langs.dictionary.to_pylist())[langs.indices.to_numpy()])
-            self.keys, first = np.unique(keys, return_index=True)
-            self.counts = t.column("n").to_numpy()[first]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is listed, and its count (0: it isn't)."""
+    def __init__(self, bits: str, heavy: str):
+        where, path = located(bits)
+        t = pq.read_table(path, filesystem=where, columns=["cell", "bits"], partitioning=None)
+        self.bits = np.zeros(TABLE_WORDS, np.uint64)
+        self.bits[t.column("cell").to_numpy()] = t.column("bits").to_numpy().view(np.uint64)
+        where, path = located(heavy)
+        t = pq.read_table(path, filesystem=where, columns=["key", "n"], partitioning=None)
+        keys = t.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], t.column("n").to_numpy()[order]
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        shift = (keys >> np.uint64(TABLE_WORDS.bit_length() - 1)) & np.uint64(63)
+        return (self.bits[keys & np.uint64(TABLE_WORDS - 1)] >> shift & np.uint64(1)).astype(bool)
+
+    def weight(self, keys: np.ndarray) -> np.ndarray:
+        """The count of each key that is heavy, else 0."""
         if not len(self.keys):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+            return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[at] == keys
-        return hit, np.where(hit, self.counts[at], 0)
+        return np.where(self.keys[at] == keys, self.counts[at], 0)
+
+
+@lru_cache(maxsize=1)
+def _frequent(bits: str, heavy: str) -> Frequent:
+    """One copy for all tasks of a process; the folders are never written again."""
+    return Frequent(bits, heavy)
 
 
 def _groups(key: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +134,8 @@ def _groups(key: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Counter:
     """The stripes of one block at one level."""
 
-    def __init__(self, level: int, listed: Listed | None, buckets: int):
-        self.level, self.listed, self.buckets = level, listed, np.uint64(buckets)
+    def __init__(self, level: int, frequent: Frequent | None, buckets: int):
+        self.level, self.frequent, self.buckets = level, frequent, np.uint64(buckets)
         self.parts: list[tuple] = []
         self.langs: dict[str, int] = {}  # the block's languages, by number
 
@@ -149,11 +155,11 @@ class Counter:
         piece = ends_before[w.starts] + w.text_of()  # grows with every piece end and every text: equal inside a piece only
         first = np.arange(n - m + 1)
         first = first[piece[first] == piece[first + m - 1]]
-        prefix = weight = np.zeros(n, np.int64)
+        prefix = np.zeros(n, np.uint64)
         if m > 1:
             shorter = np.arange(n - m + 2)
             prefix = mix(window_hashes(h, shorter, shorter + m - 1) + salt[shorter])
-            known, weight = self.listed.find(prefix)
+            known = self.frequent.known(prefix)
             first = first[known[first] & known[first + 1]]
         if not len(first):
             return
@@ -161,10 +167,10 @@ class Counter:
         order, begin = _groups(key, window_hashes(h2, first, first + m, 1))
         rep = first[order[begin]]
         flat = Flat(w)
-        self.parts.append((key[order[begin]], window_hashes(h2, rep, rep + m, 1), np.diff(np.append(begin, len(order))), self._home(prefix[rep], weight[rep], h[rep + m - 1]),
+        self.parts.append((key[order[begin]], window_hashes(h2, rep, rep + m, 1), np.diff(np.append(begin, len(order))), self._home(prefix[rep], h[rep + m - 1]),
                            lang[rep], flat.text(rep, rep + m - 1), flat.text(rep + m - 1, rep + m)))
 
-    def _home(self, prefix: np.ndarray, weight: np.ndarray, word: np.ndarray) -> np.ndarray:
+    def _home(self, prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
         """A hash of each entry's stripe segment; its low bits name the bucket.
 
         The empty prefix is cut by the word.  Others are cut by the prefix's
@@ -172,11 +178,16 @@ class Counter:
         """
         if self.level == 1:
             return mix(word) & (self.buckets - np.uint64(1))
-        cuts = 1 << np.ceil(np.log2(np.maximum(weight / SEGMENT, 1))).astype(np.int64)
-        return mix(prefix.astype(np.uint64) + (mix(word) & (cuts.astype(np.uint64) - np.uint64(1))))
+        cuts = 1 << np.ceil(np.log2(np.maximum(self.frequent.weight(prefix) / SEGMENT, 1))).astype(np.int64)
+        return mix(prefix + (mix(word) & (cuts.astype(np.uint64) - np.uint64(1))))
 
     def stripes(self, block: int) -> Iterator[pa.RecordBatch]:
-        """A row per bucket: its stripes, each with the words that follow its prefix and their counts."""
+        """A row per bucket: its stripes, each with the words that follow its prefix and their counts.
+
+        A row holds its languages, their occurrences, each stripe's language
+        (by number), prefix and number of words, and all words and counts.
+        Prefixes and words are joined by what can't stand in them.
+        """
         if not self.parts:
             return
         key, second, n, home, lang = (np.concatenate([p[i] for p in self.parts]) for i in range(5))
@@ -185,37 +196,41 @@ class Counter:
         order, begin = _groups(key, second)
         count, rep = np.add.reduceat(n[order], begin), order[begin]
         bucket = (home[rep] & (self.buckets - np.uint64(1))).astype(np.int64)
-        by = np.lexsort((home[rep], bucket))
+        by = np.lexsort((home[rep], lang[rep], bucket))
         rep, bucket, count = rep[by], bucket[by], count[by]
         names, lang = pa.array(list(self.langs), pa.string()), lang[rep]
         prefix, word = (x.take(pa.array(rep)) for x in (prefix, word))
         del key, second, n, home, order
-        other = np.zeros(len(rep), bool)
-        other[1:] = (lang[1:] != lang[:-1]) | ~pc.equal(prefix[1:], prefix[:-1]).to_numpy(zero_copy_only=False)
         row = np.ones(len(rep), bool)
         row[1:] = bucket[1:] != bucket[:-1]
+        spoken = row.copy()  # where a row's next language begins
+        spoken[1:] |= lang[1:] != lang[:-1]
+        head = spoken.copy()
+        head[1:] |= ~pc.equal(prefix[1:], prefix[:-1]).to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(row)
         for at in range(0, len(rows), ROWS):
             a = int(rows[at])
             b = int(rows[at + ROWS]) if at + ROWS < len(rows) else len(rep)
-            inside = np.flatnonzero(row[a:b])
-            heads = np.flatnonzero(row[a:b] | other[a:b])
-            ends = pa.array(np.append(heads, b - a), pa.int32())
-            took = pa.array(heads + a)
-            stripe = pa.StructArray.from_arrays(
-                [names.take(pa.array(lang[heads + a])), prefix.take(took).cast(pa.string()), pa.ListArray.from_arrays(ends, word[a:b].cast(pa.string())),
-                 pa.ListArray.from_arrays(ends, pa.array(count[a:b]))], names=["lang", "prefix", "words", "counts"])
-            offs = pa.array(np.append(np.searchsorted(heads, inside), len(heads)), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(inside), block)), pa.array(bucket[a:b][inside]), pa.ListArray.from_arrays(offs, stripe)],
-                                             names=["block", "bucket", "stripes"])
+            inside, tongues, heads = (np.flatnonzero(x[a:b]) for x in (row, spoken, head))
+            lists = lambda where, values: pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(where, inside), len(where)), pa.int32()), values)
+            sizes = np.diff(np.append(heads, b - a))
+            which = np.cumsum(spoken[a:b])[heads] - 1 - np.searchsorted(tongues, inside)[np.cumsum(row[a:b])[heads] - 1]
+            every = np.arange(b - a)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(inside), block)), pa.array(bucket[a:b][inside]), lists(tongues, names.take(pa.array(lang[a:b][tongues]))),
+                 lists(tongues, pa.array(np.add.reduceat(count[a:b], tongues))), lists(heads, pa.array(which.astype(np.int32))),
+                 pc.binary_join(lists(heads, prefix.take(pa.array(heads + a)).cast(pa.string())), "\n"), lists(heads, pa.array(sizes.astype(np.int32))),
+                 pc.binary_join(lists(every, word[a:b].cast(pa.string())), " "), lists(every, pa.array(count[a:b].astype(np.int32)))], names=COLUMNS)
         del prefix, word
         pa.default_memory_pool().release_unused()
 
 
-STRIPES = "block bigint, bucket bigint, stripes array<struct<lang: string, prefix: string, words: array<string>, counts: array<bigint>>>"
+STRIPES = ("block bigint, bucket bigint, langs array<string>, occurrences array<bigint>, lang array<int>, prefixes string, sizes array<int>, "
+           "words string, counts array<int>")
+COLUMNS = [x.split()[0] for x in STRIPES.split(", ")]
 
 
-def _count(batches: Iterator[pa.RecordBatch], level: int, uri: str | None, buckets: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], level: int, uris: tuple[str, str] | None, buckets: int) -> Iterator[pa.RecordBatch]:
     block, counter = None, None
     for batch in batches:
         blocks = batch.column("block").to_numpy()
@@ -227,37 +242,41 @@ def _count(batches: Iterator[pa.RecordBatch], level: int, uri: str | None, bucke
                 if counter:
                     yield from counter.stripes(block)
                 block = int(blocks[a])
-                counter = Counter(level, Listed(uri, block) if uri else None, buckets)
+                counter = Counter(level, _frequent(*uris) if uris else None, buckets)
             for part in slices(batch.slice(a, b - a), "text", SLICE):
                 counter.add(part.column("lang"), part.column("text"))
     if counter:
         yield from counter.stripes(block)
 
 
-FREQUENT = "block bigint, lang string, phrase string, n bigint, first boolean"
+FREQUENT = "lang string, phrase string, n bigint, key bigint"
 
 
 def _merged(t: pa.Table, least: int) -> pa.RecordBatch:
-    """A bucket's stripes added up elementwise: a row per entry of ``least`` occurrences or more and block that has it."""
-    stripes = t.column("stripes").combine_chunks()
-    row = pc.list_parent_indices(stripes).to_numpy()
-    lang, prefix, words, counts = pc.list_flatten(stripes).flatten()
-    stripe = pc.list_parent_indices(words).to_numpy()
-    coded, said, spoken = pc.list_flatten(words).dictionary_encode(), prefix.dictionary_encode(), lang.dictionary_encode()
-    home = spoken.indices.to_numpy().astype(np.int64) * max(len(said.dictionary), 1) + said.indices.to_numpy()
-    _, home = np.unique(home, return_inverse=True)
+    """Whole buckets' stripes added up elementwise: a row per phrase of ``least`` occurrences or more."""
+    t = t.combine_chunks()
+    column = lambda name: t.column(name).combine_chunks()
+    flat = lambda name: pc.list_flatten(column(name))
+    row = pc.list_parent_indices(column("lang")).to_numpy()
+    before = np.concatenate([[0], np.cumsum(pc.list_value_length(column("langs")).to_numpy())])
+    spoken = flat("langs").dictionary_encode()
+    lang = spoken.indices.to_numpy()[before[row] + flat("lang").to_numpy()].astype(np.int64)  # of each stripe
+    prefix, words = (pc.list_flatten(pc.split_pattern(column(name), by)) for name, by in (("prefixes", "\n"), ("words", " ")))
+    stripe = np.repeat(np.arange(len(lang)), flat("sizes").to_numpy())
+    coded, said = words.dictionary_encode(), prefix.dictionary_encode()
+    _, home = np.unique(lang * max(len(said.dictionary), 1) + said.indices.to_numpy(), return_inverse=True)
     key = home[stripe] * max(len(coded.dictionary), 1) + coded.indices.to_numpy()
     _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
     total = np.zeros(len(first), np.int64)
-    np.add.at(total, inverse, pc.list_flatten(counts).to_numpy())
-    keep = np.flatnonzero(total[inverse] >= least)
-    begins = np.zeros(len(key), bool)
-    begins[first] = True
-    of = pa.array(stripe[keep])
-    before, word = prefix.take(of), coded.dictionary.take(coded.indices.take(pa.array(keep)))
-    phrase = pc.if_else(pc.equal(before, ""), word, pc.binary_join_element_wise(before, word, " "))
-    return pa.RecordBatch.from_arrays([t.column("block").combine_chunks().take(pa.array(row[stripe[keep]])), lang.take(of), phrase,
-                                       pa.array(total[inverse[keep]]), pa.array(begins[keep])], names=["block", "lang", "phrase", "n", "first"])
+    np.add.at(total, inverse, flat("counts").to_numpy())
+    keep = first[total >= least]
+    head, word = prefix.take(pa.array(stripe[keep])), words.take(pa.array(keep))
+    phrase = pc.if_else(pc.equal(head, ""), word, pc.binary_join_element_wise(head, word, " "))
+    w = split_words(phrase, WORD_ENDS)
+    spoke = lang[stripe[keep]]
+    hashed = mix(window_hashes(w.hashes(), w.bounds[:-1], w.bounds[1:]) + _lang_key(spoken.dictionary.to_pylist())[spoke])
+    return pa.RecordBatch.from_arrays([spoken.dictionary.take(pa.array(spoke)), phrase, pa.array(total[total >= least]), pa.array(hashed.view(np.int64))],
+                                      names=["lang", "phrase", "n", "key"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -267,10 +286,8 @@ def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
     for batch in batches:
         if not batch.num_rows:
             continue
-        bucket, stripes = batch.column("bucket").to_numpy(), batch.column("stripes")
-        lengths = pc.list_value_length(pc.list_flatten(stripes).flatten()[2]).to_numpy()
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(stripes).to_numpy())])
-        upto = np.concatenate([[0], np.cumsum(lengths)])[ends]  # entries before each row
+        bucket = batch.column("bucket").to_numpy()
+        upto = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("counts")).to_numpy())])  # entries before each row
         at = 0
         for row in np.flatnonzero(np.diff(bucket, prepend=bucket[0] if last is None else last)).tolist():
             if size + upto[row] - upto[at] >= MERGED:
@@ -286,6 +303,17 @@ def buckets_of(n_blocks: int) -> int:
     return max(BUCKETS, 1 << (n_blocks * BLOCK_BYTES // BUCKET_BYTES).bit_length())
 
 
+def _table(phrases: DataFrame) -> tuple[str, str]:
+    """Folders of what ``Frequent`` reads: TABLE_WORDS rows at most, and one for SEGMENT occurrences in the corpus at most."""
+    cell = F.col("key").bitwiseAND(F.lit(TABLE_WORDS - 1)).alias("cell")
+    bit = F.expr(f"shiftleft(1L, cast(shiftright(key, {TABLE_WORDS.bit_length() - 1}) & 63 as int))").alias("bit")
+    bits = scratch(phrases.sparkSession, "frequent-bits")
+    phrases.select(cell, bit).groupBy("cell").agg(F.bit_or("bit").alias("bits")).write.parquet(bits)
+    heavy = scratch(phrases.sparkSession, "heavy")
+    phrases.filter(F.col("n") > SEGMENT).groupBy("key").agg(F.max("n").alias("n")).write.parquet(heavy)
+    return bits, heavy
+
+
 def frequent_phrases(df: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = 100, max_words: int = 5) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, m, a) of every phrase of up to ``max_words`` words with ``min_count`` occurrences or more, and (lang, n), all word occurrences."""
     spark = df.sparkSession
@@ -294,26 +322,21 @@ def frequent_phrases(df: DataFrame, lang_col: str = "lang", text_col: str = "tex
     blocks = staged(text.mapInArrow(_blocks, "lang string, text string, block bigint"), "blocks", wide=True)
     n_blocks = blocks.select(F.approx_count_distinct("block")).first()[0]
     buckets = buckets_of(n_blocks)
-    uri, levels, totals = None, [], None
+    uris, levels, totals = None, [], None
     for m in range(1, max_words + 1):
-        stripes = blocks.mapInArrow(lambda it, m=m, uri=uri: _count(it, m, uri, buckets), STRIPES)
+        stripes = blocks.mapInArrow(lambda it, m=m, uris=uris: _count(it, m, uris, buckets), STRIPES)
         if m == 1:  # read twice
             stripes = staged(stripes, "stripes", wide=True)
-            each = stripes.select(F.explode("stripes").alias("s")).select("s.lang", F.aggregate("s.counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n"))
-            totals = staged(each.groupBy("lang").agg(F.sum("n").alias("n")), "words")
+            each = stripes.select(F.explode(F.arrays_zip("langs", "occurrences")).alias("s")).select("s.langs", "s.occurrences")
+            totals = staged(each.groupBy(F.col("langs").alias("lang")).agg(F.sum("occurrences").alias("n")), "words")
         dealt = stripes.repartition("bucket").sortWithinPartitions("bucket")
-        uri = scratch(spark, f"frequent-{m}")
-        lists = (dealt.mapInArrow(lambda it: _merge(it, min_count), FREQUENT)
-                 .withColumn("bucket", F.floor(F.col("block") / BLOCKS_IN_BUCKET).cast("bigint"))
-                 .repartition("bucket").sortWithinPartitions("bucket", "block"))
-        with batches_of(spark, BATCH_ROWS):
-            lists.write.option("parquet.block.size", ROW_GROUP).partitionBy("bucket").parquet(uri)
+        here = staged(dealt.mapInArrow(lambda it: _merge(it, min_count), FREQUENT), f"frequent-{m}", wide=True)
         if m == 1:
             remove(stripes)  # merged: nothing reads them again
-        here = spark.read.schema(f"{FREQUENT}, bucket bigint").parquet(uri).filter("first")
         levels.append(here.select("lang", "phrase", F.lit(m).alias("m"), F.col("n").alias("a")))
-        if here.isEmpty():
+        if m == max_words or here.isEmpty():
             break
+        uris = _table(here)
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)

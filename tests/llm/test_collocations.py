@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -114,3 +115,25 @@ def test_batch_size_of_the_session_comes_back(spark):
     with batches_of(spark, 7):
         assert spark.conf.get(key) == "7"
     assert spark.conf.get(key) == before
+
+
+def test_a_frequent_phrase_is_one_row_however_many_blocks_have_it():
+    # It was a row for each block that had it, which went back to that block.
+    batches = []
+    for block in range(3):
+        counter = P.Counter(1, None, 64)
+        counter.add(pa.array(["en", None, "fr", "en"]), pa.array(["a b a", "a c", "b b b", "d"]))
+        batches += counter.stripes(block)
+    rows = pa.Table.from_batches(batches).sort_by("bucket").combine_chunks()
+    out = [r for b in P._merge(iter(rows.to_batches()), 4) for r in b.to_pylist()]
+    assert sorted((r["lang"], r["phrase"], r["n"]) for r in out) == [("en", "a", 6), ("fr", "b", 9)]
+
+
+def test_table_of_frequent_phrases_has_a_fixed_size_and_misses_none(spark):
+    keys = np.random.default_rng(4).integers(-1 << 63, 1 << 63, 3000)
+    rows = [("en", str(k), 100 + i % 2 * P.SEGMENT, int(k)) for i, k in enumerate(keys[:2000])]
+    for phrases, heavy in ((rows, 1000), (rows[::2], 0)):
+        got = P.Frequent(*P._table(spark.createDataFrame(phrases, P.FREQUENT)))
+        listed = np.array([r[3] for r in phrases]).view(np.uint64)
+        assert got.known(listed).all() and got.known(keys[2000:].view(np.uint64)).sum() < 10 and got.bits.nbytes == 8 * P.TABLE_WORDS
+        assert got.weight(listed).tolist() == [r[2] if r[2] > P.SEGMENT else 0 for r in phrases] and len(got.keys) == heavy
