@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import digest, likely, staged
+from ledgerlane.llm.common import digest, likely, likely_rows, staged
 from ledgerlane.llm.components import components
 from ledgerlane.llm.words import mix, slices, split_words, window_hashes
 
@@ -37,6 +37,7 @@ NODE_SHINGLES = 1 << 22   # and their shingles, unless the sets are few
 FEW = 64
 # Tokens out of 64 that two sets must share to be looked at: at similarity 0.8 fewer agree once in a million pairs.
 AGREE = 35
+NODE_WORDS = 1 << 19      # of 64 bits, in the table by which rows of nodes with one set are left out: fixed, whatever the input
 _TOKEN = np.random.default_rng(11).integers(0, 1 << 64, COORDINATES, np.uint64) | np.uint64(1)
 
 
@@ -206,15 +207,25 @@ def _branch(rows: DataFrame, branches: int) -> DataFrame:
     return rows.selectExpr("s1", "s2", "n", f"explode({child}) AS node")
 
 
-def _texts(sets: DataFrame, docs: DataFrame, unique: DataFrame) -> DataFrame:
-    """(s1, s2, text): one text of each of ``sets`` (s1, s2)."""
-    texts = staged(unique.join(sets.distinct(), ["s1", "s2"], "left_semi").select("s1", "s2", "text_key.k1", "text_key.k2"), "text-keys")
-    return likely(docs, texts, "k1", "k2").join(texts, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("s1", "s2", "text")
+def _keyed(rows: DataFrame, unique: DataFrame) -> DataFrame:
+    """``rows`` (with s1, s2) and the digest k1, k2 of one text of each set."""
+    return staged(rows.join(unique.select("s1", "s2", "text_key.k1", "text_key.k2"), ["s1", "s2"]), "text-keys")
+
+
+def _texts(keyed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``keyed`` with the text in place of k1, k2.  A text is shuffled once, and one of its copies in a task."""
+    texts = likely(docs, keyed.select("k1", "k2").distinct(), "k1", "k2").dropDuplicates(["k1", "k2"])
+    return keyed.join(texts, ["k1", "k2"]).drop("k1", "k2")
 
 
 def _members(sets: DataFrame, docs: DataFrame, unique: DataFrame, shingle: int) -> DataFrame:
     """(s1, s2, items): the full sets of ``sets`` (s1, s2), from one text of each."""
-    return _texts(sets, docs, unique).mapInArrow(lambda it: _sets(it, shingle), "s1 bigint, s2 bigint, items array<bigint>")
+    return _texts(_keyed(sets.distinct(), unique), docs).select("s1", "s2", "text").mapInArrow(lambda it: _sets(it, shingle), "s1 bigint, s2 bigint, items array<bigint>")
+
+
+def _inside(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``nodes`` (each once); most others, which are alone in theirs, don't reach the shuffle: a semi join would be moved below the table's."""
+    return likely_rows(rows, nodes, "node", "shiftright(node, 40)", NODE_WORDS).join(nodes.select("node"), "node").select(rows.columns)
 
 
 def _pivot_links(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -271,19 +282,21 @@ def links(docs: DataFrame, unique: DataFrame, shingle: int, percent: int = 80, t
     while True:
         counts = staged(frontier.groupBy("node").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1"), "node-sizes")
         fits = (F.col("sets") <= min(FEW, node_sets)) | ((F.col("sets") <= node_sets) & (F.col("shingles") <= node_shingles))
-        leaves = frontier.join(counts.filter(fits), "node", "left_semi")
+        leaves = _inside(frontier, counts.filter(fits))
         small = leaves if small is None else small.unionByName(leaves)
         large = counts.filter(~fits)
         if large.isEmpty():
             break
-        rows = staged(frontier.join(large, "node", "left_semi"), "large-nodes")
+        rows = staged(_inside(frontier, large), "large-nodes")
         full = staged(_members(rows.select("s1", "s2"), docs, unique, shingle), "large-sets")
         more = _pivot_links(rows, full, percent)
         edges = staged(more if edges is None else edges.unionByName(more), "pivot-links")
         label = staged(components(_nodes_of(edges)), "labels")
         rows, met = _settle(rows, label, node_sets)
         small = small.unionByName(met)
-        frontier = staged(_branch(rows.join(unique.select("s1", "s2", "sig"), ["s1", "s2"]), branches), "level")
+        rows = staged(rows, "branching")
+        sigs = likely_rows(unique.select("s1", "s2", "sig"), rows, "s1", "s2", NODE_WORDS)
+        frontier = staged(_branch(rows.join(sigs, ["s1", "s2"]), branches), "level")
     # A byte of each token is shuffled: pairs that agree still do, one in 256 others seem to, and full sets decide.
     short = unique.select("s1", "s2", F.transform("sig", lambda x: (F.pmod(x, F.lit(256)) - 128).cast("tinyint")).alias("sig"))
     dealt = small.join(short, ["s1", "s2"]).repartition("node").sortWithinPartitions("node")
@@ -293,8 +306,8 @@ def links(docs: DataFrame, unique: DataFrame, shingle: int, percent: int = 80, t
         ends = rooted.groupBy("c1", "c2").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         cells = staged(cells.join(staged(ends.filter("low <> high"), "open-cells"), ["c1", "c2"], "left_semi"), "cells")
     # Texts are shuffled, not the sets made of them: these are larger, and hashes don't compress.
-    members = staged(_texts(cells.select("s1", "s2"), docs, unique), "member-texts")
-    dealt = cells.join(members, ["s1", "s2"]).select("c1", "c2", "s1", "s2", "text").repartition("c1", "c2").sortWithinPartitions("c1", "c2")
+    members = _texts(_keyed(cells, unique), docs).select("c1", "c2", "s1", "s2", "text")
+    dealt = members.repartition("c1", "c2").sortWithinPartitions("c1", "c2")
     found = dealt.mapInArrow(lambda it: _confirmed(_sets(it, shingle), percent), EDGES)
     return staged(_nodes_of(found if edges is None else found.unionByName(edges)), "links", wide=True)
 

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlane.llm import chosen_path as C
 from ledgerlane.llm import common
@@ -149,3 +150,20 @@ def test_texts_travel_with_their_cells_to_where_sets_are_made():
     assert out.schema.names == ["c1", "c2", "s1", "s2", "items"] and out.column("c1").to_pylist() == [1, 1]
     found, = C._confirmed(iter([out]), 80)
     assert found.to_pylist() == [{"a1": 3, "a2": 5, "b1": 4, "b2": 6}]
+
+
+def test_sets_alone_in_their_nodes_do_not_reach_the_shuffle(spark):
+    # All rows of the frontier were shuffled: a semi join is moved below whatever filters its rows by a table of bits.
+    rows = spark.range(20_000).selectExpr("xxhash64(id) AS node", "id AS s1", "-id AS s2", "1L AS n")
+    nodes = common.staged(rows.filter("s1 < 40").select("node", F.lit(2).alias("sets")), "test-nodes")
+    out = C._inside(rows.unionByName(rows.filter("s1 < 3")), nodes)
+    assert sorted(r.s1 for r in out.collect()) == sorted([*range(40), 0, 1, 2]) and out.columns == rows.columns
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [x for x in plan if "Join " in x]
+    assert len(joins) == 2 and "cell#" in joins[1] and "node#" in joins[0]
+
+
+def test_each_row_of_a_cell_gets_its_text_and_copies_of_a_text_count_once(spark):
+    docs = spark.createDataFrame([(1, 1, "a b")] * 50 + [(2, 2, "c"), (3, 3, "d")], "k1 bigint, k2 bigint, text string")
+    keyed = spark.createDataFrame([(7, 8, 1, 1), (7, 9, 2, 2), (6, 8, 1, 1)], "c1 int, s1 int, k1 bigint, k2 bigint")
+    same_rows(C._texts(keyed, docs).select("c1", "s1", "text").collect(), [(7, 8, "a b"), (7, 9, "c"), (6, 8, "a b")])
