@@ -8,12 +8,13 @@ from pyspark.sql.utils import StreamingQueryException
 
 from ledgerlane.operators.feed import latest_feed
 from ledgerlane.operators.metrics import latest_status, transitions
+from ledgerlane.plans import streams
 from ledgerlane.session import scratch
 from ledgerlane.sources.archive import Archive
 from ledgerlane.streaming import deliver as DV
 from ledgerlane.streaming.dlq import read_dlq
 from ledgerlane.streaming.feed import FeedSink
-from ledgerlane.streaming.live import StatusFold
+from ledgerlane.streaming.live import REMEMBERED, StatusFold
 from ledgerlane.streaming.poller import drain, polled
 from ledgerlane.streaming.reprocess import Reprocessor, dlq_stream
 from ledgerlane.streaming.sinks import IndependentSinks
@@ -52,6 +53,27 @@ def test_transitions_with_rows_in_any_order(spark):
     assert sorted(map(tuple, fold.latest(spark).collect())) == sorted(map(tuple, latest_status(rows, "k", "s", "o").collect()))
 
 
+def test_live_counts_are_of_more_micro_batches_than_a_query_remembers(spark, monkeypatch):
+    d = scratch(spark, "t-rate")
+    (spark.range(0, 700).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "if(id % 7 = 0, 'F', 'O') AS o_orderstatus", "1D AS o_totalprice",
+                                    "TIMESTAMP_NTZ'2024-01-01' AS o_orderdate", "concat(id % 5 + 1, '-X') AS o_orderpriority").write.parquet(f"{d}/orders.parquet"))
+    events = [k for k in range(700) for _ in range(2 if k % 7 == 0 else 1)]
+    want = []
+    for kind, priorities in (("kafka", {0}), ("kinesis", {2, 3, 4}), ("pulsar", {1})):
+        failed = [k % 13 == 0 for k in events if k % 5 in priorities]
+        want.append((kind, len(failed), failed.count(False), failed.count(True)))
+    monkeypatch.setattr(streams, "LIVE_PAGES", 1)  # eight micro-batches, of which a query remembers two
+    monkeypatch.setattr(streams, "MOST_PAGES", 1)
+    before = spark.conf.get(REMEMBERED)
+    spark.conf.set(REMEMBERED, 3)
+    try:
+        got = streams.failure_rate_live(spark, d).collect()
+        assert spark.conf.get(REMEMBERED) == "3"
+    finally:
+        spark.conf.set(REMEMBERED, before)
+    assert sorted(map(tuple, got)) == want
+
+
 def test_a_sink_that_is_down_holds_up_no_other(spark):
     a = Archive(spark, scratch(spark, "t-alone"), "ledger_offset string, event_id bigint", file_rows=100)
     a.append(spark.range(0, 700).select(F.lpad(F.col("id").cast("string"), 18, "0").alias("ledger_offset"), F.col("id").alias("event_id")))
